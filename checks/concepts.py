@@ -212,6 +212,29 @@ concept_prf AS (SELECT pair_id, CASE WHEN nc = 0 THEN CAST(1 AS DOUBLE) ELSE nb
 
 
 _SPAN_LIST = """
+spans AS (SELECT pair_id, list(s ORDER BY s.e - s.s DESC, s.s) AS todo, list(s ORDER BY s.s DESC, s.e DESC) AS ordered FROM (
+  SELECT DISTINCT pair_id, {'s': start_at, 'e': end_at, 'v': source_value} AS s FROM typed) AS x GROUP BY pair_id)"""
+# Take the best span left, drop what overlaps it, until none is left.
+_PICK = f"""{_SPAN_LIST},
+pick AS (SELECT pair_id, todo, todo[:0] AS kept FROM spans UNION ALL
+  SELECT pair_id, list_filter(todo, lambda x: x.e <= todo[1].s OR x.s >= todo[1].e), list_append(kept, todo[1]) FROM pick WHERE len(todo) > 0),
+chosen AS (SELECT pair_id, list_sort(kept) AS kept FROM pick WHERE len(todo) = 0),
+gaps AS (SELECT c.pair_id, i, k.s AS s, k.e AS e, k.v AS v, coalesce(lag(k.e) OVER (PARTITION BY c.pair_id ORDER BY i), 0) AS before FROM (
+  SELECT pair_id, unnest(kept) AS k, generate_subscripts(kept, 1) AS i FROM chosen) AS c),
+masks AS (SELECT p.pair_id, document, string_agg(substr(summary, CAST(before AS BIGINT) + 1, CAST(s - before AS BIGINT)) || 'MASK', '' ORDER BY i)
+  || substr(summary, CAST(max(e) AS BIGINT) + 1) AS masked_summary, string_agg(v, ' WORD_SEP ' ORDER BY i) AS answers, list(v ORDER BY i) AS a
+  FROM gaps AS g JOIN fx_pairs AS p ON g.pair_id = p.pair_id GROUP BY p.pair_id, document, summary)"""
+_RAW = f"""{_SPAN_LIST},
+fold AS (SELECT s.pair_id, ordered AS todo, summary AS text FROM spans AS s JOIN fx_pairs AS p ON s.pair_id = p.pair_id UNION ALL
+  SELECT pair_id, todo[2:], substr(text, 1, CAST(todo[1].s AS BIGINT)) || 'MASK' || substr(text, CAST(todo[1].e AS BIGINT) + 1) FROM fold WHERE len(todo) > 0)"""
+_MASKS = f"{_HEAD_R}, {_MENTIONS}, {_PICK}"
+
+# What each shape of answer must come to, told from the shape alone.
+_JSON = """
+shaped AS (SELECT *, substr(md5(pair_id), 1, 1) AS d FROM masks),
+parsed_json AS (SELECT pair_id, masked_summary, CASE WHEN d < '8' THEN a WHEN d < 'e' THEN NULL
+  ELSE list_concat(['again'], a[2:]) END AS got FROM shaped)"""
+_LIST = """
 shaped AS (SELECT *, substr(md5(pair_id), 1, 1) AS d FROM masks),
 listed AS (SELECT pair_id, masked_summary, a, [trim(x) for x in string_split(CASE WHEN d < '5' THEN array_to_string(a, ' , ')
   WHEN d < 'a' THEN array_to_string(a, ',') || ',more, and more' ELSE 'one' END, ',')] AS given FROM shaped),
