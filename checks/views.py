@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from notepairs.constants import EXPECTED_TABLES
+from notepairs.session import spread
 
 _TABLES = ("documents", "conversations", "benchmark", "labels", "embeddings")
 _SWAPS = {
@@ -130,6 +131,8 @@ def with_views(*names: str, engine: str = "duckdb") -> str:
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A view over the tables of one folder."""
+    sql = with_views(name, engine="spark") + f"\nSELECT * FROM {name}"
     for table in _TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
-    return spark.sql(with_views(name, engine="spark") + f"\nSELECT * FROM {name}")
+        if f" {table}" in sql:
+            spread(spark.read.parquet(f"{sf_dir}/{table}.parquet")).createOrReplaceTempView(table)
+    return spark.sql(sql)

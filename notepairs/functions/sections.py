@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from notepairs import constants as C
 from notepairs.functions.text import (
-    BLANK, DIGIT, SPACE, blank_marker_lines, clean_text, is_upper, last_line, let, settle, space_words,
+    BLANK, DIGIT, SPACE_CHARS, blank_marker_lines, clean_text, is_upper, last_line, let, settle, space_words,
     strip,
 )
 
@@ -83,7 +83,7 @@ def _paragraphs(body: Column) -> Column:
 def _head(paragraph: Column) -> Column:
     """Words before the first colon, with lines joined by spaces; null without a colon."""
     words = F.replace(F.substring_index(paragraph, ":", 1), F.lit("\n"), F.lit(" "))
-    return F.when(F.contains(paragraph, F.lit(":")), F.regexp_replace(words, rf"\A{SPACE}++", ""))
+    return F.when(F.contains(paragraph, F.lit(":")), F.ltrim(words, F.lit(SPACE_CHARS)))
 
 
 def _plain_head(head: Column) -> Column:

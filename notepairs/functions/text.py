@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 # Whitespace as Unicode text tools see it; Java's own \s covers ASCII only.
 _SPACE_NO_NEWLINE = r"\t\x0b-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = r"[\n" + _SPACE_NO_NEWLINE + "]"
+ODD_SPACE = SPACE.replace(r"\x20", r"\x1f")  # the same without the plain space
 BLANK = "[" + _SPACE_NO_NEWLINE + "]"
+SPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 # Decimal digits of every script plus superscript, subscript and circled digits.
 DIGIT = (
     r"[\p{Nd}\xb2\xb3\xb9\u2070\u2074-\u2079\u2080-\u2089\u2460-\u2468\u2474-\u247c\u2488-\u2490"
@@ -38,12 +43,15 @@ def settle(df: DataFrame, *names: str) -> DataFrame:
 
 
 def squeeze(col: Column) -> Column:
-    """Collapse whitespace runs to one space and strip both ends."""
-    return F.trim(F.regexp_replace(col, SPACE + "+", " "))
+    """Collapse whitespace runs to one space and strip both ends.
+
+    Lone spaces, the common case, are left untouched.
+    """
+    return F.trim(F.regexp_replace(col, rf" {SPACE}+|{ODD_SPACE}{SPACE}*", " "))
 
 
 def strip(col: Column) -> Column:
-    return F.regexp_replace(col, rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z", "")
+    return F.trim(col, F.lit(SPACE_CHARS))
 
 
 def last_line(col: Column) -> Column:
@@ -55,13 +63,20 @@ def blank_marker_lines(col: Column) -> Column:
     return F.regexp_replace(col, r"(?md)^[#.]$", "")
 
 
-def _drop_leading_blank_lines(col: Column) -> Column:
-    return F.regexp_replace(col, rf"\A(?:{BLANK}*+\n)++", "")
+def trim_blank_lines(col: Column) -> Column:
+    """Drop blank lines at both ends; spaces at the ends of the kept lines stay."""
+    chars = F.lit(SPACE_CHARS)
 
+    def at_start(text: Column) -> Column:
+        lead = F.substring(text, F.lit(1), F.length(text) - F.length(F.ltrim(text, chars)))
+        return F.concat(F.substring_index(lead, "\n", -1), F.ltrim(text, chars))
 
-def trim_blank_lines(col: Column) -> Column:
-    """Drop blank lines at both ends; reversing keeps the second pass linear."""
-    return F.reverse(_drop_leading_blank_lines(F.reverse(_drop_leading_blank_lines(col))))
+    def at_end(text: Column) -> Column:
+        kept = F.rtrim(text, chars)
+        tail = F.substring(text, F.length(kept) + 1, F.length(text))
+        return F.concat(kept, F.substring_index(tail, "\n", 1))
+
+    return let(let(col, at_start), at_end)
 
 
 def clean_text(text: Column) -> Column:

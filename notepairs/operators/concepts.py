@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from notepairs import constants as C
 
-_SPANS = "array<struct<start_at:int,end_at:int,token:string>>"
+_SPANS = "starts array<int>, ends array<int>, tokens array<string>"
 
 
 def concept_table(names: DataFrame, types: DataFrame) -> DataFrame:
@@ -31,16 +31,16 @@ def code_map(codes: DataFrame) -> DataFrame:
 
 
 def token_spans(text: Column) -> Column:
-    """Letter and digit runs with their code point offsets."""
+    """Letter and digit runs, lower-cased, with their code point offsets."""
 
     @F.pandas_udf(_SPANS)
-    def run(texts: pd.Series) -> pd.Series:
+    def run(texts: pd.Series) -> pd.DataFrame:
         word = re.compile(r"[^\W_]+")
-        return texts.map(
-            lambda t: [
-                {"start_at": m.start(), "end_at": m.end(), "token": m.group().lower()} for m in word.finditer(t or "")
-            ]
-        )
+        found = [list(word.finditer(t or "")) for t in texts]
+        return pd.DataFrame({
+            "starts": [[m.start() for m in ms] for ms in found], "ends": [[m.end() for m in ms] for ms in found],
+            "tokens": [[m.group().lower() for m in ms] for ms in found],
+        })
 
     return run(text)
 
@@ -51,22 +51,30 @@ def normal_name(name: Column) -> Column:
 
 
 def windows(texts: DataFrame, *, key: str = "pair_id", text: str = "text", longest: int = C.MAX_WINDOW) -> DataFrame:
-    """Every run of up to ``longest`` tokens: (key, start_at, end_at, norm)."""
-    spans = texts.select(key, token_spans(F.col(text)).alias("spans"))
-
-    def runs_of(k: int) -> Column:
-        def run_at(i: Column) -> Column:
-            run = F.slice("spans", i, k)
-            return F.struct(
-                run[0]["start_at"].alias("start_at"), run[k - 1]["end_at"].alias("end_at"),
-                F.array_join(F.transform(run, lambda s: s["token"]), " ").alias("norm"),
-            )
+    """Every run of up to ``longest`` tokens: (key, start_at, end_at, norm).
 
-        starts = F.sequence(F.lit(1), F.size("spans") - k + 1)
-        return F.when(F.size("spans") >= k, F.transform(starts, run_at))
-
-    sizes = [runs_of(k) for k in range(1, longest + 1)]
-    return spans.select(key, F.inline(F.flatten(F.array_compact(F.array(*sizes)))))
+    Runs of k tokens are made from those of k - 1 by adding one token to each.
+    """
+    df = texts.select(key, token_spans(F.col(text)).alias("spans")).select(key, "spans.*")
+    df = df.withColumn("_n1", F.col("tokens"))
+    n = F.size("tokens")
+    for k in range(2, longest + 1):
+        left = F.greatest(n - k + 1, F.lit(0))
+        longer = F.zip_with(
+            F.slice(f"_n{k - 1}", F.lit(1), left), F.slice("tokens", F.lit(k), left),
+            lambda run, token: F.concat(run, F.lit(" "), token),
+        )
+        df = df.withColumn(f"_n{k}", longer)
+    rows = []
+    for k in range(1, longest + 1):
+        left = F.greatest(n - k + 1, F.lit(0))
+        rows.append(
+            F.arrays_zip(
+                F.slice("starts", F.lit(1), left).alias("start_at"), F.slice("ends", F.lit(k), left).alias("end_at"),
+                F.col(f"_n{k}").alias("norm"),
+            )
+        )
+    return df.select(key, F.inline(F.flatten(F.array(*rows)))).toDF(key, "start_at", "end_at", "norm")
 
 
 def match_exact(

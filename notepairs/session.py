@@ -27,6 +27,16 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer planned tasks than the cluster has cores one task per core.
+
+    Meant for scans of a few small or unsplittable files; a scan with enough tasks is
+    returned as it is, so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, named by the session; local only where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
