@@ -167,19 +167,27 @@ def base_code(headings=C.SECTION_HEADINGS) -> Column:
     )
 
 
+def _directly_after(i: Column) -> Column:
+    """No empty line lies between paragraph ``i`` (zero-based) and the one before it."""
+    return ~F.startswith(F.try_element_at("_paras", i + 1), F.lit("\n"))
+
+
 def _section_slice() -> Column:
-    """Lines from the heading's paragraph up to the next heading, as one text."""
+    """Lines from the heading's paragraph up to the next heading, as one text.
+
+    The line that closes a paragraph opens the next one: an empty line, or a line equal to
+    the last one, which then goes with the later paragraph.
+    """
     first, end = F.col("_first"), F.coalesce(F.col("_next"), F.size("_paras"))
     context = F.struct(
         last_line(F.col("_body")).alias("last"),
-        (F.coalesce(F.col("_next"), F.lit(0)) - first).alias("closing"),
+        F.when(_directly_after(F.col("_next")), F.col("_next") - first).otherwise(0).alias("closing"),
     )
 
     def rebuild(ctx: Column) -> Column:
         last = ctx["last"]
 
         def part(p: Column, i: Column) -> Column:
-            # The line that closes the paragraph before the next heading belongs to the latter.
             return (
                 F.when(~_closed_by_last(p, last), F.concat(p, F.lit("\n\n")))
                 .when(i + 1 == ctx["closing"], F.substring(p, F.lit(1), F.length(p) - F.length(last)))
@@ -187,7 +195,9 @@ def _section_slice() -> Column:
             )
 
         before = F.try_element_at(F.col("_paras"), F.when(first > 0, first))
-        lead = F.when(_closed_by_last(before, last), F.concat(last, F.lit("\n"))).otherwise("")
+        lead = F.when(
+            _closed_by_last(before, last) & _directly_after(first), F.concat(last, F.lit("\n"))
+        ).otherwise("")
         return F.concat(
             lead, F.array_join(F.transform(F.slice(F.col("_paras"), first + 1, end - first), part), "")
         )

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Whitespace as Unicode text tools see it; Java's own \s covers ASCII only.
-_SPACE_NO_NEWLINE = r"\t\x0b-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = r"[\n" + _SPACE_NO_NEWLINE + "]"
-ODD_SPACE = SPACE.replace(r"\x20", r"\x1f")  # the same without the plain space
-BLANK = "[" + _SPACE_NO_NEWLINE + "]"
+# Whitespace as Unicode text tools see it; Java's own \s covers ASCII only. Testing for
+# "not a visible ASCII character" first keeps the wide classes off most characters.
+_RARE = r"\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACE = rf"[[^!-~]&&[\t-\r\x1c-\x20{_RARE}]]"
+ODD_SPACE = rf"[[^ -~]&&[\t-\r\x1c-\x1f{_RARE}]]"
+BLANK = rf"[[^!-~]&&[\t\x0b-\r\x1c-\x20{_RARE}]]"
 SPACE_CHARS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -47,7 +48,7 @@ def squeeze(col: Column) -> Column:
 
     Lone spaces, the common case, are left untouched.
     """
-    return F.trim(F.regexp_replace(col, rf" {SPACE}+|{ODD_SPACE}{SPACE}*", " "))
+    return F.trim(F.regexp_replace(col, rf"{ODD_SPACE}{SPACE}*| {SPACE}+", " "))
 
 
 def strip(col: Column) -> Column:
