@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from notepairs import constants as C
 from notepairs.functions.text import (
-    BLANK, DIGIT, SPACE_CHARS, blank_marker_lines, clean_text, is_upper, last_line, let, settle, space_words,
-    strip,
+    BLANK, DIGIT, SPACE_CHARS, blank_marker_lines, clean_text, is_upper, last_line, let, one_of, settle,
+    space_words, strip,
 )
 
 STORED_CODES = (1, 2, 4)
@@ -123,7 +123,7 @@ def with_headings(
         let(
             F.col("_first"),
             lambda first: F.try_element_at(
-                _positions(F.col("_heads"), lambda h, i: (i > first) & h.isin(*next_headings)), F.lit(1)
+                _positions(F.col("_heads"), lambda h, i: (i > first) & one_of(h, next_headings)), F.lit(1)
             ),
         ),
     )
@@ -138,10 +138,10 @@ def with_headings(
         after = i > ctx["first"] if skip_own_heading else i >= ctx["first"]
         return (
             after & F.contains(joined, F.lit(":")) & is_upper(head)
-            & ~head.isin(*subheadings) & _plain_head(head)
+            & ~one_of(head, subheadings) & _plain_head(head)
         )
 
-    open_end = (F.size("_hits") == 1) & F.col("_heading").isin(*headings) & F.col("_next").isNull()
+    open_end = (F.size("_hits") == 1) & one_of(F.col("_heading"), headings) & F.col("_next").isNull()
     context = F.struct(last_line(F.col("_body")).alias("last"), F.col("_first").alias("first"))
     return df.withColumn(
         "_unknown",
@@ -158,7 +158,7 @@ def base_code(headings=C.SECTION_HEADINGS) -> Column:
         F.when(F.coalesce(F.col("_signed"), F.lit("")) == "", -1)
         .when(F.size("_hits") > 1, 0)
         .when(F.size("_hits") == 0, 7)
-        .when(~F.col("_heading").isin(*headings), 6)
+        .when(~one_of(F.col("_heading"), headings), 6)
         .when(F.col("_next").isNotNull(), 1)
         .when(upper & ~F.col("_unknown"), 2)
         .when(upper, 3)

@@ -130,6 +130,11 @@ def count_tokens(col: Column) -> Column:
     return F.regexp_count(col, F.lit(r"\S+"))
 
 
+def one_of(col: Column, names) -> Column:
+    """Membership in a fixed list of one-line names, passed as one literal."""
+    return F.array_contains(F.split(F.lit("\n".join(names)), "\n"), col)
+
+
 def is_upper(col: Column) -> Column:
     """At least one cased character and no lower-cased one."""
     return (F.upper(col) == col) & (F.lower(col) != col)

@@ -122,7 +122,7 @@ def outcomes(closing: DataFrame, **options) -> DataFrame:
 
 def heading_index(heading: Column, headings=C.SECTION_HEADINGS) -> Column:
     """Zero-based place of a heading in the list."""
-    names = F.array(*[F.lit(h) for h in headings])
+    names = F.split(F.lit("\n".join(headings)), "\n")
     return (F.array_position(names, heading) - 1).cast("int")
 
 
