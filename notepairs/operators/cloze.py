@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from notepairs.functions.answers import (
     answers_for_training, answers_of, fill_masks, json_answers, listed_answers, mask_count,
 )
 from notepairs.functions.prompts import render, with_eos
+from notepairs.functions.text import let, settle
 from notepairs.operators.concepts import of_types
 
 
@@ -60,23 +63,31 @@ def mask_one(pairs: DataFrame, mentions: DataFrame, *, types=C.MASK_TYPES) -> Da
     )
 
 
-def _keep_longest(spans: Column) -> Column:
-    """Of overlapping spans keep the longest, then the leftmost."""
-    ranked = F.array_sort(
+def _spans(spans: Column, rank: Callable[[Column], Column]) -> Column:
+    """Spans in the order of a rank, then from left to right."""
+    return F.array_sort(
         F.transform(
             spans,
             lambda s: F.struct(
-                (s["start_at"] - s["end_at"]).alias("rank"), s["start_at"].alias("start_at"),
-                s["end_at"].alias("end_at"), s["source_value"].alias("source_value"),
+                rank(s).alias("rank"), s["start_at"].alias("start_at"), s["end_at"].alias("end_at"),
+                s["source_value"].alias("source_value"),
             ),
         )
     )
-    return F.aggregate(
-        ranked, F.filter(ranked, lambda _: F.lit(False)),
-        lambda kept, s: F.when(
-            F.exists(kept, lambda k: (k["start_at"] < s["end_at"]) & (s["start_at"] < k["end_at"])), kept
-        ).otherwise(F.concat(kept, F.array(s))),
-    )
+
+
+def _keep_longest(spans: Column) -> Column:
+    """Of overlapping spans keep the longest, then the leftmost."""
+
+    def pick(ranked: Column) -> Column:
+        return F.aggregate(
+            ranked, F.slice(ranked, 1, 0),
+            lambda kept, s: F.when(
+                F.exists(kept, lambda k: (k["start_at"] < s["end_at"]) & (s["start_at"] < k["end_at"])), kept
+            ).otherwise(F.concat(kept, F.array(s))),
+        )
+
+    return let(_spans(spans, lambda s: s["start_at"] - s["end_at"]), pick)
 
 
 def mask_all(
@@ -96,29 +107,21 @@ def mask_all(
         "spans",
         lambda s: F.substring(F.col("summary"), s["start_at"] + 1, s["end_at"] - s["start_at"]) == s["source_value"],
     )
-    joined = joined.withColumn("spans", intact)
-    if overlaps == "longest":
-        joined = joined.withColumn("spans", _keep_longest(F.col("spans")))
-    ordered = F.array_sort(
-        F.transform(
-            "spans",
-            lambda s: F.struct(
-                s["start_at"].alias("start_at"), s["end_at"].alias("end_at"), s["source_value"].alias("source_value")
-            ),
-        )
-    )
+    kept = _keep_longest(intact) if overlaps == "longest" else intact
+    joined = settle(joined.withColumn("spans", _spans(kept, lambda _: F.lit(0))), "spans")
     masked = F.aggregate(
-        F.reverse(ordered), F.col("summary"),
+        F.reverse("spans"), F.col("summary"),
         lambda text, s: F.concat(
             F.substring(text, F.lit(1), s["start_at"]), F.lit(C.MASK),
             F.substring(text, s["end_at"] + 1, F.length(text)),
         ),
     )
-    answers = F.array_join(F.transform(ordered, lambda s: s["source_value"]), C.WORD_SEP)
+    answers = F.array_join(F.transform("spans", lambda s: s["source_value"]), C.WORD_SEP)
     done = joined.select(
         "pair_id", "document", "summary", masked.alias("masked_summary"), answers.alias("answers")
     )
-    return done.filter(F.col("masked_summary") != F.col("summary")).drop("summary")
+    changed = settle(done, "masked_summary").filter(F.col("masked_summary") != F.col("summary"))
+    return changed.select("pair_id", "document", "masked_summary", "answers")
 
 
 def mask_checks(masks: DataFrame) -> DataFrame:
@@ -151,8 +154,8 @@ def refilled(masks: DataFrame, responses: DataFrame, *, form: str = "json") -> D
     joined = usable_masks(masks).join(responses.select("pair_id", "response"), "pair_id").withColumn(
         "originals", answers_of(F.col("answers"))
     )
-    parsed = joined.withColumn("filled", parse(F.col("response"), F.col("originals")))
-    return parsed.select(
+    parsed = joined.select("pair_id", "masked_summary", parse(F.col("response"), F.col("originals")).alias("filled"))
+    return settle(parsed, "filled").filter(F.col("filled").isNotNull()).select(
         "pair_id", "masked_summary", F.col("filled").alias("answers"),
         fill_masks(F.col("masked_summary"), F.col("filled")).alias("text"),
-    ).filter(F.col("answers").isNotNull())
+    )

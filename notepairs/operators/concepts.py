@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notepairs import constants as C
+from notepairs.functions.text import let, settle
 
 _SPANS = "starts array<int>, ends array<int>, tokens array<string>"
 
@@ -135,7 +136,7 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         F.floor(F.col("n") / F.lit(threshold) + 1e-9).cast("int"),
     )
     a = prefixed(lft).select("norm", "n", "prefix", F.explode("prefix").alias("g")).select(
-        F.col("norm").alias("left_norm"), F.col("prefix").alias("left_prefix"), "g", F.explode(sizes).alias("size")
+        F.col("norm").alias("left_norm"), F.col("prefix").alias("left_prefix"), "n", "g", F.explode(sizes).alias("size")
     )
     b = prefixed(r).select(
         F.col("norm").alias("right_norm"), F.col("prefix").alias("right_prefix"), F.col("n").alias("size"),
@@ -145,9 +146,9 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
         F.try_element_at(F.array_intersect("left_prefix", "right_prefix"), F.lit(1)) == F.col("g")
     )
     both = F.size(F.array_intersect(grams(F.col("left_norm")), grams(F.col("right_norm"))))
-    union = F.size(grams(F.col("left_norm"))) + F.col("size") - both
-    scored = met.select("left_norm", "right_norm", (both / union).alias("similarity"))
-    return scored.filter(F.col("similarity") >= F.lit(threshold) - 1e-12)
+    jaccard = let(both, lambda k: k / (F.col("n") + F.col("size") - k))
+    scored = met.select("left_norm", "right_norm", jaccard.alias("similarity"))
+    return settle(scored, "similarity").filter(F.col("similarity") >= F.lit(threshold) - 1e-12)
 
 
 def match_similar(

@@ -9,44 +9,47 @@ from pyspark.sql import functions as F
 
 from notepairs import constants as C
 from notepairs.functions.prompts import render, with_eos
-from notepairs.functions.text import count_tokens, let
+from notepairs.functions.text import count_tokens, let, settle
 from notepairs.operators.splits import within_budget
 
 # What opens and what closes a rejected summary in a response.
 OPENING, OPENING_LENGTH = "hallucinated summary", 30
-CLOSING = r"hallucinate|hallucination"
+CLOSING = ("hallucinate", "hallucination")
+
+
+def _first_at(items: Column, test: Callable[[Column], Column]) -> Column:
+    marked = F.transform(items, lambda x, i: F.when(test(x), i))
+    return F.try_element_at(F.filter(marked, lambda i: i.isNotNull()), F.lit(1))
+
+
+def _opens(line: Column) -> Column:
+    return (F.length(line) <= OPENING_LENGTH) & F.contains(F.lower(line), F.lit(OPENING))
+
+
+def _closes(line: Column) -> Column:
+    return let(F.lower(line), lambda low: F.contains(low, F.lit(CLOSING[0])) | F.contains(low, F.lit(CLOSING[1])))
 
 
 def rejected_summary(response: Column) -> Column:
     """Lines between the first short opening line and the next closing line."""
 
-    def between(lines: Column) -> Column:
-        opens = lambda x: F.contains(F.lower(x), F.lit(OPENING)) & (F.length(x) <= OPENING_LENGTH)
-        at = lambda xs, test: F.try_element_at(
-            F.filter(F.transform(xs, lambda x, i: F.when(test(x), i)), lambda i: i.isNotNull()), F.lit(1)
-        )
-        return let(
-            at(lines, opens),
-            lambda start: let(
-                F.slice(lines, start + 2, F.greatest(F.size(lines) - start - 1, F.lit(0))),
-                lambda rest: F.array_join(
-                    F.slice(
-                        rest, 1, F.coalesce(at(rest, lambda x: F.lower(x).rlike(CLOSING)), F.size(rest))
-                    ),
-                    "\n",
-                ),
-            ),
-        )
-
-    text = let(F.split(response, "\n"), between)
-    return F.coalesce(F.regexp_replace(text, r"\A\n++|(?<!\n)\n++\z", ""), F.lit(""))
+    def until_close(rest: Column) -> Column:
+        return F.array_join(F.slice(rest, 1, F.coalesce(_first_at(rest, _closes), F.size(rest))), "\n")
+
+    def after_open(lines: Column) -> Column:
+        def rest(start: Column) -> Column:
+            return F.slice(lines, start + 2, F.greatest(F.size(lines) - start - 1, F.lit(0)))
+
+        return let(let(_first_at(lines, _opens), rest), until_close)
+
+    text = let(F.split(response, "\n"), after_open)
+    return F.coalesce(F.trim(text, F.lit("\n")), F.lit(""))
 
 
 def rejected_summaries(responses: DataFrame, *, key: str = "pair_id", text: str = "response") -> DataFrame:
     """Responses that hold a rejected summary."""
-    return responses.select(key, rejected_summary(F.col(text)).alias("rejected_summary")).filter(
-        F.col("rejected_summary") != ""
-    )
+    found = responses.select(key, rejected_summary(F.col(text)).alias("rejected_summary"))
+    return settle(found, "rejected_summary").filter(F.col("rejected_summary") != "")
 
 
 def preference_triples(

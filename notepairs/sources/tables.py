@@ -59,11 +59,19 @@ def folder_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
-    """One text per file; the key is the file name up to its first dot."""
-    return spark.read.text(folder, wholetext=True).select(
-        F.split(F.col("_metadata.file_name"), r"\.").getItem(0).alias("pair_id"),
-        F.col("value").alias("text"),
+    """One text per file; the key is the file name up to its first dot.
+
+    A scan skips empty files, so their names are added from the listing the scan holds
+    anyway: an empty text is a result too.
+    """
+    key = lambda name: F.split(name, r"\.").getItem(0)
+    scan = spark.read.text(folder, wholetext=True)
+    texts = scan.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
+    listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "path string").select(
+        F.url_decode(F.substring_index("path", "/", -1)).alias("file")
     )
+    empty = listed.join(texts.select("file"), "file", "left_anti").select("file", F.lit("").alias("text"))
+    return texts.unionByName(empty).select(key(F.col("file")).alias("pair_id"), "text")
 
 
 def read_concept_names(spark: SparkSession, path: str) -> DataFrame:
