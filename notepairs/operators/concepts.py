@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Sequence
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from notepairs import constants as C
 from notepairs.functions.text import let, settle
 
+FREQUENT_GRAMS = 1 << 14  # how many gram counts a task holds at most
 _SPANS = "starts array<int>, ends array<int>, tokens array<string>"
 
 
@@ -109,36 +111,52 @@ def grams(norm: Column, n: int = 3) -> Column:
     return F.array_distinct(runs)
 
 
+def _frequent_grams(names: DataFrame) -> dict[str, int]:
+    """The most frequent grams with their counts; never more than a fixed number."""
+    counts = names.select(F.explode(grams(F.col("norm"))).alias("g")).groupBy("g").count()
+    top = counts.orderBy(F.desc("count"), "g").limit(FREQUENT_GRAMS).collect()
+    return {r["g"]: r["count"] for r in top}
+
+
+def _prefixes(norm: Column, threshold: float, frequent: dict[str, int]) -> Column:
+    """Size of the gram set and its first grams, rare ones first."""
+
+    @F.pandas_udf("n int, prefix array<string>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        sizes, heads = [], []
+        for t in texts:
+            gs = {t[i : i + 3] for i in range(max(len(t) - 2, 1))}
+            keep = len(gs) - math.ceil(threshold * len(gs) - 1e-9) + 1
+            sizes.append(len(gs))
+            heads.append(sorted(gs, key=lambda g: (frequent.get(g, 0), g))[:keep])
+        return pd.DataFrame({"n": sizes, "prefix": heads})
+
+    return run(norm)
+
+
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs of ``left.norm`` and ``right.norm`` whose gram sets have Jaccard >= threshold.
 
-    Exact set-similarity join. Grams are ordered from rare to frequent in ``right``; two
-    sets that reach the threshold share a gram in their first ``n - ceil(t * n) + 1`` ones
-    and have sizes within a factor ``t``. Joining on (gram, size) keeps frequent grams
-    apart, and a pair is only emitted at its first common prefix gram.
+    Exact set-similarity join. With grams in one order on both sides, two sets that reach
+    the threshold share a gram among their first ``n - ceil(t * n) + 1`` ones and have sizes
+    within a factor ``t``. The grams most frequent in ``right`` come last, so they seldom
+    get into a prefix; joining on (gram, size) splits what is left of them; and a pair is
+    only emitted at its first common prefix gram, so no duplicates are shuffled.
     """
-    r = right.select("norm").distinct().withColumn("gs", grams(F.col("norm")))
-    lft = left.select("norm").distinct().withColumn("gs", grams(F.col("norm")))
-    weight = r.select(F.explode("gs").alias("g")).groupBy("g").agg(F.count("*").alias("df"))
+    names = right.select("norm").distinct()
+    frequent = _frequent_grams(names)
 
     def prefixed(df: DataFrame) -> DataFrame:
-        ranked = (
-            df.select("norm", F.size("gs").alias("n"), F.explode("gs").alias("g"))
-            .join(weight, "g", "left")
-            .groupBy("norm", "n")
-            .agg(F.array_sort(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "g"))).alias("all"))
-        )
-        keep = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int") + 1
-        return ranked.select("norm", "n", F.slice(F.transform("all", lambda x: x["g"]), F.lit(1), keep).alias("prefix"))
+        return df.select("norm", _prefixes(F.col("norm"), threshold, frequent).alias("x")).select("norm", "x.*")
 
     sizes = F.sequence(
         F.greatest(F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int"), F.lit(1)),
         F.floor(F.col("n") / F.lit(threshold) + 1e-9).cast("int"),
     )
-    a = prefixed(lft).select("norm", "n", "prefix", F.explode("prefix").alias("g")).select(
+    a = prefixed(left.select("norm").distinct()).select("norm", "n", "prefix", F.explode("prefix").alias("g")).select(
         F.col("norm").alias("left_norm"), F.col("prefix").alias("left_prefix"), "n", "g", F.explode(sizes).alias("size")
     )
-    b = prefixed(r).select(
+    b = prefixed(names).select(
         F.col("norm").alias("right_norm"), F.col("prefix").alias("right_prefix"), F.col("n").alias("size"),
         F.explode("prefix").alias("g"),
     )
