@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,8 @@ from pyspark.sql import functions as F
 from notepairs import constants as C
 from notepairs.functions.text import let, settle
 
+SIEVE_FROM = 100_000  # names beyond which windows are sieved before they are shuffled
+SIEVE_BITS = 1 << 28  # 32 MB
 FREQUENT_GRAMS = 1 << 14  # how many gram counts a task holds at most
 _SPANS = "starts array<int>, ends array<int>, tokens array<string>"
 
@@ -80,18 +83,46 @@ def windows(texts: DataFrame, *, key: str = "pair_id", text: str = "text", longe
     return df.select(key, F.inline(F.flatten(F.array(*rows)))).toDF(key, "start_at", "end_at", "norm")
 
 
+def name_sieve(names: DataFrame, *, bits: int = SIEVE_BITS) -> Callable[[Column], Column]:
+    """Test that holds for every ``names.norm`` and for few other texts.
+
+    A bitmap with one bit per name, put together in Spark. Its size is fixed whatever the
+    number of names, so every task can hold it.
+    """
+    place = F.pmod(F.xxhash64("norm"), F.lit(bits))
+    words = names.select(place.alias("b")).groupBy(F.expr("CAST(b DIV 64 AS INT)").alias("w")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(b % 64 AS INT)))").alias("v")
+    ).toPandas()
+    bitmap = np.zeros(bits // 64, dtype="int64")
+    bitmap[words["w"].to_numpy()] = words["v"].to_numpy()
+    shared = names.sparkSession.sparkContext.broadcast(bitmap)
+
+    @F.pandas_udf("boolean")
+    def probe(places: pd.Series) -> pd.Series:
+        b = places.to_numpy()
+        return pd.Series((shared.value[b >> 6] >> (b & 63)) & 1 == 1)
+
+    return lambda norm: probe(F.pmod(F.xxhash64(norm), F.lit(bits)))
+
+
 def match_exact(
     texts: DataFrame, concepts: DataFrame, *, key: str = "pair_id", text: str = "text",
-    types: Sequence[str] | None = None, longest: int = C.MAX_WINDOW,
+    types: Sequence[str] | None = None, longest: int = C.MAX_WINDOW, sieve: bool | None = None,
 ) -> DataFrame:
     """Mentions whose words equal a concept name.
 
-    The dictionary is joined by name; the planner sends it to every task only when it
-    has seen that it is small.
+    The dictionary is joined by name. The planner sends it to every task only when it has
+    seen that it is small; with more than ``SIEVE_FROM`` names, windows that cannot be a
+    name are dropped before the shuffle (``sieve`` overrides the choice).
     """
     gated = of_types(concepts, types) if types else concepts
     entries = gated.withColumn("norm", normal_name(F.col("name")))
-    found = windows(texts, key=key, text=text, longest=longest).join(entries, "norm")
+    runs = windows(texts, key=key, text=text, longest=longest)
+    if sieve is None:
+        sieve = concepts.limit(SIEVE_FROM + 1).count() > SIEVE_FROM
+    if sieve:
+        runs = runs.filter(name_sieve(entries)(F.col("norm")))
+    found = runs.join(entries, "norm")
     return found.select(key, "start_at", "end_at", "cui", F.col("name").alias("detected_name"), "type_ids")
 
 

@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from notepairs.operators.splits import split_manifest, split_pairs
 
 
-def write_by_subject(df: DataFrame, path: str, *, key: str = "subject_id", files: int | None = None) -> None:
-    """One shuffle: rows of a subject lie together, sorted, in one file among many."""
-    spread = df.repartition(files, key) if files else df.repartition(key)
-    spread.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+def write_by_subject(df: DataFrame, path: str, *, key: str = "subject_id") -> None:
+    """One shuffle: rows of a subject lie together and sorted; only a hot subject is split."""
+    df.hint("rebalance", key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, *, key: str = "subject_id") -> None:
@@ -22,8 +21,11 @@ def write_bucketed(df: DataFrame, table: str, buckets: int, *, key: str = "subje
 
 
 def write_pairs(pairs: DataFrame, path: str) -> None:
-    """Pairs by outcome code and heading index."""
-    pairs.write.mode("overwrite").partitionBy("code", "heading_idx").parquet(path)
+    """Pairs by outcome code and heading index.
+
+    Rebalanced first: few files per folder, and a folder with most of the rows gets many tasks.
+    """
+    pairs.hint("rebalance", "code", "heading_idx").write.mode("overwrite").partitionBy("code", "heading_idx").parquet(path)
 
 
 def read_pairs(spark: SparkSession, path: str) -> DataFrame:
@@ -33,7 +35,7 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
 
 def write_outcomes(outcomes: DataFrame, path: str) -> None:
     """Ids (and word counts, where a pair was stored) per outcome code, one JSON line each."""
-    outcomes.write.mode("overwrite").partitionBy("code").json(path)
+    outcomes.hint("rebalance", "code").write.mode("overwrite").partitionBy("code").json(path)
 
 
 def export_texts(df: DataFrame, folder: str, *, key: str = "pair_id", text: str = "text") -> None:

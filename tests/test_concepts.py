@@ -33,6 +33,21 @@ def test_exact(spark, concepts):
     assert {r.cui for r in typed.collect()} == {"C5", "C6"}
 
 
+def test_sieve_changes_nothing(spark, concepts, monkeypatch):
+    df = texts_of(spark, "Acute heart-failure; fièvre, ASPIRIN x", "", "none here", "heart " * 50)
+    rows = lambda m: sorted(map(tuple, m.select("pair_id", "start_at", "end_at", "cui").collect()))
+    plain = rows(K.match_exact(df, concepts, sieve=False))
+    assert rows(K.match_exact(df, concepts, sieve=True)) == plain and len(plain) == 56
+    norms = concepts.select(K.normal_name(F.col("name")).alias("norm"))
+    for bits in (64, 1 << 12):
+        test = K.name_sieve(norms, bits=bits)
+        assert norms.filter(~test(F.col("norm"))).count() == 0
+    others = spark.range(2000).select(F.concat(F.lit("w"), "id").alias("norm"))
+    assert others.filter(K.name_sieve(norms, bits=1 << 12)(F.col("norm"))).count() < 50
+    monkeypatch.setattr(K, "SIEVE_FROM", 3)
+    assert rows(K.match_exact(df, concepts)) == plain
+
+
 def grams(s):
     return {s[i : i + 3] for i in range(max(len(s) - 2, 1))}
 

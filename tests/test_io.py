@@ -63,7 +63,7 @@ def test_pair_and_outcome_sinks(spark, tmp_path):
 def test_subject_layout(spark, tmp_path):
     df = spark.range(1000).select((F.col("id") % 37).alias("subject_id"), "id")
     path = str(tmp_path / "by_subject")
-    sinks.write_by_subject(df, path, files=4)
+    sinks.write_by_subject(df, path)
     files = spark.read.parquet(path).select("subject_id", F.col("_metadata.file_name").alias("f")).distinct()
     assert files.groupBy("subject_id").count().filter("count > 1").count() == 0
     spark.sql("DROP TABLE IF EXISTS layout_test")
