@@ -173,8 +173,8 @@ def _windows(name: str, source: str, longest: int) -> str:
     return f"""
 {name}_a AS (SELECT id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS toks, regexp_split_to_array(text, '[\\p{{L}}\\p{{N}}]+') AS gaps FROM {source}),
 {name}_b AS (SELECT id, unnest(toks) AS tok, unnest(gaps[:len(toks)]) AS gap, generate_subscripts(toks, 1) AS i FROM {name}_a),
-{name}_c AS (SELECT id, i, tok, sum(length(gap) + length(tok)) OVER (PARTITION BY id ORDER BY i) AS e FROM {name}_b),
-{name}_d AS (SELECT id, e - length(tok) AS s, [{', '.join(ends)}] AS es, [{', '.join(runs)}] AS ns FROM {name}_c WINDOW w AS (PARTITION BY id ORDER BY i)),
+{name}_c AS (SELECT id, i, tok, CAST(sum(length(gap) + length(tok)) OVER (PARTITION BY id ORDER BY i) AS INTEGER) AS e FROM {name}_b),
+{name}_d AS (SELECT id, CAST(e - length(tok) AS INTEGER) AS s, [{', '.join(ends)}] AS es, [{', '.join(runs)}] AS ns FROM {name}_c WINDOW w AS (PARTITION BY id ORDER BY i)),
 {name} AS (SELECT * FROM (SELECT id, s AS start_at, unnest(es) AS end_at, unnest(ns) AS norm FROM {name}_d) AS x WHERE norm IS NOT NULL)"""
 
 
@@ -261,15 +261,15 @@ evals AS (SELECT p.pair_id, p.summary AS reference, c.candidate FROM fx_pairs AS
 {_concept_counts('evals')} SELECT pair_id, round(precision, 6) AS precision, round(recall, 6) AS recall FROM concept_prf""",
     "mentions_typed": f"{_HEAD}, {_MENTIONS} SELECT pair_id, start_at, end_at, cui FROM typed",
     "parse_type_ids": f"""{with_views('fx_type_texts')}, p AS (SELECT doc_id, string_split(trim(trim(type_ids, '"'), '[]'), ', ') AS items FROM fx_type_texts)
-SELECT doc_id, len([x for x in items if x <> '']) AS n, array_to_string([trim(x, '''') for x in items], '|') AS parsed FROM p""",
+SELECT doc_id, CAST(len([x for x in items if x <> '']) AS INTEGER) AS n, array_to_string([trim(x, '''') for x in items], '|') AS parsed FROM p""",
     "mask_one": f"""{_HEAD}, {_MENTIONS} SELECT concat_ws('_', t.pair_id, start_at, end_at) AS mention_id,
 substr(summary, 1, CAST(start_at AS BIGINT)) || 'MASK' || substr(summary, CAST(end_at AS BIGINT) + 1) AS masked_summary, source_value AS answer, detected_name,
 array_to_string(type_ids, ',') AS type_ids FROM typed AS t JOIN fx_pairs AS p ON t.pair_id = p.pair_id""",
     "mask_all": f"{_MASKS} SELECT pair_id, document, masked_summary, answers FROM masks",
     "mention_integrity": f"""{_HEAD}, {_MENTIONS} SELECT pair_id, start_at, end_at, upper(source_value) AS source_value, source_value AS found FROM mentions
 WHERE start_at % 10 = 1 AND upper(source_value) <> source_value""",
-    "mask_count_check": f"""{_HEAD_R}, {_MENTIONS}, {_RAW} SELECT f.pair_id, text AS masked_summary, len(string_split(text, 'MASK')) - 1 AS n_masks,
-len(ordered) AS n_answers FROM fold AS f JOIN spans AS s ON f.pair_id = s.pair_id WHERE len(f.todo) = 0""",
+    "mask_count_check": f"""{_HEAD_R}, {_MENTIONS}, {_RAW} SELECT f.pair_id, text AS masked_summary, CAST(len(string_split(text, 'MASK')) - 1 AS INTEGER) AS n_masks,
+CAST(len(ordered) AS INTEGER) AS n_answers FROM fold AS f JOIN spans AS s ON f.pair_id = s.pair_id WHERE len(f.todo) = 0""",
     "summary_override": f"""{with_views('fx_pairs', 'fx_candidates')} SELECT p.pair_id, document, coalesce(candidate, summary) AS summary
 FROM fx_pairs AS p LEFT JOIN fx_candidates AS c ON p.pair_id = c.pair_id""",
     "coverage_check": f"""{_HEAD}, {_MENTIONS} SELECT pair_id, 'extraction' AS missing FROM fx_pairs AS p WHERE NOT EXISTS (

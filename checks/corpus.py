@@ -117,8 +117,8 @@ def strip_signatures(spark, sf_dir):
 def heading_hits(spark, sf_dir):
     found = with_headings(closing(spark, sf_dir).select("pair_id", "text"))
     return found.select(
-        "pair_id", F.size("_hits").alias("n_hits"), F.col("_heading").alias("first_heading"),
-        (F.try_element_at("_heads", F.col("_next") + 1)).alias("next_heading"),
+        "pair_id", F.size("_hits").alias("n_hits"), F.coalesce("_heading", F.lit("")).alias("first_heading"),
+        F.coalesce(F.try_element_at("_heads", F.col("_next") + 1), F.lit("")).alias("next_heading"),
     )
 
 
@@ -150,7 +150,8 @@ def outcome_ids(spark, sf_dir):
     closed = N.admission_notes(closing(spark, sf_dir), admissions(spark, sf_dir))
     table = stage(N.outcomes(closed))
     words = N.build_pairs(table, notes(spark, sf_dir)).select("pair_id", "document_words", "summary_words")
-    return table.select("pair_id", "code").join(words, "pair_id", "left")
+    listed = table.select("pair_id", "code").join(words, "pair_id", "left")
+    return listed.na.fill(0, ["document_words", "summary_words"])
 
 
 def pairs_by_code_heading(spark, sf_dir):
@@ -321,7 +322,7 @@ found_section AS (SELECT b.id, starts_with(clean, lower(found)) AS good,
   trim(substr(clean, instr(clean, ':') + 1), ' ' || chr(10)) AS summary FROM base AS b JOIN sliced AS s ON b.id = s.id),
 graded AS (SELECT b.pair_id, subject_id, hadm_id, b.id, anchor,
   CASE WHEN base_code NOT IN (1, 2, 4) THEN base_code WHEN NOT good THEN -1 WHEN len(string_split(f.summary, ' ')) <= 30 THEN 9 ELSE base_code END AS code,
-  found, f.summary AS section, len(string_split(f.summary, ' ')) AS section_words, n_hits, next_heading, unknown, base_code, description
+  found, f.summary AS section, CAST(len(string_split(f.summary, ' ')) AS INTEGER) AS section_words, n_hits, next_heading, unknown, base_code, description
   FROM base AS b LEFT JOIN found_section AS f ON b.id = f.id)"""
 
 _OTHERS = f"""
@@ -341,7 +342,7 @@ docs AS (SELECT pair_id, string_agg(block, ' [DOC_SEP] ' ORDER BY time, row_id)
 _HEADING_LIST = "[" + ", ".join(f"'{h}'" for h in C.SECTION_HEADINGS) + "]"
 _PAIRS = f"""
 pairs AS (SELECT g.pair_id, g.code, found AS heading, CAST(list_position({_HEADING_LIST}, found) - 1 AS INT) AS heading_idx,
-  coalesce(document, '') AS document, section AS summary, len(string_split(coalesce(document, ''), ' ')) AS document_words,
+  coalesce(document, '') AS document, section AS summary, CAST(len(string_split(coalesce(document, ''), ' ')) AS INTEGER) AS document_words,
   section_words AS summary_words FROM graded AS g JOIN fx_admissions AS a ON g.subject_id = a.subject_id AND g.hadm_id = a.hadm_id
   LEFT JOIN docs AS d ON g.pair_id = d.pair_id WHERE code IN (1, 2, 4))"""
 
@@ -382,7 +383,7 @@ WHERE NOT EXISTS (SELECT 1 FROM fx_files AS f WHERE f.delivery = d.delivery AND
     "patient_layout": f"""{_FROM_NOTES} SELECT subject_id, 1 AS n, 'patients' AS table_name FROM fx_notes GROUP BY subject_id
 UNION ALL SELECT subject_id, count(*), 'admissions' FROM fx_admissions GROUP BY subject_id
 UNION ALL SELECT subject_id, count(*), 'noteevents' FROM fx_notes GROUP BY subject_id""",
-    "discharge_notes": f"{with_views('fx_notes')}, {_CLOSING} SELECT pair_id, id AS row_id, length(text) AS n_chars FROM closing",
+    "discharge_notes": f"{with_views('fx_notes')}, {_CLOSING} SELECT pair_id, id AS row_id, CAST(length(text) AS INTEGER) AS n_chars FROM closing",
     "anchor_time": f"{with_views('fx_notes')}, {_CLOSING} SELECT pair_id, strftime(anchor, '%Y-%m-%d %H:%M:%S') AS anchor FROM closing",
     "clean_notes": f"""{with_views("fx_notes")}, src AS (SELECT row_id AS id, text FROM fx_notes), {clean_sql("done", "src")}
 SELECT id AS row_id, clean AS cleaned FROM done""",
@@ -396,14 +397,14 @@ SELECT pair_id, row_id, row_number() OVER (PARTITION BY pair_id ORDER BY time, r
     "strip_signature": f"""{with_views('fx_notes')}, {_SECTIONS}, j AS (SELECT id, string_agg(raw, chr(10) ORDER BY i) AS stripped FROM body GROUP BY id)
 SELECT pair_id, coalesce(stripped, '') AS stripped FROM closing LEFT JOIN j USING (id)""",
     "heading_hits": f"""{with_views('fx_notes')}, {_SECTIONS}
-SELECT pair_id, coalesce(n_hits, 0) AS n_hits, found AS first_heading, next_heading FROM graded""",
+SELECT pair_id, CAST(coalesce(n_hits, 0) AS INTEGER) AS n_hits, coalesce(found, '') AS first_heading, coalesce(next_heading, '') AS next_heading FROM graded""",
     "unknown_heads": f"""{with_views('fx_notes')}, {_SECTIONS}
 SELECT pair_id, CAST(unknown AS INT) AS unknown FROM graded WHERE n_hits = 1 AND found IN {_IN(C.SECTION_HEADINGS)} AND next_heading IS NULL""",
     "outcome_codes": f"{with_views('fx_notes')}, {_SECTIONS} SELECT pair_id, code FROM graded",
     "sections": f"""{with_views('fx_notes')}, {_SECTIONS}
 SELECT pair_id, found AS heading, section AS summary, section_words AS summary_words FROM graded WHERE code IN (1, 2, 4)""",
     "outcome_counts": f"{with_views('fx_notes')}, {_SECTIONS} SELECT code, count(*) AS n FROM graded GROUP BY code",
-    "outcome_ids": f"""{_WITH_PAIRS} SELECT g.pair_id, g.code, document_words, summary_words FROM graded AS g
+    "outcome_ids": f"""{_WITH_PAIRS} SELECT g.pair_id, g.code, coalesce(document_words, 0) AS document_words, coalesce(summary_words, 0) AS summary_words FROM graded AS g
 JOIN fx_admissions AS a ON g.subject_id = a.subject_id AND g.hadm_id = a.hadm_id LEFT JOIN pairs AS p ON g.pair_id = p.pair_id""",
     "pairs_by_code_heading": f"""{with_views('fx_notes')}, {_SECTIONS}
 SELECT code, CAST(list_position({_HEADING_LIST}, found) - 1 AS INT) AS heading_idx, count(*) AS n FROM graded WHERE code IN (1, 2, 4) GROUP BY ALL""",
