@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+PARTITION_BYTES = 128 << 20
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -14,16 +15,21 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Let a join on more keys reuse a partitioning on fewer of them.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # Prompts can be tens of thousands of tokens long: keep Arrow batches small.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     "spark.sql.session.timeZone": "UTC",
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings the operators are designed for."""
+def tune(spark: SparkSession, *, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings the operators are designed for.
+
+    ``shuffle_bytes``, the largest amount one shuffle moves, sets how many partitions
+    shuffles start with; adaptive execution merges the small ones.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    if shuffle_bytes:
+        start = max(int(spark.conf.get("spark.sql.shuffle.partitions")), shuffle_bytes // PARTITION_BYTES + 1)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(start))
     return spark
 
 

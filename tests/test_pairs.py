@@ -103,3 +103,26 @@ def test_documents_need_no_shuffle_after_the_join(spark, notes):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("hashpartitioning") == 2, plan
+
+
+def test_pairs_shuffle_note_texts_once(spark, notes):
+    graded = stage(N.outcomes(N.discharge_notes(notes)))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = N.build_pairs(graded, notes)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # closing notes twice (keys, then sections), note blocks once
+    assert plan.count("Exchange hashpartitioning") == 3, plan
+
+
+def test_shuffle_partitions_follow_the_input(spark):
+    from notepairs.session import tune
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        tune(spark, shuffle_bytes=100 << 40)
+        assert int(spark.conf.get(key)) == (100 << 40) // (128 << 20) + 1
+    finally:
+        spark.conf.unset(key)
