@@ -11,7 +11,7 @@ from notepairs import constants as C
 from notepairs.functions.answers import answers_of, json_answers, listed_answers, parse_list
 from notepairs.operators import cloze
 from notepairs.operators import concepts as K
-from notepairs.session import tune
+from notepairs.session import stage, tune
 
 LOOSE = 0.6
 
@@ -131,7 +131,7 @@ def cloze_train_text(spark, sf_dir):
 
 
 def _parsed(spark, sf_dir, form, parse):
-    m = masks(spark, sf_dir)
+    m = stage(masks(spark, sf_dir))
     joined = m.join(_responses(m, form), "pair_id")
     parsed = joined.select("pair_id", parse(F.col("response"), answers_of(F.col("answers"))).alias("a"))
     return parsed.select("pair_id", F.array_join("a", "|").alias("parsed")).filter(F.col("parsed").isNotNull())
@@ -147,7 +147,7 @@ def answers_csv(spark, sf_dir):
 
 def fill(form):
     def run(spark, sf_dir):
-        m = masks(spark, sf_dir)
+        m = stage(masks(spark, sf_dir))
         return cloze.refilled(m, _responses(m, form), form=form).select("pair_id", "text")
 
     return run

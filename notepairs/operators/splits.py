@@ -18,15 +18,19 @@ def shuffle_key(key: Column, seed: str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def cut_key(df: DataFrame, key: str, seed: str, fraction: float) -> tuple[int, str]:
+def cut_key(
+    df: DataFrame, key: str, seed: str, fraction: float, *, where: Column | None = None
+) -> tuple[int, str]:
     """Row count and the largest shuffle key among the first ``int(n * fraction)`` rows.
 
     Counts per key prefix find the one prefix the cut falls into; only that prefix,
-    one row in 65,536, is then put in order. Keys are unique by contract.
+    one row in 65,536, is then put in order, and only there ``where`` is tested again.
+    Keys are unique by contract.
     """
-    keyed = df.select(shuffle_key(F.col(key), seed).alias("h"))
-    prefix = F.substring("h", 1, _PREFIX)
-    counts = keyed.groupBy(prefix.alias("p")).count().collect()
+    where = F.lit(True) if where is None else where
+    h = shuffle_key(F.col(key), seed)
+    prefix = F.substring(h, 1, _PREFIX)
+    counts = df.filter(where).groupBy(prefix.alias("p")).count().collect()
     total = sum(r["count"] for r in counts)
     wanted = int(total * fraction)
     if wanted == 0:
@@ -36,13 +40,13 @@ def cut_key(df: DataFrame, key: str, seed: str, fraction: float) -> tuple[int, s
         if seen + n >= wanted:
             break
         seen += n
-    last = keyed.filter(prefix == p).orderBy("h").offset(wanted - seen - 1).limit(1).first()
-    return total, last["h"]
+    near = df.filter(prefix == p).filter(where).select(h.alias("h"))
+    return total, near.orderBy("h").offset(wanted - seen - 1).limit(1).first()["h"]
 
 
-def first_part(df: DataFrame, key: str, seed: str, fraction: float) -> Column:
+def first_part(df: DataFrame, key: str, seed: str, fraction: float, *, where: Column | None = None) -> Column:
     """Condition that holds for exactly ``int(n * fraction)`` rows, picked at random by seed."""
-    _, cut = cut_key(df, key, seed, fraction)
+    _, cut = cut_key(df, key, seed, fraction, where=where)
     return shuffle_key(F.col(key), seed) <= F.lit(cut)
 
 
@@ -52,13 +56,18 @@ def within_budget(
     return counter(text) + F.lit(pad) < F.lit(max_tokens)
 
 
-def length_gate(
-    pairs: DataFrame, max_tokens: int, *, template: str = C.SUMMARY_TEMPLATE, eos: str = "",
-    pad: int = C.SAFE_TOKEN_PAD, counter: Callable[[Column], Column] = count_tokens,
-) -> DataFrame:
-    """Pairs whose filled training prompt stays below the budget, padding included."""
+def fits(
+    max_tokens: int, *, template: str = C.SUMMARY_TEMPLATE, eos: str = "", pad: int = C.SAFE_TOKEN_PAD,
+    counter: Callable[[Column], Column] = count_tokens,
+) -> Column:
+    """The filled training prompt of a pair stays below the budget, padding included."""
     text = F.concat(render(template, F.col("document"), F.col("summary")), F.lit(eos))
-    return pairs.filter(within_budget(text, max_tokens, pad=pad, counter=counter))
+    return within_budget(text, max_tokens, pad=pad, counter=counter)
+
+
+def length_gate(pairs: DataFrame, max_tokens: int, **gate) -> DataFrame:
+    """Pairs that fit the budget; options as for ``fits``."""
+    return pairs.filter(fits(max_tokens, **gate))
 
 
 def split_pairs(
@@ -72,8 +81,9 @@ def split_pairs(
     if abs(sum(ratio) - 1) > 1e-9:
         raise ValueError("the ratio must add up to 1")
     learn = first_part(pairs, "pair_id", f"{seed}:test", learn_fraction)
-    safe = length_gate(pairs.filter(learn), max_tokens, **gate)
-    train = first_part(safe, "pair_id", f"{seed}:val", ratio[0])
+    kept = learn & fits(max_tokens, **gate)
+    train = first_part(pairs, "pair_id", f"{seed}:val", ratio[0], where=kept)
+    safe = pairs.filter(kept)
     return safe.withColumn("split", F.when(train, "train").otherwise("val")).unionByName(
         pairs.filter(~learn).withColumn("split", F.lit("test"))
     )
