@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,33 +32,54 @@ def tune(spark: SparkSession, *, shuffle_bytes: int | None = None) -> SparkSessi
     return spark
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer planned tasks than the cluster has cores one task per core.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Meant for scans of a few small or unsplittable files; a scan with enough tasks is
-    returned as it is, so large inputs are never shuffled for this.
+    Where none is named, a session on one machine gets a folder beside its warehouse;
+    a cluster gets an error, since no folder can be invented that all machines share.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, named by the session; local only where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = tempfile.mkdtemp(prefix="notepairs-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "-stages"
     return folder.rstrip("/")
 
 
+_staged: set[str] = set()
+
+
 def stage(df: DataFrame, *, folder: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     Used where several jobs read one costly result: the table survives lost
-    executors, and readers still prune columns and push filters down.
+    executors, and readers still prune columns and push filters down. ``clear``
+    removes one such table, ``clear_all`` every table that this process wrote.
     """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/stage-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.parquet(path)
+    _staged.add(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    _staged.discard(path)
+
+
+def clear(df: DataFrame) -> None:
+    """Remove the table that ``stage`` returned as ``df``; nothing may read it afterwards."""
+    files = df.inputFiles()[:1]
+    for path in [p for p in _staged if files and p.rsplit("/", 1)[1] == files[0].rsplit("/", 2)[1]]:
+        _remove(df.sparkSession, path)
+
+
+def clear_all(spark: SparkSession) -> None:
+    """Remove every table staged by this process; results that read them must be stored before."""
+    for path in list(_staged):
+        _remove(spark, path)
