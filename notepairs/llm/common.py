@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def record_batches(columns: dict[str, list | pa.Array], schema: pa.Schema) -> pa
 def by_bytes(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
     """Cuts of a batch whose texts hold about ``limit`` bytes, or one row each beyond that."""
     start, size = 0, 0
-    lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
     for i, n in enumerate(lengths):
         if i > start and size + n > limit:
             yield batch.slice(start, i - start)

@@ -155,7 +155,8 @@ def _same_bytes(pairs: DataFrame, docs: DataFrame, id_column: str, text_column:
         "digest", F.col("row.doc_id").alias("want_id"), F.col("row.row_key").alias("want_key")
     )
     rows = rows_of(docs, id_column, text_column)
-    texts = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["want_id"]) & (rows["row_key"] == wanted["want_key"]))
+    # The number of pairs grows with the input, so the join is one that does not depend on it.
+    texts = rows.join(wanted.hint("merge"), rows["doc_id"].eqNullSafe(wanted["want_id"]) & (rows["row_key"] == wanted["want_key"]))
     bare = texts.select("digest", without_whitespace(F.col("text")).cast("binary").alias("bare"))
     return bare.groupBy("digest").agg(F.min("bare").alias("a"), F.max("bare").alias("b")).where("a = b").select("digest")
 

@@ -1,10 +1,10 @@
-"""Queries of the corpus operators over the test tables, and their SQL."""
+"""Queries of the corpus operators over the test tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import exact, simhash
+from notepairs.llm import exact, oracles, quality, simhash
 
 
 def documents(spark, sf_dir):
@@ -23,15 +23,17 @@ def op9_exact_dedup(spark, sf_dir):
     )
 
 
+def op10_quality_rules(spark, sf_dir):
+    return quality.line_quality(documents(spark, sf_dir)).drop("surviving_words", "cleaned")
+
+
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_quality_rules": op10_quality_rules,
 }
 
 SQL = {
-    "op9_exact_dedup": r"""
-WITH t AS (SELECT doc_id, length(coalesce(text, '')) AS n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS bare FROM documents)
-SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY bare) AS group_size,
-  row_number() OVER g = 1 AS kept, sha256(bare) AS text_sha256
-FROM t WINDOW g AS (PARTITION BY bare ORDER BY n DESC, doc_id)""",
+    "op9_exact_dedup": oracles.EXACT_DEDUP,
+    "op10_quality_rules": oracles.QUALITY_RULES,
 }
