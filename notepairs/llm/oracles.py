@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notepairs.llm import quality
+from notepairs.llm import mixing, quality
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -45,3 +45,24 @@ b AS (SELECT doc_id, len(words) AS n_words, length(array_to_string(words, '')) A
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {_FAILED} AS base_failed,
   NOT {_FAILED} AND 100 * surviving >= {quality.MIN_SURVIVING} * n_words AS kept
 FROM b"""
+
+MIXING = rf"""
+WITH d AS (SELECT doc_id, coalesce('=' || source, '') AS part, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS size FROM documents),
+s AS (SELECT part, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY (part = ''), part) - 1 AS rank FROM d GROUP BY part),
+w AS (SELECT *, list_extract({list(mixing.WEIGHTS)}, (rank % {len(mixing.WEIGHTS)} + 1)::INT) AS weight,
+  list_extract({list(mixing.RISE)}, (rank % {len(mixing.RISE)} + 1)::INT)::DOUBLE AS rise FROM s),
+o AS (SELECT *, (sum(source_size) OVER () - {mixing.MAX_EPOCHS} * coalesce(sum(source_size) OVER (g ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE AS rest,
+  (sum(weight) OVER (g ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS weights
+  FROM w WINDOW g AS (ORDER BY source_size / weight, part)),
+lv AS (SELECT *, rest * weight / weights > {mixing.MAX_EPOCHS} * source_size AS capped FROM o),
+f AS (SELECT rest, weights FROM lv WHERE NOT capped ORDER BY source_size / weight, part LIMIT 1),
+t AS (SELECT lv.*, CASE WHEN capped THEN ({mixing.MAX_EPOCHS} * source_size)::DOUBLE ELSE f.rest * weight / f.weights END AS target FROM lv, f),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rise,
+  coalesce(sum(d.size) OVER (PARTITION BY d.part ORDER BY md5(d.doc_id::VARCHAR), d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before
+  FROM d JOIN t USING (part)),
+e AS (SELECT *, CASE WHEN size = 0 THEN 0 ELSE least(floor(target / source_size)
+    + (before + size / 2.0::DOUBLE <= target - floor(target / source_size) * source_size)::INT, {mixing.MAX_EPOCHS}) END::BIGINT AS epochs,
+  coalesce(least(1.0, before::DOUBLE / nullif(target, 0)), 0.0) AS share FROM p)
+SELECT doc_id, size, source_size, target, epochs * size AS taken,
+  CASE WHEN rise = 1 THEN share ELSE least(1.0, (sqrt(rise * rise + 4 * (1 - rise) * share) - rise) / (2 * (1 - rise))) END AS position
+FROM e"""

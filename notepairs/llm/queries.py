@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import exact, oracles, quality, simhash
+from notepairs.llm import exact, mixing, oracles, quality, simhash
 
 
 def documents(spark, sf_dir):
@@ -17,6 +17,11 @@ def op2_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def op7_mixing(spark, sf_dir):
+    plan = mixing.mixture(documents(spark, sf_dir)).orderBy("position", "doc_id")
+    return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact.exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
@@ -29,11 +34,13 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op7_mixing": op7_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
 
 SQL = {
+    "op7_mixing": oracles.MIXING,
     "op9_exact_dedup": oracles.EXACT_DEDUP,
     "op10_quality_rules": oracles.QUALITY_RULES,
 }
