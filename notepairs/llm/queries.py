@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import exact, mixing, oracles, quality, simhash
+from notepairs.llm import bpe, exact, mixing, oracles, quality, simhash
 
 
 def documents(spark, sf_dir):
@@ -22,6 +22,17 @@ def op7_mixing(spark, sf_dir):
     return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
+def bpe_digests(docs):
+    """Token counts and digests of the ids and of the decoded bytes of every document."""
+    return bpe.decode(bpe.encode(docs)).select(
+        "doc_id", bpe.n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+def op8_byte_bpe(spark, sf_dir):
+    return bpe_digests(documents(spark, sf_dir))
+
+
 def op9_exact_dedup(spark, sf_dir):
     return exact.exact_groups(documents(spark, sf_dir)).select(
         "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")
@@ -35,6 +46,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op7_mixing": op7_mixing,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
 }
