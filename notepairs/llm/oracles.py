@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notepairs.llm import mixing, quality
+from notepairs.llm import mixing, ownership, quality
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -66,3 +66,30 @@ e AS (SELECT *, CASE WHEN size = 0 THEN 0 ELSE least(floor(target / source_size)
 SELECT doc_id, size, source_size, target, epochs * size AS taken,
   CASE WHEN rise = 1 THEN share ELSE least(1.0, (sqrt(rise * rise + 4 * (1 - rise) * share) - rise) / (2 * (1 - rise))) END AS position
 FROM e"""
+
+_PATTERNS = {
+    "assign": ownership.ASSIGN, "access": ownership.ACCESS, "hex": ownership.HEX, "bare": f"{ownership.RUN}{{{ownership.BARE_CHARS},}}",
+}
+_MATCHES = "\nUNION ALL ".join(
+    f"SELECT r, repo, owner, {i} AS kind, unnest(regexp_extract_all(text, {_quoted(p)})) AS m,"
+    f" unnest(regexp_extract_all(text, {_quoted(p)}, {2 if k == 'assign' else 0})) AS v, unnest(list_slice(string_split_regex(text, {_quoted(p)}), 1, -2)) AS gap,"
+    f" generate_subscripts(regexp_extract_all(text, {_quoted(p)}), 1) AS i FROM t"
+    for i, (k, p) in enumerate(_PATTERNS.items())
+)
+
+SECRETS = rf"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, source || '/' || lang AS repo, source AS owner, coalesce(text, '') AS text FROM documents),
+m AS ({_MATCHES}),
+p AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY i)::BIGINT AS e FROM m),
+h AS (SELECT r, owner, kind, e - length(m) AS s, e, v FROM p WHERE (kind > 0 OR length(v) >= {ownership.ASSIGN_CHARS})
+  AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')))),
+n AS (SELECT v, count(DISTINCT coalesce('=' || owner, '')) > {ownership.MAX_OWNERS} AS example, length(v) >= {ownership.BARE_CHARS}
+  AND len(regexp_extract_all(v, '[0-9]')) >= {ownership.LIVE_DIGITS} AND len(regexp_extract_all(v, '[A-Za-z]')) >= {ownership.LIVE_LETTERS}
+  AND len(list_distinct(string_split(v, ''))) >= {ownership.LIVE_DIFFERENT} AS live FROM h GROUP BY v),
+k AS (SELECT h.*, example, live FROM h JOIN n USING (v) WHERE kind < 3 OR (live AND NOT example
+  AND NOT EXISTS (SELECT 1 FROM h AS b WHERE b.r = h.r AND b.kind < 3 AND b.s < h.e AND b.e > h.s))),
+x AS (SELECT *, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || s || ':' || e AS label FROM k)
+SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+  sha256(coalesce(string_agg(label, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(label, ',' ORDER BY s, kind), '') AS spans,
+  count(*) FILTER (kind = 3) AS n_owned, count(*) FILTER (kind < 3 AND live AND NOT example) AS n_live, count(*) FILTER (kind < 3 AND example) AS n_examples
+FROM t LEFT JOIN x USING (r) GROUP BY r, doc_id"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import bpe, exact, mixing, oracles, quality, simhash
+from notepairs.llm import bpe, exact, mixing, oracles, ownership, quality, simhash
 
 
 def documents(spark, sf_dir):
@@ -17,6 +17,12 @@ def op2_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def op6_secret_ownership(spark, sf_dir):
+    # The table names no repositories: a source is an owner, its texts in one language a repository.
+    docs = documents(spark, sf_dir)
+    return ownership.scan(docs, repository=F.concat("source", F.lit("/"), "lang"), owner=docs["source"])
+
+
 def op7_mixing(spark, sf_dir):
     plan = mixing.mixture(documents(spark, sf_dir)).orderBy("position", "doc_id")
     return plan.select("doc_id", "size", "source_size", "target", "taken", "position")
@@ -45,6 +51,7 @@ def op10_quality_rules(spark, sf_dir):
 
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op6_secret_ownership": op6_secret_ownership,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
@@ -52,6 +59,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op6_secret_ownership": oracles.SECRETS,
     "op7_mixing": oracles.MIXING,
     "op9_exact_dedup": oracles.EXACT_DEDUP,
     "op10_quality_rules": oracles.QUALITY_RULES,
