@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import bpe, class_lm, exact, mixing, oracles, ownership, quality, simhash
+from notepairs.llm import bpe, class_lm, exact, langid, mixing, oracles, ownership, quality, simhash
 
 
 def documents(spark, sf_dir):
@@ -17,10 +17,18 @@ def op2_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def _held_out(docs, folds):
+    return F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(folds)) == 1
+
+
 def op4_class_bigrams(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    held_out = F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(5)) == 1
-    return class_lm.score_texts(docs, held_out=held_out).drop("row_key")
+    return class_lm.score_texts(docs, held_out=_held_out(docs, 5)).drop("row_key")
+
+
+def op5_compression_language(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return langid.predict(docs, held_out=_held_out(docs, 3))
 
 
 def op6_secret_ownership(spark, sf_dir):
@@ -58,6 +66,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_class_bigrams": op4_class_bigrams,
+    "op5_compression_language": op5_compression_language,
     "op6_secret_ownership": op6_secret_ownership,
     "op7_mixing": op7_mixing,
     "op8_byte_bpe": op8_byte_bpe,
