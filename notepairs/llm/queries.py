@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import bpe, class_lm, exact, langid, mixing, oracles, ownership, quality, simhash
+from notepairs.llm import bpe, class_lm, exact, langid, mincut_html, mixing, oracles, ownership, quality, simhash
 
 
 def documents(spark, sf_dir):
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_mincut_html(spark, sf_dir):
+    return mincut_html.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_simhash_near_dedup(spark, sf_dir):
     return simhash.near_groups(documents(spark, sf_dir)).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
@@ -64,6 +68,7 @@ def op10_quality_rules(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_mincut_html": op1_mincut_html,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op4_class_bigrams": op4_class_bigrams,
     "op5_compression_language": op5_compression_language,
