@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notepairs.llm import mixing, ownership, quality
+from notepairs.llm import mixing, ownership, preference, quality
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -93,3 +93,20 @@ SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1
   sha256(coalesce(string_agg(label, ',' ORDER BY s, kind) FILTER (kind < 3), '')) AS base_sha256, coalesce(string_agg(label, ',' ORDER BY s, kind), '') AS spans,
   count(*) FILTER (kind = 3) AS n_owned, count(*) FILTER (kind < 3 AND live AND NOT example) AS n_live, count(*) FILTER (kind < 3 AND example) AS n_examples
 FROM t LEFT JOIN x USING (r) GROUP BY r, doc_id"""
+
+PREFERENCE = rf"""
+WITH l AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+r AS (SELECT c.conv_id, last, text AS reply FROM conversations c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.last),
+t AS (SELECT c.conv_id AS pair_id, c.turn, c.role, c.text AS a, CASE WHEN c.turn = m.last THEN o.reply ELSE c.text END AS b,
+    row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS k
+  FROM conversations c JOIN r AS m USING (conv_id) JOIN r AS o ON o.conv_id = xor(c.conv_id, 1) WHERE c.turn <= m.last),
+n AS (SELECT pair_id, coalesce(min(k) FILTER (a <> b) - 1, count(*)) AS n FROM t GROUP BY pair_id),
+p AS (SELECT t.*, n, '{preference.START}' || role || chr(10) AS head, '<|im_end|>' || chr(10) AS tail, (role = 'assistant')::INT || ':' AS flag
+  FROM t JOIN n USING (pair_id))
+SELECT pair_id, any_value(n) AS prefix_turns, coalesce(string_agg(head || a || tail, '' ORDER BY k) FILTER (k <= n), '') AS prompt,
+  coalesce(string_agg(head || a || tail, '' ORDER BY k) FILTER (k > n), '') AS chosen,
+  coalesce(string_agg('0:' || length(head) || ',' || flag || length(a || tail), ',' ORDER BY k) FILTER (k > n), '') AS chosen_mask,
+  coalesce(string_agg(head || b || tail, '' ORDER BY k) FILTER (k > n), '') AS rejected,
+  coalesce(string_agg('0:' || length(head) || ',' || flag || length(b || tail), ',' ORDER BY k) FILTER (k > n), '') AS rejected_mask,
+  coalesce(bool_or(role = 'assistant') FILTER (k > n), FALSE) AS usable
+FROM p GROUP BY pair_id"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import bpe, class_lm, exact, langid, mincut_html, mixing, oracles, ownership, quality, simhash
+from notepairs.llm import bpe, class_lm, exact, langid, mincut_html, mixing, oracles, ownership, preference, quality, simhash
 
 
 def documents(spark, sf_dir):
@@ -21,6 +21,16 @@ def op2_simhash_near_dedup(spark, sf_dir):
     )
 
 
+def op3_preference_format(spark, sf_dir):
+    # The table has no preferences: the rejected side ends in a neighbour's reply.
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    pairs = preference.preference_pairs(*preference.swapped_replies(turns))
+    return pairs.select(
+        "pair_id", "prefix_turns", "prompt", preference.completion(F.col("chosen")).alias("chosen"), preference.mask(F.col("chosen")).alias("chosen_mask"),
+        preference.completion(F.col("rejected")).alias("rejected"), preference.mask(F.col("rejected")).alias("rejected_mask"), "usable",
+    )
+
+
 def _held_out(docs, folds):
     return F.pmod(F.crc32(docs["doc_id"].cast("string").cast("binary")), F.lit(folds)) == 1
 
@@ -70,6 +80,7 @@ def op10_quality_rules(spark, sf_dir):
 QUERIES = {
     "op1_mincut_html": op1_mincut_html,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
+    "op3_preference_format": op3_preference_format,
     "op4_class_bigrams": op4_class_bigrams,
     "op5_compression_language": op5_compression_language,
     "op6_secret_ownership": op6_secret_ownership,
@@ -80,6 +91,7 @@ QUERIES = {
 }
 
 SQL = {
+    "op3_preference_format": oracles.PREFERENCE,
     "op6_secret_ownership": oracles.SECRETS,
     "op7_mixing": oracles.MIXING,
     "op9_exact_dedup": oracles.EXACT_DEDUP,
