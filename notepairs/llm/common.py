@@ -47,15 +47,23 @@ def only_kept(docs: DataFrame, kept: DataFrame, id_column: str, text_column: str
     All columns of ``docs`` come back as they are. Rows that agree in id and text are the
     same row repeated; one of them stays.
     """
-    mark = "_kept_key"
-    keyed = docs.withColumn(mark, row_key(text_or_empty(docs, text_column)))
-    right = kept.select(F.col("doc_id").alias("_kept_id"), F.col("row_key").alias("_kept_row"), F.col("copies").alias("_copies"))
-    both = keyed.join(right, keyed[id_column].eqNullSafe(right["_kept_id"]) & (keyed[mark] == right["_kept_row"]))
+    both = packed(docs, id_column, text_column).join(kept.select(F.col("doc_id").alias("want_id"), F.col("row_key").alias("want_key"), "copies"), same_row())
     single = both
     if not kept.where(F.col("copies") > 1).isEmpty():
-        again = both.where(F.col("_copies") > 1).dropDuplicates([id_column, mark])
-        single = both.where(F.col("_copies") == 1).unionByName(again)
-    return single.select(*[single[f"`{c}`"] for c in docs.columns])
+        again = both.where(F.col("copies") > 1).dropDuplicates(["id", "key"])
+        single = both.where(F.col("copies") == 1).unionByName(again)
+    return single.select("packed.*")
+
+
+def packed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``id, key, packed``: whole rows in one column, so that none of their names can clash."""
+    whole = F.struct(*[docs[f"`{c}`"].alias(c) for c in docs.columns])
+    return docs.select(docs[id_column].alias("id"), row_key(text_or_empty(docs, text_column)).alias("key"), whole.alias("packed"))
+
+
+def same_row() -> Column:
+    """Joins ``packed`` rows with rows that name them as ``want_id, want_key``."""
+    return F.expr("id <=> want_id AND key = want_key")
 
 
 def record_batches(columns: dict[str, list | pa.Array], schema: pa.Schema) -> pa.RecordBatch:

@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notepairs.llm.common import row_key, text_or_empty, word_count
+from notepairs.llm.common import packed, row_key, same_row, text_or_empty, word_count
 from notepairs.session import clear, stage
 
 WEIGHTS = (1, 2, 3)
@@ -139,12 +139,10 @@ def mix(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text"
     plan = mixture(docs, id_column=id_column, text_column=text_column, source_column=source_column).where("epochs > 0")
     passes = plan.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs").cast("int") - 1)))
     turns = passes.select("doc_id", "row_key", place(F.col("epoch")).alias("at"))
-    keyed = docs.withColumn("_mix_key", row_key(text_or_empty(docs, text_column)))
-    if not keyed.groupBy(F.col(id_column).alias("_mix_id"), "_mix_key").count().where("count > 1").isEmpty():
+    rows = packed(docs, id_column, text_column)
+    if not rows.groupBy("id", "key").count().where("count > 1").isEmpty():
         # Every copy has its own turns; one stored text serves them all.
-        keyed = keyed.dropDuplicates([id_column, "_mix_key"])
-    right = turns.select(F.col("doc_id").alias("_mix_id"), F.col("row_key").alias("_mix_row"), F.col("at").alias("_mix_at"))
-    placed = keyed.join(right, keyed[id_column].eqNullSafe(right["_mix_id"]) & (keyed["_mix_key"] == right["_mix_row"]))
-    return placed.repartitionByRange("_mix_at", F.xxhash64(placed[id_column])).sortWithinPartitions("_mix_at", placed[id_column]).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
-    )
+        rows = rows.dropDuplicates(["id", "key"])
+    right = turns.select(F.col("doc_id").alias("want_id"), F.col("row_key").alias("want_key"), "at")
+    placed = rows.join(right, same_row())
+    return placed.repartitionByRange("at", F.xxhash64("id")).sortWithinPartitions("at", "id").select("packed.*")

@@ -102,7 +102,7 @@ def links(nodes: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, root`` for every node of the edges ``a > b``; the root is the smallest node it reaches.
+    """``node, root`` for every node of the edges ``a > b`` that is not itself the smallest it reaches.
 
     Alternates the large-star and small-star steps, whose number of rounds grows with the
     logarithm of the nodes, until the edges no longer change. Neighbour minima are
