@@ -38,27 +38,29 @@ def test_chat(spark):
     assert one(spark, P.join_outputs(F.array(F.lit("a"), F.lit("b")))) == "a b"
 
 
-def rejected(text):
-    kept, open_ = [], False
-    for line in text.split("\n"):
-        low = line.lower()
-        if open_ and ("hallucinate" in low or "hallucination" in low):
-            break
-        if open_:
-            kept.append(line)
-        open_ = open_ or ("hallucinated summary" in low and len(line) <= 30)
-    return "\n".join(kept).strip("\n")
-
-
-def test_rejected_summary(spark):
-    import random
-
-    rng = random.Random(3)
-    lines = ["", "body", "Hallucinated Summary:", "A Hallucinated Summary that is far too long to open", "hallucination list", "more"]
-    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randint(0, 8))) for _ in range(800)]
-    df = spark.createDataFrame([(t,) for t in texts], "t string")
-    for r in df.select("t", rejected_summary(F.col("t")).alias("x")).collect():
-        assert r.x == rejected(r.t), r.t
+REJECTED = {
+    "": "",
+    "body": "",
+    "Hallucinated Summary:": "",
+    "Hallucinated Summary:\nbody": "body",
+    "before\nHallucinated Summary:\n\nbody\n\nmore\n": "body\n\nmore",
+    "Hallucinated Summary:\nbody\nhallucination list\nmore": "body",
+    "Hallucinated Summary:\nbody\nI hallucinate here\nmore": "body",
+    "Hallucinated Summary:\nHallucinated Summary:\nbody": "",
+    "HALLUCINATED SUMMARY\nbody": "body",
+    "A Hallucinated Summary that is far too long to open\nbody": "",
+    "A Hallucinated Summary that is far too long to open\nHallucinated Summary:\nbody": "body",
+    "hallucination list\nbody\nHallucinated Summary:\nrest": "rest",
+    "Hallucinated Summary: same line": "",
+    "the hallucinated summary 567890\nbody": "",
+    "the hallucinated summary 56789\nbody": "body",
+    "Hallucinated Summary:\n  body  \n": "  body  ",
+}
+
+
+@pytest.mark.parametrize("text", list(REJECTED))
+def test_rejected_summary(spark, text):
+    assert one(spark, rejected_summary(F.lit(text))) == REJECTED[text]
 
 
 def test_preference(spark):
