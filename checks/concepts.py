@@ -13,7 +13,7 @@ from notepairs.operators import cloze
 from notepairs.operators import concepts as K
 from notepairs.session import stage, tune
 
-LOOSE = 0.6
+LOOSE = 0.5
 
 
 def concepts(spark, sf_dir):
@@ -77,7 +77,7 @@ def concept_match_exact(spark, sf_dir):
 
 def similar(threshold):
     return lambda spark, sf_dir: K.match_similar(
-        summaries(spark, sf_dir), concepts(spark, sf_dir), threshold=threshold, longest=2
+        summaries(spark, sf_dir), concepts(spark, sf_dir), threshold=threshold
     ).select("pair_id", "start_at", "end_at", "detected_name", F.round("similarity", 6).alias("similarity"))
 
 
@@ -188,22 +188,28 @@ _HEAD = with_views("fx_pairs", "fx_names", "fx_types")
 _HEAD_R = _HEAD.replace("WITH", "WITH RECURSIVE", 1)
 
 
-def _near(threshold: float) -> str:
-    """Shared grams per (window, name), counted over all grams."""
+def _near_names(windows: str, threshold: float) -> str:
+    """Shared grams per (window, name) of fitting sizes, counted over all grams."""
     g = "list_distinct([substr({0}, j, 3) for j in range(1, greatest(length({0}) - 1, 2))])"
-    return f"""{_HEAD}, {_DIM}, texts AS (SELECT pair_id AS id, summary AS text FROM fx_pairs), {_windows('win', 'texts', 2)},
-wn AS (SELECT DISTINCT norm FROM win),
+    return f"""
+wn AS (SELECT DISTINCT norm FROM {windows}),
 wg AS (SELECT norm, len({g.format('norm')}) AS n, unnest({g.format('norm')}) AS gram FROM wn),
 dg AS (SELECT name, len({g.format('name')}) AS n, unnest({g.format('name')}) AS gram FROM (SELECT DISTINCT name FROM dim) AS names),
-shared AS (SELECT norm, name, wg.n AS a, dg.n AS b, count(*) AS k FROM wg JOIN dg ON wg.gram = dg.gram GROUP BY ALL),
-near AS (SELECT norm, name, k / CAST(a + b - k AS DOUBLE) AS similarity FROM shared WHERE k / CAST(a + b - k AS DOUBLE) >= {threshold} - 1e-12)
+shared AS (SELECT norm, name, wg.n AS a, dg.n AS b, count(*) AS k FROM wg JOIN dg ON wg.gram = dg.gram
+  AND dg.n >= wg.n * {threshold} - 1e-9 AND dg.n <= wg.n / {threshold} + 1e-9 GROUP BY ALL),
+near AS (SELECT norm, name, k / CAST(a + b - k AS DOUBLE) AS similarity FROM shared WHERE k / CAST(a + b - k AS DOUBLE) >= {threshold} - 1e-12)"""
+
+
+def _near(threshold: float) -> str:
+    return f"""{_HEAD}, {_DIM}, texts AS (SELECT pair_id AS id, summary AS text FROM fx_pairs), {_windows('win', 'texts', 5)}, {_near_names('win', threshold)}
 SELECT w.id AS pair_id, start_at, end_at, n.name AS detected_name, round(similarity, 6) AS similarity FROM win AS w JOIN near AS n ON w.norm = n.norm"""
 
 
 def _concept_counts(evals_cte: str) -> str:
     return f"""{_DIM}, both_texts AS (SELECT ['r', pair_id] AS id, reference AS text FROM {evals_cte} UNION ALL SELECT ['c', pair_id], candidate FROM {evals_cte}),
-{_windows('cw', 'both_texts', 5)},
-cs AS (SELECT DISTINCT id[1] AS side, id[2] AS pair_id, cui FROM cw JOIN dim AS d ON cw.norm = d.name WHERE list_has_any(type_ids, {list(C.SCORE_TYPES)})),
+{_windows('cw', 'both_texts', 5)}, {_near_names('cw', C.MATCH_THRESHOLD)},
+cs AS (SELECT DISTINCT id[1] AS side, id[2] AS pair_id, cui FROM cw JOIN near ON cw.norm = near.norm JOIN dim AS d ON near.name = d.name
+  WHERE list_has_any(type_ids, {list(C.SCORE_TYPES)})),
 cn AS (SELECT e.pair_id, (SELECT count(*) FROM cs WHERE cs.pair_id = e.pair_id AND side = 'r') AS nr,
   (SELECT count(*) FROM cs WHERE cs.pair_id = e.pair_id AND side = 'c') AS nc,
   (SELECT count(*) FROM cs AS a JOIN cs AS b ON a.pair_id = b.pair_id AND a.cui = b.cui AND a.side = 'r' AND b.side = 'c' WHERE a.pair_id = e.pair_id) AS nb FROM {evals_cte} AS e),
@@ -224,7 +230,7 @@ gaps AS (SELECT c.pair_id, i, k.s AS s, k.e AS e, k.v AS v, coalesce(lag(k.e) OV
 masks AS (SELECT p.pair_id, document, string_agg(substr(summary, CAST(before AS BIGINT) + 1, CAST(s - before AS BIGINT)) || 'MASK', '' ORDER BY i)
   || substr(summary, CAST(max(e) AS BIGINT) + 1) AS masked_summary, string_agg(v, ' WORD_SEP ' ORDER BY i) AS answers, list(v ORDER BY i) AS a
   FROM gaps AS g JOIN fx_pairs AS p ON g.pair_id = p.pair_id GROUP BY p.pair_id, document, summary)"""
-_RAW = f"""{_SPAN_LIST},
+_RAW = f"""{_SPAN_LIST.replace('SELECT DISTINCT', 'SELECT')},
 fold AS (SELECT s.pair_id, ordered AS todo, summary AS text FROM spans AS s JOIN fx_pairs AS p ON s.pair_id = p.pair_id UNION ALL
   SELECT pair_id, todo[2:], substr(text, 1, CAST(todo[1].s AS BIGINT)) || 'MASK' || substr(text, CAST(todo[1].e AS BIGINT) + 1) FROM fold WHERE len(todo) > 0)"""
 _MASKS = f"{_HEAD_R}, {_MENTIONS}, {_PICK}"
@@ -232,7 +238,7 @@ _MASKS = f"{_HEAD_R}, {_MENTIONS}, {_PICK}"
 # What each shape of answer must come to, told from the shape alone.
 _JSON = """
 shaped AS (SELECT *, substr(md5(pair_id), 1, 1) AS d FROM masks),
-parsed_json AS (SELECT pair_id, masked_summary, CASE WHEN d < '8' THEN a WHEN d < 'e' THEN NULL
+parsed_json AS (SELECT pair_id, masked_summary, CASE WHEN len([x for x in a if contains(x, chr(10))]) > 0 THEN NULL WHEN d < '8' THEN a WHEN d < 'e' THEN NULL
   ELSE list_concat(['again'], a[2:]) END AS got FROM shaped)"""
 _LIST = """
 shaped AS (SELECT *, substr(md5(pair_id), 1, 1) AS d FROM masks),

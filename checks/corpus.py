@@ -334,7 +334,7 @@ blocks AS (SELECT o.*, 'chart time: ' || lower(charttime) || chr(10) || 'note ca
   FROM others AS o JOIN cleaned AS c ON o.row_id = c.id)"""
 
 _PRIOR = """
-admitted_closing AS (SELECT c.* FROM closing AS c JOIN fx_admissions AS a ON c.subject_id = a.subject_id AND c.hadm_id = a.hadm_id),
+admitted_closing AS (SELECT c.* FROM closing AS c SEMI JOIN fx_admissions AS a ON c.subject_id = a.subject_id AND c.hadm_id = a.hadm_id),
 prior AS (SELECT c.pair_id, b.row_id, b.charttime AS time, b.block FROM admitted_closing AS c JOIN blocks AS b
   ON b.subject_id = c.subject_id AND b.hadm_id = c.hadm_id AND CAST(b.charttime AS TIMESTAMP) <= c.anchor),
 docs AS (SELECT pair_id, string_agg(block, ' [DOC_SEP] ' ORDER BY time, row_id) AS document FROM prior GROUP BY pair_id)"""
@@ -343,7 +343,7 @@ _HEADING_LIST = "[" + ", ".join(f"'{h}'" for h in C.SECTION_HEADINGS) + "]"
 _PAIRS = f"""
 pairs AS (SELECT g.pair_id, g.code, found AS heading, CAST(list_position({_HEADING_LIST}, found) - 1 AS INT) AS heading_idx,
   coalesce(document, '') AS document, section AS summary, CAST(len(string_split(coalesce(document, ''), ' ')) AS INTEGER) AS document_words,
-  section_words AS summary_words FROM graded AS g JOIN fx_admissions AS a ON g.subject_id = a.subject_id AND g.hadm_id = a.hadm_id
+  section_words AS summary_words FROM graded AS g SEMI JOIN fx_admissions AS a ON g.subject_id = a.subject_id AND g.hadm_id = a.hadm_id
   LEFT JOIN docs AS d ON g.pair_id = d.pair_id WHERE code IN (1, 2, 4))"""
 
 _FROM_NOTES = with_views("fx_notes", "fx_admissions")
@@ -389,7 +389,7 @@ UNION ALL SELECT subject_id, count(*), 'noteevents' FROM fx_notes GROUP BY subje
 SELECT id AS row_id, clean AS cleaned FROM done""",
     "note_blocks": f"{with_views('fx_notes')}, {_OTHERS} SELECT row_id, block FROM blocks",
     "admission_notes": f"""{_FROM_NOTES} SELECT n.subject_id, n.hadm_id, n.row_id FROM fx_notes AS n
-JOIN fx_admissions AS a ON n.subject_id = a.subject_id AND n.hadm_id = a.hadm_id""",
+SEMI JOIN fx_admissions AS a ON n.subject_id = a.subject_id AND n.hadm_id = a.hadm_id""",
     "prior_notes": f"{_FROM_NOTES}, {_CLOSING}, {_OTHERS}, {_PRIOR} SELECT pair_id, row_id, time FROM prior",
     "documents_by_admission": f"{_FROM_NOTES}, {_CLOSING}, {_OTHERS}, {_PRIOR} SELECT pair_id, document FROM docs",
     "note_positions": f"""{_FROM_NOTES}, {_CLOSING}, {_OTHERS}, {_PRIOR}
@@ -405,7 +405,7 @@ SELECT pair_id, CAST(unknown AS INT) AS unknown FROM graded WHERE n_hits = 1 AND
 SELECT pair_id, found AS heading, section AS summary, section_words AS summary_words FROM graded WHERE code IN (1, 2, 4)""",
     "outcome_counts": f"{with_views('fx_notes')}, {_SECTIONS} SELECT code, count(*) AS n FROM graded GROUP BY code",
     "outcome_ids": f"""{_WITH_PAIRS} SELECT g.pair_id, g.code, coalesce(document_words, 0) AS document_words, coalesce(summary_words, 0) AS summary_words FROM graded AS g
-JOIN fx_admissions AS a ON g.subject_id = a.subject_id AND g.hadm_id = a.hadm_id LEFT JOIN pairs AS p ON g.pair_id = p.pair_id""",
+SEMI JOIN fx_admissions AS a ON g.subject_id = a.subject_id AND g.hadm_id = a.hadm_id LEFT JOIN pairs AS p ON g.pair_id = p.pair_id""",
     "pairs_by_code_heading": f"""{with_views('fx_notes')}, {_SECTIONS}
 SELECT code, CAST(list_position({_HEADING_LIST}, found) - 1 AS INT) AS heading_idx, count(*) AS n FROM graded WHERE code IN (1, 2, 4) GROUP BY ALL""",
     "pairs_all": f"{_WITH_PAIRS} SELECT * FROM pairs",

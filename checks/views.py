@@ -53,9 +53,9 @@ FROM (
     replace(text, '.' || chr(10), '.' || chr(10) || chr(10)) AS body,
     replace(text, chr(10), ' ' || chr(10)) AS para, replace(text, chr(10), ' ') AS flat
   FROM documents) AS shaped"""),
-    # An admission is on record when one of its notes has a low-quality label.
+    # An admission is on record when one of its notes has a low-quality label, once for each such note.
     "fx_admissions": (("fx_notes",), """
-SELECT DISTINCT n.subject_id, n.hadm_id FROM fx_notes AS n JOIN labels AS l ON n.row_id = l.doc_id
+SELECT n.subject_id, n.hadm_id FROM fx_notes AS n JOIN labels AS l ON n.row_id = l.doc_id
 WHERE n.hadm_id IS NOT NULL AND l.quality = 0"""),
     # A thousand documents of one source are a delivery; text lengths pick the file names.
     "fx_files": ((), f"""
@@ -72,19 +72,18 @@ LEFT JOIN conversations AS p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1
 LEFT JOIN conversations AS n ON n.conv_id = t.conv_id AND n.turn = t.turn + 1"""),
     "fx_pairs": (("fx_turns",), "SELECT pair_id, document, summary FROM fx_turns"),
     "fx_candidates": (("fx_turns",), "SELECT pair_id, candidate FROM fx_turns WHERE candidate IS NOT NULL"),
-    # Words of the benchmark are concept names; names that start alike share a concept.
+    # Words of the benchmark and runs of two to five are concept names; names that start alike share a concept.
     "fx_names": ((), """
 SELECT DISTINCT 'C' || substr(md5(substr(name, 1, 4)), 1, 7) AS cui, name FROM (
-  SELECT @each@(regexp_extract_all(lower(text), '[a-z]+', 0)) AS name FROM benchmark
-  UNION ALL SELECT regexp_extract(lower(text), '[a-z]+ [a-z]+', 0) AS name FROM benchmark) AS words
-WHERE length(name) >= 5"""),
+  """ + "\n  UNION ALL ".join(f"SELECT @each@(regexp_extract_all(lower(text), '[a-z]+{' [a-z]+' * more}', 0)) AS name FROM benchmark" for more in range(5)) + """) AS words
+WHERE name <> ''"""),
     "fx_types": (("fx_names",), """
 SELECT DISTINCT cui, CASE WHEN digit < '8' THEN 'T047' WHEN digit < 'c' THEN 'T121' WHEN digit < 'e' THEN 'T074' ELSE 'T999' END AS type_id
 FROM (SELECT cui, substr(md5(cui), 8, 1) AS digit FROM fx_names UNION ALL SELECT cui, substr(md5(cui), 9, 1) FROM fx_names) AS d"""),
     "fx_codes": ((), """
 SELECT 'C' || substr(md5(substr(word, 1, 4)), 1, 7) AS cui, 'I' || substr(md5(word || item_id), 1, 4) AS code, item_id AS line_no
 FROM (SELECT item_id, @each@(regexp_extract_all(lower(text), '[a-z]+', 0)) AS word FROM benchmark) AS words
-WHERE length(word) >= 5"""),
+WHERE word <> ''"""),
     # Model answers about a rejected summary, in six shapes.
     "fx_rejected": ((), """
 SELECT CAST(doc_id AS STRING) AS pair_id, CASE doc_id % 6

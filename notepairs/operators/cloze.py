@@ -101,7 +101,9 @@ def mask_all(
     if overlaps not in ("longest", "raw"):
         raise ValueError("overlaps is 'longest' or 'raw'")
     good = of_types(mentions, types).select("pair_id", F.struct("start_at", "end_at", "source_value").alias("m"))
-    grouped = good.groupBy("pair_id").agg(F.collect_set("m").alias("spans"))
+    # Masked one after the other, a span that several concepts share is masked for each of them.
+    gather = F.collect_set if overlaps == "longest" else F.collect_list
+    grouped = good.groupBy("pair_id").agg(gather("m").alias("spans"))
     joined = pairs.select("pair_id", "document", "summary").join(grouped, "pair_id")
     intact = F.filter(
         "spans",

@@ -4,19 +4,25 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notepairs import constants as C
 from notepairs.functions.text import let, settle
-
-SIEVE_FROM = 100_000  # names beyond which windows are sieved before they are shuffled
-SIEVE_BITS = 1 << 28  # 32 MB
-FREQUENT_GRAMS = 1 << 14  # how many gram counts a task holds at most
+from notepairs.session import stage
+
+SIEVE_BITS = 1 << 28  # 32 MB, whatever the number of names
+GRAM_SIEVE_BITS = 1 << 26  # 8 MB
+SIEVE_CHUNKS = 256  # a bitmap is put together in as many pieces
+# How many gram counts a task holds at most. They only order the grams: with more frequent
+# grams than this the result is the same, but more windows pass the sieve.
+FREQUENT_GRAMS = 1 << 14
 _SPANS = "starts array<int>, ends array<int>, tokens array<string>"
 
 
@@ -83,46 +89,54 @@ def windows(texts: DataFrame, *, key: str = "pair_id", text: str = "text", longe
     return df.select(key, F.inline(F.flatten(F.array(*rows)))).toDF(key, "start_at", "end_at", "norm")
 
 
+def bitmap(places: DataFrame, bits: int) -> np.ndarray:
+    """Bits set at the numbers in ``places.b``, as 64-bit words.
+
+    Made in ``SIEVE_CHUNKS`` pieces by the tasks; the driver holds ``bits`` bits.
+    """
+    words = max(1, bits // 64 // SIEVE_CHUNKS)
+
+    def piece(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        at = table["b"].to_numpy() % (words * 64)
+        out = np.zeros(words, dtype="int64")
+        np.bitwise_or.at(out, at >> 6, np.int64(1) << (at & 63))
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64()), "words": pa.array([out.tobytes()], pa.binary())})
+
+    chunks = places.select("b").distinct().withColumn("chunk", F.floor(F.col("b") / (words * 64)).cast("long"))
+    whole = np.zeros(bits // 64, dtype="int64")
+    for row in chunks.groupBy("chunk").applyInArrow(piece, "chunk long, words binary").collect():
+        whole[row["chunk"] * words : (row["chunk"] + 1) * words] = np.frombuffer(row["words"], dtype="int64")
+    return whole
+
+
 def name_sieve(names: DataFrame, *, bits: int = SIEVE_BITS) -> Callable[[Column], Column]:
     """Test that holds for every ``names.norm`` and for few other texts.
 
-    A bitmap with one bit per name, put together in Spark. Its size is fixed whatever the
-    number of names, so every task can hold it.
+    Its bitmap has a fixed size whatever the number of names, so every task can hold it.
     """
-    place = F.pmod(F.xxhash64("norm"), F.lit(bits))
-    words = names.select(place.alias("b")).groupBy(F.expr("CAST(b DIV 64 AS INT)").alias("w")).agg(
-        F.expr("bit_or(shiftleft(1L, CAST(b % 64 AS INT)))").alias("v")
-    ).toPandas()
-    bitmap = np.zeros(bits // 64, dtype="int64")
-    bitmap[words["w"].to_numpy()] = words["v"].to_numpy()
-    shared = names.sparkSession.sparkContext.broadcast(bitmap)
+    place = lambda norm: F.pmod(F.xxhash64(norm), F.lit(bits))
+    shared = names.sparkSession.sparkContext.broadcast(bitmap(names.select(place("norm").alias("b")), bits))
 
     @F.pandas_udf("boolean")
     def probe(places: pd.Series) -> pd.Series:
         b = places.to_numpy()
         return pd.Series((shared.value[b >> 6] >> (b & 63)) & 1 == 1)
 
-    return lambda norm: probe(F.pmod(F.xxhash64(norm), F.lit(bits)))
+    return lambda norm: probe(place(norm))
 
 
 def match_exact(
     texts: DataFrame, concepts: DataFrame, *, key: str = "pair_id", text: str = "text",
-    types: Sequence[str] | None = None, longest: int = C.MAX_WINDOW, sieve: bool | None = None,
+    types: Sequence[str] | None = None, longest: int = C.MAX_WINDOW,
 ) -> DataFrame:
     """Mentions whose words equal a concept name.
 
-    The dictionary is joined by name. The planner sends it to every task only when it has
-    seen that it is small; with more than ``SIEVE_FROM`` names, windows that cannot be a
-    name are dropped before the shuffle (``sieve`` overrides the choice).
+    Windows that cannot be a name are dropped by a sieve before they are joined by name.
     """
     gated = of_types(concepts, types) if types else concepts
     entries = gated.withColumn("norm", normal_name(F.col("name")))
     runs = windows(texts, key=key, text=text, longest=longest)
-    if sieve is None:
-        sieve = concepts.limit(SIEVE_FROM + 1).count() > SIEVE_FROM
-    if sieve:
-        runs = runs.filter(name_sieve(entries)(F.col("norm")))
-    found = runs.join(entries, "norm")
+    found = runs.filter(name_sieve(entries)(F.col("norm"))).join(entries, "norm")
     return found.select(key, "start_at", "end_at", "cui", F.col("name").alias("detected_name"), "type_ids")
 
 
@@ -149,55 +163,112 @@ def _frequent_grams(names: DataFrame) -> dict[str, int]:
     return {r["g"]: r["count"] for r in top}
 
 
+def _head(text: str, threshold: float, frequent: dict[str, int]) -> tuple[int, list[str]]:
+    """Size of the gram set of a text and its first grams, rare ones first."""
+    gs = {text[i : i + 3] for i in range(max(len(text) - 2, 1))}
+    keep = len(gs) - math.ceil(threshold * len(gs) - 1e-9) + 1
+    return len(gs), sorted(gs, key=lambda g: (frequent.get(g, 0), g))[:keep]
+
+
 def _prefixes(norm: Column, threshold: float, frequent: dict[str, int]) -> Column:
     """Size of the gram set and its first grams, rare ones first."""
 
     @F.pandas_udf("n int, prefix array<string>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        sizes, heads = [], []
+        return pd.DataFrame([_head(t, threshold, frequent) for t in texts], columns=["n", "prefix"])
+
+    return run(norm)
+
+
+def _gram_places(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Bits of (gram, size) pairs, the gram given by its checksum."""
+    return (grams * 0x9E3779B1 + sizes * 0x85EBCA77) % GRAM_SIEVE_BITS
+
+
+def _sieved_prefixes(norm: Column, threshold: float, frequent: dict[str, int], shared) -> Column:
+    """The (gram, size) pairs of a text and of texts similar to it that some name has, from its prefix."""
+
+    @F.pandas_udf("g array<string>, size array<int>")
+    def run(texts: pd.Series) -> pd.DataFrame:
+        words, found_grams, found_sizes = shared.value, [], []
+        sums: dict[str, int] = {}
         for t in texts:
-            gs = {t[i : i + 3] for i in range(max(len(t) - 2, 1))}
-            keep = len(gs) - math.ceil(threshold * len(gs) - 1e-9) + 1
-            sizes.append(len(gs))
-            heads.append(sorted(gs, key=lambda g: (frequent.get(g, 0), g))[:keep])
-        return pd.DataFrame({"n": sizes, "prefix": heads})
+            n, prefix = _head(t, threshold, frequent)
+            for g in prefix:
+                if g not in sums:
+                    sums[g] = zlib.crc32(g.encode())
+            sizes = np.arange(max(math.ceil(threshold * n - 1e-9), 1), math.floor(n / threshold + 1e-9) + 1)
+            places = _gram_places(np.array([sums[g] for g in prefix])[:, None], sizes[None, :])
+            which, size = np.nonzero((words[places >> 6] >> (places & 63)) & 1)
+            found_grams.append(np.array(prefix, dtype=object)[which])
+            found_sizes.append(sizes[size])
+        return pd.DataFrame({"g": found_grams, "size": found_sizes})
 
     return run(norm)
 
 
+def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Rows of ``left`` that share a (gram, size) with a name, the names by (gram, size), and the gram counts."""
+    names = right.select("norm").distinct()
+    frequent = _frequent_grams(names)
+    heads = names.select("norm", _prefixes(F.col("norm"), threshold, frequent).alias("x")).select("norm", "x.*")
+    by_gram = heads.select(F.col("norm").alias("right_norm"), F.col("n").alias("size"), F.explode("prefix").alias("g"))
+
+    @F.pandas_udf("long")
+    def place(gs: pd.Series, sizes: pd.Series) -> pd.Series:
+        return pd.Series(_gram_places(np.array([zlib.crc32(g.encode()) for g in gs], dtype="int64"), sizes.to_numpy(dtype="int64")))
+
+    bits = bitmap(by_gram.select(place("g", "size").alias("b")), GRAM_SIEVE_BITS)
+    shared = left.sparkSession.sparkContext.broadcast(bits)
+    sieved = left.withColumn("x", _sieved_prefixes(F.col("norm"), threshold, frequent, shared)).select(*left.columns, "x.*")
+    return settle(sieved, "g", "size").filter(F.size("g") > 0), by_gram, frequent
+
+
+def _similarity(left: Column, right: Column, gram: Column, threshold: float, frequent: dict[str, int]) -> Column:
+    """Jaccard of two texts that reach the threshold and meet first at ``gram``; null for others.
+
+    The first common gram of two such texts is in both prefixes, so each pair has one row.
+    """
+
+    @F.pandas_udf("double")
+    def run(lefts: pd.Series, rights: pd.Series, gs: pd.Series) -> pd.Series:
+        sets: dict[str, frozenset[str]] = {}
+        for texts in (lefts, rights):
+            for t in texts.unique():
+                sets[t] = frozenset(t[i : i + 3] for i in range(max(len(t) - 2, 1)))
+        out = []
+        for x, y, g in zip(lefts, rights, gs):
+            a, b = sets[x], sets[y]
+            common = a & b
+            jaccard = len(common) / (len(a) + len(b) - len(common))
+            first = jaccard >= threshold - 1e-12 and min(common, key=lambda c: (frequent.get(c, 0), c)) == g
+            out.append(jaccard if first else None)
+        return pd.Series(out, dtype="float64")
+
+    return run(left, right, gram)
+
+
+def _similar(sieved: DataFrame, by_gram: DataFrame, threshold: float, frequent: dict[str, int]) -> DataFrame:
+    """Pairs of distinct ``norm`` and name with their similarity, from what ``_candidates`` gives."""
+    one = sieved.groupBy("norm").agg(F.first("g").alias("gs"), F.first("size").alias("sizes"))
+    pairs = F.arrays_zip(F.col("gs").alias("g"), F.col("sizes").alias("size"))
+    met = one.select(F.col("norm").alias("left_norm"), F.inline(pairs)).join(by_gram, ["g", "size"])
+    scored = met.select("left_norm", "right_norm", _similarity(F.col("left_norm"), F.col("right_norm"), F.col("g"), threshold, frequent).alias("similarity"))
+    return settle(scored, "similarity").filter(F.col("similarity").isNotNull())
+
+
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs of ``left.norm`` and ``right.norm`` whose gram sets have Jaccard >= threshold.
 
     Exact set-similarity join. With grams in one order on both sides, two sets that reach
     the threshold share a gram among their first ``n - ceil(t * n) + 1`` ones and have sizes
     within a factor ``t``. The grams most frequent in ``right`` come last, so they seldom
-    get into a prefix; joining on (gram, size) splits what is left of them; and a pair is
-    only emitted at its first common prefix gram, so no duplicates are shuffled.
+    get into a prefix; a bitmap of fixed size tells which (gram, size) any name has, so
+    texts without one are dropped where they are made; joining on (gram, size) splits what
+    is left; and a pair is only emitted at its first common gram.
     """
-    names = right.select("norm").distinct()
-    frequent = _frequent_grams(names)
-
-    def prefixed(df: DataFrame) -> DataFrame:
-        return df.select("norm", _prefixes(F.col("norm"), threshold, frequent).alias("x")).select("norm", "x.*")
-
-    sizes = F.sequence(
-        F.greatest(F.ceil(F.lit(threshold) * F.col("n") - 1e-9).cast("int"), F.lit(1)),
-        F.floor(F.col("n") / F.lit(threshold) + 1e-9).cast("int"),
-    )
-    a = prefixed(left.select("norm").distinct()).select("norm", "n", "prefix", F.explode("prefix").alias("g")).select(
-        F.col("norm").alias("left_norm"), F.col("prefix").alias("left_prefix"), "n", "g", F.explode(sizes).alias("size")
-    )
-    b = prefixed(names).select(
-        F.col("norm").alias("right_norm"), F.col("prefix").alias("right_prefix"), F.col("n").alias("size"),
-        F.explode("prefix").alias("g"),
-    )
-    met = a.join(b, ["g", "size"]).filter(
-        F.try_element_at(F.array_intersect("left_prefix", "right_prefix"), F.lit(1)) == F.col("g")
-    )
-    both = F.size(F.array_intersect(grams(F.col("left_norm")), grams(F.col("right_norm"))))
-    jaccard = let(both, lambda k: k / (F.col("n") + F.col("size") - k))
-    scored = met.select("left_norm", "right_norm", jaccard.alias("similarity"))
-    return settle(scored, "similarity").filter(F.col("similarity") >= F.lit(threshold) - 1e-12)
+    sieved, by_gram, frequent = _candidates(left.select("norm").distinct(), right, threshold)
+    return _similar(sieved, by_gram, threshold, frequent)
 
 
 def match_similar(
@@ -206,16 +277,17 @@ def match_similar(
 ) -> DataFrame:
     """Mentions whose words nearly equal a concept name, with their similarity.
 
-    Distinct windows are compared once; occurrences join the few that match.
+    Windows are made once and stored when they have passed the sieve; distinct ones are
+    compared, and occurrences join the few that match.
     """
     gated = of_types(concepts, types) if types else concepts
     entries = gated.withColumn("norm", normal_name(F.col("name")))
-    found = windows(texts, key=key, text=text, longest=longest)
-    near = similar_names(found, entries, threshold)
-    hits = near.join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
+    sieved, by_gram, frequent = _candidates(windows(texts, key=key, text=text, longest=longest), entries, threshold)
+    found = stage(sieved)
+    hits = _similar(found, by_gram, threshold, frequent).join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
         F.col("left_norm").alias("norm"), "cui", F.col("name").alias("detected_name"), "type_ids", "similarity"
     )
-    return found.join(hits, "norm").select(
+    return found.select(key, "start_at", "end_at", "norm").join(hits, "norm").select(
         key, "start_at", "end_at", "cui", "detected_name", "type_ids", "similarity"
     )
 
@@ -225,18 +297,23 @@ def concept_sets(mentions: DataFrame, *, key: str = "pair_id") -> DataFrame:
     return mentions.select(key, "cui").distinct()
 
 
-def concept_scores(evals: DataFrame, concepts: DataFrame, *, types: Sequence[str] = C.SCORE_TYPES, **match) -> DataFrame:
-    """Precision and recall of concept sets; one where a side has no concepts."""
+def concept_scores(
+    evals: DataFrame, concepts: DataFrame, *, types: Sequence[str] = C.SCORE_TYPES, matcher: Callable[..., DataFrame] = match_similar, **match
+) -> DataFrame:
+    """Precision and recall of concept sets; one where a side has no concepts.
+
+    Concepts are found by ``matcher``: near matches, or ``match_exact``. Every pair also
+    brings one row without a concept along, so the pairs are read once.
+    """
     side = lambda name, r, c: F.struct(F.col(name).alias("text"), F.lit(r).alias("r"), F.lit(c).alias("c"))
-    both = evals.select("pair_id", F.inline(F.array(side("reference", 1, 0), side("candidate", 0, 1))))
+    pairs = stage(evals.select("pair_id", "reference", "candidate"))
+    both = pairs.select("pair_id", F.inline(F.array(side("reference", 1, 0), side("candidate", 0, 1))))
     keyed = both.select(F.struct("pair_id", "r", "c").alias("key"), "text")
-    found = match_exact(keyed, concepts, key="key", types=types, **match).select("key.*", "cui")
-    flags = found.groupBy("pair_id", "cui").agg(F.max("r").alias("r"), F.max("c").alias("c"))
+    found = matcher(keyed, concepts, key="key", types=types, **match).select("key.*", "cui")
+    every = found.unionByName(pairs.select("pair_id", F.lit(0).alias("r"), F.lit(0).alias("c"), F.lit(None).cast("string").alias("cui")))
+    flags = every.groupBy("pair_id", "cui").agg(F.max("r").alias("r"), F.max("c").alias("c"))
     counts = flags.groupBy("pair_id").agg(
         F.sum("r").alias("n_ref"), F.sum("c").alias("n_cand"), F.sum(F.col("r") * F.col("c")).alias("n_both")
     )
-    n = lambda name: F.coalesce(name, F.lit(0))
-    ratio = lambda total: F.when(n(total) == 0, 1.0).otherwise(n("n_both") / n(total))
-    return evals.select("pair_id").join(counts, "pair_id", "left").select(
-        "pair_id", ratio("n_cand").alias("precision"), ratio("n_ref").alias("recall")
-    )
+    ratio = lambda total: F.when(F.col(total) == 0, 1.0).otherwise(F.col("n_both") / F.nullif(F.col(total), F.lit(0)))
+    return counts.select("pair_id", ratio("n_cand").alias("precision"), ratio("n_ref").alias("recall"))

@@ -2,32 +2,44 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 
 from notepairs import constants as C
 
 Predictor = Callable[[list[str]], list[str]]
+_PREDICTORS: dict[str, Predictor] = {}
+
+
+def _predictor(token: str, factory: Callable[[], Predictor]) -> Predictor:
+    """The predictor of a job, built once in each worker process; that of an earlier job is let go."""
+    if token not in _PREDICTORS:
+        _PREDICTORS.clear()
+        _PREDICTORS[token] = factory()
+    return _PREDICTORS[token]
 
 
 def batch_infer(
     prompts: DataFrame, factory: Callable[[], Predictor], *, key: str = "pair_id", text: str = "text",
-    batch_size: int = C.INFERENCE_BATCH, tasks: int | None = None,
+    batch_size: int = C.INFERENCE_BATCH, tasks: int | None = None, profile: ResourceProfile | None = None,
 ) -> DataFrame:
-    """Run a predictor over ``text``; it is built once per task and fed fixed-size batches.
+    """Run a predictor over ``text``; it is built once per worker and fed fixed-size batches.
 
-    ``tasks`` spreads the rows over that many tasks first, e.g. one per accelerator.
+    ``tasks`` spreads the rows over that many tasks first; ``profile`` bounds the tasks
+    that run at once by what they need, e.g. one accelerator each.
     """
+    token = uuid.uuid4().hex
     rows = prompts.select(key, text)
     if tasks:
         rows = rows.repartition(tasks)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = None
         for frame in batches:
-            predict = predict or factory()
+            predict = _predictor(token, factory)
             for at in range(0, len(frame), batch_size):
                 part = frame.iloc[at : at + batch_size]
                 texts = part[text].tolist()
@@ -36,4 +48,12 @@ def batch_infer(
                 )
 
     key_type = prompts.schema[key].dataType.simpleString()
-    return rows.mapInPandas(run, f"{key} {key_type}, prompt string, generated_text string")
+    return rows.mapInPandas(run, f"{key} {key_type}, prompt string, generated_text string", profile=profile)
+
+
+def stored_inference(prompts: DataFrame, factory: Callable[[], Predictor], path: str, **options) -> DataFrame:
+    """Predictions written once to ``path``; all readers share the stored table, so the model runs once."""
+    made = batch_infer(prompts, factory, **options)
+    schema = made.schema
+    made.write.mode("overwrite").parquet(path)
+    return prompts.sparkSession.read.schema(schema).parquet(path)

@@ -49,9 +49,9 @@ def other_notes(notes: DataFrame, *, null_time: str = "drop") -> DataFrame:
 
 
 def admission_notes(notes: DataFrame, admissions: DataFrame) -> DataFrame:
-    """Notes whose admission is on record; notes without one never join."""
+    """Notes whose admission is on record, once each however often it is recorded."""
     return notes.filter(F.col("hadm_id").isNotNull()).join(
-        admissions.select(*ADMISSION), list(ADMISSION), "inner"
+        admissions.select(*ADMISSION), list(ADMISSION), "left_semi"
     )
 
 

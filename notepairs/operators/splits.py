@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from notepairs import constants as C
 from notepairs.functions.prompts import render
-from notepairs.functions.text import count_tokens
+from notepairs.functions.text import count_tokens, settle
+from notepairs.session import clear, stage
 
 _PREFIX = 4  # hex digits of the shuffle key: at most 65,536 counters reach the driver
 
@@ -76,25 +77,31 @@ def split_pairs(
 ) -> DataFrame:
     """Add ``split``: train and val below the token budget, test as it is.
 
-    ``pairs`` is read several times, so pass a table (see ``stage``).
+    Both cuts are made on a stored table of ids and budget tests; the result reads the
+    texts once and counts the tokens of a row once.
     """
     if abs(sum(ratio) - 1) > 1e-9:
         raise ValueError("the ratio must add up to 1")
-    learn = first_part(pairs, "pair_id", f"{seed}:test", learn_fraction)
-    kept = learn & fits(max_tokens, **gate)
-    train = first_part(pairs, "pair_id", f"{seed}:val", ratio[0], where=kept)
-    safe = pairs.filter(kept)
-    return safe.withColumn("split", F.when(train, "train").otherwise("val")).unionByName(
-        pairs.filter(~learn).withColumn("split", F.lit("test"))
-    )
+    tested = stage(pairs.select("pair_id", fits(max_tokens, **gate).alias("fits")))
+    learn = first_part(tested, "pair_id", f"{seed}:test", learn_fraction)
+    train = first_part(tested, "pair_id", f"{seed}:val", ratio[0], where=learn & F.col("fits"))
+    clear(tested)
+    part = F.when(~learn, "test").when(fits(max_tokens, **gate), F.when(train, "train").otherwise("val"))
+    return settle(pairs.withColumn("split", part), "split").filter(F.col("split").isNotNull())
+
+
+def safe_ids(splits: DataFrame) -> DataFrame:
+    """Ids of the pairs below the token budget: those of train and val."""
+    return splits.filter(F.col("split") != "test").select("pair_id")
 
 
 def split_manifest(
-    splits: DataFrame, prompt: str, *, seed: str, ratio: tuple[float, float], max_tokens: int
+    splits: DataFrame, prompt: str, *, seed: str, ratio: tuple[float, float], max_tokens: int, **settings: object
 ) -> DataFrame:
     """One row that says how the splits were made and how many rows each holds."""
     size = lambda s: F.count_if(F.col("split") == s).alias(f"n_{s}")
     return splits.agg(size("train"), size("val"), size("test")).select(
         "*", F.lit(prompt).alias("prompt"), F.lit(seed).alias("seed"),
         F.lit(ratio[0]).alias("train_ratio"), F.lit(max_tokens).alias("max_tokens"),
+        *[F.lit(value).alias(name) for name, value in settings.items()],
     )

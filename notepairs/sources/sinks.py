@@ -7,7 +7,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notepairs.operators.splits import split_manifest, split_pairs
+from notepairs import constants as C
+from notepairs.operators.splits import safe_ids, split_manifest, split_pairs
 
 
 def write_by_subject(df: DataFrame, path: str, *, key: str = "subject_id") -> None:
@@ -33,6 +34,21 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV table with quotes doubled inside quotes, as ``read_csv`` reads it; texts may hold newlines."""
+    df.write.mode("overwrite").csv(path, header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def write_pipes(df: DataFrame, path: str) -> None:
+    """Pipe-delimited table without quotes or header, as the concept files are."""
+    df.write.mode("overwrite").csv(path, sep="|", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
+def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
+    """Stored outcome lists of all codes."""
+    return spark.read.json(path)
+
+
 def write_outcomes(outcomes: DataFrame, path: str) -> None:
     """Ids (and word counts, where a pair was stored) per outcome code, one JSON line each."""
     outcomes.hint("rebalance", "code").write.mode("overwrite").partitionBy("code").json(path)
@@ -56,11 +72,20 @@ def export_texts(df: DataFrame, folder: str, *, key: str = "pair_id", text: str
 
 
 def load_or_split(
-    pairs: DataFrame, path: str, prompt: str, max_tokens: int, *, seed: str = "0",
-    ratio: tuple[float, float] = (0.9, 0.1), **gate,
+    pairs: DataFrame, path: str, prompt: str, max_tokens: int, *, seed: str = "0", learn_fraction: float = 0.9,
+    ratio: tuple[float, float] = (0.9, 0.1), pad: int = C.SAFE_TOKEN_PAD, eos: str = "", counter_name: str = "spaces", **gate,
 ) -> DataFrame:
-    """Stored splits if they were made with the same prompt; an error if with another one."""
+    """Stored splits if they were made with the same settings; an error names those that differ.
+
+    ``counter_name`` stands for a ``counter`` given in ``gate``. The manifest is written
+    last, so splits without one are leftovers of a run that died and are made again. The
+    ids below the budget are stored beside them.
+    """
     spark = pairs.sparkSession
+    wanted = {
+        "prompt": prompt, "seed": seed, "train_ratio": ratio[0], "max_tokens": max_tokens, "learn_fraction": learn_fraction,
+        "pad": pad, "eos": eos, "counter": counter_name,
+    }
     try:
         stored = spark.read.json(f"{path}/manifest").first()
     except Exception as error:
@@ -68,14 +93,18 @@ def load_or_split(
             raise
         stored = None
     if stored is None:
-        splits = split_pairs(pairs, max_tokens, seed=seed, ratio=ratio, template=prompt, **gate)
-        splits.write.partitionBy("split").parquet(f"{path}/splits")
+        splits = split_pairs(pairs, max_tokens, seed=seed, learn_fraction=learn_fraction, ratio=ratio, template=prompt, pad=pad, eos=eos, **gate)
+        splits.write.mode("overwrite").partitionBy("split").parquet(f"{path}/splits")
         made = spark.read.parquet(f"{path}/splits")
-        split_manifest(made, prompt, seed=seed, ratio=ratio, max_tokens=max_tokens).write.json(
-            f"{path}/manifest"
-        )
-    elif stored["prompt"] != prompt:
-        raise ValueError(f"the splits in {path} were made with another prompt: {json.dumps(stored['prompt'])}")
+        safe_ids(made).write.mode("overwrite").parquet(f"{path}/safe_ids")
+        split_manifest(
+            made, prompt, seed=seed, ratio=ratio, max_tokens=max_tokens, learn_fraction=learn_fraction, pad=pad, eos=eos, counter=counter_name
+        ).write.mode("overwrite").json(f"{path}/manifest")
+    else:
+        there = stored.asDict()
+        other = {name: there.get(name) for name, value in wanted.items() if there.get(name) != value}
+        if other:
+            raise ValueError(f"the splits in {path} were made with other settings: {json.dumps(other)}")
     return spark.read.parquet(f"{path}/splits")
 
 

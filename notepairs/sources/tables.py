@@ -53,9 +53,13 @@ def missing_tables(files: DataFrame, *, by: str = "delivery", file: str = "file"
 
 
 def folder_files(spark: SparkSession, folder: str) -> DataFrame:
-    """File names of one delivery folder; contents are not read."""
-    files = spark.read.format("binaryFile").load(folder).select("path")
-    return files.select(F.lit(folder).alias("delivery"), F.substring_index("path", "/", -1).alias("file"))
+    """File names of one delivery folder, empty files included; contents are not read.
+
+    A delivery holds a few dozen tables, so its listing goes through the driver.
+    """
+    names = [(folder, path) for path in spark.read.format("binaryFile").load(folder).inputFiles()]
+    files = spark.createDataFrame(names, "delivery string, path string")
+    return files.select("delivery", F.url_decode(F.substring_index("path", "/", -1)).alias("file"))
 
 
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:

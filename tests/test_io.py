@@ -26,6 +26,7 @@ def test_missing_tables(spark, tmp_path):
     for t in EXPECTED_TABLES[2:]:
         (tmp_path / f"{t}.csv{'.gz' if len(t) % 2 else ''}").write_text("x")
     (tmp_path / "README.csv").write_text("x")
+    (tmp_path / f"{EXPECTED_TABLES[-1]}.csv").write_text("")
     got = {r.missing for r in tables.missing_tables(tables.folder_files(spark, str(tmp_path))).collect()}
     assert got == set(EXPECTED_TABLES[:2])
 
@@ -76,3 +77,30 @@ def test_subject_layout(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Exchange" not in plan
     spark.sql("DROP TABLE layout_test")
+
+
+def test_shared_folder(spark, monkeypatch):
+    from notepairs import session
+
+    assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    stand_in = lambda master: type("S", (), {
+        "conf": type("C", (), {"get": staticmethod(lambda key, default=None: None if key == "spark.checkpoint.dir" else "/w/")}),
+        "sparkContext": type("X", (), {"master": master}),
+    })
+    assert session.shared_folder(stand_in("local[2]")) == "/w-stages"
+    for master in ("local-cluster[2,1,1024]", "yarn", "spark://host:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            session.shared_folder(stand_in(master))
+
+
+def test_stages_can_be_removed(spark):
+    from notepairs.session import clear, clear_all, stage
+
+    kept, gone = stage(spark.range(5)), stage(spark.range(7))
+    clear(gone)
+    assert kept.count() == 5
+    with pytest.raises(Exception, match="FILE|file"):
+        gone.collect()
+    clear_all(spark)
+    with pytest.raises(Exception, match="FILE|file"):
+        kept.collect()

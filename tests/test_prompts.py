@@ -79,3 +79,19 @@ def test_batches(spark):
     sizes = sorted(int(r.generated_text.split(":")[0]) for r in batch_infer(df, factory).collect())
     assert sizes == [6] * 6 + [32] * 64
     assert batch_infer(df, factory, tasks=5).count() == 70
+
+
+def test_predictors_are_built_once_per_worker_and_stored(spark, tmp_path):
+    from notepairs.operators.inference import stored_inference
+
+    def factory():
+        import os
+        import uuid
+
+        made = f"{os.getpid()}-{uuid.uuid4().hex}"
+        return lambda texts: [made] * len(texts)
+
+    df = spark.range(400).select(F.col("id").cast("string").alias("pair_id"), F.lit("t").alias("text"))
+    got = stored_inference(df, factory, str(tmp_path / "out"), tasks=40)
+    made = {r.generated_text for r in got.collect()}
+    assert got.count() == 400 and len(made) == len({m.split("-")[0] for m in made})

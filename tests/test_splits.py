@@ -50,9 +50,15 @@ def test_stored_splits_are_reused_only_for_the_same_prompt(spark, pairs, tmp_pat
     stored = sorted(map(tuple, first.select("pair_id", "split").collect()))
     again = load_or_split(pairs.limit(0), path, TEMPLATE, 50)
     assert sorted(map(tuple, again.select("pair_id", "split").collect())) == stored
-    with pytest.raises(ValueError, match="another prompt"):
+    with pytest.raises(ValueError, match="other settings"):
         load_or_split(pairs, path, "other {} {}", 50)
+    for other in ({"seed": "5"}, {"learn_fraction": 0.8}, {"ratio": (0.8, 0.2)}, {"pad": 1}, {"counter_name": "letters"}):
+        with pytest.raises(ValueError, match="other settings"):
+            load_or_split(pairs, path, TEMPLATE, 50, **other)
+    with pytest.raises(ValueError, match="max_tokens"):
+        load_or_split(pairs, path, TEMPLATE, 20)
     manifest = spark.read.json(f"{path}/manifest").first()
+    assert spark.read.parquet(f"{path}/safe_ids").count() == manifest["n_train"] + manifest["n_val"]
     assert manifest["n_train"] + manifest["n_val"] + manifest["n_test"] == len(stored)
     assert training_columns(again, "val").columns == ["document", "summary"]
     assert training_columns(again, "val").count() == manifest["n_val"]
