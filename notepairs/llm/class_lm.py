@@ -16,6 +16,7 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,33 +42,56 @@ END = b""
 _ONCE, _UNKNOWN = 128, 255
 
 _BLOCKS = pa.schema([
-    ("block", pa.string()), ("words", pa.list_(pa.binary())), ("n", pa.list_(pa.int64())), ("ids", pa.binary()),
+    ("block", pa.int64()), ("words", pa.list_(pa.binary())), ("top", pa.list_(pa.binary())), ("top_n", pa.list_(pa.int64())), ("ids", pa.binary()),
     ("doc_id", pa.list_(pa.int64())), ("row_key", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())), ("ends", pa.list_(pa.int64())),
 ])
-_BLOCK_DDL = "block string, words array<binary>, n array<long>, ids binary, doc_id array<long>, row_key array<long>, held_out array<boolean>, ends array<long>"
-_WORDS = pa.schema([("word", pa.binary()), ("n", pa.int64()), ("at", pa.list_(pa.int32())), ("k", pa.list_(pa.int64()))])
-_WORD_DDL = "word binary, n long, at array<int>, k array<long>"
-
-
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Task: blocks of texts as token numbers."""
+_BLOCK_DDL = (
+    "block long, words array<binary>, top array<binary>, top_n array<long>, ids binary, doc_id array<long>, row_key array<long>,"
+    " held_out array<boolean>, ends array<long>"
+)
+#: One neighbour count of a word, one place of a word in a block, and what a block learns of its word.
+_NEAR = np.dtype([("at", "<u2"), ("k", "<u4")])
+_REF = np.dtype([("block", "<u4"), ("local", "<u4")])
+_KNOWN = np.dtype([("local", "<u4"), ("n", "<u8"), ("cls", "u1")])
+_WORDS = pa.schema([("word", pa.binary()), ("near", pa.binary()), ("refs", pa.binary())])
+_WORD_DDL = "word binary, near binary, refs binary"
+_TOKENS_AT_ONCE = 1 << 19
+
+
+def _packed(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """Consecutive runs of records as one binary value each."""
+    ends = (np.asarray(offsets) * data.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(data.tobytes())])
+
+
+def _unpacked(column: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """All records of a binary column, and the row of each."""
+    parts = column.to_pylist()
+    rows = np.repeat(np.arange(len(parts)), [len(p) // kind.itemsize for p in parts])
+    return np.frombuffer(b"".join(parts), kind), rows
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], contexts: int) -> Iterator[pa.RecordBatch]:
+    """Task: blocks of texts as token numbers, with the block's most frequent words."""
     task, number = TaskContext.get().partitionId(), 0
     pack = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         for part in by_bytes(batch, "text", BLOCK_BYTES):
             words: dict[bytes, int] = {END: 0}
-            ids: list[int] = []
+            ids = array("I")
             ends = []
             for text in part.column("text").to_pylist():
-                for token in text.encode("utf-8", "surrogatepass").translate(_LOWER).split():
-                    ids.append(words.setdefault(token, len(words)))
+                ids.extend([words.setdefault(t, len(words)) for t in text.encode("utf-8", "surrogatepass").translate(_LOWER).split()])
                 ids.append(0)
                 ends.append(len(ids))
             held = np.array(part.column("held_out").to_pylist(), bool)
-            tokens, stops = np.array(ids, np.uint32), np.array(ends)
-            trained = np.repeat(~held, np.diff(stops, prepend=0))
+            tokens, stops = np.frombuffer(ids, np.uint32), np.array(ends)
+            n = np.bincount(tokens[np.repeat(~held, np.diff(stops, prepend=0))], minlength=len(words))
+            names = list(words)
+            top = np.argsort(-n, kind="stable")[: 4 * contexts]
+            top = top[n[top] > 0].tolist()
             yield record_batches({
-                "block": [f"{task}-{number}"], "words": [list(words)], "n": [np.bincount(tokens[trained], minlength=len(words))],
+                "block": [(task << 12) + number], "words": [names], "top": [[names[i] for i in top]], "top_n": [n[top]],
                 "ids": [pack.compress(tokens.tobytes())], "doc_id": [part.column("doc_id").to_pylist()],
                 "row_key": [part.column("row_key").to_pylist()], "held_out": [held.tolist()], "ends": [ends],
             }, _BLOCKS)
@@ -79,38 +103,33 @@ def _tokens(ids: bytes) -> np.ndarray:
 
 
 def _contexts(batches: Iterator[pa.RecordBatch], frequent: list[bytes]) -> Iterator[pa.RecordBatch]:
-    """Task: per block and training word its count and its neighbours among the contexts.
+    """Task: per block and word its place, and the neighbours in training texts among the contexts.
 
     Place ``f`` holds left neighbours, place ``width + f`` right ones; the last place of
-    each side stands for all other words.
+    each side stands for all other words. Every training token has one left neighbour, so
+    the left counts sum up to the count of the word.
     """
     where = {w: i for i, w in enumerate(frequent)}
     width = len(frequent) + 1
     for batch in batches:
         for i in range(batch.num_rows):
-            row = {c: batch.column(c)[i] for c in ("words", "n", "ids", "held_out", "ends")}
-            words, n = row["words"].values, row["n"].values.to_numpy()
+            words = batch.column("words")[i].values
             context = np.array([where.get(w, width - 1) for w in words.to_pylist()])
-            tokens, ends = _tokens(row["ids"].as_py()), row["ends"].values.to_numpy()
-            held = row["held_out"].values.to_numpy(zero_copy_only=False)
+            tokens, ends = _tokens(batch.column("ids")[i].as_py()), batch.column("ends")[i].values.to_numpy()
+            held = batch.column("held_out")[i].values.to_numpy(zero_copy_only=False)
             trained = np.repeat(~held, np.diff(ends, prepend=0))
             left = np.concatenate([[0], tokens[:-1]])
             inner = trained & (tokens != 0)
-            keys = [tokens[trained] * (2 * width) + context[left[trained]], tokens[inner] * (2 * width) + width + context[np.roll(tokens, -1)[inner]]]
-            keys, k = np.unique(np.concatenate(keys), return_counts=True)
-            owner, first = np.unique(keys // (2 * width), return_index=True)
-            offsets = np.append(first, len(keys)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                words.take(pa.array(owner)), pa.array(n[owner]), pa.ListArray.from_arrays(offsets, pa.array((keys % (2 * width)).astype(np.int32))),
-                pa.ListArray.from_arrays(offsets, pa.array(k.astype(np.int64))),
-            ], schema=_WORDS)
-
-
-def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, place and count of every entry of a batch of words."""
-    at, k = batch.column("at"), batch.column("k")
-    sizes = np.diff(at.offsets.to_numpy())
-    return np.repeat(np.arange(batch.num_rows), sizes), at.flatten().to_numpy(), k.flatten().to_numpy()
+            keys = np.concatenate([
+                tokens[trained] * (2 * width) + context[left[trained]], tokens[inner] * (2 * width) + width + context[np.roll(tokens, -1)[inner]]
+            ])
+            keys, k = np.unique(keys, return_counts=True)
+            near = np.empty(len(keys), _NEAR)
+            near["at"], near["k"] = keys % (2 * width), k
+            refs = np.empty(len(words), _REF)
+            refs["block"], refs["local"] = batch.column("block")[i].as_py(), np.arange(len(words))
+            offsets = np.searchsorted(keys, np.arange(len(words) + 1) * (2 * width))
+            yield pa.RecordBatch.from_arrays([words, _packed(near, offsets), _packed(refs, np.arange(len(words) + 1))], schema=_WORDS)
 
 
 def _merged(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[pa.RecordBatch]:
@@ -121,14 +140,15 @@ def _merged(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[pa.Recor
         words = batch.column("word").to_pylist()
         new = np.array([i == 0 or w != words[i - 1] for i, w in enumerate(words)])
         group = np.cumsum(new) - 1
-        row, at, k = _flat(batch)
-        keys, inverse = np.unique(group[row] * places + at, return_inverse=True)
-        sums = np.bincount(inverse, weights=k).astype(np.int64)
-        n = np.bincount(group, weights=batch.column("n").to_numpy()).astype(np.int64)
-        offsets = np.searchsorted(keys, np.arange(len(n) + 1) * places).astype(np.int32)
+        near, row = _unpacked(batch.column("near"), _NEAR)
+        keys, inverse = np.unique(group[row] * places + near["at"], return_inverse=True)
+        sums = np.empty(len(keys), _NEAR)
+        sums["at"], sums["k"] = keys % places, np.bincount(inverse, weights=near["k"], minlength=len(keys))
+        refs, row = _unpacked(batch.column("refs"), _REF)
+        groups = np.arange(group[-1] + 2)
         return pa.RecordBatch.from_arrays([
-            batch.column("word").take(pa.array(np.flatnonzero(new))), pa.array(n),
-            pa.ListArray.from_arrays(offsets, pa.array((keys % places).astype(np.int32))), pa.ListArray.from_arrays(offsets, pa.array(sums)),
+            batch.column("word").take(pa.array(np.flatnonzero(new))), _packed(sums, np.searchsorted(keys, groups * places)),
+            _packed(refs, np.searchsorted(group[row], groups)),
         ], schema=_WORDS)
 
     for batch in batches:
@@ -141,40 +161,64 @@ def _merged(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[pa.Recor
         # The last word may go on in the next batch.
         rest = done.slice(done.num_rows - 1)
         if done.num_rows > 1:
-            yield done.slice(0, done.num_rows - 1)
+            yield from by_bytes(done.slice(0, done.num_rows - 1), "refs", 4 << 20)
     if rest is not None:
         yield rest
 
 
-def _best(batch: pa.RecordBatch, logs: np.ndarray) -> np.ndarray:
+def _counts(near: np.ndarray, row: np.ndarray, rows: int, places: int) -> np.ndarray:
+    """Training count of every word of a batch: the sum of its left neighbours."""
+    left = near["at"] < places // 2
+    return np.bincount(row[left], weights=near["k"][left], minlength=rows).astype(np.int64)
+
+
+def _sizes(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[pa.RecordBatch]:
+    """Task: training counts of the words."""
+    for batch in batches:
+        near, row = _unpacked(batch.column("near"), _NEAR)
+        yield pa.RecordBatch.from_arrays([pa.array(_counts(near, row, batch.num_rows, places))], names=["n"])
+
+
+def _best(near: np.ndarray, row: np.ndarray, rows: int, logs: np.ndarray) -> np.ndarray:
     """Class of every word of a batch: the one under which its neighbours are likeliest."""
-    row, at, k = _flat(batch)
-    out = np.zeros(batch.num_rows, np.int64)
-    for start in range(0, batch.num_rows, 2_000):
+    out = np.zeros(rows, np.int64)
+    for start in range(0, rows, 2_000):
         lo, hi = np.searchsorted(row, [start, start + 2_000])
-        if lo == hi:
-            continue
-        first = np.flatnonzero(np.diff(row[lo:hi], prepend=-1))
-        gains = np.add.reduceat(logs[at[lo:hi]] * k[lo:hi, None].astype(np.float32), first, axis=0)
-        out[row[lo:hi][first]] = gains.argmax(axis=1)
+        if lo < hi:
+            first = np.flatnonzero(np.diff(row[lo:hi], prepend=-1))
+            gains = np.add.reduceat(logs[near["at"][lo:hi]] * near["k"][lo:hi, None].astype(np.float32), first, axis=0)
+            out[row[lo:hi][first]] = gains.argmax(axis=1)
     return out
 
 
 def _sums(batches: Iterator[pa.RecordBatch], logs: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Task: neighbour counts of the classes that a sweep makes of its words."""
-    classes, places = logs.shape[1], logs.shape[0]
+    places, classes = logs.shape
     total = np.zeros(classes * places)
     for batch in batches:
-        cls = _best(batch, logs)
-        row, at, k = _flat(batch)
-        total += np.bincount(cls[row] * places + at, weights=k, minlength=classes * places)
+        near, row = _unpacked(batch.column("near"), _NEAR)
+        cls = _best(near, row, batch.num_rows, logs)
+        total += np.bincount(cls[row] * places + near["at"], weights=near["k"], minlength=classes * places)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array(total[at].astype(np.int64))], names=["at", "k"])
 
 
 def _assigned(batches: Iterator[pa.RecordBatch], logs: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Task: per block, packed, the counts and classes of its words."""
     for batch in batches:
-        yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(_best(batch, logs).astype(np.int32))], names=["word", "n", "cls"])
+        near, row = _unpacked(batch.column("near"), _NEAR)
+        n, cls = _counts(near, row, batch.num_rows, len(logs)), _best(near, row, batch.num_rows, logs)
+        refs, word = _unpacked(batch.column("refs"), _REF)
+        trained = n[word] > 0
+        refs, word = refs[trained], word[trained]
+        order = np.argsort(refs["block"], kind="stable")
+        refs, word = refs[order], word[order]
+        known = np.empty(len(refs), _KNOWN)
+        known["local"], known["n"], known["cls"] = refs["local"], n[word], cls[word]
+        blocks, first = np.unique(refs["block"], return_index=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(blocks.astype(np.int64)), _packed(known, np.append(first, len(refs)))], names=["block", "known"]
+        )
 
 
 def profile_logs(sums: np.ndarray) -> np.ndarray:
@@ -189,25 +233,23 @@ def profile_logs(sums: np.ndarray) -> np.ndarray:
     return out.T.astype(np.float32).copy()
 
 
-def exchange(words: DataFrame, places: int, *, classes: int = CLASSES, sweeps: int = SWEEPS) -> DataFrame:
-    """``word, n, cls`` after parallel exchange sweeps over a stored table of words.
+def exchange(words: DataFrame, seeds: list[np.ndarray], places: int, *, classes: int = CLASSES, sweeps: int = SWEEPS) -> np.ndarray:
+    """Class sums (classes, places) after parallel exchange sweeps over a stored table of words.
 
-    The most frequent words start as classes of their own. The driver holds one number per
-    class and place, whatever the number of words.
+    The words of ``seeds``, by their neighbour counts, start as classes of their own. The
+    driver holds one number per class and place, whatever the number of words.
     """
-    seeds = words.orderBy(F.desc("n"), "word").limit(classes).collect()
     sums = np.zeros((classes, places))
-    for c, seed in enumerate(seeds):
-        sums[c, seed["at"]] = seed["k"]
+    for c, near in enumerate(seeds[:classes]):
+        sums[c, near["at"]] = near["k"]
     for _ in range(sweeps):
         logs = profile_logs(sums)
-        parts = words.select("at", "k").mapInArrow(lambda b, logs=logs: _sums(b, logs), "at long, k long")
+        parts = words.select("near").mapInArrow(lambda b, logs=logs: _sums(b, logs), "at long, k long")
         sums = np.zeros(classes * places)
         for row in parts.groupBy("at").agg(F.sum("k").alias("k")).collect():
             sums[row["at"]] = row["k"]
         sums = sums.reshape(classes, places)
-    logs = profile_logs(sums)
-    return words.mapInArrow(lambda b: _assigned(b, logs), "word binary, n long, cls int")
+    return sums
 
 
 _TEXTS = pa.schema([
@@ -221,12 +263,10 @@ def _classed(batches: Iterator[pa.RecordBatch], total: int, distinct: int, class
     """Task: blocks with the counts and classes of their words become scored texts with class sequences."""
     for batch in batches:
         for i in range(batch.num_rows):
-            size = len(batch.column("words")[i].values)
+            size = batch.column("size")[i].as_py()
             n, cls = np.zeros(size), np.zeros(size, np.int64)
-            known = batch.column("known")[i].values
-            if known is not None and len(known):
-                at = known.field("local").to_numpy()
-                n[at], cls[at] = known.field("n").to_numpy(), known.field("cls").to_numpy()
+            known = np.frombuffer(b"".join(batch.column("known")[i].as_py() or []), _KNOWN)
+            n[known["local"]], cls[known["local"]] = known["n"], known["cls"]
             base = np.log10((n + 0.5) / (total + 0.5 * (distinct + 1)))
             emitted = np.where(n > 0, np.log10(np.maximum(n, 1) / np.maximum(class_n[cls], 1)), 0.0)
             mark = np.where(n > 0, cls + np.where(n == 1, _ONCE, 0), _UNKNOWN).astype(np.uint8)
@@ -255,10 +295,8 @@ def _transitions(batches: Iterator[pa.RecordBatch], classes: int, end: int) -> I
     """Task: counts of class pairs; the last row follows words that occur once, the last column leads to them."""
     size = classes + 1
     total = np.zeros(size * size, np.int64)
-    for batch in batches:
+    for batch in (part for whole in batches for part in by_bytes(whole, "seq", _TOKENS_AT_ONCE)):
         seq = np.frombuffer(b"".join(batch.column("seq").to_pylist()), np.uint8)
-        if not len(seq):
-            continue
         before, now = _steps(seq, classes, end)
         for rows, chosen in ((_class(before, classes), slice(None)), (np.full(len(seq), classes), before >= _ONCE)):
             a, b, once = rows[chosen], _class(now, classes)[chosen], (now >= _ONCE)[chosen]
@@ -285,11 +323,9 @@ def transition_logs(counts: np.ndarray, shares: np.ndarray) -> np.ndarray:
 
 def _scored(batches: Iterator[pa.RecordBatch], logs: np.ndarray, end: int) -> Iterator[pa.RecordBatch]:
     classes = len(logs) - 1
-    for batch in batches:
+    for batch in (part for whole in batches for part in by_bytes(whole, "seq", _TOKENS_AT_ONCE)):
         parts = batch.column("seq").to_pylist()
         seq = np.frombuffer(b"".join(parts), np.uint8)
-        if not len(seq):
-            continue
         before, now = _steps(seq, classes, end)
         starts = np.concatenate([[0], np.cumsum([len(p) for p in parts])[:-1]])
         moved = np.add.reduceat(logs[_class(before, classes), _class(now, classes)], starts)
@@ -312,25 +348,29 @@ def score_texts(
     marked = docs.select(
         docs[id_column].cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held_out"), text_or_empty(docs, text_column).alias("text")
     )
-    blocks = stage(marked.select("doc_id", row_key(F.col("text")).alias("row_key"), "held_out", "text").mapInArrow(_numbered, _BLOCK_DDL))
+    blocks = stage(marked.select("doc_id", row_key(F.col("text")).alias("row_key"), "held_out", "text").mapInArrow(lambda b: _numbered(b, contexts), _BLOCK_DDL))
     # Contexts are a model choice: sums over each block's most frequent words, a bounded number per block.
-    tops = F.slice(F.reverse(F.array_sort(F.arrays_zip(F.col("n"), F.col("words")))), 1, 4 * contexts)
-    counted = blocks.select(F.explode(tops).alias("t")).groupBy("t.words").agg(F.sum("t.n").alias("n")).where("n > 0")
-    frequent = [bytes(r["words"]) for r in counted.orderBy(F.desc("n"), "words").limit(contexts).collect()]
+    tops = blocks.select(F.inline(F.arrays_zip("top", "top_n"))).groupBy("top").agg(F.sum("top_n").alias("n"))
+    frequent = [bytes(r["top"]) for r in tops.orderBy(F.desc("n"), "top").limit(contexts).collect()]
+    # Texts start after the end token, so its class must be at hand.
+    frequent = [END] * bool(frequent) + [w for w in frequent if w != END][: contexts - 1]
     places = 2 * (len(frequent) + 1)
-    pieces = blocks.select("words", "n", "ids", "held_out", "ends").mapInArrow(lambda b: _contexts(b, frequent), _WORD_DDL)
+    pieces = blocks.select("block", "words", "ids", "held_out", "ends").mapInArrow(lambda b: _contexts(b, frequent), _WORD_DDL)
     words = stage(pieces.repartition("word").sortWithinPartitions("word").mapInArrow(lambda b: _merged(b, places), _WORD_DDL))
-    sizes = words.agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
+    sizes = words.select("near").mapInArrow(lambda b: _sizes(b, places), "n long").where("n > 0").agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
     total, distinct = sizes["total"] or 0, sizes["distinct"]
-    classed = stage(exchange(words, places, classes=classes, sweeps=sweeps))
+    first = {bytes(r["word"]): np.frombuffer(r["near"], _NEAR) for r in words.where(F.col("word").isin(*map(bytearray, frequent))).select("word", "near").collect()}
+    sums = exchange(words, [first[w] for w in frequent], places, classes=classes, sweeps=sweeps)
+    logs = profile_logs(sums)
+    # The classes of a further sweep are the ones that count; their sizes follow from the same pass.
+    known = stage(words.select("near", "refs").mapInArrow(lambda b: _assigned(b, logs), "block long, known binary"))
+    final = words.select("near").mapInArrow(lambda b: _sums(b, logs), "at long, k long").where(F.pmod("at", F.lit(places)) < places // 2)
     class_n = np.zeros(classes)
-    for row in classed.groupBy("cls").agg(F.sum("n").alias("n")).collect():
+    for row in final.groupBy(F.floor(F.col("at") / places).alias("cls")).agg(F.sum("k").alias("n")).collect():
         class_n[row["cls"]] = row["n"]
-    first = classed.where(F.col("word") == F.lit(bytearray(END))).select("cls").first()
-    end = first["cls"] if first else _UNKNOWN
-    local = blocks.select("block", F.posexplode("words").alias("local", "word"))
-    known = local.join(classed, "word").groupBy("block").agg(F.collect_list(F.struct("local", "n", "cls")).alias("known"))
-    met = blocks.drop("n").join(known, "block", "left").select("words", "ids", "doc_id", "row_key", "held_out", "ends", "known")
+    end = int(_best(first[END], np.zeros(len(first[END]), np.int64), 1, logs)[0]) if END in first else _UNKNOWN
+    per_block = known.groupBy("block").agg(F.collect_list("known").alias("known"))
+    met = blocks.select("block", F.size("words").alias("size"), "ids", "doc_id", "row_key", "held_out", "ends").join(per_block, "block", "left").drop("block")
     texts = stage(met.mapInArrow(lambda b: _classed(b, total, distinct, class_n), _TEXT_DDL))
     pairs = texts.where("NOT held_out").select("seq").mapInArrow(lambda b: _transitions(b, classes, end), "at long, k long")
     counts = np.zeros((classes + 1) ** 2)
