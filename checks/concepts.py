@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.corpus import filled
+from checks.corpus import filled, folder
 from checks.evaluation import GREEDY, ROUGE_PARTS, _prf, evals, rounded
 from checks.views import view, with_views
 from notepairs import constants as C
@@ -12,6 +12,8 @@ from notepairs.functions.answers import answers_of, json_answers, listed_answers
 from notepairs.operators import cloze
 from notepairs.operators import concepts as K
 from notepairs.session import stage, tune
+from notepairs.sources import sinks
+from notepairs.sources.tables import read_concept_names, read_concept_types
 
 LOOSE = 0.5
 
@@ -64,7 +66,13 @@ def _responses(df, form):
 
 
 def concept_dim(spark, sf_dir):
-    return concepts(spark, sf_dir).select("cui", "name", F.array_join("type_ids", ",").alias("type_ids"))
+    """Dictionary from pipe-delimited files of names and types, written first."""
+    names, types = view(tune(spark), sf_dir, "fx_names"), view(spark, sf_dir, "fx_types")
+    filler = lambda n: [F.lit("").alias(f"f{n}_{i}") for i in range(n)]
+    sinks.write_pipes(names.select("cui", *filler(10), F.lit("ICD10").alias("source"), *filler(1), F.lit("I0").alias("code"), "name", *filler(3)), a := folder(spark, "names"))
+    sinks.write_pipes(types.select("cui", "type_id", *filler(4)), b := folder(spark, "types"))
+    table = K.concept_table(read_concept_names(spark, a).select("cui", "name"), read_concept_types(spark, b))
+    return table.select("cui", "name", F.array_join("type_ids", ",").alias("type_ids"))
 
 
 def cui_icd10(spark, sf_dir):

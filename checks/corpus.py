@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from checks.views import view, with_views
@@ -11,9 +13,10 @@ from notepairs.functions.sections import strip_signature, with_headings
 from notepairs.functions.text import clean_text, settle
 from notepairs.operators import pairs as N
 from notepairs.operators import splits as S
-from notepairs.operators.inference import batch_infer
-from notepairs.session import stage, tune
-from notepairs.sources.tables import missing_tables
+from notepairs.operators.inference import stored_inference
+from notepairs.session import shared_folder, stage, tune
+from notepairs.sources import sinks
+from notepairs.sources.tables import NOTES, missing_tables, read_csv
 
 MAX_TOKENS = 600
 SEED = "7"
@@ -49,12 +52,20 @@ def pairs(spark, sf_dir):
     return N.build_pairs(stage(N.outcomes(closed)), notes(spark, sf_dir))
 
 
+def folder(spark, name):
+    """A new folder among those that all executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 # Queries
 
 
 def scan_notes(spark, sf_dir):
-    return notes(spark, sf_dir).groupBy("category").agg(
-        F.count("*").alias("n"), F.count("charttime").alias("n_timed"), F.count("hadm_id").alias("n_admitted")
+    """Notes stored as CSV, read again and counted."""
+    sinks.write_csv(notes(spark, sf_dir), path := folder(spark, "csv"))
+    return read_csv(spark, path, NOTES).groupBy("category").agg(
+        F.count("*").alias("n"), F.count("charttime").alias("n_timed"), F.count("hadm_id").alias("n_admitted"),
+        F.sum(F.length("text")).alias("n_chars"),
     )
 
 
@@ -67,9 +78,12 @@ def patient_layout(spark, sf_dir):
     tables = {
         "patients": n.select("subject_id").distinct(), "admissions": admissions(spark, sf_dir), "noteevents": n,
     }
+    root = folder(spark, "subjects")
+    for name, df in tables.items():
+        sinks.write_by_subject(df, f"{root}/{name}")
     counts = [
-        df.groupBy("subject_id").agg(F.count("*").alias("n")).withColumn("table_name", F.lit(name))
-        for name, df in tables.items()
+        spark.read.parquet(f"{root}/{name}").groupBy("subject_id").agg(F.count("*").alias("n")).withColumn("table_name", F.lit(name))
+        for name in tables
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
@@ -143,7 +157,10 @@ def outcome_counts(spark, sf_dir):
 
 
 def pairs_all(spark, sf_dir):
-    return pairs(spark, sf_dir)
+    """All stored pairs, of all codes and headings."""
+    made = pairs(spark, sf_dir)
+    sinks.write_pairs(made, path := folder(spark, "pairs"))
+    return sinks.read_pairs(spark, path).select(*[F.col(c).cast(t).alias(c) for c, t in made.dtypes])
 
 
 def outcome_ids(spark, sf_dir):
@@ -151,13 +168,17 @@ def outcome_ids(spark, sf_dir):
     table = stage(N.outcomes(closed))
     words = N.build_pairs(table, notes(spark, sf_dir)).select("pair_id", "document_words", "summary_words")
     listed = table.select("pair_id", "code").join(words, "pair_id", "left")
-    return listed.na.fill(0, ["document_words", "summary_words"])
+    made = listed.na.fill(0, ["document_words", "summary_words"])
+    sinks.write_outcomes(made, path := folder(spark, "outcomes"))
+    return sinks.read_outcomes(spark, path).select(*[F.col(c).cast(t).alias(c) for c, t in made.dtypes])
 
 
 def pairs_by_code_heading(spark, sf_dir):
-    return graded(spark, sf_dir).filter(F.col("summary").isNotNull()).groupBy(
-        "code", N.heading_index(F.col("heading")).alias("heading_idx")
-    ).agg(F.count("*").alias("n"))
+    made = graded(spark, sf_dir).filter(F.col("summary").isNotNull()).select(
+        "pair_id", "code", N.heading_index(F.col("heading")).alias("heading_idx"), "summary"
+    )
+    sinks.write_pairs(made, path := folder(spark, "pairs"))
+    return sinks.read_pairs(spark, path).groupBy("code", "heading_idx").agg(F.count("*").alias("n"))
 
 
 def doc_stats(spark, sf_dir):
@@ -238,7 +259,7 @@ def batch_inference(spark, sf_dir):
     df = view(tune(spark), sf_dir, "fx_pairs").select(
         "pair_id", P.render(C.ZERO_SHOT_USER, F.col("document")).alias("text")
     )
-    return batch_infer(df, _longest_line, tasks=8)
+    return stored_inference(df, _longest_line, folder(spark, "generated"), tasks=8)
 
 
 QUERIES = {
@@ -375,8 +396,8 @@ _MARK = _quoted(C.SUMMARY_MARKER)
 _DOC = "document"
 
 SQL = {
-    "scan_notes": f"""{with_views("fx_notes")} SELECT category, count(*) AS n, count(charttime) AS n_timed, count(hadm_id) AS n_admitted
-FROM fx_notes GROUP BY category""",
+    "scan_notes": f"""{with_views("fx_notes")} SELECT category, count(*) AS n, count(charttime) AS n_timed, count(hadm_id) AS n_admitted,
+sum(length(text))::BIGINT AS n_chars FROM fx_notes GROUP BY category""",
     "missing_sources": f"""{with_views("fx_files")}, expected AS (SELECT unnest({list(C.EXPECTED_TABLES)}) AS name)
 SELECT delivery, name AS missing FROM (SELECT DISTINCT delivery FROM fx_files) AS d, expected
 WHERE NOT EXISTS (SELECT 1 FROM fx_files AS f WHERE f.delivery = d.delivery AND f.file IN (name || '.csv', name || '.csv.gz'))""",

@@ -41,7 +41,7 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_pipes(df: DataFrame, path: str) -> None:
     """Pipe-delimited table without quotes or header, as the concept files are."""
-    df.write.mode("overwrite").csv(path, sep="|", quote="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    df.write.mode("overwrite").csv(path, sep="|", quote="", emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def read_outcomes(spark: SparkSession, path: str) -> DataFrame:
