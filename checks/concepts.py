@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.corpus import filled, folder
+from checks.corpus import _quoted, filled, folder
 from checks.evaluation import GREEDY, ROUGE_PARTS, _prf, evals, rounded
 from checks.views import view, with_views
 from notepairs import constants as C
 from notepairs.functions.answers import answers_of, json_answers, listed_answers, parse_list
 from notepairs.operators import cloze
 from notepairs.operators import concepts as K
+from notepairs.plans import generation
 from notepairs.session import stage, tune
 from notepairs.sources import sinks
 from notepairs.sources.tables import read_concept_names, read_concept_types
@@ -134,6 +135,10 @@ def coverage_check(spark, sf_dir):
     return cloze.coverage(pairs(spark, sf_dir), mentions(spark, sf_dir))
 
 
+def cloze_prompts(spark, sf_dir):
+    return generation.cloze_prompts(masks(spark, sf_dir))
+
+
 def cloze_train_text(spark, sf_dir):
     return cloze.training_texts(masks(spark, sf_dir), eos="</s>")
 
@@ -168,7 +173,7 @@ QUERIES = {
     "parse_type_ids": parse_type_ids, "mask_one": mask_one, "mask_all": mask_all,
     "mention_integrity": mention_integrity, "mask_count_check": mask_count_check,
     "summary_override": summary_override, "coverage_check": coverage_check,
-    "cloze_train_text": cloze_train_text, "answers_json": answers_json, "answers_csv": answers_csv,
+    "cloze_prompts": cloze_prompts, "cloze_train_text": cloze_train_text, "answers_json": answers_json, "answers_csv": answers_csv,
     "fill_masks": fill("json"), "fill_masks_list": fill("list"),
 }
 
@@ -288,6 +293,8 @@ CAST(len(ordered) AS INTEGER) AS n_answers FROM fold AS f JOIN spans AS s ON f.p
 FROM fx_pairs AS p LEFT JOIN fx_candidates AS c ON p.pair_id = c.pair_id""",
     "coverage_check": f"""{_HEAD}, {_MENTIONS} SELECT pair_id, 'extraction' AS missing FROM fx_pairs AS p WHERE NOT EXISTS (
 SELECT 1 FROM mentions AS m WHERE m.pair_id = p.pair_id)""",
+    "cloze_prompts": f"""{_MASKS} SELECT pair_id, '<|system|>' || chr(10) || {_quoted(C.CLOZE_SYSTEM)} || chr(10) || '<|user|>' || chr(10)
+|| {filled(C.CLOZE_USER, "len(a)", 'document', 'masked_summary')} || chr(10) AS text FROM masks WHERE len(string_split(masked_summary, 'MASK')) - 1 = len(a)""",
     "cloze_train_text": f"""{_MASKS} SELECT pair_id, {filled(C.CLOZE_TEMPLATE, 'document', 'masked_summary', "array_to_string(a, ', ')")} || '</s>' AS text FROM masks""",
     "answers_json": f"{_MASKS}, {_JSON} SELECT pair_id, array_to_string(got, '|') AS parsed FROM parsed_json WHERE got IS NOT NULL",
     "answers_csv": f"{_MASKS}, {_LIST} SELECT pair_id, array_to_string(got, '|') AS parsed FROM parsed_list",

@@ -297,3 +297,33 @@ HALLUCINATION_USER = (
     "\n    Now, let's start. Generate the hallucinated summary: \n"
     "    Clinical Notes- {} \n    Reference Summary- {}\n    "
 )
+
+# System prompts of the three chat generators.
+ZERO_SHOT_SYSTEM = """
+    You are a clinical writing assistant. You are tasked with generating a brief hospital course summary based on provided clinical notes. Clinical notes are seperated by the indicator [DOC_SEP] to indicate each document. The output should be the summarized brief hospital course. Make sure to output with no introduction, no explaintation, only the summarized brief hospital course.
+    """
+CLOZE_SYSTEM = """
+    You are a clinical writing assistant. You are tasked with filling a incomplete brief hospital course summary based on provided clinical notes. Clinical notes are seperated by the indicator [DOC_SEP] to indicate each document. The incomplete brief hospital course summary has mutiple words MASK that represents the missing part. The goal is to fill in all missing parts of the summary based on the provided clinical notes. The output should be the words to replace every MASK word. If you cannot find the correct words, use NOT_FOUND to indicate it.
+
+    Steps for generating the hallucinated summary: 
+    Step 1: Find every MASK word in the incomplete brief hospital course summary and make sure that the number of MASK is correct. If you find the number of MASK is different from the number I provided, then you must count it wrong.
+    Step 2: Use the provided clinical notes to find the words to replace every MASK word. 
+
+    The output should strictly be in the following JSON object format and remember to include the {} at the begining and end of the JSON object:
+    {1: "your answer for the first missing part", 2: "your answer for the second missing part", ...}
+    """
+HALLUCINATION_SYSTEM = """
+    You are a clinical writing assistant who is in edit mode. You are tasked with generating hallucinated brief hospital course summary based on provided clinical notes and a reference summary for the clinical notes. Clinical notes are seperated by the indicator [DOC_SEP] to indicate each document. The goal is to edit the reference summary to generate a hallucinated summary that sounds plausible but includes edits introduced through an edit operation which can be one of the following: 
+    Add Operation: Intentionally add medico-legally essential words from the clinical notes not required for accurate diagnosis and treatment documentation. 
+    Omit Operation: Intentionally omit medico-legally essential words in the reference summary required for accurate diagnosis and treatment documentation. 
+
+    For these operations focus on words that, if missing or incorrect in the hallucinated summary, could lead to wrong diagnoses and treatments in the future. Maintain coherence while excluding essential terms. The hallucinated summary should be concise and contain no more than FIVE EXTRA WORDS compared to the reference summary and should have an equal number of Add/Omit operations. 
+
+    Steps for generating the hallucinated summary: 
+    Step 1: List the proposed edit operations to introduce hallucination on the reference summary. 
+    Step 2: Use the proposed edit operations to edit the reference summary.
+
+    The output should strictly be in the following format: 
+    Numbererd List hallucination edits made: {Edit 1}, {Edit 2}, {Edit 3} ... 
+    Hallucinated Summary:
+    """

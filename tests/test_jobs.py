@@ -28,3 +28,34 @@ def test_evaluation(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/embedding").count() == 1
     short = evaluate("m", pairs, cands, str(tmp_path / "short"), max_tokens=2)
     assert {r.metric: r["mean"] for r in short.collect()}["rouge1_f1"] == 1.0
+
+
+def test_rewriting_from_summaries_to_texts(spark, tmp_path):
+    from notepairs.operators import concepts as K
+    from notepairs.plans.generation import rewrite_summaries
+
+    pairs = spark.createDataFrame(
+        [("p", "doc", "heart failure then aspirin"), ("q", "doc", "aspirin only")], "pair_id string, document string, summary string"
+    )
+    names = spark.createDataFrame([("C1", "heart failure"), ("C2", "aspirin")], "cui string, name string")
+    types = spark.createDataFrame([("C1", "T047"), ("C2", "T121")], "cui string, type_id string")
+    texts = pairs.selectExpr("pair_id", "summary AS text")
+    mentions = K.mention_texts(K.match_exact(texts, K.concept_table(names, types)), texts)
+
+    def factory():
+        import re
+
+        def answer(prompts):
+            counts = [int(re.search(r"There are exactly (\d+) number", p)[1]) for p in prompts]
+            return ["{" + ", ".join(f'{i}: "w{i}"' for i in range(1, n + 1)) + "}" for n in counts]
+
+        return answer
+
+    done = rewrite_summaries(pairs, mentions, factory, str(tmp_path / "job"))
+    assert {r.pair_id: r.text for r in done.collect()} == {"p": "w1 then w2", "q": "w1 only"}
+    assert spark.read.parquet(str(tmp_path / "job" / "responses")).count() == 2
+    import pytest
+
+    extra = mentions.union(mentions.limit(1).withColumn("pair_id", mentions["cui"]))
+    with pytest.raises(ValueError, match="without a summary"):
+        rewrite_summaries(pairs, extra, factory, str(tmp_path / "again"))
