@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from checks.corpus import _TOKENS, filled
+from checks.stems import stems
 from checks.views import view, with_views
 from notepairs import constants as C
 from notepairs.functions.stemming import stem_table
@@ -173,7 +174,16 @@ _RECURSIVE = EVALS.replace("WITH", "WITH RECURSIVE", 1)
 ROUGE_PARTS = f"{_TOKEN_ROWS}, {_ngrams(1)}, {_ngrams(2)}, {_LCS}"
 GREEDY = _GREEDY
 
+_STEMMED = f"""{_TOKEN_ROWS.replace('words AS', 'plain AS', 1)},
+tokens AS (SELECT w AS token FROM plain),
+{stems('tokens')},
+words AS (SELECT pair_id, side, stem AS w, i FROM plain JOIN stems ON plain.w = stems.token)"""
+
 SQL = {
+    "stem_dim": f"{EVALS}, {_STEMMED} SELECT token, stem FROM stems",
+    "rouge_stemmed": f"""{_RECURSIVE}, {_STEMMED}, {_ngrams(1)}, {_ngrams(2)}, {_LCS}
+SELECT n1.pair_id, {_prf('rouge1', 'n1.both_n', 'n1.ref_n', 'n1.cand_n')}, {_prf('rouge2', 'n2.both_n', 'n2.ref_n', 'n2.cand_n')},
+{_prf('rougeL', 'lcs.both_n', 'lcs.ref_n', 'lcs.cand_n')} FROM n1 JOIN n2 ON n1.pair_id = n2.pair_id JOIN lcs ON n1.pair_id = lcs.pair_id""",
     "eval_pairs": f"{EVALS} SELECT * FROM evals",
     "eval_restricted": f"""{with_views('fx_pairs', 'fx_candidates')} SELECT p.pair_id, p.summary AS reference, c.candidate FROM fx_pairs AS p
 JOIN fx_candidates AS c ON p.pair_id = c.pair_id WHERE p.document <> '' AND {_TOKENS('p.document')} < {SHORT}""",

@@ -13,13 +13,15 @@ def evaluate(
     model: str, pairs: DataFrame, candidates: DataFrame, path: str, *, concepts: DataFrame | None = None,
     vectors: DataFrame | None = None, max_tokens: int | None = None,
 ) -> DataFrame:
-    """Write the score tables of one model under ``path`` and return the mean of every metric.
+    """Write the evaluated pairs and the score tables of one model under ``path`` and return the mean of every metric.
 
     ``concepts`` adds concept precision and recall, ``vectors`` the greedy embedding score;
     ``max_tokens`` restricts the evaluation to short documents.
     """
     spark = pairs.sparkSession
-    evals = scores.eval_pairs(pairs, candidates, max_tokens=max_tokens)
+    # Every metric reads the joined texts, so they are stored first.
+    scores.eval_pairs(pairs, candidates, max_tokens=max_tokens).write.mode("overwrite").parquet(f"{path}/pairs")
+    evals = spark.read.parquet(f"{path}/pairs")
     tables = {"rouge": scores.rouge(evals)}
     if concepts is not None:
         tables["concepts"] = concept_scores(evals, concepts)
