@@ -33,7 +33,7 @@ from notepairs.session import stage
 VOCABULARY = "byte_bpe_50k.tiktoken"
 CHUNK = 32_768
 OVERLAP = 1_024
-_BATCH = 4 << 20
+_BATCH = 1 << 20
 
 
 @cache
@@ -81,6 +81,7 @@ def boundaries(text: str, start: int = 0) -> Iterator[int]:
 
 _CHUNKS = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("head", pa.list_(pa.int32())), ("tail", pa.list_(pa.int32()))])
 _IDS = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("ids", pa.binary())])
+_DECODED = pa.schema([*_IDS, ("decoded", pa.binary())])
 
 
 def _zones(chunk: int, overlap: int):
@@ -104,24 +105,27 @@ def _zones(chunk: int, overlap: int):
     return run
 
 
-def _encode(vocabulary: str):
+def _encode(vocabulary: str, decoded: bool):
+    """Task: ids of the texts and, in the same pass if wanted, the bytes that the ids decode to."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "text", _BATCH):
                 ids = [encode_text(t, vocabulary) for t in part.column("text").to_pylist()]
-                yield record_batches({"doc_id": part.column("doc_id"), "row_key": part.column("row_key"), "ids": ids}, _IDS)
+                columns = {"doc_id": part.column("doc_id"), "row_key": part.column("row_key"), "ids": ids}
+                if decoded:
+                    columns["decoded"] = [decode_ids(x, vocabulary) for x in ids]
+                yield record_batches(columns, _DECODED if decoded else _IDS)
 
     return run
 
 
 def _decode(vocabulary: str):
-    schema = pa.schema([*_IDS, ("decoded", pa.binary())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in by_bytes(batch, "ids", _BATCH):
                 columns = {c: part.column(c) for c in _IDS.names}
-                yield record_batches(columns | {"decoded": [decode_ids(x, vocabulary) for x in part.column("ids").to_pylist()]}, schema)
+                yield record_batches(columns | {"decoded": [decode_ids(x, vocabulary) for x in part.column("ids").to_pylist()]}, _DECODED)
 
     return run
 
@@ -140,11 +144,16 @@ def stitches(chunks: DataFrame) -> DataFrame:
 
 def encode(
     docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", vocabulary: str = VOCABULARY,
-    chunk: int = CHUNK, overlap: int = OVERLAP,
+    chunk: int = CHUNK, overlap: int = OVERLAP, decoded: bool = False,
 ) -> DataFrame:
-    """``doc_id, row_key, ids`` of every row."""
+    """``doc_id, row_key, ids`` of every row.
+
+    With ``decoded`` the tasks that encode also decode their ids, and the raw bytes of the
+    pieces are joined in order like the ids: one Python process a task instead of two.
+    """
     rows = rows_of(docs, id_column, text_column).withColumn("doc_id", F.col("doc_id").cast("long"))
-    run, schema = _encode(vocabulary), "doc_id long, row_key long, ids binary"
+    values = ["ids", "decoded"] if decoded else ["ids"]
+    run, schema = _encode(vocabulary, decoded), ", ".join(["doc_id long, row_key long", *[f"{v} binary" for v in values]])
     short = rows.where(F.length("text") <= chunk).mapInArrow(run, schema)
     long = stage(rows.where(F.length("text") > chunk).withColumn("row", F.monotonically_increasing_id()))
     tasks = docs.sparkSession.sparkContext.defaultParallelism * 4
@@ -159,10 +168,14 @@ def encode(
     pieces = cut.withColumn("edges", edges).select("row", "text", "edges", F.posexplode("edges").alias("piece", "start")).where("piece < size(edges) - 1")
     spans = pieces.select("row", "piece", F.substring("text", F.col("start") + 1, F.get("edges", F.col("piece") + 1) - F.col("start")).alias("text"))
     coded = spans.repartition(tasks, "row", "piece").select(F.col("row").alias("doc_id"), F.col("piece").cast("long").alias("row_key"), "text").mapInArrow(run, schema)
-    whole = coded.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("row_key", "ids"))).alias("all"))
-    ids = F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x["ids"])), ""))
-    joined = whole.select(F.col("doc_id").alias("row"), ids.alias("ids"))
-    return short.unionByName(long.select("row", "doc_id", "row_key").join(joined, "row").select("doc_id", "row_key", "ids"))
+    whole = coded.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("row_key", *values))).alias("all"))
+    joined = whole.select(F.col("doc_id").alias("row"), *[_joined(v) for v in values])
+    return short.unionByName(long.select("row", "doc_id", "row_key").join(joined, "row").select("doc_id", "row_key", *values))
+
+
+def _joined(value: str) -> Column:
+    """The binary pieces of a text, one after another."""
+    return F.unhex(F.array_join(F.transform("all", lambda x: F.hex(x[value])), "")).alias(value)
 
 
 def decode(encoded: DataFrame, *, vocabulary: str = VOCABULARY) -> DataFrame:

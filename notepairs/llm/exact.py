@@ -17,7 +17,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -89,17 +89,20 @@ def may_contain(keys: np.ndarray, seed: int, segment: int, segments: int, cells:
     return (table[a] ^ table[b] ^ table[c]) == prints
 
 
-def _filter_of(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
+def _filter_of(key: tuple[pa.Scalar, ...], shard: pa.Table) -> pa.Table:
     seed, segment, segments, cells = build_filter(shard["key"].to_numpy().view(np.uint64))
-    return pd.DataFrame({"shard": [key[0]], "seed": [seed], "segment": [segment], "segments": [segments], "cells": [cells]})
+    return pa.table({
+        "shard": pa.array([key[0].as_py()], pa.int64()), "seed": pa.array([seed], pa.int64()), "segment": pa.array([segment], pa.int32()),
+        "segments": pa.array([segments], pa.int32()), "cells": pa.array([cells], pa.binary()),
+    })
 
 
-def _screen(batch: pd.DataFrame, filters: pd.DataFrame) -> pd.DataFrame:
-    if not len(batch) or not len(filters):
-        return batch[["digest"]].iloc[:0]
-    f = filters.iloc[0]
-    found = may_contain(batch["key"].to_numpy().view(np.uint64), int(f.seed), int(f.segment), int(f.segments), f.cells)
-    return batch.loc[found, ["digest"]]
+def _screen(batch: pa.Table, filters: pa.Table) -> pa.Table:
+    if not batch.num_rows or not filters.num_rows:
+        return batch.select(["digest"]).slice(0, 0)
+    f = filters.slice(0, 1).to_pylist()[0]
+    found = may_contain(batch["key"].to_numpy().view(np.uint64), f["seed"], f["segment"], f["segments"], f["cells"])
+    return batch.select(["digest"]).filter(pa.array(found))
 
 
 @dataclass
@@ -131,7 +134,7 @@ def build_snapshot(rows: DataFrame) -> Snapshot:
     while shards * SHARD_KEYS < groups.count():
         shards *= 2
     keyed = groups.select(F.col("key").bitwiseAND(shards - 1).alias("shard"), "key")
-    return Snapshot(groups, stage(keyed.groupBy("shard").applyInPandas(_filter_of, _FILTER)), shards)
+    return Snapshot(groups, stage(keyed.groupBy("shard").applyInArrow(_filter_of, _FILTER)), shards)
 
 
 def positives(batch: DataFrame, n_batch: int, snapshot: Snapshot) -> DataFrame:
@@ -146,7 +149,7 @@ def positives(batch: DataFrame, n_batch: int, snapshot: Snapshot) -> DataFrame:
         F.pmod(F.shiftright("key", 40), F.lit(parts)).alias("part"),
     )
     right = snapshot.filters.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)).cast("array<long>")))
-    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInPandas(_screen, "digest binary")
+    return left.groupBy("shard", "part").cogroup(right.groupBy("shard", "part")).applyInArrow(_screen, "digest binary")
 
 
 def _same_bytes(pairs: DataFrame, docs: DataFrame, id_column: str, text_column: str) -> DataFrame:

@@ -58,7 +58,7 @@ def op7_mixing(spark, sf_dir):
 
 def bpe_digests(docs):
     """Token counts and digests of the ids and of the decoded bytes of every document."""
-    return bpe.decode(bpe.encode(docs)).select(
+    return bpe.encode(docs, decoded=True).select(
         "doc_id", bpe.n_ids(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

@@ -29,3 +29,5 @@ def test_round_trip(odd_docs, no_docs):
     assert sorted(bytes(r.decoded) for r in coded.collect()) == sorted((r.text or "").encode() for r in odd_docs.collect())
     assert coded.where(bpe.n_ids(F.col("ids")) * 4 != F.octet_length("ids")).count() == 0
     assert bpe.encode(no_docs).count() == 0
+    rows = lambda df: sorted((bytes(r.ids), bytes(r.decoded)) for r in df.collect())
+    assert rows(bpe.encode(odd_docs, decoded=True)) == rows(coded)
