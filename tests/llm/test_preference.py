@@ -1,5 +1,3 @@
-import pytest
-
 from notepairs.llm import preference as P
 
 TURNS = "pair_id long, turn long, role string, text string, prompt string"
@@ -36,7 +34,7 @@ def test_pairs(spark):
 
 
 def test_empty_and_repeated(spark):
-    none = frame(spark, {}) if False else spark.createDataFrame([], TURNS)
+    none = spark.createDataFrame([], TURNS)
     assert P.preference_pairs(none, none).count() == 0
     twice = frame(spark, CHOSEN).union(frame(spark, CHOSEN))
     got = {r.pair_id: r for r in P.preference_pairs(twice, twice).collect()}
@@ -53,8 +51,7 @@ def test_swapped_replies(spark):
     assert rejected == [(0, 0, "user", "a"), (0, 1, "assistant", "e"), (1, 0, "user", "d"), (1, 1, "assistant", "b")]
 
 
-@pytest.mark.parametrize("name", ["prompt"])
-def test_masks(spark, name):
+def test_masks(spark):
     pairs = P.preference_pairs(frame(spark, CHOSEN), frame(spark, REJECTED)).where("pair_id = 1")
-    row = pairs.select(P.completion(pairs["chosen"]).alias("c"), P.mask(pairs["chosen"]).alias("m"), name).first()
+    row = pairs.select(P.completion(pairs["chosen"]).alias("c"), P.mask(pairs["chosen"]).alias("m")).first()
     assert row.m == "0:22,1:15" and len(row.c) == 37
