@@ -19,6 +19,7 @@ from notepairs.session import stage
 
 SIEVE_BITS = 1 << 28  # 32 MB, whatever the number of names
 GRAM_SIEVE_BITS = 1 << 26  # 8 MB
+_GRAM_STEP, _SIZE_STEP = 0x9E3779B1, 0x85EBCA77
 SIEVE_CHUNKS = 256  # a bitmap is put together in as many pieces
 # How many gram counts a task holds at most. They only order the grams: with more frequent
 # grams than this the result is the same, but more windows pass the sieve.
@@ -163,11 +164,30 @@ def _frequent_grams(names: DataFrame) -> dict[str, int]:
     return {r["g"]: r["count"] for r in top}
 
 
-def _head(text: str, threshold: float, frequent: dict[str, int]) -> tuple[int, list[str]]:
-    """Size of the gram set of a text and its first grams, rare ones first."""
+class _Orders(dict):
+    """The place of a gram in the common order: rare ones first."""
+
+    def __init__(self, frequent: dict[str, int]):
+        self.frequent = frequent
+
+    def __missing__(self, gram: str) -> tuple[int, str]:
+        self[gram] = self.frequent.get(gram, 0), gram
+        return self[gram]
+
+
+class _Places(dict):
+    """Where the bits of a gram start."""
+
+    def __missing__(self, gram: str) -> int:
+        self[gram] = zlib.crc32(gram.encode()) * _GRAM_STEP
+        return self[gram]
+
+
+def _head(text: str, threshold: float, order: _Orders) -> tuple[int, list[str]]:
+    """Size of the gram set of a text and its first grams."""
     gs = {text[i : i + 3] for i in range(max(len(text) - 2, 1))}
     keep = len(gs) - math.ceil(threshold * len(gs) - 1e-9) + 1
-    return len(gs), sorted(gs, key=lambda g: (frequent.get(g, 0), g))[:keep]
+    return len(gs), sorted(gs, key=order.__getitem__)[:keep]
 
 
 def _prefixes(norm: Column, threshold: float, frequent: dict[str, int]) -> Column:
@@ -175,14 +195,15 @@ def _prefixes(norm: Column, threshold: float, frequent: dict[str, int]) -> Colum
 
     @F.pandas_udf("n int, prefix array<string>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([_head(t, threshold, frequent) for t in texts], columns=["n", "prefix"])
+        order = _Orders(frequent)
+        return pd.DataFrame([_head(t, threshold, order) for t in texts], columns=["n", "prefix"])
 
     return run(norm)
 
 
 def _gram_places(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Bits of (gram, size) pairs, the gram given by its checksum."""
-    return (grams * 0x9E3779B1 + sizes * 0x85EBCA77) % GRAM_SIEVE_BITS
+    return (grams * _GRAM_STEP + sizes * _SIZE_STEP) % GRAM_SIEVE_BITS
 
 
 def _sieved_prefixes(norm: Column, threshold: float, frequent: dict[str, int], shared) -> Column:
@@ -190,18 +211,22 @@ def _sieved_prefixes(norm: Column, threshold: float, frequent: dict[str, int], s
 
     @F.pandas_udf("g array<string>, size array<int>")
     def run(texts: pd.Series) -> pd.DataFrame:
-        words, found_grams, found_sizes = shared.value, [], []
-        sums: dict[str, int] = {}
+        view, mask = memoryview(shared.value).cast("B"), GRAM_SIEVE_BITS - 1
+        order, place = _Orders(frequent), _Places()
+        found_grams, found_sizes = [], []
         for t in texts:
-            n, prefix = _head(t, threshold, frequent)
+            n, prefix = _head(t, threshold, order)
+            sizes = range(max(math.ceil(threshold * n - 1e-9), 1), math.floor(n / threshold + 1e-9) + 1)
+            grams_met, sizes_met = [], []
             for g in prefix:
-                if g not in sums:
-                    sums[g] = zlib.crc32(g.encode())
-            sizes = np.arange(max(math.ceil(threshold * n - 1e-9), 1), math.floor(n / threshold + 1e-9) + 1)
-            places = _gram_places(np.array([sums[g] for g in prefix])[:, None], sizes[None, :])
-            which, size = np.nonzero((words[places >> 6] >> (places & 63)) & 1)
-            found_grams.append(np.array(prefix, dtype=object)[which])
-            found_sizes.append(sizes[size])
+                start = place[g]
+                for size in sizes:
+                    at = (start + size * _SIZE_STEP) & mask
+                    if view[at >> 3] >> (at & 7) & 1:
+                        grams_met.append(g)
+                        sizes_met.append(size)
+            found_grams.append(grams_met)
+            found_sizes.append(sizes_met)
         return pd.DataFrame({"g": found_grams, "size": found_sizes})
 
     return run(norm)
