@@ -49,6 +49,19 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def spans(text: str, shingle: int) -> list[bytes]:
+    """The shingles of a text in order; none without words, one of fewer words than asked."""
+    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    if not words:
+        return []
+    line = b" ".join(words)
+    gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+    width = min(shingle, len(words))
+    starts = np.concatenate([[0], gaps + 1])[: len(words) - width + 1].tolist()
+    ends = np.concatenate([gaps, [len(line)]])[width - 1 :].tolist()
+    return [line[s:e] for s, e in zip(starts, ends)]
+
+
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     """64-bit SimHash of a whole text, as a signed number; zero without words."""
     words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
@@ -128,6 +141,16 @@ def components(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def grouped(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """Adds ``component_id`` to stored rows ``doc_id, row_key, fp``: the smallest id that the edges between ``fp`` reach."""
+    nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
+    roots = stage(components(edges))
+    joined = stage(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
+    lowest = stage(joined.groupBy("root").agg(F.min("first_id").alias("component_id")))
+    labels = stage(joined.join(lowest, "root").select("fp", "component_id"))
+    return rows.join(labels, "fp").select("doc_id", "row_key", "fp", "component_id")
+
+
 def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id, row_key, fp, component_id`` of every row.
 
@@ -135,19 +158,18 @@ def near_groups(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     ``component_id`` is the smallest id that links reach, the own id included.
     """
     rows = stage(fingerprints(docs, id_column, text_column))
-    nodes = stage(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = stage(components(links(nodes)))
-    joined = stage(nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
-    lowest = stage(joined.groupBy("root").agg(F.min("first_id").alias("component_id")))
-    labels = stage(joined.join(lowest, "root").select("fp", "component_id"))
-    return rows.join(labels, "fp").select("doc_id", "row_key", "fp", "component_id")
+    return grouped(rows, links(stage(rows.select("fp").distinct())))
 
 
-def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``docs`` with one row of every near-duplicate group (its smallest id), columns unchanged."""
-    groups = stage(near_groups(docs, id_column, text_column))
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+def one_of_each(docs: DataFrame, groups: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """``docs`` with one row of every group, columns unchanged."""
+    first = stage(groups).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # Rows that share the smallest id but differ in text are one group too; one of them stays.
     kept = first.groupBy("component_id", "doc_id", "row_key").agg(F.count("*").alias("copies"))
     one = kept.groupBy("component_id", "doc_id").agg(F.min(F.struct("row_key", "copies")).alias("r"))
     return only_kept(docs, stage(one.select("doc_id", "r.row_key", "r.copies")), id_column, text_column)
+
+
+def drop_near(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``docs`` with one row of every near-duplicate group (its smallest id), columns unchanged."""
+    return one_of_each(docs, near_groups(docs, id_column, text_column), id_column, text_column)
