@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from notepairs.llm import mixing, ownership, preference, quality
+from notepairs.llm import divergence, interaction, mixing, ownership, preference, quality
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -110,3 +110,50 @@ SELECT pair_id, any_value(n) AS prefix_turns, coalesce(string_agg(head || a || t
   coalesce(string_agg('0:' || length(head) || ',' || flag || length(b || tail), ',' ORDER BY k) FILTER (k > n), '') AS rejected_mask,
   coalesce(bool_or(role = 'assistant') FILTER (k > n), FALSE) AS usable
 FROM p GROUP BY pair_id"""
+
+INTERACTIONS = rf"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
+l AS (SELECT doc_id, coalesce(bool_or(quality = 1), FALSE) AS good, coalesce(bool_or(toxic = 1), FALSE) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, [len(words) < {interaction.MIN_WORDS},
+  100 * len(list_distinct(words)) < {interaction.MIN_DISTINCT} * len(words), 100 * len(regexp_extract_all(text, '[A-Z]')) > {interaction.MAX_CAPITALS} * length(text),
+  regexp_matches(text, '[{interaction.SYMBOLS}]'), coalesce(min(d.doc_id) OVER (PARTITION BY text) < d.doc_id, FALSE)] AS fails FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails),
+a AS (SELECT unnest(range(1, 6)) AS i),
+o AS (SELECT [p.i, q.i, r.i, s.i, t.i] AS path FROM a p, a q, a r, a s, a t WHERE len(list_distinct([p.i, q.i, r.i, s.i, t.i])) = 5),
+z AS (SELECT path, a.i AS step, path[a.i] AS own, path[1:a.i - 1] AS before FROM o, a),
+m AS (SELECT part, path, step, own, n, good, toxic, fails[own] AS bad, len(list_filter(before, lambda k: fails[k])) > 0 AS gone,
+  len(list_filter(fails, lambda b: b)) AS many FROM c, z),
+s AS (SELECT part, path, step, own, coalesce(sum(n) FILTER (NOT bad AND NOT gone), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (bad AND NOT gone), 0)::BIGINT AS removed,
+  coalesce(sum(n) FILTER (bad AND gone), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (bad AND many = 1), 0)::BIGINT AS unique_fails,
+  coalesce(sum(good) FILTER (bad AND NOT gone), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (bad AND NOT gone), 0)::BIGINT AS toxic_lost
+  FROM m GROUP BY part, path, step, own)
+SELECT part, array_to_string(list_transform(path, lambda k: '{interaction.FILTERS}'[k]), '') AS filter_order, step::INT AS step, kept, removed, redundant,
+  unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, own))::BIGINT AS shapley FROM s"""
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+_GAP = "((p - q) * (p - q)) // (p + q)"
+
+DIVERGENCE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, lang, source, translate(unnest(regexp_extract_all(text, '{_TERM}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= {divergence.MIN_DOCS}),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n, total FROM g JOIN k USING (lang)
+  LEFT JOIN (SELECT lang, source, term, count(*) AS n FROM t GROUP BY ALL) USING (lang, source, term)),
+w AS (SELECT *, count(*) OVER s AS v, sum(n) OVER s AS size, sum(total) OVER s AS whole FROM c WINDOW s AS (PARTITION BY lang, source)),
+p AS (SELECT lang, source, term, n, (1 + ({divergence.SCALE}::HUGEINT * (n + 2)) // (size + 2 * v))::BIGINT AS p,
+  (1 + ({divergence.SCALE}::HUGEINT * (total + 2)) // (whole + 2 * v))::BIGINT AS q FROM w),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, ({_GAP})::BIGINT FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM every)
+SELECT lang, source, part, item, value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+SEARCH = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 20"""

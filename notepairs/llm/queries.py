@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from notepairs.llm import bpe, class_lm, exact, langid, mincut_html, mixing, oracles, ownership, preference, quality, simhash
+from notepairs.llm import (
+    bpe, class_lm, divergence, exact, interaction, langid, mincut_html, mixing, oracles, ownership, pivots, preference, quality, simhash,
+)
 
 
 def documents(spark, sf_dir):
@@ -77,6 +79,19 @@ def op10_quality_rules(spark, sf_dir):
     return quality.line_quality(documents(spark, sf_dir)).drop("surviving_words", "cleaned")
 
 
+def op11_filter_interactions(spark, sf_dir):
+    return interaction.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_source_divergence(spark, sf_dir):
+    return divergence.divergence(documents(spark, sf_dir))
+
+
+def op13_pivot_search(spark, sf_dir):
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return pivots.search(vectors, queries=vectors["vec_id"] % 20 == 0)
+
+
 QUERIES = {
     "op1_mincut_html": op1_mincut_html,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -88,6 +103,9 @@ QUERIES = {
     "op8_byte_bpe": op8_byte_bpe,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_interactions": op11_filter_interactions,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_pivot_search": op13_pivot_search,
 }
 
 SQL = {
@@ -96,4 +114,7 @@ SQL = {
     "op7_mixing": oracles.MIXING,
     "op9_exact_dedup": oracles.EXACT_DEDUP,
     "op10_quality_rules": oracles.QUALITY_RULES,
+    "op11_filter_interactions": oracles.INTERACTIONS,
+    "op12_source_divergence": oracles.DIVERGENCE,
+    "op13_pivot_search": oracles.SEARCH,
 }
