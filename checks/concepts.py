@@ -84,6 +84,12 @@ def concept_match_exact(spark, sf_dir):
     return mentions(spark, sf_dir).select("pair_id", "start_at", "end_at", "source_value", "detected_name", "cui")
 
 
+def concept_match_anchor(spark, sf_dir):
+    texts = summaries(spark, sf_dir)
+    found = K.mention_texts(K.match_anchored(texts, concepts(spark, sf_dir)), texts)
+    return found.select("pair_id", "start_at", "end_at", "source_value", "detected_name", "cui")
+
+
 def similar(threshold):
     return lambda spark, sf_dir: K.match_similar(
         summaries(spark, sf_dir), concepts(spark, sf_dir), threshold=threshold
@@ -167,7 +173,7 @@ def fill(form):
 
 
 QUERIES = {
-    "concept_dim": concept_dim, "cui_icd10": cui_icd10, "concept_match_exact": concept_match_exact,
+    "concept_dim": concept_dim, "cui_icd10": cui_icd10, "concept_match_exact": concept_match_exact, "concept_match_anchor": concept_match_anchor,
     "concept_match_fuzzy": similar(C.MATCH_THRESHOLD), "concept_match_fuzzy_loose": similar(LOOSE),
     "concept_sets": concept_sets, "concept_prf": concept_prf, "mentions_typed": mentions_typed,
     "parse_type_ids": parse_type_ids, "mask_one": mask_one, "mask_all": mask_all,
@@ -272,6 +278,7 @@ SQL = {
     "cui_icd10": f"""{with_views('fx_codes')} SELECT cui, code FROM (SELECT cui, code, row_number() OVER (
 PARTITION BY cui ORDER BY line_no DESC, code DESC) AS r FROM fx_codes) AS x WHERE r = 1""",
     "concept_match_exact": f"{_HEAD}, {_MENTIONS} SELECT pair_id, start_at, end_at, source_value, detected_name, cui FROM mentions",
+    "concept_match_anchor": f"{_HEAD}, {_MENTIONS} SELECT pair_id, start_at, end_at, source_value, detected_name, cui FROM mentions",
     "concept_match_fuzzy": _near(C.MATCH_THRESHOLD),
     "concept_match_fuzzy_loose": _near(LOOSE),
     "concept_sets": f"""{_HEAD}, {_MENTIONS} SELECT DISTINCT pair_id, cui FROM mentions WHERE list_has_any(type_ids, {list(C.SCORE_TYPES)})""",

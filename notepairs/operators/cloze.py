@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from notepairs import constants as C
 from notepairs.functions.answers import (
     answers_for_training, answers_of, fill_masks, json_answers, listed_answers, mask_count,
 )
 from notepairs.functions.prompts import render, with_eos
-from notepairs.functions.text import let, settle
+from notepairs.functions.text import settle
 from notepairs.operators.concepts import of_types
 
 
@@ -76,18 +78,38 @@ def _spans(spans: Column, rank: Callable[[Column], Column]) -> Column:
     )
 
 
-def _keep_longest(spans: Column) -> Column:
-    """Of overlapping spans keep the longest, then the leftmost."""
+def longest_spans(spans: list[tuple[int, int]], length: int) -> list[int]:
+    """Numbers of the spans that stay when of overlapping ones the longest, then the leftmost does; from left to right.
 
-    def pick(ranked: Column) -> Column:
-        return F.aggregate(
-            ranked, F.slice(ranked, 1, 0),
-            lambda kept, s: F.when(
-                F.exists(kept, lambda k: (k["start_at"] < s["end_at"]) & (s["start_at"] < k["end_at"])), kept
-            ).otherwise(F.concat(kept, F.array(s))),
-        )
-
-    return let(_spans(spans, lambda s: s["start_at"] - s["end_at"]), pick)
+    A span that meets a longer one has its first or last place in it, so two places tell.
+    """
+    taken, kept = bytearray(length), []
+    for i in sorted(range(len(spans)), key=lambda i: (spans[i][0] - spans[i][1], spans[i])):
+        a, b = spans[i]
+        if not (taken[a] or taken[b - 1]):
+            taken[a:b] = b"\1" * (b - a)
+            kept.append(i)
+    return sorted(kept, key=lambda i: spans[i])
+
+
+def _masked_longest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task: every text with its intact spans masked, joined from the gaps between them."""
+    for batch in batches:
+        masked, answers = [], []
+        for text, spans in zip(batch.column("summary").to_pylist(), batch.column("spans").to_pylist()):
+            found = {(s["start_at"], s["end_at"]) for s in spans if s["start_at"] < s["end_at"] and text[s["start_at"] : s["end_at"]] == s["source_value"]}
+            ordered = sorted(found)
+            gaps, values, done = [], [], 0
+            for i in longest_spans(ordered, len(text)):
+                a, b = ordered[i]
+                gaps.append(text[done:a])
+                values.append(text[a:b])
+                done = b
+            masked.append(C.MASK.join([*gaps, text[done:]]))
+            answers.append(C.WORD_SEP.join(values))
+        yield pa.RecordBatch.from_arrays([
+            *(batch.column(c) for c in ("pair_id", "document", "summary")), pa.array(masked, pa.string()), pa.array(answers, pa.string())
+        ], names=["pair_id", "document", "summary", "masked_summary", "answers"])
 
 
 def mask_all(
@@ -105,12 +127,15 @@ def mask_all(
     gather = F.collect_set if overlaps == "longest" else F.collect_list
     grouped = good.groupBy("pair_id").agg(gather("m").alias("spans"))
     joined = pairs.select("pair_id", "document", "summary").join(grouped, "pair_id")
+    if overlaps == "longest":
+        typed = StructType([*joined.select("pair_id", "document", "summary").schema.fields, *StructType.fromDDL("masked_summary string, answers string").fields])
+        done = joined.where("summary IS NOT NULL").mapInArrow(_masked_longest, typed)
+        return done.where("masked_summary <> summary").drop("summary")
     intact = F.filter(
         "spans",
         lambda s: F.substring(F.col("summary"), s["start_at"] + 1, s["end_at"] - s["start_at"]) == s["source_value"],
     )
-    kept = _keep_longest(intact) if overlaps == "longest" else intact
-    joined = settle(joined.withColumn("spans", _spans(kept, lambda _: F.lit(0))), "spans")
+    joined = settle(joined.withColumn("spans", _spans(intact, lambda _: F.lit(0))), "spans")
     masked = F.aggregate(
         F.reverse("spans"), F.col("summary"),
         lambda text, s: F.concat(

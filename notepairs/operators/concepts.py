@@ -2,29 +2,27 @@
 
 from __future__ import annotations
 
-import math
-import re
-import zlib
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from notepairs import constants as C
-from notepairs.functions.text import let, settle
-from notepairs.session import stage
+from notepairs.functions.text import settle
+from notepairs.operators.tokens import GramOrder, Words, gram_sets, jaccard, slice_hashes, strings, text_hashes, words_of
+from notepairs.session import spread, stage
 
 SIEVE_BITS = 1 << 28  # 32 MB, whatever the number of names
 GRAM_SIEVE_BITS = 1 << 26  # 8 MB
-_GRAM_STEP, _SIZE_STEP = 0x9E3779B1, 0x85EBCA77
+_GRAM_STEP, _SIZE_STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 SIEVE_CHUNKS = 256  # a bitmap is put together in as many pieces
 # How many gram counts a task holds at most. They only order the grams: with more frequent
 # grams than this the result is the same, but more windows pass the sieve.
 FREQUENT_GRAMS = 1 << 14
-_SPANS = "starts array<int>, ends array<int>, tokens array<string>"
 
 
 def concept_table(names: DataFrame, types: DataFrame) -> DataFrame:
@@ -43,53 +41,11 @@ def code_map(codes: DataFrame) -> DataFrame:
     return codes.groupBy("cui").agg(F.max_by("code", F.struct("line_no", "code")).alias("code"))
 
 
-def token_spans(text: Column) -> Column:
-    """Letter and digit runs, lower-cased, with their code point offsets."""
-
-    @F.pandas_udf(_SPANS)
-    def run(texts: pd.Series) -> pd.DataFrame:
-        word = re.compile(r"[^\W_]+")
-        found = [list(word.finditer(t or "")) for t in texts]
-        return pd.DataFrame({
-            "starts": [[m.start() for m in ms] for ms in found], "ends": [[m.end() for m in ms] for ms in found],
-            "tokens": [[m.group().lower() for m in ms] for ms in found],
-        })
-
-    return run(text)
-
-
 def normal_name(name: Column) -> Column:
     """Lower-case words joined by one space, as windows are."""
     return F.array_join(F.regexp_extract_all(F.lower(name), F.lit(r"[\p{L}\p{N}]+"), 0), " ")
 
 
-def windows(texts: DataFrame, *, key: str = "pair_id", text: str = "text", longest: int = C.MAX_WINDOW) -> DataFrame:
-    """Every run of up to ``longest`` tokens: (key, start_at, end_at, norm).
-
-    Runs of k tokens are made from those of k - 1 by adding one token to each.
-    """
-    df = texts.select(key, token_spans(F.col(text)).alias("spans")).select(key, "spans.*")
-    df = df.withColumn("_n1", F.col("tokens"))
-    n = F.size("tokens")
-    for k in range(2, longest + 1):
-        left = F.greatest(n - k + 1, F.lit(0))
-        longer = F.zip_with(
-            F.slice(f"_n{k - 1}", F.lit(1), left), F.slice("tokens", F.lit(k), left),
-            lambda run, token: F.concat(run, F.lit(" "), token),
-        )
-        df = df.withColumn(f"_n{k}", longer)
-    rows = []
-    for k in range(1, longest + 1):
-        left = F.greatest(n - k + 1, F.lit(0))
-        rows.append(
-            F.arrays_zip(
-                F.slice("starts", F.lit(1), left).alias("start_at"), F.slice("ends", F.lit(k), left).alias("end_at"),
-                F.col(f"_n{k}").alias("norm"),
-            )
-        )
-    return df.select(key, F.inline(F.flatten(F.array(*rows)))).toDF(key, "start_at", "end_at", "norm")
-
-
 def bitmap(places: DataFrame, bits: int) -> np.ndarray:
     """Bits set at the numbers in ``places.b``, as 64-bit words.
 
@@ -110,20 +66,61 @@ def bitmap(places: DataFrame, bits: int) -> np.ndarray:
     return whole
 
 
-def name_sieve(names: DataFrame, *, bits: int = SIEVE_BITS) -> Callable[[Column], Column]:
-    """Test that holds for every ``names.norm`` and for few other texts.
+def _bits(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes.astype(np.uint64) & np.uint64(bits - 1)).astype(np.int64)
+
+
+def _set(words: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bits at these places are set."""
+    return (words[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _hash_places(texts: DataFrame, bits: int) -> DataFrame:
+    """Places ``b`` of the texts ``norm`` in a bitmap of ``bits`` bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(text_hashes(batch.column("norm").to_pylist()), bits))], names=["b"])
+
+    return texts.select("norm").mapInArrow(run, "b long")
+
+
+def name_sieve(names: DataFrame, *, bits: int = SIEVE_BITS) -> Callable[[np.ndarray], np.ndarray]:
+    """Test of ``slice_hashes`` that holds for every ``names.norm`` and for few other texts.
 
     Its bitmap has a fixed size whatever the number of names, so every task can hold it.
     """
-    place = lambda norm: F.pmod(F.xxhash64(norm), F.lit(bits))
-    shared = names.sparkSession.sparkContext.broadcast(bitmap(names.select(place("norm").alias("b")), bits))
+    shared = names.sparkSession.sparkContext.broadcast(bitmap(_hash_places(names, bits), bits))
+    return lambda hashes: _set(shared.value, _bits(hashes, bits))
 
-    @F.pandas_udf("boolean")
-    def probe(places: pd.Series) -> pd.Series:
-        b = places.to_numpy()
-        return pd.Series((shared.value[b >> 6] >> (b & 63)) & 1 == 1)
 
-    return lambda norm: probe(place(norm))
+def _typed(df: DataFrame, columns: str, key: str) -> StructType:
+    """The key as it is, then the given columns."""
+    return StructType([df.schema[key], *StructType.fromDDL(columns).fields])
+
+
+def _rows(batch: pa.RecordBatch, key: str, words: Words, first: np.ndarray, last: np.ndarray, *more: pa.Array) -> pa.RecordBatch:
+    """Windows as rows: key of the text, offsets, words, and further columns."""
+    return pa.RecordBatch.from_arrays([
+        batch.column(key).take(pa.array(words.row[first])), pa.array(words.start[first].astype(np.int32)), pa.array(words.end[last].astype(np.int32)),
+        pa.array(words.texts(first, last), pa.string()), *more,
+    ], names=[key, "start_at", "end_at", "norm", *(f"x{i}" for i in range(len(more)))])
+
+
+def windows(texts: DataFrame, passes: Callable[[np.ndarray], np.ndarray] | None = None, *, key: str = "pair_id", text: str = "text", longest: int = C.MAX_WINDOW) -> DataFrame:
+    """Runs of up to ``longest`` words whose hash passes: (key, start_at, end_at, norm)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = words_of(batch.column("_text").to_pylist())
+            for size in range(1, longest + 1):
+                first, last = words.windows(size)
+                if passes is not None:
+                    keep = passes(slice_hashes(words.chars, words.first[first], words.last[last]))
+                    first, last = first[keep], last[keep]
+                yield _rows(batch, key, words, first, last)
+
+    return texts.select(key, F.col(text).alias("_text")).mapInArrow(run, _typed(texts, "start_at int, end_at int, norm string", key))
 
 
 def match_exact(
@@ -132,15 +129,80 @@ def match_exact(
 ) -> DataFrame:
     """Mentions whose words equal a concept name.
 
-    Windows that cannot be a name are dropped by a sieve before they are joined by name.
+    Windows that cannot be a name are dropped by their hashes, before they are written out
+    and joined by name.
     """
     gated = of_types(concepts, types) if types else concepts
-    entries = gated.withColumn("norm", normal_name(F.col("name")))
-    runs = windows(texts, key=key, text=text, longest=longest)
-    found = runs.filter(name_sieve(entries)(F.col("norm"))).join(entries, "norm")
+    entries = stage(gated.withColumn("norm", normal_name(F.col("name"))))
+    found = windows(spread(texts), name_sieve(entries), key=key, text=text, longest=longest).join(entries, "norm")
     return found.select(key, "start_at", "end_at", "cui", F.col("name").alias("detected_name"), "type_ids")
 
 
+def anchors(entries: DataFrame) -> DataFrame:
+    """Entries with the rarest word of their name, ``anchor``, and its place ``at`` among the name's ``words``.
+
+    Rare is the word that few names hold; ties go to the smaller word, then the first place.
+    """
+    worded = entries.withColumn("words", F.split("norm", " "))
+    held = worded.select("norm", "words").distinct().select(F.explode(F.array_distinct("words")).alias("anchor")).groupBy("anchor").agg(F.count("*").alias("names"))
+    placed = worded.select("norm", F.posexplode("words").alias("at", "anchor")).distinct()
+    best = placed.join(held, "anchor").groupBy("norm").agg(F.min(F.struct("names", "anchor", "at")).alias("best"))
+    return worded.join(best, "norm").select(*worded.columns, "best.anchor", "best.at")
+
+
+def anchored_words(texts: DataFrame, anchor_words: DataFrame, *, key: str = "pair_id", text: str = "text", longest: int = C.MAX_WINDOW) -> DataFrame:
+    """Places of ``anchor_words.norm`` in the texts: (key, anchor, before, after, starts, ends).
+
+    ``before`` and ``after`` are up to ``longest - 1`` neighbours, nearest first, and
+    ``starts`` and ``ends`` the offsets of the word and of these neighbours.
+    """
+    passes, reach = name_sieve(anchor_words), longest - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = words_of(batch.column("_text").to_pylist())
+            hits = np.flatnonzero(passes(slice_hashes(words.chars, words.first, words.last)))
+            columns = []
+            for step in (-1, 1):
+                near = hits[:, None] + step * np.arange(1, reach + 1)
+                inside = (near >= 0) & (near < len(words.row))
+                near = np.clip(near, 0, max(len(words.row) - 1, 0))
+                inside &= words.row[near] == words.row[hits][:, None] if len(hits) else inside
+                flat, ends = near[inside], pa.array(np.concatenate([[0], np.cumsum(inside.sum(axis=1))]).astype(np.int32))
+                offsets = words.start if step < 0 else words.end
+                columns += [pa.ListArray.from_arrays(ends, pa.array(words.texts(flat, flat), pa.string())), pa.ListArray.from_arrays(ends, pa.array(offsets[flat].astype(np.int32)))]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(key).take(pa.array(words.row[hits])), pa.array(words.start[hits].astype(np.int32)), pa.array(words.end[hits].astype(np.int32)),
+                pa.array(words.texts(hits, hits), pa.string()), *columns,
+            ], names=[key, "start_at", "end_at", "anchor", "before", "starts", "after", "ends"])
+
+    columns = "start_at int, end_at int, anchor string, before array<string>, starts array<int>, after array<string>, ends array<int>"
+    return texts.select(key, F.col(text).alias("_text")).mapInArrow(run, _typed(texts, columns, key))
+
+
+def match_anchored(
+    texts: DataFrame, concepts: DataFrame, *, key: str = "pair_id", text: str = "text", types: Sequence[str] | None = None, longest: int = C.MAX_WINDOW,
+) -> DataFrame:
+    """The mentions of ``match_exact``, found by an index of the names' rarest words.
+
+    Only words that are some name's rarest word enter the join; the rest of the name is then
+    compared with the neighbours. With names of many words, and rare ones among them, this
+    moves far fewer rows than all windows that are names.
+    """
+    gated = of_types(concepts, types) if types else concepts
+    entries = gated.withColumn("norm", normal_name(F.col("name"))).where(F.col("norm") != "")
+    index = stage(anchors(entries).where(F.size("words") <= longest))
+    places = anchored_words(spread(texts), index.select(F.col("anchor").alias("norm")), key=key, text=text, longest=longest)
+    met = places.join(index, "anchor")
+    rest = F.size("words") - F.col("at") - 1
+    before = F.reverse(F.slice("words", F.lit(1), F.col("at")))
+    after = F.slice("words", F.col("at") + 2, rest)
+    same = (F.slice("before", F.lit(1), F.col("at")) == before) & (F.slice("after", F.lit(1), rest) == after)
+    begin = F.when(F.col("at") == 0, F.col("start_at")).otherwise(F.get("starts", F.col("at") - 1))
+    end = F.when(rest == 0, F.col("end_at")).otherwise(F.get("ends", rest - 1))
+    return met.where(same).select(key, begin.alias("start_at"), end.alias("end_at"), "cui", F.col("name").alias("detected_name"), "type_ids")
+
+
 def mention_texts(mentions: DataFrame, texts: DataFrame, *, key: str = "pair_id", text: str = "text") -> DataFrame:
     """Add the matched piece of the source text as ``source_value``."""
     joined = mentions.join(texts.select(key, F.col(text).alias("_text")), key)
@@ -157,129 +219,117 @@ def grams(norm: Column, n: int = 3) -> Column:
     return F.array_distinct(runs)
 
 
-def _frequent_grams(names: DataFrame) -> dict[str, int]:
-    """The most frequent grams with their counts; never more than a fixed number."""
+def gram_order(names: DataFrame) -> GramOrder:
+    """The order of grams that ``names.norm`` gives, from a bounded number of frequent ones."""
     counts = names.select(F.explode(grams(F.col("norm"))).alias("g")).groupBy("g").count()
-    top = counts.orderBy(F.desc("count"), "g").limit(FREQUENT_GRAMS).collect()
-    return {r["g"]: r["count"] for r in top}
-
-
-class _Orders(dict):
-    """The place of a gram in the common order: rare ones first."""
-
-    def __init__(self, frequent: dict[str, int]):
-        self.frequent = frequent
-
-    def __missing__(self, gram: str) -> tuple[int, str]:
-        self[gram] = self.frequent.get(gram, 0), gram
-        return self[gram]
-
-
-class _Places(dict):
-    """Where the bits of a gram start."""
-
-    def __missing__(self, gram: str) -> int:
-        self[gram] = zlib.crc32(gram.encode()) * _GRAM_STEP
-        return self[gram]
-
-
-def _head(text: str, threshold: float, order: _Orders) -> tuple[int, list[str]]:
-    """Size of the gram set of a text and its first grams."""
-    gs = {text[i : i + 3] for i in range(max(len(text) - 2, 1))}
-    keep = len(gs) - math.ceil(threshold * len(gs) - 1e-9) + 1
-    return len(gs), sorted(gs, key=order.__getitem__)[:keep]
-
-
-def _prefixes(norm: Column, threshold: float, frequent: dict[str, int]) -> Column:
-    """Size of the gram set and its first grams, rare ones first."""
-
-    @F.pandas_udf("n int, prefix array<string>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        order = _Orders(frequent)
-        return pd.DataFrame([_head(t, threshold, order) for t in texts], columns=["n", "prefix"])
-
-    return run(norm)
-
-
-def _gram_places(grams: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Bits of (gram, size) pairs, the gram given by its checksum."""
-    return (grams * _GRAM_STEP + sizes * _SIZE_STEP) % GRAM_SIEVE_BITS
-
-
-def _sieved_prefixes(norm: Column, threshold: float, frequent: dict[str, int], shared) -> Column:
-    """The (gram, size) pairs of a text and of texts similar to it that some name has, from its prefix."""
-
-    @F.pandas_udf("g array<string>, size array<int>")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        view, mask = memoryview(shared.value).cast("B"), GRAM_SIEVE_BITS - 1
-        order, place = _Orders(frequent), _Places()
-        found_grams, found_sizes = [], []
-        for t in texts:
-            n, prefix = _head(t, threshold, order)
-            sizes = range(max(math.ceil(threshold * n - 1e-9), 1), math.floor(n / threshold + 1e-9) + 1)
-            grams_met, sizes_met = [], []
-            for g in prefix:
-                start = place[g]
-                for size in sizes:
-                    at = (start + size * _SIZE_STEP) & mask
-                    if view[at >> 3] >> (at & 7) & 1:
-                        grams_met.append(g)
-                        sizes_met.append(size)
-            found_grams.append(grams_met)
-            found_sizes.append(sizes_met)
-        return pd.DataFrame({"g": found_grams, "size": found_sizes})
-
-    return run(norm)
-
-
-def _candidates(left: DataFrame, right: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, dict[str, int]]:
-    """Rows of ``left`` that share a (gram, size) with a name, the names by (gram, size), and the gram counts."""
-    names = right.select("norm").distinct()
-    frequent = _frequent_grams(names)
-    heads = names.select("norm", _prefixes(F.col("norm"), threshold, frequent).alias("x")).select("norm", "x.*")
-    by_gram = heads.select(F.col("norm").alias("right_norm"), F.col("n").alias("size"), F.explode("prefix").alias("g"))
-
-    @F.pandas_udf("long")
-    def place(gs: pd.Series, sizes: pd.Series) -> pd.Series:
-        return pd.Series(_gram_places(np.array([zlib.crc32(g.encode()) for g in gs], dtype="int64"), sizes.to_numpy(dtype="int64")))
-
-    bits = bitmap(by_gram.select(place("g", "size").alias("b")), GRAM_SIEVE_BITS)
-    shared = left.sparkSession.sparkContext.broadcast(bits)
-    sieved = left.withColumn("x", _sieved_prefixes(F.col("norm"), threshold, frequent, shared)).select(*left.columns, "x.*")
-    return settle(sieved, "g", "size").filter(F.size("g") > 0), by_gram, frequent
+    return GramOrder([r["g"] for r in counts.orderBy(F.desc("count"), "g").limit(FREQUENT_GRAMS).collect()])
+
+
+def _prefix_size(n: np.ndarray, threshold: float) -> np.ndarray:
+    """How many of its first grams a set of ``n`` must show to meet every similar one."""
+    return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+
+
+def _gram_places(packed: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+    """Bits of (gram, size) pairs."""
+    mixed = (packed.astype(np.uint64) + np.uint64(_SIZE_STEP) * np.asarray(size).astype(np.uint64)) * np.uint64(_GRAM_STEP)
+    return (mixed >> np.uint64(64 - GRAM_SIEVE_BITS.bit_length() + 1)).astype(np.int64)
+
+
+def gram_index(names: DataFrame, threshold: float, order: GramOrder) -> DataFrame:
+    """Names under each of their first grams: (g, size, right_norm), ``size`` being that of their gram set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chars, first, last = strings(batch.column("norm").to_pylist())
+            for which, n, table in gram_sets(chars, first, last, order):
+                shown = np.arange(table.shape[1]) < _prefix_size(n, threshold)[:, None]
+                row, at = np.nonzero(shown & (table != np.iinfo(np.int64).max))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(table[row, at]), pa.array(n[row].astype(np.int32)), batch.column("norm").take(pa.array(which[row])),
+                ], names=["g", "size", "right_norm"])
+
+    return names.select("norm").mapInArrow(run, "g long, size int, right_norm string")
+
+
+def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, threshold: float, order: GramOrder, bits: np.ndarray):
+    """Slices that share a (gram, size) with some name: their numbers, and lists of the grams and sizes they share."""
+    slices, shared, sizes = [], [], []
+    for which, n, table in gram_sets(chars, first, last, order):
+        least = np.maximum(np.ceil(threshold * n - 1e-9), 1).astype(np.int64)
+        most = np.floor(n / threshold + 1e-9).astype(np.int64)
+        shown = _prefix_size(n, threshold)
+        table = table[:, : int(shown.max())]
+        open_ = (np.arange(table.shape[1]) < shown[:, None]) & (table != np.iinfo(np.int64).max)
+        for size in range(int(least.min()), int(most.max()) + 1):
+            fits = np.flatnonzero((least <= size) & (size <= most))
+            if len(fits):
+                row, at = np.nonzero(open_[fits] & _set(bits, _gram_places(table[fits], size)))
+                slices.append(which[fits[row]])
+                shared.append(table[fits[row], at])
+                sizes.append(np.full(len(row), size, np.int32))
+    if not slices:
+        return np.zeros(0, np.int64), *(pa.array([], pa.list_(t)) for t in (pa.int64(), pa.int32()))
+    slices = np.concatenate(slices)
+    by = np.argsort(slices, kind="stable")
+    names, starts = np.unique(slices[by], return_index=True)
+    ends = pa.array(np.append(starts, len(by)).astype(np.int32))
+    return names, *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x)[by])) for x in (shared, sizes))
+
+
+def _candidates(texts: DataFrame, key: str, names: DataFrame, threshold: float, longest: int | None) -> tuple[DataFrame, DataFrame]:
+    """Windows of ``texts`` that share a (gram, size) with a name, and the names by (gram, size).
+
+    Windows are (key, start_at, end_at, norm, g, size), with lists of what they share; with
+    ``longest`` null, each whole text is a window as it is.
+    """
+    order = gram_order(names)
+    by_gram = stage(gram_index(names, threshold, order))
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(_gram_places(batch.column("g").to_numpy(), batch.column("size").to_numpy()))], names=["b"])
+
+    bits = names.sparkSession.sparkContext.broadcast(bitmap(by_gram.select("g", "size").mapInArrow(places, "b long"), GRAM_SIEVE_BITS))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("_text").to_pylist()
+            if longest is None:
+                chars, first, last = strings(texts)
+                hit, g, size = _met(chars, first, last, threshold, order, bits.value)
+                none = pa.nulls(len(hit), pa.int32())
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(key).take(pa.array(hit)), none, none, batch.column("_text").take(pa.array(hit)), g, size
+                ], names=[key, "start_at", "end_at", "norm", "g", "size"])
+                continue
+            words = words_of(texts)
+            for k in range(1, longest + 1):
+                first, last = words.windows(k)
+                hit, g, size = _met(words.chars, words.first[first], words.last[last], threshold, order, bits.value)
+                yield _rows(batch, key, words, first[hit], last[hit], g, size)
+
+    columns = "start_at int, end_at int, norm string, g array<long>, size array<int>"
+    return texts.select(key, "_text").mapInArrow(run, _typed(texts, columns, key)), by_gram
+
+
+def _similarity(left: Column, right: Column) -> Column:
+    """Jaccard of the gram sets of two texts."""
 
+    @F.pandas_udf("double")
+    def run(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+        return pd.Series(jaccard(lefts.to_list(), rights.to_list()))
 
-def _similarity(left: Column, right: Column, gram: Column, threshold: float, frequent: dict[str, int]) -> Column:
-    """Jaccard of two texts that reach the threshold and meet first at ``gram``; null for others.
+    return run(left, right)
 
-    The first common gram of two such texts is in both prefixes, so each pair has one row.
-    """
 
-    @F.pandas_udf("double")
-    def run(lefts: pd.Series, rights: pd.Series, gs: pd.Series) -> pd.Series:
-        sets: dict[str, frozenset[str]] = {}
-        for texts in (lefts, rights):
-            for t in texts.unique():
-                sets[t] = frozenset(t[i : i + 3] for i in range(max(len(t) - 2, 1)))
-        out = []
-        for x, y, g in zip(lefts, rights, gs):
-            a, b = sets[x], sets[y]
-            common = a & b
-            jaccard = len(common) / (len(a) + len(b) - len(common))
-            first = jaccard >= threshold - 1e-12 and min(common, key=lambda c: (frequent.get(c, 0), c)) == g
-            out.append(jaccard if first else None)
-        return pd.Series(out, dtype="float64")
-
-    return run(left, right, gram)
-
-
-def _similar(sieved: DataFrame, by_gram: DataFrame, threshold: float, frequent: dict[str, int]) -> DataFrame:
+def _similar(sieved: DataFrame, by_gram: DataFrame, threshold: float) -> DataFrame:
     """Pairs of distinct ``norm`` and name with their similarity, from what ``_candidates`` gives."""
     one = sieved.groupBy("norm").agg(F.first("g").alias("gs"), F.first("size").alias("sizes"))
     pairs = F.arrays_zip(F.col("gs").alias("g"), F.col("sizes").alias("size"))
-    met = one.select(F.col("norm").alias("left_norm"), F.inline(pairs)).join(by_gram, ["g", "size"])
-    scored = met.select("left_norm", "right_norm", _similarity(F.col("left_norm"), F.col("right_norm"), F.col("g"), threshold, frequent).alias("similarity"))
-    return settle(scored, "similarity").filter(F.col("similarity").isNotNull())
+    met = one.select(F.col("norm").alias("left_norm"), F.inline(pairs)).join(by_gram, ["g", "size"]).select("left_norm", "right_norm").distinct()
+    scored = met.withColumn("similarity", _similarity(F.col("left_norm"), F.col("right_norm")))
+    return settle(scored, "similarity").filter(F.col("similarity") >= threshold - 1e-12)
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -290,10 +340,12 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     within a factor ``t``. The grams most frequent in ``right`` come last, so they seldom
     get into a prefix; a bitmap of fixed size tells which (gram, size) any name has, so
     texts without one are dropped where they are made; joining on (gram, size) splits what
-    is left; and a pair is only emitted at its first common gram.
+    is left; and the different pairs are compared by their whole sets. Grams are numbers,
+    and all of this is done for whole batches of texts.
     """
-    sieved, by_gram, frequent = _candidates(left.select("norm").distinct(), right, threshold)
-    return _similar(sieved, by_gram, threshold, frequent)
+    texts = left.select("norm").distinct().select("norm", F.col("norm").alias("_text")).withColumnRenamed("norm", "name")
+    sieved, by_gram = _candidates(texts, "name", right.select("norm").distinct(), threshold, None)
+    return _similar(sieved, by_gram, threshold)
 
 
 def match_similar(
@@ -306,10 +358,10 @@ def match_similar(
     compared, and occurrences join the few that match.
     """
     gated = of_types(concepts, types) if types else concepts
-    entries = gated.withColumn("norm", normal_name(F.col("name")))
-    sieved, by_gram, frequent = _candidates(windows(texts, key=key, text=text, longest=longest), entries, threshold)
+    entries = stage(gated.withColumn("norm", normal_name(F.col("name"))))
+    sieved, by_gram = _candidates(spread(texts.select(key, F.col(text).alias("_text"))), key, entries.select("norm").distinct(), threshold, longest)
     found = stage(sieved)
-    hits = _similar(found, by_gram, threshold, frequent).join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
+    hits = _similar(found, by_gram, threshold).join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
         F.col("left_norm").alias("norm"), "cui", F.col("name").alias("detected_name"), "type_ids", "similarity"
     )
     return found.select(key, "start_at", "end_at", "norm").join(hits, "norm").select(

@@ -47,6 +47,18 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its input is too small for its splits to reach them.
+
+    A scan of one small file is one task, whatever is computed from it. Inputs of more than a
+    partition's bytes for each core are left as they are, so large texts are not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size <= cores * PARTITION_BYTES else df
+
+
 _staged: set[str] = set()
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from notepairs.functions import answers as A
 from notepairs.operators import cloze
 from notepairs.operators import concepts as K
+from notepairs.operators.tokens import text_hashes
 
 NAMES = [("C1", "heart failure"), ("C2", "failure"), ("C3", "acute heart failure"), ("C4", "Fièvre"), ("C5", "aspirin"), ("C6", "heart")]
 
@@ -36,11 +37,41 @@ def test_sieve_keeps_all_names_and_few_others(spark, concepts):
     df = texts_of(spark, "Acute heart-failure; fièvre, ASPIRIN x", "", "none here", "heart " * 50)
     assert K.match_exact(df, concepts).count() == 56
     norms = concepts.select(K.normal_name(F.col("name")).alias("norm"))
-    for bits in (64, 1 << 12):
+    names = [r.norm for r in norms.collect()]
+    for bits in (1 << 14, 1 << 20):
         test = K.name_sieve(norms, bits=bits)
-        assert norms.filter(~test(F.col("norm"))).count() == 0
-    others = spark.range(2000).select(F.concat(F.lit("w"), "id").alias("norm"))
-    assert others.filter(K.name_sieve(norms, bits=1 << 12)(F.col("norm"))).count() < 50
+        assert test(text_hashes(names)).all()
+        assert test(text_hashes([f"w{i}" for i in range(2000)])).sum() < 50
+
+
+ANCHOR_NAMES = [("C1", "the heart"), ("C2", "the"), ("C3", "the acute the heart"), ("C4", "of the acute"), ("C5", "heart of the"), ("C6", "a a a"), ("C7", "!?"), ("C8", "one two three four five six")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_anchored_matches_are_the_exact_ones(spark, seed):
+    """Anchors at every place of a name, repeated words, and names at the edges of a text."""
+    rng = random.Random(seed)
+    words = ["the", "acute", "heart", "of", "a", "Two", "ONE"]
+    texts = texts_of(spark, *(rng.choice((" ", ", ", "; ")).join(rng.choices(words, k=rng.randrange(9))) for _ in range(80)), None, "", "of the acute", "heart of the")
+    table = spark.createDataFrame(ANCHOR_NAMES, "cui string, name string").withColumn("type_ids", F.array(F.lit("T047")))
+    rows = lambda df: sorted(map(str, df.collect()))
+    exact = rows(K.match_exact(texts, table))
+    assert exact and rows(K.match_anchored(texts, table)) == exact
+
+
+def test_anchors_are_the_rarest_words(spark):
+    table = spark.createDataFrame([("the heart",), ("the",), ("the acute the heart",), ("acute",), ("b a",)], "norm string")
+    got = {r.norm: (r.anchor, r.at) for r in K.anchors(table).collect()}
+    assert got == {"the heart": ("heart", 1), "the": ("the", 0), "the acute the heart": ("acute", 1), "acute": ("acute", 0), "b a": ("a", 1)}
+
+
+def test_only_anchors_enter_the_join(spark):
+    table = spark.createDataFrame([("C1", "the heart"), ("C2", "the lung")], "cui string, name string").withColumn("type_ids", F.array(F.lit("T047")))
+    texts = texts_of(spark, "the " * 500 + "heart", "the lung of the heart")
+    index = K.anchors(table.withColumn("norm", K.normal_name(F.col("name")))).select(F.col("anchor").alias("norm"))
+    places = K.anchored_words(texts, index).collect()
+    assert sorted(r.anchor for r in places) == ["heart", "heart", "lung"]
+    assert {tuple(r.before) for r in places} == {("the",) * 4, ("the",), ("the", "of", "lung", "the")}
 
 
 def grams(s):
@@ -112,6 +143,31 @@ def test_mask_all_and_back(pairs, mentions):
     assert {r.pair_id: r.t for r in back.collect()} == {p: s for p, _, s in PAIRS if p != "q"}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_longest_spans_stay(seed):
+    rng = random.Random(seed)
+    for _ in range(300):
+        spans = sorted({(a, a + rng.randint(1, 6)) for a in (rng.randrange(20) for _ in range(rng.randrange(12)))})
+        left, want = sorted(spans, key=lambda s: (s[0] - s[1], s[0])), []
+        while left:
+            want.append(left[0])
+            left = [s for s in left if s[1] <= want[-1][0] or s[0] >= want[-1][1]]
+        assert [spans[i] for i in cloze.longest_spans(spans, 30)] == sorted(want)
+
+
+def test_many_mentions_of_one_text(spark):
+    """A text with tens of thousands of mentions is masked in one pass."""
+    n = 30_000
+    text = "ab " * n
+    pairs = spark.createDataFrame([("p", "d", text)], "pair_id string, document string, summary string")
+    rows = spark.range(n).select(
+        F.lit("p").alias("pair_id"), (F.col("id") * 3).cast("int").alias("start_at"), (F.col("id") * 3 + 2).cast("int").alias("end_at"), F.lit("C").alias("cui"),
+        F.lit("ab").alias("detected_name"), F.array(F.lit("T047")).alias("type_ids"), F.lit("ab").alias("source_value"),
+    )
+    row = cloze.mask_all(pairs, rows).first()
+    assert row.masked_summary == "MASK " * n and row.answers.count("WORD_SEP") == n - 1
+
+
 def test_raw_overlaps_are_caught(pairs, mentions):
     raw = cloze.mask_all(pairs, mentions, overlaps="raw")
     checks = {r.pair_id: (r.n_masks, r.n_answers) for r in cloze.mask_checks(raw).collect()}
