@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,10 +11,10 @@ from checks.views import view, with_views
 from notepairs import constants as C
 from notepairs.functions import prompts as P
 from notepairs.functions.sections import strip_signature, with_headings
-from notepairs.functions.text import clean_text, settle
+from notepairs.functions.text import clean_text, count_tokens, settle
 from notepairs.operators import pairs as N
 from notepairs.operators import splits as S
-from notepairs.operators.inference import stored_inference
+from notepairs.operators.inference import batch_infer, resume_inference, run_records, stored_inference
 from notepairs.session import shared_folder, stage, tune
 from notepairs.sources import sinks
 from notepairs.sources.tables import NOTES, missing_tables, read_csv
@@ -262,6 +263,45 @@ def batch_inference(spark, sf_dir):
     return stored_inference(df, _longest_line, folder(spark, "generated"), tasks=8)
 
 
+def _fails_on(marks: str):
+    """Predictor that fails on prompts whose digest starts with one of ``marks``."""
+
+    def factory():
+        predict = _longest_line()
+
+        def run(texts: list[str]) -> list[str]:
+            if any(hashlib.sha256(t.encode()).hexdigest()[0] in marks for t in texts):
+                raise ValueError("no answer")
+            return predict(texts)
+
+        return run
+
+    return factory
+
+
+def resumed_inference(spark, sf_dir):
+    """A run that fails on half of its prompts, then one that asks for the rest."""
+    df = view(tune(spark), sf_dir, "fx_pairs").select("pair_id", P.render(C.ZERO_SHOT_USER, F.col("document")).alias("text"))
+    store = folder(spark, "responses")
+    resume_inference(df, _fails_on("01234567"), store, tasks=8)
+    return resume_inference(df, _longest_line, store, tasks=8, rows_per_wave=2000)
+
+
+def resumed_records(spark, sf_dir):
+    """What the two runs left in the store, run by run."""
+    df = view(tune(spark), sf_dir, "fx_pairs").select("pair_id", P.render(C.ZERO_SHOT_USER, F.col("document")).alias("text"))
+    store = folder(spark, "responses")
+    resume_inference(df, _fails_on("01234567"), store, tasks=8)
+    resume_inference(df, _longest_line, store, tasks=8)
+    return run_records(spark, store).groupBy((F.col("failed") == 0).alias("healthy")).agg(*[F.sum(c).alias(c) for c in ("asked", "answered", "failed")])
+
+
+def balanced_inference(spark, sf_dir):
+    """The same predictions from tasks of equal numbers of words instead of rows."""
+    df = view(tune(spark), sf_dir, "fx_pairs").select("pair_id", P.render(C.ZERO_SHOT_USER, F.col("document")).alias("text"))
+    return batch_infer(df, _longest_line, tasks=8, cost=count_tokens(F.col("text")))
+
+
 QUERIES = {
     "scan_notes": scan_notes, "missing_sources": missing_sources, "patient_layout": patient_layout,
     "discharge_notes": discharge_notes, "anchor_time": anchor_time, "clean_notes": clean_notes,
@@ -273,7 +313,8 @@ QUERIES = {
     "doc_stats": doc_stats, "length_gate": length_gate, "split_sets": split_sets,
     "split_counts": split_counts, "split_manifest": split_manifest, "render_prompts": render_prompts,
     "completion_span": completion_span, "chat_render": chat_render, "response_join": response_join,
-    "response_body": response_body, "batch_infer": batch_inference,
+    "response_body": response_body, "batch_infer": batch_inference, "infer_resumed": resumed_inference,
+    "infer_resumed_records": resumed_records, "infer_balanced": balanced_inference,
 }
 
 # SQL
@@ -455,4 +496,8 @@ coalesce(array_to_string(string_split(text, chr(10))[3:], chr(10)), '') AS rest
     "batch_infer": f"""{with_views('fx_pairs')}, p AS (SELECT pair_id, {filled(C.ZERO_SHOT_USER, _DOC)} AS text FROM fx_pairs),
 l AS (SELECT pair_id, text AS prompt, {_LINES} FROM p)
 SELECT pair_id, prompt, arg_max(line, length(line) * 1000000 - i) AS generated_text FROM l GROUP BY pair_id, prompt""",
+    "infer_resumed_records": f"""{with_views('fx_pairs')}, p AS (SELECT substr(sha256({filled(C.ZERO_SHOT_USER, _DOC)}), 1, 1) < '8' AS bad FROM fx_pairs)
+SELECT FALSE AS healthy, count(*) AS asked, count(*) FILTER (NOT bad) AS answered, count(*) FILTER (bad) AS failed FROM p
+UNION ALL SELECT TRUE, count(*), count(*), 0 FROM p WHERE bad""",
 }
+SQL["infer_resumed"] = SQL["infer_balanced"] = SQL["batch_infer"]

@@ -11,7 +11,7 @@ from notepairs import constants as C
 from notepairs.functions.answers import mask_count
 from notepairs.functions.prompts import chat, render, render_chat
 from notepairs.operators import cloze
-from notepairs.operators.inference import Predictor, stored_inference
+from notepairs.operators.inference import Predictor, resume_inference, stored_inference
 
 
 def chat_prompts(pairs: DataFrame, system: str, user: str, *values: Column) -> DataFrame:
@@ -38,9 +38,14 @@ def cloze_prompts(masks: DataFrame) -> DataFrame:
     return chat_prompts(cloze.usable_masks(masks), C.CLOZE_SYSTEM, C.CLOZE_USER, mask_count(masked), F.col("document"), masked)
 
 
-def generate(prompts: DataFrame, factory: Callable[[], Predictor], path: str, **options) -> DataFrame:
-    """``pair_id, response``: predictions stored once under ``path``; options as for ``batch_infer``."""
-    return stored_inference(prompts, factory, path, **options).select("pair_id", F.col("generated_text").alias("response"))
+def generate(prompts: DataFrame, factory: Callable[[], Predictor], path: str, *, resume: bool = False, **options) -> DataFrame:
+    """``pair_id, response``: predictions stored under ``path``; options as for ``batch_infer``.
+
+    With ``resume``, answers that an earlier run stored for the same prompts are kept and
+    only the others are asked for; without, the table is made anew.
+    """
+    made = (resume_inference if resume else stored_inference)(prompts, factory, path, **options)
+    return made.select("pair_id", F.col("generated_text").alias("response"))
 
 
 def rewrite_summaries(
