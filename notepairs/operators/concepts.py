@@ -18,6 +18,8 @@ from notepairs.session import spread, stage
 
 SIEVE_BITS = 1 << 28  # 32 MB, whatever the number of names
 GRAM_SIEVE_BITS = 1 << 26  # 8 MB
+# Thresholds from here on are served by whole parts of gram sets.
+PART_THRESHOLD = 0.8
 _GRAM_STEP, _SIZE_STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 SIEVE_CHUNKS = 256  # a bitmap is put together in as many pieces
 # How many gram counts a task holds at most. They only order the grams: with more frequent
@@ -225,92 +227,148 @@ def gram_order(names: DataFrame) -> GramOrder:
     return GramOrder([r["g"] for r in counts.orderBy(F.desc("count"), "g").limit(FREQUENT_GRAMS).collect()])
 
 
-def _prefix_size(n: np.ndarray, threshold: float) -> np.ndarray:
-    """How many of its first grams a set of ``n`` must show to meet every similar one."""
-    return n - np.ceil(threshold * n - 1e-9).astype(np.int64) + 1
+_NONE = np.iinfo(np.int64).max
 
 
-def _gram_places(packed: np.ndarray, size: np.ndarray | int) -> np.ndarray:
-    """Bits of (gram, size) pairs."""
-    mixed = (packed.astype(np.uint64) + np.uint64(_SIZE_STEP) * np.asarray(size).astype(np.uint64)) * np.uint64(_GRAM_STEP)
-    return (mixed >> np.uint64(64 - GRAM_SIEVE_BITS.bit_length() + 1)).astype(np.int64)
+def _mixed(values: np.ndarray) -> np.ndarray:
+    h = values.astype(np.uint64) * np.uint64(_GRAM_STEP)
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(_SIZE_STEP)
+    return h ^ (h >> np.uint64(29))
 
 
-def gram_index(names: DataFrame, threshold: float, order: GramOrder) -> DataFrame:
-    """Names under each of their first grams: (g, size, right_norm), ``size`` being that of their gram set."""
+class _Prefixes:
+    """Keys of the first grams of a set, rare ones first, each with the size of the set.
+
+    Two sets that reach the threshold share one of their first ``n - ceil(t * n) + 1`` grams.
+    """
+
+    def __init__(self, threshold: float, order: GramOrder):
+        self.threshold, self.order = threshold, order
+
+    def _shown(self, n: np.ndarray) -> np.ndarray:
+        return n - np.ceil(self.threshold * n - 1e-9).astype(np.int64) + 1
+
+    def keys(self, table: np.ndarray, n: np.ndarray, size: int | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys under sets of ``size``, and which of them are in use."""
+        shown = self._shown(n)
+        width = min(table.shape[1], int(shown.max()))
+        table = table[:, :width]
+        yield _mixed(table ^ (np.asarray(size, np.int64).reshape(-1, 1) << 40)), (np.arange(width) < shown[:, None]) & (table != _NONE)
+
+
+class _Parts:
+    """Keys of the parts of a set: its grams dealt by a hash into one part more than sets may differ in grams.
+
+    Each gram that only one of two sets has spoils one part, so two sets that reach the
+    threshold agree in a whole part, which the sum of its grams' hashes stands for.
+    """
+
+    order = None
+
+    def __init__(self, threshold: float):
+        self.threshold = threshold
+
+    def parts(self, size: int) -> int:
+        t = self.threshold
+        fits = range(max(int(np.ceil(t * size - 1e-9)), 1), int(np.floor(size / t + 1e-9)) + 1)
+        return 1 + max(n + size - 2 * int(np.ceil(t * (n + size) / (1 + t) - 1e-9)) for n in fits)
+
+    def keys(self, table: np.ndarray, n: np.ndarray, size: int | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        sizes = np.broadcast_to(np.asarray(size, np.int64), len(n))
+        for one in np.unique(sizes).tolist():
+            rows = np.flatnonzero(sizes == one)
+            grams = table[rows]
+            mixed = np.where(grams == _NONE, np.uint64(0), _mixed(grams))
+            p = self.parts(one)
+            part = (mixed >> np.uint64(40)) % np.uint64(p)
+            out = np.empty((len(n), p), np.uint64)
+            for i in range(p):
+                sums = (mixed * (part == i)).sum(axis=1, dtype=np.uint64)
+                out[rows, i] = _mixed(sums + np.uint64(one << 8) + np.uint64(i << 40))
+            used = np.zeros((len(n), p), bool)
+            used[rows] = True
+            yield out, used
+
+
+def _scheme(names: DataFrame, threshold: float) -> _Prefixes | _Parts:
+    """Parts where similar sets differ in few grams; first grams below that, where parts would be too small to tell."""
+    return _Parts(threshold) if threshold >= PART_THRESHOLD else _Prefixes(threshold, gram_order(names))
+
+
+def name_keys(names: DataFrame, scheme: _Prefixes | _Parts) -> DataFrame:
+    """Names under each of their keys: (k, size, right_norm), ``size`` being that of their gram set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             chars, first, last = strings(batch.column("norm").to_pylist())
-            for which, n, table in gram_sets(chars, first, last, order):
-                shown = np.arange(table.shape[1]) < _prefix_size(n, threshold)[:, None]
-                row, at = np.nonzero(shown & (table != np.iinfo(np.int64).max))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(table[row, at]), pa.array(n[row].astype(np.int32)), batch.column("norm").take(pa.array(which[row])),
-                ], names=["g", "size", "right_norm"])
-
-    return names.select("norm").mapInArrow(run, "g long, size int, right_norm string")
-
-
-def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, threshold: float, order: GramOrder, bits: np.ndarray):
-    """Slices that share a (gram, size) with some name: their numbers, and lists of the grams and sizes they share."""
-    slices, shared, sizes = [], [], []
-    for which, n, table in gram_sets(chars, first, last, order):
-        least = np.maximum(np.ceil(threshold * n - 1e-9), 1).astype(np.int64)
-        most = np.floor(n / threshold + 1e-9).astype(np.int64)
-        shown = _prefix_size(n, threshold)
-        table = table[:, : int(shown.max())]
-        open_ = (np.arange(table.shape[1]) < shown[:, None]) & (table != np.iinfo(np.int64).max)
-        for size in range(int(least.min()), int(most.max()) + 1):
+            for which, n, table in gram_sets(chars, first, last, scheme.order):
+                for keys, used in scheme.keys(table, n, n):
+                    row, at = np.nonzero(used)
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(keys[row, at].view(np.int64)), pa.array(n[row].astype(np.int32)), batch.column("norm").take(pa.array(which[row])),
+                    ], names=["k", "size", "right_norm"])
+
+    return names.select("norm").mapInArrow(run, "k long, size int, right_norm string")
+
+
+def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, scheme: _Prefixes | _Parts, sizes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+    """Slices that share a key with some name, as far as the bitmap tells: their numbers, and lists of these keys.
+
+    ``sizes`` are those of the names' gram sets, in order.
+    """
+    slices, shared, t = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], scheme.threshold
+    for which, n, table in gram_sets(chars, first, last, scheme.order):
+        least, most = np.maximum(np.ceil(t * n - 1e-9), 1), np.floor(n / t + 1e-9)
+        for size in sizes[(sizes >= least.min()) & (sizes <= most.max())].tolist():
             fits = np.flatnonzero((least <= size) & (size <= most))
             if len(fits):
-                row, at = np.nonzero(open_[fits] & _set(bits, _gram_places(table[fits], size)))
-                slices.append(which[fits[row]])
-                shared.append(table[fits[row], at])
-                sizes.append(np.full(len(row), size, np.int32))
-    if not slices:
-        return np.zeros(0, np.int64), *(pa.array([], pa.list_(t)) for t in (pa.int64(), pa.int32()))
+                for keys, used in scheme.keys(table[fits], n[fits], size):
+                    row, at = np.nonzero(used & _set(bits, _bits(keys, GRAM_SIEVE_BITS)))
+                    slices.append(which[fits[row]])
+                    shared.append(keys[row, at].view(np.int64))
     slices = np.concatenate(slices)
     by = np.argsort(slices, kind="stable")
     names, starts = np.unique(slices[by], return_index=True)
     ends = pa.array(np.append(starts, len(by)).astype(np.int32))
-    return names, *(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(x)[by])) for x in (shared, sizes))
+    return names, pa.ListArray.from_arrays(ends, pa.array(np.concatenate(shared)[by]))
 
 
 def _candidates(texts: DataFrame, key: str, names: DataFrame, threshold: float, longest: int | None) -> tuple[DataFrame, DataFrame]:
-    """Windows of ``texts`` that share a (gram, size) with a name, and the names by (gram, size).
+    """Windows of ``texts`` that share a key with a name, and the names by key.
 
-    Windows are (key, start_at, end_at, norm, g, size), with lists of what they share; with
+    Windows are (key, start_at, end_at, norm, ks), with the list of keys they share; with
     ``longest`` null, each whole text is a window as it is.
     """
-    order = gram_order(names)
-    by_gram = stage(gram_index(names, threshold, order))
+    scheme = _scheme(names, threshold)
+    by_key = stage(name_keys(names, scheme))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(_gram_places(batch.column("g").to_numpy(), batch.column("size").to_numpy()))], names=["b"])
+            yield pa.RecordBatch.from_arrays([pa.array(_bits(batch.column("k").to_numpy(), GRAM_SIEVE_BITS))], names=["b"])
 
-    bits = names.sparkSession.sparkContext.broadcast(bitmap(by_gram.select("g", "size").mapInArrow(places, "b long"), GRAM_SIEVE_BITS))
+    bits = names.sparkSession.sparkContext.broadcast(bitmap(by_key.select("k").mapInArrow(places, "b long"), GRAM_SIEVE_BITS))
+    # Few: sizes of names, in grams.
+    sizes = np.array(sorted(r["size"] for r in by_key.select("size").distinct().collect()), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").to_pylist()
             if longest is None:
                 chars, first, last = strings(texts)
-                hit, g, size = _met(chars, first, last, threshold, order, bits.value)
+                hit, keys = _met(chars, first, last, scheme, sizes, bits.value)
                 none = pa.nulls(len(hit), pa.int32())
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(key).take(pa.array(hit)), none, none, batch.column("_text").take(pa.array(hit)), g, size
-                ], names=[key, "start_at", "end_at", "norm", "g", "size"])
+                    batch.column(key).take(pa.array(hit)), none, none, batch.column("_text").take(pa.array(hit)), keys
+                ], names=[key, "start_at", "end_at", "norm", "ks"])
                 continue
             words = words_of(texts)
             for k in range(1, longest + 1):
                 first, last = words.windows(k)
-                hit, g, size = _met(words.chars, words.first[first], words.last[last], threshold, order, bits.value)
-                yield _rows(batch, key, words, first[hit], last[hit], g, size)
+                hit, keys = _met(words.chars, words.first[first], words.last[last], scheme, sizes, bits.value)
+                yield _rows(batch, key, words, first[hit], last[hit], keys)
 
-    columns = "start_at int, end_at int, norm string, g array<long>, size array<int>"
-    return texts.select(key, "_text").mapInArrow(run, _typed(texts, columns, key)), by_gram
+    columns = "start_at int, end_at int, norm string, ks array<long>"
+    return texts.select(key, "_text").mapInArrow(run, _typed(texts, columns, key)), by_key
 
 
 def _similarity(left: Column, right: Column) -> Column:
@@ -323,11 +381,10 @@ def _similarity(left: Column, right: Column) -> Column:
     return run(left, right)
 
 
-def _similar(sieved: DataFrame, by_gram: DataFrame, threshold: float) -> DataFrame:
+def _similar(sieved: DataFrame, by_key: DataFrame, threshold: float) -> DataFrame:
     """Pairs of distinct ``norm`` and name with their similarity, from what ``_candidates`` gives."""
-    one = sieved.groupBy("norm").agg(F.first("g").alias("gs"), F.first("size").alias("sizes"))
-    pairs = F.arrays_zip(F.col("gs").alias("g"), F.col("sizes").alias("size"))
-    met = one.select(F.col("norm").alias("left_norm"), F.inline(pairs)).join(by_gram, ["g", "size"]).select("left_norm", "right_norm").distinct()
+    one = sieved.groupBy("norm").agg(F.first("ks").alias("ks")).select(F.col("norm").alias("left_norm"), F.explode("ks").alias("k"))
+    met = one.join(by_key.select("k", "right_norm"), "k").select("left_norm", "right_norm").distinct()
     scored = met.withColumn("similarity", _similarity(F.col("left_norm"), F.col("right_norm")))
     return settle(scored, "similarity").filter(F.col("similarity") >= threshold - 1e-12)
 
@@ -335,17 +392,16 @@ def _similar(sieved: DataFrame, by_gram: DataFrame, threshold: float) -> DataFra
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs of ``left.norm`` and ``right.norm`` whose gram sets have Jaccard >= threshold.
 
-    Exact set-similarity join. With grams in one order on both sides, two sets that reach
-    the threshold share a gram among their first ``n - ceil(t * n) + 1`` ones and have sizes
-    within a factor ``t``. The grams most frequent in ``right`` come last, so they seldom
-    get into a prefix; a bitmap of fixed size tells which (gram, size) any name has, so
-    texts without one are dropped where they are made; joining on (gram, size) splits what
-    is left; and the different pairs are compared by their whole sets. Grams are numbers,
-    and all of this is done for whole batches of texts.
+    Exact set-similarity join. Sets that reach the threshold have sizes within a factor of
+    it and share a key: a whole part of their grams for high thresholds, one of their first
+    grams, rare ones first, for low ones. A bitmap of fixed size tells which keys any name
+    has, so texts without one are dropped where they are made; the different pairs that
+    meet under a key are compared by their whole sets. Grams are numbers, and all of this is
+    done for whole batches of texts.
     """
-    texts = left.select("norm").distinct().select("norm", F.col("norm").alias("_text")).withColumnRenamed("norm", "name")
-    sieved, by_gram = _candidates(texts, "name", right.select("norm").distinct(), threshold, None)
-    return _similar(sieved, by_gram, threshold)
+    texts = left.select("norm").distinct().select(F.col("norm").alias("name"), F.col("norm").alias("_text"))
+    sieved, by_key = _candidates(texts, "name", right.select("norm").distinct(), threshold, None)
+    return _similar(sieved, by_key, threshold)
 
 
 def match_similar(
@@ -359,9 +415,9 @@ def match_similar(
     """
     gated = of_types(concepts, types) if types else concepts
     entries = stage(gated.withColumn("norm", normal_name(F.col("name"))))
-    sieved, by_gram = _candidates(spread(texts.select(key, F.col(text).alias("_text"))), key, entries.select("norm").distinct(), threshold, longest)
+    sieved, by_key = _candidates(spread(texts.select(key, F.col(text).alias("_text"))), key, entries.select("norm").distinct(), threshold, longest)
     found = stage(sieved)
-    hits = _similar(found, by_gram, threshold).join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
+    hits = _similar(found, by_key, threshold).join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
         F.col("left_norm").alias("norm"), "cui", F.col("name").alias("detected_name"), "type_ids", "similarity"
     )
     return found.select(key, "start_at", "end_at", "norm").join(hits, "norm").select(

@@ -78,11 +78,16 @@ def grams(s):
     return {s[i : i + 3] for i in range(max(len(s) - 2, 1))}
 
 
-@pytest.mark.parametrize("threshold", [0.9, 0.7, 0.5, 0.3])
-def test_similar_is_exact(spark, threshold):
+@pytest.mark.parametrize("threshold", [1.0, 0.9, 0.85, 0.8, 0.7, 0.5, 0.3])
+@pytest.mark.parametrize("longest", [9, 60])
+def test_similar_is_exact(spark, threshold, longest):
     rng = random.Random(9)
-    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, 9)))
+    word = lambda: "".join(rng.choice("abc") for _ in range(rng.randint(1, longest)))
     left, right = {word() for _ in range(250)}, {word() for _ in range(200)}
+    for x in sorted(right)[::2]:
+        # Some differ in one or two letters, or in a piece that is longer.
+        at = rng.randrange(len(x))
+        left |= {x[:at] + rng.choice(("", "x", "ab", "xyz")) + x[at + rng.randrange(2) :] or "x"}
     df = lambda xs: spark.createDataFrame([(x,) for x in xs], "norm string")
     got = {(r.left_norm, r.right_norm): r.similarity for r in K.similar_names(df(left), df(right), threshold).collect()}
     want = {}
