@@ -7,8 +7,10 @@ joined by edges that weigh more the closer they are in the DOM. A maximum flow l
 cheapest labelling: content is what the source still reaches.
 
 Defined cases: a null or empty page, or one without content, has the empty text; broken
-markup is read as far as it goes, an unclosed comment or script hides the rest; repeated
-rows are extracted each; an empty table gives an empty result; other columns are not read.
+markup is read as far as it goes, an unclosed comment or script hides the rest; pages of any
+length are read whole; a block that costs as much either way is content; repeated rows are
+extracted each; an empty table gives an empty result; other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -23,11 +25,15 @@ from pyspark.sql import DataFrame
 
 from notepairs.llm.common import by_bytes, record_batches, text_or_empty
 
-#: Elements whose content is not text of the page.
-HIDDEN = "script|style|noscript|template|svg|math|iframe|textarea|select|title|object|canvas|audio|video"
+#: Elements whose content is not text of the page. The first end with their end tag or the page;
+#: the others hide nothing where their end tag is missing, and foreign ones may close themselves.
+RAW = "script|style|textarea|title|iframe"
+HIDDEN = "noscript|template|svg|math|select|object|canvas|audio|video"
+_QUOTED = r"\"[^\"]*\"|'[^']*'"
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({HIDDEN})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*+>.*?(?:</\1\s*>|\Z)|<!\[CDATA\[|<[!?][^>]*>"
-    r"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S | re.I,
+    rf"<!--.*?(?:-->|\Z)|<({RAW})\b(?:{_QUOTED}|[^'\">])*+>.*?(?:</\1\s*>|\Z)|<(?:svg|math)\b(?:{_QUOTED}|[^'\">/]|/(?!>))*+/>"
+    rf"|<({HIDDEN})\b(?:{_QUOTED}|[^'\">])*+>.*?</\2\s*>|<!\[CDATA\[|<[!?][^>]*>"
+    rf"|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:{_QUOTED}|[^'\">])*+)>|<(/?)([A-Za-z][A-Za-z0-9:-]*)([^>]*)>", re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|style|itemprop)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _WORDS = re.compile(r"[a-z]+")
@@ -36,16 +42,20 @@ INLINE = frozenset(
     " time tt u var wbr img picture source nobr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-BOILERPLATE_TAGS = frozenset("nav footer aside form button dialog menu fieldset datalist head".split())
+BOILERPLATE_TAGS = frozenset("nav footer aside form button dialog menu fieldset datalist head option".split())
 CONTENT_TAGS = frozenset("article main".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu form".split())
-#: Words of class and id names, met as whole words, and those met inside longer words.
+#: Words of class and id names, met as whole words, and those met inside longer words. Those of
+#: the first line name what never is the article; the last only hint, as sections of texts bear them too.
+REMARK_NAMES = frozenset("comment comments disqus replies reply respond".split())
 BOILERPLATE_NAMES = frozenset(
-    "ad ads adv nav navbar navigation menu footer sidebar side aside widget widgets notice notices alert banner promo promos popup modal cookie"
-    " cookies consent gdpr share sharing social related recommended breadcrumb breadcrumbs pager pagination login signup signin subscribe"
-    " newsletter toolbar topbar masthead copyright legal disclaimer search tags skip form replies reply respond".split()
+    "ad ads adv nav navbar navigation menu footer sidebar aside widget widgets notice notices banner promo promos popup modal cookie"
+    " cookies consent gdpr breadcrumb breadcrumbs pager pagination login signup signin subscribe newsletter toolbar topbar masthead copyright".split()
 )
-BOILERPLATE_PARTS = ("advert", "sponsor", "comment", "disqus", "sidebar", "newsletter", "breadcrumb", "cookie", "navbar", "outbrain", "taboola")
+HINT_NAMES = frozenset("alert disclaimer form legal recommended related search share sharing side skip social tags".split())
+BOILERPLATE_PARTS = ("advert", "sponsor", "sidebar", "newsletter", "breadcrumb", "cookie", "navbar", "outbrain", "taboola")
+#: Beginnings of names that tell of a page or a text what it has or is filed under.
+TELLING = ("no-", "has-", "with-", "without-", "category-", "cat-", "tag-", "tagged-", "type-", "format-", "is-", "js-")
 CONTENT_NAMES = frozenset("article content post entry story articlebody".split())
 _CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p"
@@ -54,8 +64,10 @@ _CLOSES_P = frozenset(
 #: What one open element of a kind closes when the next of the kind begins.
 _SIBLINGS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPES = frozenset("ul ol dl table menu".split())
-#: Costs. Marks of an ancestor outweigh a block's own looks and its neighbours.
-MARKED, INSIDE, OUTSIDE = 60.0, 16.0, 8.0
+#: Costs: what elements and hidden parts weigh, names, and hints; being inside and outside of marked content.
+#: A block's own looks come to about 7 and its neighbours to about 4, so prose outweighs hints.
+STRONG, NAMED, HINTED = 24.0, 14.0, 6.0
+INSIDE, OUTSIDE = 16.0, 8.0
 NEAR, FOLLOWING = 3.0, 1.0
 
 
@@ -65,8 +77,9 @@ class Node:
     parent: int
     depth: int
     good: bool
-    bad: bool
+    bad: float
     link: bool
+    own: float
 
 
 @dataclass(slots=True)
@@ -77,31 +90,47 @@ class Block:
     heading: bool
 
 
-def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element starts content or boilerplate, by its name and attributes."""
-    good, bad = tag in CONTENT_TAGS, tag in BOILERPLATE_TAGS or (tag == "header" and not inside)
+def _named(value: str, inside: bool) -> tuple[bool, float]:
+    """Whether class or id names stand for content, and how much for boilerplate."""
+    good, bad = False, 0.0
+    for name in value.split():
+        if name.startswith(TELLING):
+            continue
+        words = set(_WORDS.findall(name))
+        content = not CONTENT_NAMES.isdisjoint(words)
+        if not REMARK_NAMES.isdisjoint(words) or "comment" in name:
+            bad = max(bad, STRONG)
+        elif not BOILERPLATE_NAMES.isdisjoint(words) or any(p in name for p in BOILERPLATE_PARTS) or ("header" in words and not inside):
+            bad = max(bad, NAMED)
+        elif not HINT_NAMES.isdisjoint(words) and not content:
+            bad = max(bad, HINTED)
+        good |= content
+    return good, bad
+
+
+def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, float, float]:
+    """Whether an element starts content, what it weighs as boilerplate, and how much of that by its names alone."""
+    good, bad, named = tag in CONTENT_TAGS, STRONG * (tag in BOILERPLATE_TAGS or (tag == "header" and not inside)), 0.0
     if attributes and tag != "html" and tag != "body":
         for m in _ATTRIBUTE.finditer(attributes):
             name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
             if name == "role":
-                bad |= value in BOILERPLATE_ROLES
+                bad = max(bad, STRONG * (value in BOILERPLATE_ROLES))
                 good |= value in ("main", "article")
-            elif name == "hidden" or (name == "aria-hidden" and value == "true"):
-                bad = True
-            elif name == "style":
-                bad |= "display:none" in value.replace(" ", "")
+            elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and "display:none" in value.replace(" ", "")):
+                bad = STRONG
             elif name == "itemprop":
                 good |= value == "articlebody"
-            else:
-                words = _WORDS.findall(value)
-                bad |= not BOILERPLATE_NAMES.isdisjoint(words) or any(p in value for p in BOILERPLATE_PARTS) or ("header" in words and not inside)
-                good |= not CONTENT_NAMES.isdisjoint(words)
-    return good, bad
+            elif name in ("class", "id"):
+                content, weight = _named(value, inside)
+                good |= content
+                named = max(named, weight)
+    return good, bad, named
 
 
 def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
     """Text blocks in page order, and the elements that hold them."""
-    nodes = [Node("", -1, 0, False, False, False)]
+    nodes = [Node("", -1, 0, False, 0.0, False, 0.0)]
     stack = [0]
     blocks: list[Block] = []
     parts: list[str] = []
@@ -146,9 +175,9 @@ def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
     for m in _TOKEN.finditer(page):
         text(page[last : m.start()])
         last = m.end()
-        tag = (m[3] or m[6] or "").lower()
+        tag = (m[4] or m[7] or "").lower()
         if not tag:
-            if m[1]:
+            if m[1] or m[2]:
                 flush()
             continue
         if tag not in INLINE:
@@ -156,28 +185,51 @@ def blocks_of(page: str) -> tuple[list[Block], list[Node]]:
                 parts.append(" ")
                 continue
             flush()
-        if m[2] or m[5]:
+        if m[3] or m[6]:
             for i in range(len(stack) - 1, 0, -1):
                 if nodes[stack[i]].tag == tag:
                     del stack[i:]
                     break
             continue
         if tag in _CLOSES_P:
+            close(("option",), frozenset(("select",)))
             close(("p",), frozenset(("div", "section", "td", "li", "blockquote", "form", "nav", "footer", "aside", "header")))
         if tag in _SIBLINGS:
             close(_SIBLINGS[tag], _SCOPES)
         if tag in VOID:
             continue
         up = nodes[stack[-1]]
-        good, bad = _marks(tag, m[4] or m[7] or "", up.good)
-        # Marks are inherited; boilerplate inside content stays boilerplate.
-        nodes.append(Node(tag, stack[-1], up.depth + 1, up.good or good, up.bad or bad, up.link or tag == "a"))
+        good, bad, named = _marks(tag, m[5] or m[8] or "", up.good)
+        nodes.append(Node(tag, stack[-1], up.depth + 1, up.good or good, bad, up.link or tag == "a", named))
         stack.append(len(nodes) - 1)
     text(page[last:])
     flush()
+    _inherit(blocks, nodes)
     return blocks, nodes
 
 
+def _inherit(blocks: list[Block], nodes: list[Node]) -> None:
+    """Hand marks down to all that an element holds; boilerplate inside content stays boilerplate.
+
+    A name does not count on an element that holds most of the page's words outside links
+    and all that is marked as content, such as a wrapper named after all its parts, unless
+    it names readers' remarks.
+    """
+    held, marked = [0] * len(nodes), [0] * len(nodes)
+    for b in blocks:
+        words = max(0, len(b.text) - b.linked)
+        held[b.node] += words
+        marked[b.node] += words * nodes[b.node].good
+    for i in range(len(nodes) - 1, 0, -1):
+        held[nodes[i].parent] += held[i]
+        marked[nodes[i].parent] += marked[i]
+    for i in range(1, len(nodes)):
+        node = nodes[i]
+        void = 2 * held[i] > held[0] and marked[i] == marked[0]
+        named = 0.0 if void and node.own < STRONG else node.own
+        node.bad = max(node.bad, named, nodes[node.parent].bad)
+
+
 def capacities(block: Block, node: Node, any_good: bool) -> tuple[float, float]:
     """Costs of calling a block boilerplate, and of calling it content."""
     words = block.text.count(" ") + 1
@@ -185,11 +237,10 @@ def capacities(block: Block, node: Node, any_good: bool) -> tuple[float, float]:
     ends = block.text[-1] in ".!?:;…\"”»。！？"
     content = 0.5 + min(words, 40) / 8 * (1 - share) + 1.5 * ends
     boilerplate = 1.0 + 6.0 * share + (1.5 if words < 4 and not block.heading else 0.0)
-    if node.bad:
-        boilerplate += MARKED
-    elif node.good:
+    boilerplate += node.bad
+    if node.good and not node.bad:
         content += INSIDE
-    elif any_good:
+    elif any_good and not node.good:
         boilerplate += OUTSIDE
     return content, boilerplate
 

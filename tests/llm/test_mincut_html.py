@@ -26,6 +26,51 @@ def test_pages(page):
     assert M.main_text(page) == PAGES[page]
 
 
+BODY = "<p>The first paragraph of the article is long enough, and it says what it has to say.</p><p>The second one goes on about it, with some more words to read.</p>"
+TEXT = "The first paragraph of the article is long enough, and it says what it has to say. The second one goes on about it, with some more words to read."
+REST = "<div class='sidebar'>A side text of some length, which is not the article at all.</div><footer>All rights reserved.</footer>"
+WHOLE = [
+    f"<svg class=i />{BODY}", f"<svg viewBox='0 0 1 1'/><p></p>{BODY}", f"<svg><title>Icon</title><path d='M0 0'/></svg>{BODY}", f"<object data='x.swf'>{BODY}", f"<math/>{BODY}",
+    f"<article class='post category-legal'>{BODY}</article>{REST}", f"<div class='content no-sidebar'>{BODY}</div>{REST}", f"<div class='has-comments'>{BODY}</div>{REST}",
+    f"<div class='content-sidebar-wrap'><main>{BODY}</main>{REST}</div>", f"<div class='content-sidebar-wrap'><div>{BODY}</div>{REST}</div>", f"<div class='tag-ads with-banner post'>{BODY}</div>{REST}",
+    f"<div id='page' class='site-header-fixed'><article>{BODY}</article>{REST}</div>", f"<article>{BODY}<div id='post-comments'><p>I read this twice and do not agree with any word of it, my dear sir.</p></div></article>{REST}",
+    f"<article>{BODY}<p class='share'>Share this page</p></article>", f"<main>{BODY}<div class='promo'>Buy two of these today, and get the third one for nothing at all.</div></main>",
+    f"<div>{BODY}</div><select><option>One<option>Two</select>", f"<select><option>One<option>Two<div>{BODY}</div>",
+]
+
+
+@pytest.mark.parametrize("page", WHOLE)
+def test_articles_survive_names_and_broken_markup(page):
+    assert M.main_text(page) == TEXT
+
+
+@pytest.mark.parametrize("name", ["related-work", "legal", "side-effects", "article-share-tools", "search-methods"])
+def test_prose_outweighs_hints(name):
+    prose = "This section belongs to the article as its words show, since it is written out in full sentences that go on for quite a while and are about what the others are about, with no link in any of them, to the end."
+    page = f"<article>{BODY}<div class='{name}'>{prose}</div>{BODY}</article>"
+    assert M.main_text(page) == f"{TEXT} {prose} {TEXT}"
+
+
+def test_remarks_of_most_words_still_go():
+    remarks = "".join(f"<p>Remark number {i} of a reader, who has a lot to say about all of this today.</p>" for i in range(20))
+    assert M.main_text(f"<article>{BODY}</article><section class='comments-area'>{remarks}</section>") == TEXT
+
+
+def test_pages_are_labelled_by_a_minimum_cut(monkeypatch):
+    """Every labelling of the blocks of small pages costs at least as much as the one that is taken."""
+    seen = []
+    cut = M.min_cut
+    monkeypatch.setattr(M, "min_cut", lambda gains, edges: seen.append((gains, edges, cut(gains, edges))) or seen[-1][2])
+    rng = random.Random(8)
+    for _ in range(60):
+        parts = rng.choices([BODY, "<p>Short</p>", "<p class='tags'>one, two</p>", "<div class='ad'>Buy it now.</div>", "<ul><li><a href=x>Link</a></ul>", "<article><h2>Head</h2><p>Text.</p></article>"], k=4)
+        M.main_text("<div>".join(parts))
+    assert any(len(set(side)) == 2 for _, _, side in seen)
+    for gains, edges, side in seen:
+        if len(gains) <= 10:
+            assert cost(gains, edges, side) == pytest.approx(min(cost(gains, edges, s) for s in itertools.product((False, True), repeat=len(gains))))
+
+
 def cost(gains, edges, side):
     return sum(max(g, 0) for g, s in zip(gains, side) if not s) + sum(max(-g, 0) for g, s in zip(gains, side) if s) + sum(w for a, b, w in edges if side[a] != side[b])
 
