@@ -9,9 +9,11 @@ Bounds of the sample: ``SAMPLE_ROWS`` rows of a language, ``PIECE`` characters o
 The driver holds that much text a language. Rows are sampled by a checksum of their text.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; rows without
-a language are not learned from; without any labelled row every text is ``und``; ties go
-to the smaller language code; repeated rows are predicted each; an empty table gives an
-empty result; other columns are not read.
+a language are not learned from; a language is learned however short its texts are, its
+dictionary being filled up with spaces; without any labelled row every text is ``und``;
+texts of any length are compressed whole; ties go to the smaller language code; repeated
+rows are predicted each; an empty table gives an empty result; other columns are not read,
+whatever their names.
 """
 
 from __future__ import annotations
@@ -31,6 +33,9 @@ SAMPLE_ROWS = 512
 PIECE = 512
 WINDOW = 256
 LEVEL = 9
+#: Bytes to which a short dictionary is filled up with spaces, so every learned language can be chosen.
+LEAST = 16
+_MARKS = 1 << 64
 #: Bytes by which the second language must be larger for the choice to stand, and the same per window.
 MARGIN, WINDOW_MARGIN = 3.0, 0.5
 #: Bytes of difference that change the odds between two languages by a factor of e.
@@ -89,21 +94,38 @@ def _predict(batches: Iterator[pa.RecordBatch], dictionaries: dict[str, bytes])
 def learn(docs: DataFrame, *, text_column: str = "text", lang_column: str = "lang") -> dict[str, bytes]:
     """The dictionary of every language, from the middle of each sampled text.
 
-    The smallest checksums of a language are found without moving texts; each task keeps
-    ``SAMPLE_ROWS`` of a language before the shuffle.
+    The texts with the ``SAMPLE_ROWS`` smallest checksums of a language are sampled. Checksums
+    are spread evenly, so a bound on them that leaves a few times as many follows from the
+    number of texts; only checksums below it are looked at, whatever a language's size.
     """
     text = text_or_empty(docs, text_column)
     rows = docs.select(docs[lang_column].cast("string").alias("lang"), text.alias("text")).where("lang IS NOT NULL").withColumn("mark", F.xxhash64("text"))
-    first = Window.partitionBy("lang").orderBy("mark")
-    marks = rows.select("lang", "mark").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS).collect()
-    chosen = {r["mark"] for r in marks}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")).collect()}
+    marks: list[tuple[str, int]] = []
+    share = dict.fromkeys(sizes, 4.0)
+    while share:
+        bound = {lang: min(_MARKS, int(_MARKS * s * SAMPLE_ROWS / max(sizes[lang], 1))) - _MARKS // 2 for lang, s in share.items()}
+        below = F.lit(False)
+        for lang, most in bound.items():
+            below |= (F.col("lang") == lang) & (F.col("mark") <= most - 1)
+        found: dict[str, list[int]] = {lang: [] for lang in share}
+        for r in rows.where(below).select("lang", "mark").distinct().collect():
+            found[r["lang"]].append(r["mark"])
+        for lang, got in found.items():
+            if len(got) < SAMPLE_ROWS and bound[lang] < _MARKS // 2:
+                share[lang] *= 4
+            else:
+                marks += [(lang, m) for m in sorted(got)[:SAMPLE_ROWS]]
+                del share[lang]
+    chosen = {m for _, m in marks}
     start = F.greatest(F.lit(1), F.floor((F.length("text") - PIECE) / F.lit(2)) + 1).cast("int")
     pieces = rows.where(F.col("mark").isin(*chosen)).select("lang", "mark", F.substring("text", start, F.lit(PIECE)).alias("piece")).distinct().collect()
     out: dict[str, bytes] = {}
-    wanted = {(r["lang"], r["mark"]) for r in marks}
+    wanted = set(marks)
     for row in sorted((r for r in pieces if (r["lang"], r["mark"]) in wanted), key=lambda r: (r["lang"], r["mark"])):
         out[row["lang"]] = out.get(row["lang"], b"") + shaped(row["piece"]) + b" "
-    return {lang: content for lang, content in out.items() if len(content) > 8}
+    # The library takes no dictionary of fewer bytes.
+    return {lang: content.ljust(LEAST, b" ") for lang, content in out.items()}
 
 
 def predict(

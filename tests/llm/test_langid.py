@@ -34,3 +34,38 @@ def test_odd_rows(odd_docs, no_docs):
     assert [r.score for r in got if r.lang_pred == "und"] == [0.0] * 4
     assert predict(no_docs).count() == 0
     assert {r.lang_pred for r in predict(odd_docs, "true").collect()} == {"und"}
+
+
+def test_classify_is_brute_force_over_the_dictionaries():
+    """Sizes by a plain compressor for each window and dictionary."""
+    import random
+
+    import zstandard
+
+    rng = random.Random(4)
+    words = {lang: [f"{lang}{rng.randrange(300)}x".replace("0", "o").replace("1", "i") for _ in range(400)] for lang in ("aa", "bb", "cc")}
+    dictionaries = {lang: langid.shaped(" ".join(ws)) for lang, ws in words.items()} | {"dd": b"q".ljust(langid.LEAST)}
+    packers = langid.compressors(dictionaries)
+    for _ in range(40):
+        lang = rng.choice(["aa", "bb", "cc"])
+        text = " ".join(rng.choices(words[lang], k=rng.randrange(1, 150)))
+        data = langid.shaped(text)
+        sizes = {}
+        for name, content in dictionaries.items():
+            raw = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            plain = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=raw, write_content_size=False, write_dict_id=False)
+            sizes[name] = sum(len(plain.compress(data[i : i + langid.WINDOW])) for i in range(0, len(data), langid.WINDOW))
+        got = langid.classify(text, packers)
+        assert sizes[got[0]] == min(sizes.values()) and got[0] == min(n for n, s in sizes.items() if s == min(sizes.values()))
+        assert 0 < got[1] <= 1
+
+
+def test_sample_is_the_smallest_checksums(spark, monkeypatch):
+    """A language of most rows and one of a single short text are both learned, and the sample does not depend on the layout."""
+    monkeypatch.setattr(langid, "SAMPLE_ROWS", 20)
+    rows = [(f"wort nummer {i} im text", "de") for i in range(3000)] + [("hi", "xx")] + [("ein text von vielen", "de")] * 1500
+    table = spark.createDataFrame(rows, "text string, lang string")
+    marks = sorted(r.m for r in table.where("lang = 'de'").select(langid.F.xxhash64("text").alias("m")).distinct().collect())[:20]
+    texts = {r.m: r.text for r in table.select("text", langid.F.xxhash64("text").alias("m")).collect()}
+    got = langid.learn(table.repartition(7))
+    assert got == {"de": b"".join(langid.shaped(texts[m]) + b" " for m in marks), "xx": b"hi ".ljust(langid.LEAST)} == langid.learn(table.coalesce(1))
