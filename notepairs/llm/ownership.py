@@ -3,17 +3,19 @@
 Patterns find candidates of the kinds ``assign``, ``access`` and ``hex`` and, as ``bare``,
 every long run of credential characters with digits and letters. Candidates are told
 apart by the hash of their value, and every hash is counted by distinct repositories and
-owners over the whole corpus. A value of many owners is a copied example; a value of few
-owners that looks random is live-looking. Base spans always stay; the method adds, as
-``owned``, the bare runs that are live-looking, belong to few owners and touch no base span.
+owners over the whole corpus. A value of many owners, or of many repositories even of one
+owner, is a copied example; one of few owners and repositories that looks random is
+live-looking. Base spans always stay; the method adds, as ``owned``, the bare runs that are
+live-looking, of few owners and repositories, and touch no base span.
 
 Hashes are first made distinct by repository and owner, so a value in a third of all rows
-is one row per owner before it is counted. Spans are placed by running sums of gap and
+is one row per repository before it is counted. Spans are placed by running sums of gap and
 match lengths over rows of their text; texts never enter a shuffle.
 
-Defined cases: a null text is empty; null repositories or owners count as one of their
-own; repeated rows each have their spans and are of one owner; an empty table gives an
-empty result; other columns are not read.
+Defined cases: a null text is empty, a very long one is read whole; null repositories or
+owners count as one of their own; repeated rows each have their spans and are of one owner;
+spans that start together stand in the order of the kinds; an empty table gives an empty
+result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,8 +35,9 @@ RUN = "[A-Za-z0-9+/_.=-]"
 BARE_CHARS = 20
 BARE = rf"(?<!{RUN})(?=[A-Za-z+/_.=-]*[0-9])(?=[0-9+/_.=-]*[A-Za-z]){RUN}{{{BARE_CHARS},}}"
 KINDS = ("assign", "access", "hex", "bare")
-#: A value of more owners than this is a copied example.
+#: A value of more owners, or in more repositories, than this is a copied example.
 MAX_OWNERS = 2
+MAX_REPOSITORIES = 6
 #: A live-looking value has at least as many digits, letters and different characters.
 LIVE_DIGITS = 4
 LIVE_LETTERS = 4
@@ -70,12 +73,13 @@ def candidates(rows: DataFrame) -> DataFrame:
 
 def scan(
     docs: DataFrame, *, repository: Column, owner: Column, id_column: str = "doc_id", text_column: str = "text",
-    max_owners: int = MAX_OWNERS,
+    max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Spans of every row: ``doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_owned, n_live, n_examples``.
 
     ``n_live`` and ``n_examples`` count base spans whose value is live-looking and of few
-    owners, or of many owners. ``repository`` and ``owner`` are columns of ``docs``.
+    owners and repositories, or a copied example. ``repository`` and ``owner`` are columns of
+    ``docs``; a repository is one of its owner.
     """
     rows = docs.select(
         docs[id_column].alias("doc_id"), repository.cast("string").alias("repository"), owner.cast("string").alias("owner"),
@@ -98,7 +102,7 @@ def scan(
         .groupBy("hash").agg(F.countDistinct("place").alias("n_repositories"), F.countDistinct("holder").alias("n_owners"))
     )
     judged = hits.join(stage(counts), "hash").select(
-        "row", "kind", "start", "end", (F.col("n_owners") > max_owners).alias("example"), looks_live(F.col("value")).alias("live")
+        "row", "kind", "start", "end", ((F.col("n_owners") > max_owners) | (F.col("n_repositories") > max_repositories)).alias("example"), looks_live(F.col("value")).alias("live")
     )
     base = F.col("kind") < 3
     # Base spans come first among equal starts, so a run is compared with all that begin up to it.

@@ -59,3 +59,14 @@ def test_owned_runs_are_added_and_examples_are_not(spark):
 def test_one_value_in_most_rows(spark):
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(f"token={A}").alias("text"), (F.col("id") % 2).cast("string").alias("source"), F.lit("en").alias("lang"))
     assert scan(docs).where("n_live = 1 AND n_assign = 1").count() == 3000
+
+
+def test_copies_inside_one_owner_are_examples(spark):
+    """One value in many repositories of a single source, another in few of them."""
+    docs = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") % 500 == 7, f"key {A[::-1]}").otherwise(f"key {A}").alias("text"), F.lit("s").alias("source"), (F.col("id") % 100).alias("repo")
+    )
+    got = ownership.scan(docs, repository=docs["repo"], owner=docs["source"])
+    assert {(r.doc_id, r.spans) for r in got.where("spans <> ''").collect()} == {(i, f"owned:4:{4 + len(A)}") for i in range(7, 3000, 500)}
+    few = ownership.scan(docs, repository=docs["repo"] % 3, owner=docs["source"])
+    assert few.where("n_owned = 1").count() == 3000
