@@ -78,12 +78,12 @@ _MATCHES = "\nUNION ALL ".join(
 )
 
 SECRETS = rf"""
-WITH t AS (SELECT row_number() OVER () AS r, doc_id, source || '/' || lang AS repo, source AS owner, coalesce(text, '') AS text FROM documents),
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, concat_ws('/', source, lang, (doc_id // 100)::VARCHAR) AS repo, source AS owner, coalesce(text, '') AS text FROM documents),
 m AS ({_MATCHES}),
 p AS (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY r, kind ORDER BY i)::BIGINT AS e FROM m),
-h AS (SELECT r, owner, kind, e - length(m) AS s, e, v FROM p WHERE (kind > 0 OR length(v) >= {ownership.ASSIGN_CHARS})
+h AS (SELECT r, owner, repo, kind, e - length(m) AS s, e, v FROM p WHERE (kind > 0 OR length(v) >= {ownership.ASSIGN_CHARS})
   AND (kind < 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')))),
-n AS (SELECT v, count(DISTINCT coalesce('=' || owner, '')) > {ownership.MAX_OWNERS} AS example, length(v) >= {ownership.BARE_CHARS}
+n AS (SELECT v, count(DISTINCT coalesce('=' || owner, '')) > {ownership.MAX_OWNERS} OR count(DISTINCT (coalesce('=' || owner, ''), repo)) > {ownership.MAX_REPOSITORIES} AS example, length(v) >= {ownership.BARE_CHARS}
   AND len(regexp_extract_all(v, '[0-9]')) >= {ownership.LIVE_DIGITS} AND len(regexp_extract_all(v, '[A-Za-z]')) >= {ownership.LIVE_LETTERS}
   AND len(list_distinct(string_split(v, ''))) >= {ownership.LIVE_DIFFERENT} AS live FROM h GROUP BY v),
 k AS (SELECT h.*, example, live FROM h JOIN n USING (v) WHERE kind < 3 OR (live AND NOT example
@@ -95,20 +95,20 @@ SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1
 FROM t LEFT JOIN x USING (r) GROUP BY r, doc_id"""
 
 PREFERENCE = rf"""
-WITH l AS (SELECT conv_id, max(turn) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-r AS (SELECT c.conv_id, last, text AS reply FROM conversations c JOIN l ON c.conv_id = l.conv_id AND c.turn = l.last),
-t AS (SELECT c.conv_id AS pair_id, c.turn, c.role, c.text AS a, CASE WHEN c.turn = m.last THEN o.reply ELSE c.text END AS b,
-    row_number() OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS k
-  FROM conversations c JOIN r AS m USING (conv_id) JOIN r AS o ON o.conv_id = xor(c.conv_id, 1) WHERE c.turn <= m.last),
-n AS (SELECT pair_id, coalesce(min(k) FILTER (a <> b) - 1, count(*)) AS n FROM t GROUP BY pair_id),
+WITH c AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS a,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS k FROM conversations),
+l AS (SELECT conv_id, max(k) AS last, arg_max(a, k) AS reply FROM c WHERE role = 'assistant' GROUP BY conv_id),
+t AS (SELECT c.conv_id AS pair_id, c.role, c.a, c.k, o.reply IS NOT NULL AS paired, CASE WHEN c.k = m.last THEN o.reply ELSE c.a END AS b
+  FROM c LEFT JOIN l AS m ON m.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN l AS o ON o.conv_id = xor(c.conv_id, 1) AND m.last IS NOT NULL),
+n AS (SELECT pair_id, CASE WHEN bool_and(paired) THEN coalesce(min(k) FILTER (a <> b) - 1, count(*)) ELSE 0 END AS n FROM t GROUP BY pair_id),
 p AS (SELECT t.*, n, '{preference.START}' || role || chr(10) AS head, '<|im_end|>' || chr(10) AS tail, (role = 'assistant')::INT || ':' AS flag
-  FROM t JOIN n USING (pair_id))
+  FROM t JOIN n ON t.pair_id IS NOT DISTINCT FROM n.pair_id)
 SELECT pair_id, any_value(n) AS prefix_turns, coalesce(string_agg(head || a || tail, '' ORDER BY k) FILTER (k <= n), '') AS prompt,
   coalesce(string_agg(head || a || tail, '' ORDER BY k) FILTER (k > n), '') AS chosen,
   coalesce(string_agg('0:' || length(head) || ',' || flag || length(a || tail), ',' ORDER BY k) FILTER (k > n), '') AS chosen_mask,
-  coalesce(string_agg(head || b || tail, '' ORDER BY k) FILTER (k > n), '') AS rejected,
-  coalesce(string_agg('0:' || length(head) || ',' || flag || length(b || tail), ',' ORDER BY k) FILTER (k > n), '') AS rejected_mask,
-  coalesce(bool_or(role = 'assistant') FILTER (k > n), FALSE) AS usable
+  coalesce(string_agg(head || b || tail, '' ORDER BY k) FILTER (k > n AND paired), '') AS rejected,
+  coalesce(string_agg('0:' || length(head) || ',' || flag || length(b || tail), ',' ORDER BY k) FILTER (k > n AND paired), '') AS rejected_mask,
+  coalesce(bool_or(role = 'assistant') FILTER (k > n AND paired), FALSE) AS usable
 FROM p GROUP BY pair_id"""
 
 INTERACTIONS = rf"""

@@ -9,13 +9,13 @@ the whole conversation.
 Defined cases: a null role or text counts as empty; turns stand in the order of turn,
 role, text, with nulls first, so repeated rows are turns of their own; a pair with one
 side alone has no rejected or chosen completion; ``usable`` tells pairs whose completions
-differ and both hold an assistant turn; an empty table gives an empty result; other
-columns are not read.
+differ and both hold an assistant turn; texts of any length are rendered whole; an empty
+table gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notepairs.functions.text import settle
@@ -49,9 +49,13 @@ def preference_pairs(chosen: DataFrame, rejected: DataFrame) -> DataFrame:
     ``chosen`` and ``rejected`` are lists of segments. A conversation is gathered in one
     row, since its rendering is one value of the result.
     """
-    both = _turns(chosen, 0).unionByName(_turns(rejected, 1)).groupBy("pair_id").agg(
+    return _formatted(_turns(chosen, 0).unionByName(_turns(rejected, 1)).groupBy("pair_id").agg(
         *[F.sort_array(F.collect_list(F.when(F.col("side") == i, F.col("t")))).alias(name) for i, name in enumerate(("_c", "_r"))]
-    )
+    ))
+
+
+def _formatted(both: DataFrame) -> DataFrame:
+    """The result, from rows ``pair_id, _c, _r`` with the turns of either side in order."""
     same = F.zip_with("_c", "_r", lambda a, b: F.coalesce((a["role"] == b["role"]) & (a["text"] == b["text"]), F.lit(False)))
     both = settle(both.withColumn("_same", same), "_same")
     first = F.array_position("_same", False)
@@ -75,17 +79,27 @@ def mask(parts: Column) -> Column:
     return F.array_join(F.transform(parts, lambda s: F.concat(F.when(s["trained"], F.lit("1:")).otherwise(F.lit("0:")), F.length(s["text"]).cast("string"))), ",")
 
 
-def swapped_replies(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Chosen and rejected conversations from plain ones ``conv_id, turn, role, text``.
+def neighbour_pairs(turns: DataFrame) -> DataFrame:
+    """``preference_pairs`` of every conversation of ``conv_id, turn, role, text``, the rejected side made from a neighbour.
+
+    On the rejected side, the last assistant turn says what the last assistant turn of the
+    neighbour says, the conversation whose id differs in the lowest bit; all other turns,
+    those behind it too, stand on both sides. A conversation without an assistant turn, or
+    whose neighbour has none or does not exist, has an empty rejected side and is not
+    ``usable``; rows without an id are one conversation without a neighbour.
 
-    The rejected one ends in the last assistant reply of the neighbour, the conversation
-    whose id differs in the lowest bit. Both end there; conversations without a reply, or
-    whose neighbour has none, make no pair.
+    Neighbours are dealt to the same task, so texts move once.
     """
-    rows = turns.select(F.col("conv_id").alias("pair_id"), F.col("turn").alias("turn"), F.col("role").alias("role"), F.col("text").alias("text"))
-    last = rows.where(F.col("role") == TRAINED).groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("l"))
-    ends = last.select("pair_id", F.col("l.turn").alias("last"))
-    other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("pair_id"), F.col("l.text").alias("reply"))
-    cut = rows.join(ends.join(other, "pair_id"), "pair_id").where("turn <= last")
-    swapped = F.when((F.col("turn") == F.col("last")) & (F.col("role") == TRAINED), F.col("reply")).otherwise(F.col("text"))
-    return cut.select("pair_id", "turn", "role", "text"), cut.select("pair_id", "turn", "role", swapped.alias("text"))
+    rows = _turns(turns.select(turns["conv_id"].alias("pair_id"), turns["turn"], turns["role"], turns["text"]), 0)
+    dealt = rows.withColumn("_couple", F.shiftright("pair_id", 1)).repartition("_couple")
+    talks = dealt.groupBy("_couple", "pair_id").agg(F.sort_array(F.collect_list("t")).alias("_c"))
+    behind = F.array_position(F.reverse(F.transform("_c", lambda t: t["role"] == TRAINED)), True)
+    talks = settle(talks.withColumn("_at", F.when(behind > 0, F.size("_c") - behind).cast("int")), "_at")
+    talks = talks.withColumn("_reply", F.get("_c", F.col("_at"))["text"])
+    odd = F.pmod("pair_id", F.lit(2)) == 1
+    couple = Window.partitionBy("_couple")
+    said = lambda which: F.max(F.when(which, F.col("_reply"))).over(couple)
+    talks = talks.withColumn("_other", F.when(odd, said(~odd)).otherwise(said(odd)))
+    swapped = F.transform("_c", lambda t, i: F.when(i == F.col("_at"), t.withField("text", F.col("_other"))).otherwise(t))
+    paired = F.col("_at").isNotNull() & F.col("_other").isNotNull()
+    return _formatted(talks.select("pair_id", "_c", F.when(paired, swapped).otherwise(F.slice("_c", 1, 0)).alias("_r")))

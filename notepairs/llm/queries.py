@@ -26,7 +26,7 @@ def op2_simhash_near_dedup(spark, sf_dir):
 def op3_preference_format(spark, sf_dir):
     # The table has no preferences: the rejected side ends in a neighbour's reply.
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    pairs = preference.preference_pairs(*preference.swapped_replies(turns))
+    pairs = preference.neighbour_pairs(turns)
     return pairs.select(
         "pair_id", "prefix_turns", "prompt", preference.completion(F.col("chosen")).alias("chosen"), preference.mask(F.col("chosen")).alias("chosen_mask"),
         preference.completion(F.col("rejected")).alias("rejected"), preference.mask(F.col("rejected")).alias("rejected_mask"), "usable",
@@ -48,9 +48,10 @@ def op5_compression_language(spark, sf_dir):
 
 
 def op6_secret_ownership(spark, sf_dir):
-    # The table names no repositories: a source is an owner, its texts in one language a repository.
+    # The table names no repositories: a source is an owner, a hundred neighbouring documents of one language a repository of it.
     docs = documents(spark, sf_dir)
-    return ownership.scan(docs, repository=F.concat("source", F.lit("/"), "lang"), owner=docs["source"])
+    repository = F.concat_ws("/", "source", "lang", F.expr("doc_id div 100").cast("string"))
+    return ownership.scan(docs, repository=repository, owner=docs["source"])
 
 
 def op7_mixing(spark, sf_dir):
