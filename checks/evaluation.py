@@ -13,13 +13,14 @@ from notepairs import constants as C
 from notepairs.functions.stemming import stem_table
 from notepairs.operators import embedding, preference, scores
 from notepairs.operators.concepts import concept_scores
-from notepairs.session import shared_folder, stage, tune
-from notepairs.sources.sinks import export_texts
+from notepairs.session import shared_folder, spread, stage, tune
 from notepairs.sources.tables import read_texts
+from notepairs.sources.textfiles import export_texts
 
 SHORT = 40
 BASELINE = 0.25
 MAX_PROMPT = 400
+VECTOR_BLOCK = 16  # so that the pairs of the test vectors, tens to hundreds a side, span many tiles
 
 
 def evals(spark, sf_dir, **options):
@@ -47,6 +48,15 @@ def rouge_l(spark, sf_dir):
     return rounded(scores.rouge_l(evals(spark, sf_dir), stemmed=False))
 
 
+def rouge_l_documents(spark, sf_dir):
+    """Longest common subsequences of whole documents: each with the next one of its language."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    evals = docs.select(F.col("doc_id").cast("string").alias("pair_id"), F.col("text").alias("reference"), "lang", (F.col("doc_id") + 1).alias("next")).join(
+        docs.select(F.col("doc_id").alias("next"), "lang", F.col("text").alias("candidate")), ["next", "lang"]
+    )
+    return rounded(scores.rouge_l(spread(evals), stemmed=False))
+
+
 def rouge_stemmed(spark, sf_dir):
     return rounded(scores.rouge(evals(spark, sf_dir)))
 
@@ -61,11 +71,11 @@ def vectors(spark, sf_dir):
 
 
 def embed_greedy(spark, sf_dir):
-    return rounded(embedding.greedy_scores(vectors(spark, sf_dir)))
+    return rounded(embedding.greedy_scores(vectors(spark, sf_dir), block=VECTOR_BLOCK))
 
 
 def embed_rescaled(spark, sf_dir):
-    raw = embedding.greedy_scores(vectors(spark, sf_dir))
+    raw = embedding.greedy_scores(vectors(spark, sf_dir), block=VECTOR_BLOCK)
     return rounded(raw.select("pair_id", *[scores.rescaled(F.col(c), BASELINE).alias(c) for c in ("p", "r", "f1")]))
 
 
@@ -74,7 +84,7 @@ def metric_means(spark, sf_dir):
     from checks.concepts import concepts
 
     tables = [
-        scores.rouge(pairs, stemmed=False), embedding.greedy_scores(vectors(spark, sf_dir)),
+        scores.rouge(pairs, stemmed=False), embedding.greedy_scores(vectors(spark, sf_dir), block=VECTOR_BLOCK),
         concept_scores(pairs, concepts(spark, sf_dir)),
     ]
     return rounded(scores.metric_means("model", *tables))
@@ -83,7 +93,7 @@ def metric_means(spark, sf_dir):
 def scan_responses(spark, sf_dir):
     df = view(tune(spark), sf_dir, "fx_turns").select("pair_id", F.col("summary").alias("text"))
     folder = f"{shared_folder(spark)}/texts-{uuid.uuid4().hex}"
-    export_texts(df, folder if "://" in folder else f"file://{folder}")
+    export_texts(df, folder)
     return read_texts(spark, folder)
 
 
@@ -103,7 +113,7 @@ def preference_gate(spark, sf_dir):
 
 QUERIES = {
     "eval_pairs": eval_pairs, "eval_restricted": eval_restricted, "rouge1": rouge(1, False),
-    "rouge2": rouge(2, False), "rougeL": rouge_l, "rouge_stemmed": rouge_stemmed, "stem_dim": stem_dim,
+    "rouge2": rouge(2, False), "rougeL": rouge_l, "rougeL_documents": rouge_l_documents, "rouge_stemmed": rouge_stemmed, "stem_dim": stem_dim,
     "embed_greedy": embed_greedy, "embed_rescaled": embed_rescaled, "metric_means": metric_means,
     "scan_responses": scan_responses, "rejected_summaries": rejected,
     "preference_triples": preference_triples, "preference_gate": preference_gate,

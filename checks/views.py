@@ -95,9 +95,9 @@ SELECT CAST(doc_id AS STRING) AS pair_id, CASE doc_id % 6
   ELSE text END AS response FROM documents"""),
     "fx_doc_pairs": ((), """
 SELECT CAST(doc_id AS STRING) AS pair_id, text AS document, lang || ' ' || source AS summary FROM documents"""),
-    # The vectors of eight neighbours are one pair: even ones of the reference, odd ones of the candidate.
+    # The vectors of a label are one pair: even ones of the reference, odd ones of the candidate.
     "fx_vectors": ((), """
-SELECT CAST(vec_id @div@ 8 AS STRING) AS pair_id, CASE vec_id % 2 WHEN 0 THEN 'reference' ELSE 'candidate' END AS side,
+SELECT CAST(label AS STRING) AS pair_id, CASE vec_id % 2 WHEN 0 THEN 'reference' ELSE 'candidate' END AS side,
   vec_id AS token, embedding AS vector FROM embeddings"""),
     "fx_type_texts": ((), """
 SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '"[''' || lang || ''', ''' || source || ''']"' WHEN 1 THEN '[''' || source || ''']' ELSE '[]' END AS type_ids

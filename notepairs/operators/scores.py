@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -57,27 +57,45 @@ def prf(name: str, overlap: Column, n_ref: Column, n_cand: Column) -> list[Colum
     return [p.alias(f"{name}_precision"), r.alias(f"{name}_recall"), f.alias(f"{name}_f1")]
 
 
-def lcs_length(a: Column, b: Column) -> Column:
-    """Length of the longest common subsequence of two token arrays.
+#: Tokens of one side that a tile of the comparison table holds.
+LCS_TILE = 1 << 13
 
-    One bit per token of ``a``: each token of ``b`` updates the whole row of the
-    comparison table with a few operations on one wide integer.
-    """
 
-    def one(xs, ys) -> int:
+def longest_common(xs: Sequence[str], ys: Sequence[str], *, tile: int = LCS_TILE) -> int:
+    """Length of the longest common subsequence of two token sequences.
+
+    One bit per token of ``xs``: each token of ``y`` updates a whole row of the comparison
+    table with a few operations on a wide integer. The table is cut into tiles of ``tile``
+    tokens of ``xs``; what the addition carries over from a tile at each token of ``ys``
+    is handed to the next one, so memory is bound by a tile and one byte per token of
+    ``ys``, whatever the lengths. Tokens that only one side has cannot count and are left out.
+    """
+    shared = set(xs) & set(ys)
+    xs, ys = [x for x in xs if x in shared], [y for y in ys if y in shared]
+    carries, length = bytearray(len(ys)), 0
+    for at in range(0, len(xs), tile):
+        part = xs[at : at + tile]
         where: dict[str, int] = {}
-        for i, x in enumerate(xs):
+        for i, x in enumerate(part):
             where[x] = where.get(x, 0) | (1 << i)
-        full = (1 << len(xs)) - 1
+        full = (1 << len(part)) - 1
         row = full
-        for y in ys:
+        for j, y in enumerate(ys):
             match = row & where.get(y, 0)
-            row = ((row + match) | (row - match)) & full
-        return len(xs) - row.bit_count()
+            if match or carries[j]:
+                total = row + match + carries[j]
+                carries[j] = total >> len(part)
+                row = (total & full) | (row & ~match)
+        length += len(part) - row.bit_count()
+    return length
+
+
+def lcs_length(a: Column, b: Column) -> Column:
+    """Length of the longest common subsequence of two token arrays."""
 
     @F.pandas_udf("int")
     def run(left: pd.Series, right: pd.Series) -> pd.Series:
-        return pd.Series([one(x, y) for x, y in zip(left, right)], dtype="int32")
+        return pd.Series([longest_common(x, y) for x, y in zip(left, right)], dtype="int32")
 
     return run(a, b)
 

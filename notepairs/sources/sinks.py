@@ -1,4 +1,4 @@
-"""Sinks: entity-ordered tables, partitioned pairs, outcome lists, one text per file."""
+"""Sinks: entity-ordered and bucketed tables, partitioned pairs, outcome lists, stored splits."""
 
 from __future__ import annotations
 
@@ -16,9 +16,25 @@ def write_by_subject(df: DataFrame, path: str, *, key: str = "subject_id") -> No
     df.hint("rebalance", key).sortWithinPartitions(key).write.mode("overwrite").parquet(path)
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, *, key: str = "subject_id") -> None:
-    """Bucketed table, so that later joins on the key need no shuffle."""
-    df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+def write_bucketed(df: DataFrame, table: str, buckets: int, *, key: str = "subject_id", path: str | None = None) -> None:
+    """Bucketed table, so that later joins on the key need no shuffle; ``path`` puts its files elsewhere than the warehouse.
+
+    Rows are dealt by the key first, so a bucket is one file.
+    """
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+
+
+def write_bucketed_records(notes: DataFrame, admissions: DataFrame, names: tuple[str, str], buckets: int, *, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Notes and admissions bucketed alike by subject, and read back.
+
+    All joins of a corpus are by subject and admission, so they and the groupings behind them
+    find both sides in place: the shuffle is paid once, when the tables are written.
+    """
+    for df, name in ((notes, names[0]), (admissions, names[1])):
+        write_bucketed(df, name, buckets, path=f"{folder}/{name}" if folder else None)
+    spark = notes.sparkSession
+    return spark.table(names[0]), spark.table(names[1])
 
 
 def write_pairs(pairs: DataFrame, path: str) -> None:
@@ -54,23 +70,6 @@ def write_outcomes(outcomes: DataFrame, path: str) -> None:
     outcomes.hint("rebalance", "code").write.mode("overwrite").partitionBy("code").json(path)
 
 
-def export_texts(df: DataFrame, folder: str, *, key: str = "pair_id", text: str = "text") -> None:
-    """Write ``<key>.txt`` for every row, from the tasks, to any file system Arrow knows."""
-
-    def save(rows) -> None:
-        from pyarrow import fs
-
-        target, root = None, None
-        for row in rows:
-            if target is None:
-                target, root = fs.FileSystem.from_uri(folder)
-                target.create_dir(root, recursive=True)
-            with target.open_output_stream(f"{root}/{row[key]}.txt") as out:
-                out.write((row[text] or "").encode("utf-8"))
-
-    df.select(key, text).foreachPartition(save)
-
-
 def load_or_split(
     pairs: DataFrame, path: str, prompt: str, max_tokens: int, *, seed: str = "0", learn_fraction: float = 0.9,
     ratio: tuple[float, float] = (0.9, 0.1), pad: int = C.SAFE_TOKEN_PAD, eos: str = "", counter_name: str = "spaces", **gate,

@@ -62,13 +62,25 @@ def folder_files(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("delivery", F.url_decode(F.substring_index("path", "/", -1)).alias("file"))
 
 
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_texts(spark: SparkSession, folder: str) -> DataFrame:
     """One text per file; the key is the file name up to its first dot.
 
-    A scan skips empty files, so their names are added from the listing the scan holds
-    anyway: an empty text is a result too.
+    A scan skips empty files, and an empty text is a result too. A folder that
+    ``export_texts`` wrote has a table of its keys with the sizes of their texts, which
+    names the empty ones; each file is opened once. A folder from elsewhere has no such
+    table: there the names of its empty files come from the listing that the scan holds.
     """
     key = lambda name: F.split(name, r"\.").getItem(0)
+    if _is_folder(spark, f"{folder}/keys"):
+        scan = spark.read.text(f"{folder}/texts", wholetext=True, recursiveFileLookup=True)
+        empty = spark.read.parquet(f"{folder}/keys").where("bytes = 0").select(key(F.col("key")).alias("pair_id"), F.lit("").alias("text"))
+        return scan.select(key(F.col("_metadata.file_name")).alias("pair_id"), F.col("value").alias("text")).unionByName(empty)
     scan = spark.read.text(folder, wholetext=True)
     texts = scan.select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("text"))
     listed = spark.createDataFrame([(f,) for f in scan.inputFiles()], "path string").select(

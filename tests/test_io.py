@@ -1,9 +1,10 @@
 import gzip
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from notepairs.sources import sinks, tables
+from notepairs.sources import sinks, tables, textfiles
 
 
 def test_csv_with_lines_quotes_and_gzip(spark, tmp_path):
@@ -33,12 +34,66 @@ def test_missing_tables(spark, tmp_path):
 
 def test_text_folder(spark, tmp_path):
     df = spark.createDataFrame([("1_2_3", "a\nb\n"), ("4_5_6", ""), ("7_8_9", None), ("0_0_0", "é")], "pair_id string, text string")
-    sinks.export_texts(df, f"file://{tmp_path}/out")
-    assert (tmp_path / "out" / "1_2_3.txt").read_text() == "a\nb\n"
+    textfiles.export_texts(df, f"file://{tmp_path}/out")
+    assert [f.read_text() for f in (tmp_path / "out").rglob("1_2_3.txt")] == ["a\nb\n"]
     got = {r.pair_id: r.text for r in tables.read_texts(spark, f"{tmp_path}/out").collect()}
     assert got == {"1_2_3": "a\nb\n", "4_5_6": "", "7_8_9": "", "0_0_0": "é"}
 
 
+def test_text_folder_from_elsewhere(spark, tmp_path):
+    for name, text in (("1_2_3.txt", "a\nb\n"), ("4_5_6.v2.txt", ""), ("0_0_0", "é")):
+        (tmp_path / name).write_text(text)
+    got = {r.pair_id: r.text for r in tables.read_texts(spark, str(tmp_path)).collect()}
+    assert got == {"1_2_3": "a\nb\n", "4_5_6": "", "0_0_0": "é"}
+
+
+def texts(spark, n, fail_at=None):
+    """``n`` texts in several tasks, one of which fails, after it has written some of its own, where asked."""
+
+    def run(batches):
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                if i == fail_at:
+                    raise RuntimeError("killed")
+                yield pa.RecordBatch.from_arrays([pa.array([f"k{i}"]), pa.array([f"text {i}"])], names=["pair_id", "text"])
+
+    return spark.range(0, n, 1, 4).mapInArrow(run, "pair_id string, text string")
+
+
+def test_a_killed_export_leaves_nothing(spark, tmp_path):
+    folder = tmp_path / "out"
+    with pytest.raises(Exception, match="killed"):
+        textfiles.export_texts(texts(spark, 400, fail_at=399), str(folder))
+    assert list(tmp_path.iterdir()) == []
+    textfiles.export_texts(texts(spark, 400), str(folder))
+    assert {r.pair_id: r.text for r in tables.read_texts(spark, str(folder)).collect()} == {f"k{i}": f"text {i}" for i in range(400)}
+
+
+def test_a_killed_export_leaves_what_was_there(spark, tmp_path):
+    folder = str(tmp_path / "out")
+    textfiles.export_texts(texts(spark, 8), folder)
+    with pytest.raises(Exception, match="killed"):
+        textfiles.export_texts(texts(spark, 400, fail_at=200), folder, overwrite=True)
+    with pytest.raises(Exception, match="exists"):
+        textfiles.export_texts(texts(spark, 9), folder)
+    assert tables.read_texts(spark, folder).count() == 8
+    textfiles.export_texts(texts(spark, 9), folder, overwrite=True)
+    assert tables.read_texts(spark, folder).count() == 9 and [p.name for p in tmp_path.iterdir()] == ["out"]
+    textfiles.export_texts(texts(spark, 0), folder, overwrite=True)
+    assert tables.read_texts(spark, folder).count() == 0
+
+
+def test_attempts_that_did_not_count_are_left_out(tmp_path):
+    """A repeated task attempt wrote files too; only those of the attempts that were committed are moved."""
+    writer = textfiles.TextFileWriter(f"file://{tmp_path}/out", False)
+    batch = lambda *rows: pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], names=["key", "text"])
+    lost, kept = writer.write(iter([batch(("a", "half"))])), writer.write(iter([batch(("a", "whole"), ("b", ""))]))
+    assert lost.attempt != kept.attempt and not (tmp_path / "out").exists()
+    writer.commit([kept, None])
+    assert {p.name: p.read_text() for p in (tmp_path / "out" / "texts").rglob("*.txt")} == {"a.txt": "whole", "b.txt": ""}
+    assert len(list((tmp_path / "out" / "keys").iterdir())) == 1
+
+
 def test_concept_files(spark, tmp_path):
     (tmp_path / "MRCONSO.RRF").write_text('C1|ENG|P|L|PF|S|Y|A||||ICD10|PT|I50|Heart "failure"|0|N||\n')
     (tmp_path / "MRSTY.RRF").write_text("C1|T047|B2|Disease or Syndrome|AT1||\n")

@@ -123,3 +123,39 @@ def test_eval_pairs(spark):
     cands = spark.createDataFrame([("a", ""), ("b", "t"), ("c", "t"), ("d", "t")], "pair_id string, candidate string")
     assert {r.pair_id for r in scores.eval_pairs(pairs, cands).collect()} == {"a", "d"}
     assert {r.pair_id for r in scores.eval_pairs(pairs, cands, max_tokens=3).collect()} == {"a"}
+
+
+def plain_lcs(xs, ys):
+    row = [0] * (len(ys) + 1)
+    for x in xs:
+        last = 0
+        for j, y in enumerate(ys, 1):
+            last, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+    return row[-1]
+
+
+@pytest.mark.parametrize("tile", [1, 2, 3, 64, 1 << 13])
+def test_tiles_hand_their_carries_on(tile):
+    rng = random.Random(tile)
+    for _ in range(200):
+        xs, ys = (rng.choices("abcd" if rng.random() < 0.7 else "abcdefghijklmnop", k=rng.randrange(40)) for _ in range(2))
+        assert scores.longest_common(xs, ys, tile=tile) == plain_lcs(xs, ys)
+
+
+def test_texts_of_document_length():
+    """A hundred thousand tokens a side: known by how they were made."""
+    rng = random.Random(3)
+    common = [f"c{i}" for i in range(60_000)]
+
+    def mixed(mark):
+        out = list(common)
+        for i in range(40_000):
+            out.insert(rng.randrange(len(out)), f"{mark}{i}")
+        return out
+
+    assert scores.longest_common(mixed("x"), mixed("y")) == 60_000
+    words = [rng.choice("abcdefgh") for _ in range(100_000)]
+    assert scores.longest_common(words, words) == 100_000
+    assert scores.longest_common(words, words[50_000:] + ["z"] * 50_000) == 50_000
+    few = rng.choices("abcd", k=3000), rng.choices("abcd", k=3000)
+    assert scores.longest_common(*few, tile=500) == plain_lcs(*few)
