@@ -186,6 +186,22 @@ def doc_stats(spark, sf_dir):
     return N.doc_stats(pairs(spark, sf_dir))
 
 
+def merged_lengths(spark, sf_dir):
+    """Lengths from the stored sketches of three runs, each over some of the subjects."""
+    store, made = folder(spark, "lengths"), stage(pairs(spark, sf_dir))
+    for run in range(3):
+        N.length_sketches(made.where(F.pmod(F.crc32("pair_id"), F.lit(3)) == run)).write.mode("append").parquet(store)
+    return N.length_stats(N.merge_lengths(spark.read.parquet(store)))
+
+
+def bucketed_notes(spark, sf_dir):
+    """Closing notes with the earlier notes of their admission, joined in place from bucketed tables."""
+    names = tuple(f"{kind}_{uuid.uuid4().hex}" for kind in ("notes", "admissions"))
+    stored, on_record = sinks.write_bucketed_records(notes(spark, sf_dir), admissions(spark, sf_dir), names, 8, folder=shared_folder(spark))
+    closed = N.admission_notes(N.discharge_notes(stored), on_record)
+    return N.prior_notes(closed, N.other_notes(stored)).select("pair_id", "row_id", "time")
+
+
 def length_gate(spark, sf_dir):
     return S.length_gate(view(tune(spark), sf_dir, "fx_doc_pairs"), MAX_TOKENS).select("pair_id")
 
@@ -310,7 +326,7 @@ QUERIES = {
     "strip_signature": strip_signatures, "heading_hits": heading_hits, "unknown_heads": unknown_heads,
     "outcome_codes": outcome_codes, "sections": sections, "outcome_counts": outcome_counts,
     "outcome_ids": outcome_ids, "pairs_by_code_heading": pairs_by_code_heading, "pairs_all": pairs_all,
-    "doc_stats": doc_stats, "length_gate": length_gate, "split_sets": split_sets,
+    "doc_stats": doc_stats, "merged_lengths": merged_lengths, "prior_notes_bucketed": bucketed_notes, "length_gate": length_gate, "split_sets": split_sets,
     "split_counts": split_counts, "split_manifest": split_manifest, "render_prompts": render_prompts,
     "completion_span": completion_span, "chat_render": chat_render, "response_join": response_join,
     "response_body": response_body, "batch_infer": batch_inference, "infer_resumed": resumed_inference,
@@ -436,6 +452,10 @@ splits AS (SELECT pair_id, document, summary, CASE WHEN r <= CAST(floor(CAST(n A
 _MARK = _quoted(C.SUMMARY_MARKER)
 _DOC = "document"
 
+_PERCENTILES = ", ".join(
+    f"CAST(list_sort(list({side}_words))[greatest(CAST(ceil({p}::DOUBLE / 100 * count(*)) AS BIGINT), 1)] AS BIGINT) AS p{p}_{side}_words" for side in ("document", "summary") for p in (50, 90, 99)
+)
+
 SQL = {
     "scan_notes": f"""{with_views("fx_notes")} SELECT category, count(*) AS n, count(charttime) AS n_timed, count(hadm_id) AS n_admitted,
 sum(length(text))::BIGINT AS n_chars FROM fx_notes GROUP BY category""",
@@ -473,7 +493,7 @@ SELECT code, CAST(list_position({_HEADING_LIST}, found) - 1 AS INT) AS heading_i
     "pairs_all": f"{_WITH_PAIRS} SELECT * FROM pairs",
     "doc_stats": f"""{_WITH_PAIRS} SELECT code, count(*) AS n, min(document_words) AS min_document_words, max(document_words) AS max_document_words,
 avg(document_words) AS avg_document_words, min(summary_words) AS min_summary_words, max(summary_words) AS max_summary_words,
-avg(summary_words) AS avg_summary_words FROM pairs GROUP BY code""",
+avg(summary_words) AS avg_summary_words, {_PERCENTILES} FROM pairs GROUP BY code""",
     "length_gate": f"{with_views('fx_doc_pairs')} SELECT pair_id FROM fx_doc_pairs WHERE {_SAFE}",
     "split_sets": f"{_SPLITS} SELECT pair_id, split, document, summary FROM splits",
     "split_counts": f"{_SPLITS} SELECT split, count(*) AS n FROM splits GROUP BY split",
@@ -501,3 +521,4 @@ SELECT FALSE AS healthy, count(*) AS asked, count(*) FILTER (NOT bad) AS answere
 UNION ALL SELECT TRUE, count(*), count(*), 0 FROM p WHERE bad""",
 }
 SQL["infer_resumed"] = SQL["infer_balanced"] = SQL["batch_infer"]
+SQL["merged_lengths"] = SQL["doc_stats"]

@@ -148,10 +148,49 @@ def outcome_counts(graded: DataFrame) -> DataFrame:
     return graded.groupBy("code").agg(F.count("*").alias("n"))
 
 
+#: Size of a quantile sketch: exact for as many lengths, within 0.1 percent of the ranks beyond.
+SKETCH_SIZE = 4096
+SIDES = ("document", "summary")
+
+
+def length_sketches(pairs: DataFrame, *, by: tuple[str, ...] = ("code",)) -> DataFrame:
+    """Counts, extremes, totals and quantile sketches of the lengths of ``pairs``: small rows that ``merge_lengths`` adds up."""
+    columns = []
+    for side in SIDES:
+        words = F.col(f"{side}_words").cast("long")
+        columns += [
+            F.min(words).alias(f"min_{side}"), F.max(words).alias(f"max_{side}"), F.sum(words).alias(f"sum_{side}"), F.count(words).alias(f"n_{side}"),
+            F.kll_sketch_agg_bigint(words, F.lit(SKETCH_SIZE)).alias(f"sketch_{side}"),
+        ]
+    return pairs.groupBy(*by).agg(F.count("*").alias("n"), *columns)
+
+
+def merge_lengths(sketches: DataFrame, *, by: tuple[str, ...] = ("code",)) -> DataFrame:
+    """One row per group from the sketches of several runs; the pairs are not read again."""
+    columns = []
+    for side in SIDES:
+        columns += [
+            F.min(f"min_{side}").alias(f"min_{side}"), F.max(f"max_{side}").alias(f"max_{side}"), F.sum(f"sum_{side}").alias(f"sum_{side}"),
+            F.sum(f"n_{side}").alias(f"n_{side}"), F.kll_merge_agg_bigint(F.col(f"sketch_{side}"), F.lit(SKETCH_SIZE)).alias(f"sketch_{side}"),
+        ]
+    return sketches.groupBy(*by).agg(F.sum("n").alias("n"), *columns)
+
+
+def length_stats(sketches: DataFrame, *, by: tuple[str, ...] = ("code",), percentiles: tuple[int, ...] = (50, 90, 99)) -> DataFrame:
+    """Least, greatest and mean lengths and their percentiles, from sketches of any number of pairs.
+
+    A percentile is the least length that as large a share of the lengths does not exceed.
+    """
+    columns = []
+    for side in SIDES:
+        columns += [F.col(f"{f}_{side}").alias(f"{f}_{side}_words") for f in ("min", "max")]
+        columns.append((F.col(f"sum_{side}") / F.nullif(F.col(f"n_{side}"), F.lit(0))).alias(f"avg_{side}_words"))
+        columns += [
+            F.when(F.col(f"n_{side}") > 0, F.kll_sketch_get_quantile_bigint(F.col(f"sketch_{side}"), F.lit(p / 100))).alias(f"p{p}_{side}_words") for p in percentiles
+        ]
+    return sketches.select(*by, "n", *columns)
+
+
 def doc_stats(pairs: DataFrame) -> DataFrame:
-    stats = [
-        f(f"{side}_words").alias(f"{name}_{side}_words")
-        for side in ("document", "summary")
-        for name, f in (("min", F.min), ("max", F.max), ("avg", F.avg))
-    ]
-    return pairs.groupBy("code").agg(F.count("*").alias("n"), *stats)
+    """Lengths of documents and summaries by outcome code."""
+    return length_stats(length_sketches(pairs))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notepairs.operators import pairs as N
@@ -12,7 +12,7 @@ from notepairs.sources.sinks import read_pairs, write_outcomes, write_pairs
 def build_corpus(
     notes: DataFrame, admissions: DataFrame, path: str, *, null_time: str = "drop", **outcome_options
 ) -> DataFrame:
-    """Write ``outcomes``, ``pairs`` (by code and heading) and ``codes`` (ids as JSON) under ``path``.
+    """Write ``outcomes``, ``pairs`` (by code and heading), ``codes`` (ids as JSON) and ``lengths`` under ``path``.
 
     Outcomes are written first: the pairs read them twice, and a lost executor then
     costs no section work. Returns the stored pairs.
@@ -28,9 +28,15 @@ def build_corpus(
         "pair_id", "code", "document_words", F.col("words").alias("summary_words")
     )
     write_outcomes(listed, f"{path}/codes")
+    N.length_sketches(pairs).write.mode("overwrite").parquet(f"{path}/lengths")
     return pairs
 
 
+def corpus_lengths(spark: SparkSession, *paths: str) -> DataFrame:
+    """Lengths by outcome code over the corpora under ``paths``, from their stored sketches alone."""
+    return N.length_stats(N.merge_lengths(spark.read.parquet(*[f"{path}/lengths" for path in paths])))
+
+
 def quality_report(graded: DataFrame, masks: DataFrame | None = None, refilled: DataFrame | None = None) -> DataFrame:
     """Rows per outcome code, and how many masks did not come back as a text."""
     report = graded.groupBy(F.concat(F.lit("code "), "code").alias("what")).agg(F.count("*").alias("n"))

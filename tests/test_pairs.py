@@ -126,3 +126,63 @@ def test_shuffle_partitions_follow_the_input(spark):
         assert int(spark.conf.get(key)) == (100 << 40) // (128 << 20) + 1
     finally:
         spark.conf.unset(key)
+
+
+def test_bucketed_records_are_joined_in_place(spark, tmp_path):
+    """Both joins of a corpus and the groupings behind them need no shuffle."""
+    from notepairs.sources.sinks import write_bucketed_records
+
+    rows = [(i, i % 7, i % 7 * 10 + i % 2, "2150-01-01", f"2150-01-01 {i % 24:02d}:00:00", "Discharge summary" if i % 5 == 0 else "Nursing", "", f"text {i}") for i in range(200)]
+    notes = spark.createDataFrame(rows, "row_id long, subject_id long, hadm_id long, chartdate string, charttime string, category string, description string, text string")
+    on_record = notes.where("row_id % 3 = 0").select("subject_id", "hadm_id")
+    stored = write_bucketed_records(notes, on_record, ("bucketed_notes", "bucketed_admissions"), 4, folder=str(tmp_path))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def joined(n, a):
+            return N.prior_notes(N.admission_notes(N.discharge_notes(n), a), N.other_notes(n))
+
+        # What follows the last join is one grouping by admission and pair.
+        place, plain = joined(*stored), joined(notes, on_record)
+        for df in (N.admission_notes(stored[0], stored[1]), place, N.documents(N.with_blocks(place))):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+        key = lambda df: sorted(map(tuple, df.select("pair_id", "row_id", "time").collect()))
+        assert key(place) == key(plain) != []
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_notes", "bucketed_admissions"):
+            spark.sql(f"DROP TABLE {name}")
+
+
+def lengths(spark, n, seed=0):
+    return spark.range(n).select((F.col("id") % 2).cast("int").alias("code"), F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(10_000)).cast("int").alias("document_words"),
+                                 F.when(F.col("id") % 3 > 0, (F.col("id") % 100).cast("int")).alias("summary_words"))
+
+
+def test_lengths_merge_over_runs(spark):
+    runs = [lengths(spark, 900, seed) for seed in range(3)]
+    whole = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    sketches = [N.length_sketches(r) for r in runs]
+    merged = N.merge_lengths(sketches[0].unionByName(sketches[1]).unionByName(sketches[2]))
+    order = lambda df: sorted(map(tuple, df.collect()))
+    got = order(N.length_stats(merged))
+    assert got == order(N.doc_stats(whole))
+    for code, rows in ((0, []), (1, [])):
+        rows = sorted(r.document_words for r in whole.where(f"code = {code}").collect())
+        row = N.length_stats(merged).where(f"code = {code}").first()
+        assert (row.p50_document_words, row.p99_document_words) == (rows[-(-len(rows) // 2) - 1], rows[-(-len(rows) * 99 // 100) - 1])
+
+
+def test_large_sketches_stay_within_their_error(spark):
+    table = lengths(spark, 400_000)
+    row = N.doc_stats(table).where("code = 0").first()
+    for p in (50, 90, 99):
+        share = table.where("code = 0").agg(F.avg((F.col("document_words") <= row[f"p{p}_document_words"]).cast("int"))).first()[0]
+        assert abs(share - p / 100) < 0.002
+
+
+def test_lengths_of_nothing(spark):
+    none = spark.createDataFrame([(1, None, None)], "code int, document_words int, summary_words int")
+    row = N.doc_stats(none).first()
+    assert row.n == 1 and row.p50_document_words is None and row.avg_summary_words is None
+    assert N.doc_stats(none.limit(0)).count() == 0
