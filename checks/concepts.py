@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 from pyspark.sql import functions as F
 
 from checks.corpus import _quoted, filled, folder
@@ -137,8 +140,31 @@ def summary_override(spark, sf_dir):
     return cloze.override_summaries(pairs(spark, sf_dir), given)
 
 
+def _capitals():
+    """Stand-in for an extractor: capitalised words, and one mention that does not fit where a text has a digit."""
+
+    def run(texts):
+        out = []
+        for t in texts:
+            found = [(m.start(), m.end(), "C" + hashlib.md5(m.group().encode()).hexdigest()[:7], m.group().lower(), ("T047",)) for m in re.finditer("[A-Z][a-z]+", t)]
+            out.append(found + [(len(t), len(t) + 5, "C0", "beyond", ("T999",))] * bool(re.search("[0-9]", t)))
+        return out
+
+    return run
+
+
+def extracted(spark, sf_dir):
+    given = view(tune(spark), sf_dir, "fx_candidates").select("pair_id", F.col("candidate").alias("text"))
+    return K.extract_mentions(given, _capitals, tasks=8)
+
+
+def extract_mentions(spark, sf_dir):
+    return extracted(spark, sf_dir).select("pair_id", "start_at", "end_at", "cui", "detected_name", F.array_join("type_ids", ",").alias("type_ids"), "source_value", "intact")
+
+
 def coverage_check(spark, sf_dir):
-    return cloze.coverage(pairs(spark, sf_dir), mentions(spark, sf_dir))
+    """Summaries of pairs with a document against what the extractor found in candidates: each side lacks some of the other."""
+    return cloze.coverage(pairs(spark, sf_dir).where("document <> ''"), extracted(spark, sf_dir).where("intact"))
 
 
 def cloze_prompts(spark, sf_dir):
@@ -178,7 +204,7 @@ QUERIES = {
     "concept_sets": concept_sets, "concept_prf": concept_prf, "mentions_typed": mentions_typed,
     "parse_type_ids": parse_type_ids, "mask_one": mask_one, "mask_all": mask_all,
     "mention_integrity": mention_integrity, "mask_count_check": mask_count_check,
-    "summary_override": summary_override, "coverage_check": coverage_check,
+    "summary_override": summary_override, "coverage_check": coverage_check, "extract_mentions": extract_mentions,
     "cloze_prompts": cloze_prompts, "cloze_train_text": cloze_train_text, "answers_json": answers_json, "answers_csv": answers_csv,
     "fill_masks": fill("json"), "fill_masks_list": fill("list"),
 }
@@ -273,6 +299,11 @@ pieces AS (SELECT pair_id, unnest(string_split(masked_summary, 'MASK')) AS piece
 SELECT pair_id, string_agg(piece || coalesce(got[i], ''), '' ORDER BY i) AS text FROM pieces GROUP BY pair_id"""
 
 
+_EXTRACTED = f"""{with_views('fx_candidates')}, given AS (SELECT pair_id, candidate AS text FROM fx_candidates),
+pieces AS (SELECT pair_id, unnest(regexp_extract_all(text, '[A-Z][a-z]+')) AS m, unnest(regexp_split_to_array(text, '[A-Z][a-z]+')[:-2]) AS gap,
+  generate_subscripts(regexp_extract_all(text, '[A-Z][a-z]+'), 1) AS i FROM given),
+found AS (SELECT pair_id, m, sum(length(gap) + length(m)) OVER (PARTITION BY pair_id ORDER BY i) AS e FROM pieces)"""
+
 SQL = {
     "concept_dim": f"{_HEAD}, {_DIM} SELECT cui, name, array_to_string(type_ids, ',') AS type_ids FROM dim",
     "cui_icd10": f"""{with_views('fx_codes')} SELECT cui, code FROM (SELECT cui, code, row_number() OVER (
@@ -298,8 +329,12 @@ WHERE start_at % 10 = 1 AND upper(source_value) <> source_value""",
 CAST(len(ordered) AS INTEGER) AS n_answers FROM fold AS f JOIN spans AS s ON f.pair_id = s.pair_id WHERE len(f.todo) = 0""",
     "summary_override": f"""{with_views('fx_pairs', 'fx_candidates')} SELECT p.pair_id, document, coalesce(candidate, summary) AS summary
 FROM fx_pairs AS p LEFT JOIN fx_candidates AS c ON p.pair_id = c.pair_id""",
-    "coverage_check": f"""{_HEAD}, {_MENTIONS} SELECT pair_id, 'extraction' AS missing FROM fx_pairs AS p WHERE NOT EXISTS (
-SELECT 1 FROM mentions AS m WHERE m.pair_id = p.pair_id)""",
+    "extract_mentions": f"""{_EXTRACTED} SELECT pair_id, CAST(e - length(m) AS INT) AS start_at, CAST(e AS INT) AS end_at, 'C' || substr(md5(m), 1, 7) AS cui, lower(m) AS detected_name,
+'T047' AS type_ids, m AS source_value, TRUE AS intact FROM found
+UNION ALL SELECT pair_id, CAST(length(text) AS INT), CAST(length(text) + 5 AS INT), 'C0', 'beyond', 'T999', NULL, FALSE FROM given WHERE regexp_matches(text, '[0-9]')""",
+    "coverage_check": f"""{_EXTRACTED}, wanted AS (SELECT pair_id FROM fx_turns WHERE document <> '')
+SELECT pair_id, 'extraction' AS missing FROM wanted WHERE pair_id NOT IN (SELECT pair_id FROM found)
+UNION ALL SELECT DISTINCT pair_id, 'summary' FROM found WHERE pair_id NOT IN (SELECT pair_id FROM wanted)""",
     "cloze_prompts": f"""{_MASKS} SELECT pair_id, '<|system|>' || chr(10) || {_quoted(C.CLOZE_SYSTEM)} || chr(10) || '<|user|>' || chr(10)
 || {filled(C.CLOZE_USER, "len(a)", 'document', 'masked_summary')} || chr(10) AS text FROM masks WHERE len(string_split(masked_summary, 'MASK')) - 1 = len(a)""",
     "cloze_train_text": f"""{_MASKS} SELECT pair_id, {filled(C.CLOZE_TEMPLATE, 'document', 'masked_summary', "array_to_string(a, ', ')")} || '</s>' AS text FROM masks""",

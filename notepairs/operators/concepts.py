@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -425,6 +426,49 @@ def match_similar(
     )
 
 
+#: For each text its mentions: start, end, concept, name, semantic types.
+Extractor = Callable[[list[str]], list[list[tuple[int, int, str, str, Sequence[str]]]]]
+_EXTRACTORS: dict[str, Extractor] = {}
+_MENTION = "start_at int, end_at int, cui string, detected_name string, type_ids array<string>, source_value string, intact boolean"
+
+
+def extract_mentions(
+    texts: DataFrame, factory: Callable[[], Extractor], *, key: str = "pair_id", text: str = "text", batch_size: int = C.INFERENCE_BATCH, tasks: int | None = None,
+) -> DataFrame:
+    """Mentions that a caller's extractor finds: one row per mention, with the text it stands for.
+
+    The extractor is built once per worker and gets batches of texts. Its offsets are checked:
+    a mention outside its text or without any text has no ``source_value`` and is not
+    ``intact``, so it can be counted and set aside instead of stopping the job. A null text
+    has no mentions; an extractor that does not answer every text is an error.
+    """
+    token = uuid.uuid4().hex
+    rows = texts.select(key, F.col(text).alias("_text")).where("_text IS NOT NULL")
+    rows = rows.repartition(tasks) if tasks else rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if token not in _EXTRACTORS:
+            _EXTRACTORS.clear()
+            _EXTRACTORS[token] = factory()
+        for batch in batches:
+            for at in range(0, batch.num_rows, batch_size):
+                part = batch.slice(at, batch_size)
+                given = part.column("_text").to_pylist()
+                found = _EXTRACTORS[token](given)
+                if len(found) != len(given):
+                    raise ValueError(f"{len(given)} texts, {len(found)} answers")
+                row = [i for i, ms in enumerate(found) for _ in ms]
+                flat = [m for ms in found for m in ms]
+                inside = [0 <= a < b <= len(given[i]) for i, (a, b, *_) in zip(row, flat)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column(key).take(pa.array(row, pa.int64())), *(pa.array([m[j] for m in flat], t) for j, t in enumerate((pa.int32(), pa.int32(), pa.string(), pa.string()))),
+                    pa.array([list(m[4]) for m in flat], pa.list_(pa.string())),
+                    pa.array([given[i][m[0] : m[1]] if ok else None for i, m, ok in zip(row, flat, inside)], pa.string()), pa.array(inside, pa.bool_()),
+                ], names=[key, "start_at", "end_at", "cui", "detected_name", "type_ids", "source_value", "intact"])
+
+    return rows.mapInArrow(run, _typed(texts, _MENTION, key))
+
+
 def concept_sets(mentions: DataFrame, *, key: str = "pair_id") -> DataFrame:
     """Distinct concepts per text."""
     return mentions.select(key, "cui").distinct()

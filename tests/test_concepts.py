@@ -257,3 +257,24 @@ def test_lists_overrides_coverage(spark, pairs, mentions):
     assert {r.pair_id: r.summary for r in cloze.override_summaries(pairs, given).collect()} == {"p": "new", "q": "no mention", "r": "é aspirin"}
     extra = mentions.select("pair_id").union(spark.createDataFrame([("z",)], "pair_id string"))
     assert {(r.pair_id, r.missing) for r in cloze.coverage(pairs, extra).collect()} == {("q", "extraction"), ("z", "summary")}
+
+
+def test_extractor_as_a_table_function(spark):
+    """Built once per worker, its offsets checked, null texts left out, any key."""
+    texts = spark.createDataFrame([({"a": i}, t) for i, t in enumerate(["Heart and lung", None, "", "é Fever", "bad"])], "k map<string,int>, body string").select(F.col("k")["a"].alias("k"), "body")
+
+    def factory():
+        built = []
+        built.append(1)
+
+        def run(batch):
+            assert len(built) == 1
+            return [[(0, 5, "C1", "heart", ["T047", "T1"])] if "Heart" in t else [(2, 7, "C2", "fever", [])] if "Fever" in t else [(1, 9, "C3", "x", ["T1"]), (2, 2, "C4", "y", [])] if t else [] for t in batch]
+
+        return run
+
+    got = sorted(K.extract_mentions(texts, factory, key="k", text="body", batch_size=2).collect())
+    assert [(r.k, r.cui, r.source_value, r.intact) for r in got] == [(0, "C1", "Heart", True), (3, "C2", "Fever", True), (4, "C3", None, False), (4, "C4", None, False)]
+    assert got[0].type_ids == ["T047", "T1"] and got[1].type_ids == []
+    with pytest.raises(Exception, match="answers"):
+        K.extract_mentions(texts, lambda: lambda batch: [], key="k", text="body").collect()
