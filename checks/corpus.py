@@ -16,7 +16,7 @@ from notepairs.operators import pairs as N
 from notepairs.operators import splits as S
 from notepairs.operators.inference import batch_infer, resume_inference, run_records, stored_inference
 from notepairs.session import shared_folder, stage, tune
-from notepairs.sources import sinks
+from notepairs.sources import csvfiles, sinks
 from notepairs.sources.tables import NOTES, missing_tables, read_csv
 
 MAX_TOKENS = 600
@@ -186,6 +186,23 @@ def doc_stats(spark, sf_dir):
     return N.doc_stats(pairs(spark, sf_dir))
 
 
+def scan_large_csv(spark, sf_dir):
+    """Notes from a CSV delivery whose files may be cut anywhere, inside texts too."""
+    sinks.write_csv(notes(spark, sf_dir), path := folder(spark, "large"))
+    return csvfiles.read_large_csv(spark, path, NOTES)[0].select("row_id", "subject_id", "hadm_id", "chartdate", "charttime", "category", "text")
+
+
+def scan_bad_rows(spark, sf_dir):
+    """Rows set aside by reason: every seventh document lacks a field, has no number as its id, or has no text."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    k, quoted = F.pmod("doc_id", F.lit(7)), F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    number = F.concat(F.when(k == 2, F.lit("no. ")).otherwise(F.lit("")), F.col("doc_id").cast("string"))
+    record = F.when(k == 1, F.concat(number, F.lit(","), quoted)).otherwise(F.concat_ws(",", number, F.when(k == 3, F.lit("")).otherwise(quoted), "lang"))
+    docs.select(record.alias("value")).write.text(path := folder(tune(spark), "bad"))
+    good, bad = csvfiles.read_large_csv(spark, path, "id long, text string, lang string", required=("text",), names=("id", "text", "lang"))
+    return csvfiles.bad_counts(bad).unionByName(good.agg(F.lit("none").alias("reason"), F.count("*").alias("n")))
+
+
 def merged_lengths(spark, sf_dir):
     """Lengths from the stored sketches of three runs, each over some of the subjects."""
     store, made = folder(spark, "lengths"), stage(pairs(spark, sf_dir))
@@ -326,7 +343,7 @@ QUERIES = {
     "strip_signature": strip_signatures, "heading_hits": heading_hits, "unknown_heads": unknown_heads,
     "outcome_codes": outcome_codes, "sections": sections, "outcome_counts": outcome_counts,
     "outcome_ids": outcome_ids, "pairs_by_code_heading": pairs_by_code_heading, "pairs_all": pairs_all,
-    "doc_stats": doc_stats, "merged_lengths": merged_lengths, "prior_notes_bucketed": bucketed_notes, "length_gate": length_gate, "split_sets": split_sets,
+    "scan_large_csv": scan_large_csv, "scan_bad_rows": scan_bad_rows, "doc_stats": doc_stats, "merged_lengths": merged_lengths, "prior_notes_bucketed": bucketed_notes, "length_gate": length_gate, "split_sets": split_sets,
     "split_counts": split_counts, "split_manifest": split_manifest, "render_prompts": render_prompts,
     "completion_span": completion_span, "chat_render": chat_render, "response_join": response_join,
     "response_body": response_body, "batch_infer": batch_inference, "infer_resumed": resumed_inference,
@@ -522,3 +539,7 @@ UNION ALL SELECT TRUE, count(*), count(*), 0 FROM p WHERE bad""",
 }
 SQL["infer_resumed"] = SQL["infer_balanced"] = SQL["batch_infer"]
 SQL["merged_lengths"] = SQL["doc_stats"]
+SQL["scan_large_csv"] = f"{with_views('fx_notes')} SELECT row_id, subject_id, hadm_id, chartdate, charttime, category, text FROM fx_notes"
+SQL["scan_bad_rows"] = """SELECT CASE doc_id % 7 WHEN 1 THEN 'fields' WHEN 2 THEN 'type id' WHEN 3 THEN 'missing text' ELSE CASE WHEN trim(text) = '' THEN 'missing text' ELSE 'none' END END AS reason,
+count(*) AS n FROM documents GROUP BY ALL"""
+SQL["prior_notes_bucketed"] = SQL["prior_notes"]
