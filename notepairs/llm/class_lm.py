@@ -10,8 +10,9 @@ Unknown words are one type; the chance of meeting it after a class is learned fr
 training words that occur once.
 
 Defined cases: a null or empty text is the end token alone; without training texts every
-token is unknown and has probability one; repeated rows are learned from and scored each;
-an empty table gives an empty result; other columns are not read.
+token is unknown and has probability one; texts of any length are scored whole; repeated
+rows are learned from and scored each; ties between classes go to the first; an empty table
+gives an empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ SWEEPS = 5
 #: Most frequent words that serve as contexts in the exchange.
 CONTEXTS = 256
 BLOCK_BYTES = 8 << 20
+#: Tasks that share the blocks of a frequent word.
+SALTS = 32
 #: Weights of the mean profile in a class, of the class shares in a transition, and of the mean chance of unknown words.
 PROFILE_WEIGHT, TRANSITION_WEIGHT, UNKNOWN_WEIGHT = 5.0, 20.0, 20.0
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -166,6 +169,21 @@ def _merged(batches: Iterator[pa.RecordBatch], places: int) -> Iterator[pa.Recor
         yield rest
 
 
+def _one_row_each(pieces: DataFrame, frequent: list[bytes], places: int) -> DataFrame:
+    """One stored row per word, from one per block and word.
+
+    The frequent words, which nearly every block has, are merged in ``SALTS`` tasks each and
+    then once more, so no task reads a row of every block.
+    """
+    merged = lambda df, *by: df.repartition(*by).sortWithinPartitions("word").select("word", "near", "refs").mapInArrow(lambda b: _merged(b, places), _WORD_DDL)
+    if not frequent:
+        return stage(merged(pieces, "word"))
+    often = F.col("word").isin(*map(bytearray, frequent))
+    parts = stage(merged(pieces.withColumn("salt", F.when(often, F.pmod(F.xxhash64("refs"), F.lit(SALTS))).otherwise(0)), "word", "salt").withColumn("often", often))
+    hot = stage(merged(parts.where("often"), "word"))
+    return parts.where("NOT often").select("word", "near", "refs").unionByName(hot)
+
+
 def _counts(near: np.ndarray, row: np.ndarray, rows: int, places: int) -> np.ndarray:
     """Training count of every word of a batch: the sum of its left neighbours."""
     left = near["at"] < places // 2
@@ -356,7 +374,7 @@ def score_texts(
     frequent = [END] * bool(frequent) + [w for w in frequent if w != END][: contexts - 1]
     places = 2 * (len(frequent) + 1)
     pieces = blocks.select("block", "words", "ids", "held_out", "ends").mapInArrow(lambda b: _contexts(b, frequent), _WORD_DDL)
-    words = stage(pieces.repartition("word").sortWithinPartitions("word").mapInArrow(lambda b: _merged(b, places), _WORD_DDL))
+    words = _one_row_each(pieces, frequent, places)
     sizes = words.select("near").mapInArrow(lambda b: _sizes(b, places), "n long").where("n > 0").agg(F.sum("n").alias("total"), F.count("*").alias("distinct")).first()
     total, distinct = sizes["total"] or 0, sizes["distinct"]
     first = {bytes(r["word"]): np.frombuffer(r["near"], _NEAR) for r in words.where(F.col("word").isin(*map(bytearray, frequent))).select("word", "near").collect()}
