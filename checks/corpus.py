@@ -231,6 +231,13 @@ def split_sets(spark, sf_dir):
     return _splits(spark, sf_dir).select("pair_id", "split", "document", "summary")
 
 
+def split_reused(spark, sf_dir):
+    """Splits stored by one call and taken from there by the next, which has no pairs of its own."""
+    df, path = view(tune(spark), sf_dir, "fx_doc_pairs"), folder(spark, "splits")
+    sinks.load_or_split(df, path, C.SUMMARY_TEMPLATE, MAX_TOKENS, seed=SEED)
+    return sinks.load_or_split(df.limit(0), path, C.SUMMARY_TEMPLATE, MAX_TOKENS, seed=SEED).select("pair_id", "split")
+
+
 def split_counts(spark, sf_dir):
     return _splits(spark, sf_dir).groupBy("split").agg(F.count("*").alias("n"))
 
@@ -344,7 +351,7 @@ QUERIES = {
     "outcome_codes": outcome_codes, "sections": sections, "outcome_counts": outcome_counts,
     "outcome_ids": outcome_ids, "pairs_by_code_heading": pairs_by_code_heading, "pairs_all": pairs_all,
     "scan_large_csv": scan_large_csv, "scan_bad_rows": scan_bad_rows, "doc_stats": doc_stats, "merged_lengths": merged_lengths, "prior_notes_bucketed": bucketed_notes, "length_gate": length_gate, "split_sets": split_sets,
-    "split_counts": split_counts, "split_manifest": split_manifest, "render_prompts": render_prompts,
+    "split_reused": split_reused, "split_counts": split_counts, "split_manifest": split_manifest, "render_prompts": render_prompts,
     "completion_span": completion_span, "chat_render": chat_render, "response_join": response_join,
     "response_body": response_body, "batch_infer": batch_inference, "infer_resumed": resumed_inference,
     "infer_resumed_records": resumed_records, "infer_balanced": balanced_inference,
@@ -543,3 +550,4 @@ SQL["scan_large_csv"] = f"{with_views('fx_notes')} SELECT row_id, subject_id, ha
 SQL["scan_bad_rows"] = """SELECT CASE doc_id % 7 WHEN 1 THEN 'fields' WHEN 2 THEN 'type id' WHEN 3 THEN 'missing text' ELSE CASE WHEN trim(text) = '' THEN 'missing text' ELSE 'none' END END AS reason,
 count(*) AS n FROM documents GROUP BY ALL"""
 SQL["prior_notes_bucketed"] = SQL["prior_notes"]
+SQL["split_reused"] = f"{_SPLITS} SELECT pair_id, split FROM splits"

@@ -13,6 +13,7 @@ from notepairs import constants as C
 from notepairs.functions.stemming import stem_table
 from notepairs.operators import embedding, preference, scores
 from notepairs.operators.concepts import concept_scores
+from notepairs.plans import evaluation
 from notepairs.session import shared_folder, spread, stage, tune
 from notepairs.sources.tables import read_texts
 from notepairs.sources.textfiles import export_texts
@@ -79,6 +80,20 @@ def embed_rescaled(spark, sf_dir):
     return rounded(raw.select("pair_id", *[scores.rescaled(F.col(c), BASELINE).alias(c) for c in ("p", "r", "f1")]))
 
 
+def evaluated_embeddings(spark, sf_dir):
+    """The embedding table that a whole evaluation stores: pairs with an empty candidate are not in it."""
+    tune(spark)
+    pairs, candidates = view(spark, sf_dir, "fx_pairs"), view(spark, sf_dir, "fx_candidates")
+    known = pairs.select("pair_id", F.split("pair_id", "_").alias("n")).select("pair_id", (F.col("n")[0].cast("long") * 8 + F.col("n")[1].cast("long")).alias("at"))
+    sided = known.select("pair_id", F.inline(F.array(
+        F.struct(F.lit("reference").alias("side"), F.col("at").alias("vec_id")), F.struct(F.lit("candidate").alias("side"), (F.col("at") + 1).alias("vec_id"))
+    )))
+    vectors = sided.join(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id").select("pair_id", "side", F.col("vec_id").alias("token"), F.col("embedding").alias("vector"))
+    path = f"{shared_folder(spark)}/evaluation-{uuid.uuid4().hex}"
+    evaluation.evaluate("model", pairs, candidates, path, vectors=vectors)
+    return rounded(spark.read.parquet(f"{path}/embedding"))
+
+
 def metric_means(spark, sf_dir):
     pairs = stage(evals(spark, sf_dir))
     from checks.concepts import concepts
@@ -115,6 +130,7 @@ QUERIES = {
     "eval_pairs": eval_pairs, "eval_restricted": eval_restricted, "rouge1": rouge(1, False),
     "rouge2": rouge(2, False), "rougeL": rouge_l, "rougeL_documents": rouge_l_documents, "rouge_stemmed": rouge_stemmed, "stem_dim": stem_dim,
     "embed_greedy": embed_greedy, "embed_rescaled": embed_rescaled, "metric_means": metric_means,
+    "evaluated_embeddings": evaluated_embeddings,
     "scan_responses": scan_responses, "rejected_summaries": rejected,
     "preference_triples": preference_triples, "preference_gate": preference_gate,
 }
@@ -190,6 +206,9 @@ tokens AS (SELECT w AS token FROM plain),
 words AS (SELECT pair_id, side, stem AS w, i FROM plain JOIN stems ON plain.w = stems.token)"""
 
 SQL = {
+    "evaluated_embeddings": f"""{EVALS}, places AS (SELECT pair_id, CAST(split_part(pair_id, '_', 1) AS BIGINT) * 8 + CAST(split_part(pair_id, '_', 2) AS BIGINT) AS v FROM evals WHERE candidate <> ''),
+s AS (SELECT pair_id, list_cosine_similarity(CAST(r.embedding AS DOUBLE[]), CAST(c.embedding AS DOUBLE[])) AS s FROM places JOIN embeddings AS r ON r.vec_id = v JOIN embeddings AS c ON c.vec_id = v + 1)
+SELECT pair_id, round(s, 6) AS p, round(s, 6) AS r, round(2 * s * s / (s + s), 6) AS f1 FROM s""",
     "stem_dim": f"{EVALS}, {_STEMMED} SELECT token, stem FROM stems",
     "rouge_stemmed": f"""{_RECURSIVE}, {_STEMMED}, {_ngrams(1)}, {_ngrams(2)}, {_LCS}
 SELECT n1.pair_id, {_prf('rouge1', 'n1.both_n', 'n1.ref_n', 'n1.cand_n')}, {_prf('rouge2', 'n2.both_n', 'n2.ref_n', 'n2.cand_n')},
