@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from notepairs.llm import divergence
@@ -54,22 +55,45 @@ def words(rng, n):
     return ["".join(rng.choice(letters) for _ in range(rng.choice((1, 2, 3, 7, 8, 9, 15, 16, 17, 18, 33, 70)))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("lanes, tile_terms, chunk", [(64, 4096, 12 << 20), (3, 5, 700)])
-def test_random_texts(spark, monkeypatch, lanes, tile_terms, chunk):
-    """Terms of all lengths, many tiles, and texts counted in several chunks."""
-    for name, value in (("LANES", lanes), ("TILE_TERMS", tile_terms), ("CHUNK", chunk)):
-        monkeypatch.setattr(divergence, name, value)
-    rng = random.Random(lanes)
+@pytest.mark.parametrize("sources, tile_terms", [(9, 4096), (150, 5)])
+def test_random_texts(spark, monkeypatch, sources, tile_terms):
+    """Terms of all lengths, in one tile of sources and in several, over one share of terms and many."""
+    monkeypatch.setattr(divergence, "TILE_TERMS", tile_terms)
+    rng = random.Random(sources)
     pool = words(rng, 60)
     rows = []
-    for i in range(400):
-        source = "hot" if i % 3 == 0 else f"s{rng.randrange(9)}"
+    for i in range(600):
+        source = "hot" if i % 3 == 0 else f"s{rng.randrange(sources)}"
         text = rng.choice(" \n,.7").join(w.upper() if rng.random() < 0.2 else w for w in rng.choices(pool, k=rng.randrange(20)))
-        rows.append((text, rng.choice(("en", "de")), source))
+        rows.append((text, "en" if rng.random() < 0.8 else "de", source))
     docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], COLUMNS).repartition(5)
     assert found(docs) == brute(rows)
 
 
+def test_chunks_add_up(monkeypatch):
+    """A task counts the same in many chunks, over several batches, as in one."""
+    rng = random.Random(3)
+    pool = words(rng, 40)
+    rows = [(rng.choice(("en", "de")), f"s{rng.randrange(3)}", " ".join(rng.choices(pool, k=rng.randrange(15)))) for _ in range(200)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[a : a + 70])], names=["lang", "source", "text"]) for a in range(0, 200, 70)]
+
+    def counted(chunk):
+        monkeypatch.setattr(divergence, "CHUNK", chunk)
+        out = Counter()
+        for batch in divergence._counted(iter(batches)):
+            for r in batch.to_pylist():
+                out[r["lang"], r["source"], r["term"], "n"] += r["n"]
+                out[r["lang"], r["source"], r["term"], "docs"] += r["docs"]
+        return out
+
+    want = Counter()
+    for lang, source, text in rows:
+        for term, n in Counter(terms_of(text)).items():
+            want[lang, source, term, "n"] += n
+            want[lang, source, term, "docs"] += 1
+    assert counted(1 << 20) == counted(500) == want
+
+
 def test_documents(spark, documents):
     assert found(documents) == brute([(r.text, r.lang, r.source) for r in documents.collect()])
 

@@ -28,7 +28,8 @@ def fails(rows):
 def brute(rows, labels):
     """Applies the filters to the rows themselves, order by order."""
     failed, out = fails(rows), {}
-    good, toxic = {i for i, q, _, _ in labels if q == 1}, {i for i, _, t, _ in labels if t == 1}
+    # A label without an id is of no document.
+    good, toxic = {i for i, q, _, _ in labels if q == 1} - {None}, {i for i, _, t, _ in labels if t == 1} - {None}
     parts = {p or "" for _, _, p in rows}
     for order in map("".join, permutations("ABCDE")):
         for part in parts:
