@@ -10,11 +10,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from notepairs import constants as C
 from notepairs.functions.text import settle
-from notepairs.operators.tokens import GramOrder, Words, gram_sets, jaccard, slice_hashes, strings, text_hashes, words_of
+from notepairs.operators.tokens import PIECE_BYTES, GramOrder, Words, gram_sets, jaccard, pieces, slice_hashes, strings, text_hashes, words_of
 from notepairs.session import spread, stage
 
 SIEVE_BITS = 1 << 28  # 32 MB, whatever the number of names
@@ -26,6 +26,15 @@ SIEVE_CHUNKS = 256  # a bitmap is put together in as many pieces
 # How many gram counts a task holds at most. They only order the grams: with more frequent
 # grams than this the result is the same, but more windows pass the sieve.
 FREQUENT_GRAMS = 1 << 14
+# Windows that are compared or written out at a time, and pairs of windows and names.
+WINDOWS = 1 << 14
+PAIRS = 1 << 20
+# Names, and code points of names, that a task holds at a time below PART_THRESHOLD.
+NAME_BLOCK, NAME_CHARS = 1 << 15, 1 << 20
+# Bytes of text that meet a block of names at a time there, and into how many tasks for each core they are dealt.
+MET_BYTES, MET_TASKS = 1 << 17, 4
+# Bits of a signature of a gram set.
+SIGNATURE = 256
 
 
 def concept_table(names: DataFrame, types: DataFrame) -> DataFrame:
@@ -110,18 +119,25 @@ def _rows(batch: pa.RecordBatch, key: str, words: Words, first: np.ndarray, last
     ], names=[key, "start_at", "end_at", "norm", *(f"x{i}" for i in range(len(more)))])
 
 
+def _parts_of(batches: Iterator[pa.RecordBatch], limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that what is held of one does not grow with their rows."""
+    for batch in batches:
+        yield from pieces(batch, "_text", limit)
+
+
 def windows(texts: DataFrame, passes: Callable[[np.ndarray], np.ndarray] | None = None, *, key: str = "pair_id", text: str = "text", longest: int = C.MAX_WINDOW) -> DataFrame:
     """Runs of up to ``longest`` words whose hash passes: (key, start_at, end_at, norm)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = words_of(batch.column("_text").to_pylist())
+        for part in _parts_of(batches):
+            words = words_of(part.column("_text").to_pylist())
             for size in range(1, longest + 1):
                 first, last = words.windows(size)
                 if passes is not None:
                     keep = passes(slice_hashes(words.chars, words.first[first], words.last[last]))
                     first, last = first[keep], last[keep]
-                yield _rows(batch, key, words, first, last)
+                for at in range(0, len(first), WINDOWS):
+                    yield _rows(part, key, words, first[at : at + WINDOWS], last[at : at + WINDOWS])
 
     return texts.select(key, F.col(text).alias("_text")).mapInArrow(run, _typed(texts, "start_at int, end_at int, norm string", key))
 
@@ -162,7 +178,7 @@ def anchored_words(texts: DataFrame, anchor_words: DataFrame, *, key: str = "pai
     passes, reach = name_sieve(anchor_words), longest - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts_of(batches):
             words = words_of(batch.column("_text").to_pylist())
             hits = np.flatnonzero(passes(slice_hashes(words.chars, words.first, words.last)))
             columns = []
@@ -237,26 +253,6 @@ def _mixed(values: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-class _Prefixes:
-    """Keys of the first grams of a set, rare ones first, each with the size of the set.
-
-    Two sets that reach the threshold share one of their first ``n - ceil(t * n) + 1`` grams.
-    """
-
-    def __init__(self, threshold: float, order: GramOrder):
-        self.threshold, self.order = threshold, order
-
-    def _shown(self, n: np.ndarray) -> np.ndarray:
-        return n - np.ceil(self.threshold * n - 1e-9).astype(np.int64) + 1
-
-    def keys(self, table: np.ndarray, n: np.ndarray, size: int | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Keys under sets of ``size``, and which of them are in use."""
-        shown = self._shown(n)
-        width = min(table.shape[1], int(shown.max()))
-        table = table[:, :width]
-        yield _mixed(table ^ (np.asarray(size, np.int64).reshape(-1, 1) << 40)), (np.arange(width) < shown[:, None]) & (table != _NONE)
-
-
 class _Parts:
     """Keys of the parts of a set: its grams dealt by a hash into one part more than sets may differ in grams.
 
@@ -264,8 +260,6 @@ class _Parts:
     threshold agree in a whole part, which the sum of its grams' hashes stands for.
     """
 
-    order = None
-
     def __init__(self, threshold: float):
         self.threshold = threshold
 
@@ -291,18 +285,13 @@ class _Parts:
             yield out, used
 
 
-def _scheme(names: DataFrame, threshold: float) -> _Prefixes | _Parts:
-    """Parts where similar sets differ in few grams; first grams below that, where parts would be too small to tell."""
-    return _Parts(threshold) if threshold >= PART_THRESHOLD else _Prefixes(threshold, gram_order(names))
-
-
-def name_keys(names: DataFrame, scheme: _Prefixes | _Parts) -> DataFrame:
+def name_keys(names: DataFrame, scheme: _Parts) -> DataFrame:
     """Names under each of their keys: (k, size, right_norm), ``size`` being that of their gram set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             chars, first, last = strings(batch.column("norm").to_pylist())
-            for which, n, table in gram_sets(chars, first, last, scheme.order):
+            for which, n, table in gram_sets(chars, first, last):
                 for keys, used in scheme.keys(table, n, n):
                     row, at = np.nonzero(used)
                     yield pa.RecordBatch.from_arrays([
@@ -312,13 +301,13 @@ def name_keys(names: DataFrame, scheme: _Prefixes | _Parts) -> DataFrame:
     return names.select("norm").mapInArrow(run, "k long, size int, right_norm string")
 
 
-def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, scheme: _Prefixes | _Parts, sizes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, scheme: _Parts, sizes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Slices that share a key with some name, as far as the bitmap tells: their numbers, and lists of these keys.
 
     ``sizes`` are those of the names' gram sets, in order.
     """
     slices, shared, t = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], scheme.threshold
-    for which, n, table in gram_sets(chars, first, last, scheme.order):
+    for which, n, table in gram_sets(chars, first, last):
         least, most = np.maximum(np.ceil(t * n - 1e-9), 1), np.floor(n / t + 1e-9)
         for size in sizes[(sizes >= least.min()) & (sizes <= most.max())].tolist():
             fits = np.flatnonzero((least <= size) & (size <= most))
@@ -340,7 +329,7 @@ def _candidates(texts: DataFrame, key: str, names: DataFrame, threshold: float,
     Windows are (key, start_at, end_at, norm, ks), with the list of keys they share; with
     ``longest`` null, each whole text is a window as it is.
     """
-    scheme = _scheme(names, threshold)
+    scheme = _Parts(threshold)
     by_key = stage(name_keys(names, scheme))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -352,26 +341,54 @@ def _candidates(texts: DataFrame, key: str, names: DataFrame, threshold: float,
     sizes = np.array(sorted(r["size"] for r in by_key.select("size").distinct().collect()), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            if longest is None:
-                chars, first, last = strings(texts)
-                hit, keys = _met(chars, first, last, scheme, sizes, bits.value)
-                none = pa.nulls(len(hit), pa.int32())
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(key).take(pa.array(hit)), none, none, batch.column("_text").take(pa.array(hit)), keys
-                ], names=[key, "start_at", "end_at", "norm", "ks"])
-                continue
-            words = words_of(texts)
-            for k in range(1, longest + 1):
-                first, last = words.windows(k)
-                hit, keys = _met(words.chars, words.first[first], words.last[last], scheme, sizes, bits.value)
-                yield _rows(batch, key, words, first[hit], last[hit], keys)
+        for part in _parts_of(batches):
+            for shown in _shown(part.column("_text").to_pylist(), longest):
+                hit, keys = _met(shown.chars, shown.first, shown.last, scheme, sizes, bits.value)
+                yield shown.rows(part, key, hit, keys)
 
     columns = "start_at int, end_at int, norm string, ks array<long>"
     return texts.select(key, "_text").mapInArrow(run, _typed(texts, columns, key)), by_key
 
 
+class _Shown:
+    """Some windows of a few texts as slices of code points; without ``words``, whole texts."""
+
+    def __init__(self, words: Words | None, texts: list[str], first: np.ndarray, last: np.ndarray, chars: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        self.words, self.texts, self.of = words, texts, (first, last)
+        at, to = (int(begin.min()), int(end.max())) if len(begin) else (0, 0)
+        self.chars, self.first, self.last = chars[at:to], begin - at, end - at
+
+    def written(self, which: np.ndarray) -> list[str]:
+        first, last = (x[which] for x in self.of)
+        return [self.texts[i] for i in first.tolist()] if self.words is None else self.words.texts(first, last)
+
+    def rows(self, batch: pa.RecordBatch, key: str, which: np.ndarray, *more: pa.Array) -> pa.RecordBatch:
+        """These windows as rows with further columns."""
+        first, last = (x[which] for x in self.of)
+        if self.words is not None:
+            return _rows(batch, key, self.words, first, last, *more)
+        none = pa.nulls(len(which), pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [batch.column(key).take(pa.array(first)), none, none, pa.array(self.written(which), pa.string()), *more], names=[key, "start_at", "end_at", "norm", *(f"x{i}" for i in range(len(more)))]
+        )
+
+
+def _shown(texts: list[str | None], longest: int | None) -> Iterator[_Shown]:
+    """All windows of the texts, ``WINDOWS`` at a time."""
+    if longest is None:
+        chars, begin, end = strings(texts)
+        for at in range(0, len(texts), WINDOWS):
+            which = np.arange(at, min(at + WINDOWS, len(texts)))
+            yield _Shown(None, texts, which, which, chars, begin[which], end[which])
+        return
+    words = words_of(texts)
+    for size in range(1, longest + 1):
+        first, last = words.windows(size)
+        for at in range(0, len(first), WINDOWS):
+            a, b = first[at : at + WINDOWS], last[at : at + WINDOWS]
+            yield _Shown(words, texts, a, b, words.chars, words.first[a], words.last[b])
+
+
 def _similarity(left: Column, right: Column) -> Column:
     """Jaccard of the gram sets of two texts."""
 
@@ -390,18 +407,139 @@ def _similar(sieved: DataFrame, by_key: DataFrame, threshold: float) -> DataFram
     return settle(scored, "similarity").filter(F.col("similarity") >= threshold - 1e-12)
 
 
+def _signatures(table: np.ndarray) -> np.ndarray:
+    """Every gram of a set flips one bit, so signatures differ in no more bits than the sets do in grams."""
+    out = np.zeros((len(table), SIGNATURE // 64), np.uint64)
+    for at in range(0, len(table), WINDOWS):
+        part = table[at : at + WINDOWS]
+        row, cell = np.nonzero(part != _NONE)
+        bit = (_mixed(part[row, cell]) >> np.uint64(40)) % np.uint64(SIGNATURE)
+        flips = np.bincount(row * SIGNATURE + bit.astype(np.int64), minlength=len(part) * SIGNATURE) & 1
+        out[at : at + WINDOWS] = np.packbits(flips.astype(np.uint8).reshape(-1, SIGNATURE), axis=1).view(np.uint64)
+    return out
+
+
+class _NameIndex:
+    """A block of names by the first grams of their sets, rare ones first, and the size of the set.
+
+    Two sets that reach the threshold share one of their first ``n - ceil(t * n) + 1`` grams,
+    and from the first one they share on, both have as many left as they must have in common.
+    """
+
+    def __init__(self, norms: list[str], threshold: float, order: GramOrder):
+        self.norms, self.threshold, self.order = norms, threshold, order
+        self.n, self.signatures = np.zeros(len(norms), np.int64), np.zeros((SIGNATURE // 64, len(norms)), np.uint64)
+        found = []
+        for which, n, table in gram_sets(*strings(norms), order):
+            self.n[which], self.signatures[:, which] = n, _signatures(table).T
+            row, at = self._prefix(n, table)
+            found.append((table[row, at], which[row], at))
+        grams, name, at = (np.concatenate(x) for x in zip(*found))
+        self.step = int(self.n.max()) + 1
+        self.grams, number = np.unique(grams, return_inverse=True)
+        places = number * self.step + self.n[name]
+        by = np.argsort(places, kind="stable")
+        self.places, self.name, self.at = places[by], name[by], at[by]
+
+    def _prefix(self, n: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        shown = n - np.ceil(self.threshold * n - 1e-9).astype(np.int64) + 1
+        return np.nonzero((np.arange(table.shape[1]) < shown[:, None]) & (table != _NONE))
+
+    def near(self, shown: _Shown) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Windows and names that reach the threshold, by their numbers, with their similarity."""
+        t = self.threshold
+        folded = bool((shown.chars > 0xFFFF).any())
+        for which, n, table in gram_sets(shown.chars, shown.first, shown.last, self.order):
+            row, at = self._prefix(n, table)
+            number = np.minimum(np.searchsorted(self.grams, grams := table[row, at]), len(self.grams) - 1)
+            known = np.flatnonzero(self.grams[number] == grams)
+            row, at, number = row[known], at[known], number[known] * self.step
+            least, most = np.ceil(t * n - 1e-9).astype(np.int64), np.floor(n / t + 1e-9).astype(np.int64)
+            begin = np.searchsorted(self.places, number + np.minimum(least[row], self.step))
+            count = np.maximum(np.searchsorted(self.places, number + np.minimum(most[row], self.step - 1), "right") - begin, 0)
+            signatures, ends, met, start = _signatures(table).T.copy(), np.cumsum(count), [np.zeros(0, np.int64)], 0
+            while start < len(count):
+                before = int(ends[start - 1]) if start else 0
+                end = max(int(np.searchsorted(ends, before + PAIRS, "right")), start + 1)
+                k = count[start:end]
+                each = np.repeat(np.arange(start, end), k)
+                place = np.arange(len(each)) + np.repeat(begin[start:end] - (ends[start:end] - k - before), k)
+                w, name = row[each], self.name[place]
+                both = n[w] + self.n[name]
+                common = np.ceil(t * both / (1 + t) - 1e-9).astype(np.int64)
+                if not folded:  # else a place may stand for several grams
+                    fits = np.flatnonzero(np.minimum(n[w] - at[each], self.n[name] - self.at[place]) >= common)
+                    w, name, both, common = w[fits], name[fits], both[fits], common[fits]
+                apart = np.zeros(len(w), np.int64)
+                for a, b in zip(signatures, self.signatures):
+                    apart += np.bitwise_count(a[w] ^ b[name])
+                likely = apart <= both - 2 * common
+                met.append(np.unique(w[likely] * len(self.norms) + name[likely]))
+                start = end
+            pairs = np.unique(np.concatenate(met))
+            for i in range(0, len(pairs), PAIRS // 16):
+                w, name = np.divmod(pairs[i : i + PAIRS // 16], len(self.norms))
+                similarity = jaccard(shown.written(which[w]), [self.norms[j] for j in name.tolist()])
+                reached = np.flatnonzero(similarity >= t - 1e-12)
+                yield which[w[reached]], name[reached], similarity[reached]
+
+
+def _packed(texts: DataFrame, key: str) -> DataFrame:
+    """``texts`` in rows of many, dealt to tasks anew: lists of their keys and texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _parts_of(batches, MET_BYTES):
+            ends = pa.array([0, part.num_rows], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, part.column(c)) for c in (key, "_text")], names=["keys", "texts"])
+
+    fields = [StructField("keys", ArrayType(texts.schema[key].dataType)), StructField("texts", ArrayType(StringType()))]
+    return texts.select(key, "_text").mapInArrow(run, StructType(fields)).repartition(MET_TASKS * texts.sparkSession.sparkContext.defaultParallelism)
+
+
+def _near_names(texts: DataFrame, key: str, names: DataFrame, threshold: float, longest: int | None) -> DataFrame:
+    """Windows (as of ``_candidates``) with the names that they nearly equal: (key, start_at, end_at, norm, right_norm, similarity).
+
+    For low thresholds, where nearly every window shares a first gram with many names: names
+    are cut into blocks, every piece of text meets every block, and pairs are made, sieved
+    and compared where they meet, so no pair that fails is ever a row.
+    """
+    size = names.agg(F.count("*").alias("n"), F.sum(F.length("norm")).alias("chars")).first()
+    blocks = 1 + max(size["n"] // NAME_BLOCK, (size["chars"] or 0) // NAME_CHARS)
+    dealt = stage(names.groupBy(F.pmod(F.xxhash64("norm"), F.lit(blocks)).alias("block")).agg(F.collect_list("norm").alias("norms")))
+    order = gram_order(names)
+    packed = _packed(texts, key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, index = None, None
+        for batch in batches:
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                if block != held:
+                    held, index = block, _NameIndex(batch.column("norms")[i].as_py(), threshold, order)
+                part = pa.RecordBatch.from_arrays([batch.column("keys")[i].values], names=[key])
+                for shown in _shown(batch.column("texts")[i].as_py(), longest):
+                    for which, name, similarity in index.near(shown):
+                        yield shown.rows(part, key, which, pa.array([index.norms[j] for j in name.tolist()], pa.string()), pa.array(similarity))
+
+    # Texts that meet several blocks are read once.
+    met = (stage(packed) if blocks > 1 else packed).crossJoin(dealt)
+    return met.mapInArrow(run, _typed(texts, "start_at int, end_at int, norm string, right_norm string, similarity double", key))
+
+
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """Pairs of ``left.norm`` and ``right.norm`` whose gram sets have Jaccard >= threshold.
 
     Exact set-similarity join. Sets that reach the threshold have sizes within a factor of
-    it and share a key: a whole part of their grams for high thresholds, one of their first
-    grams, rare ones first, for low ones. A bitmap of fixed size tells which keys any name
-    has, so texts without one are dropped where they are made; the different pairs that
-    meet under a key are compared by their whole sets. Grams are numbers, and all of this is
-    done for whole batches of texts.
+    it. For high thresholds they share a whole part of their grams: a bitmap of fixed size
+    tells which parts any name has, so texts without one are dropped where they are made;
+    the different pairs that meet under a part are compared by their whole sets. For low
+    ones they share one of their first grams, rare ones first, and are compared where they
+    meet. Grams are numbers, and all of this is done for whole batches of texts.
     """
     texts = left.select("norm").distinct().select(F.col("norm").alias("name"), F.col("norm").alias("_text"))
-    sieved, by_key = _candidates(texts, "name", right.select("norm").distinct(), threshold, None)
+    names = right.select("norm").distinct()
+    if threshold < PART_THRESHOLD:
+        return _near_names(texts, "name", names, threshold, None).select(F.col("norm").alias("left_norm"), "right_norm", "similarity")
+    sieved, by_key = _candidates(texts, "name", names, threshold, None)
     return _similar(sieved, by_key, threshold)
 
 
@@ -412,18 +550,20 @@ def match_similar(
     """Mentions whose words nearly equal a concept name, with their similarity.
 
     Windows are made once and stored when they have passed the sieve; distinct ones are
-    compared, and occurrences join the few that match.
+    compared, and occurrences join the few that match. Below ``PART_THRESHOLD`` they are
+    compared where they are made.
     """
     gated = of_types(concepts, types) if types else concepts
     entries = stage(gated.withColumn("norm", normal_name(F.col("name"))))
-    sieved, by_key = _candidates(spread(texts.select(key, F.col(text).alias("_text"))), key, entries.select("norm").distinct(), threshold, longest)
+    names, by_name = entries.select("norm").distinct(), entries.withColumnRenamed("norm", "right_norm")
+    given = spread(texts.select(key, F.col(text).alias("_text")))
+    columns = [key, "start_at", "end_at", "cui", F.col("name").alias("detected_name"), "type_ids", "similarity"]
+    if threshold < PART_THRESHOLD:
+        return _near_names(given, key, names, threshold, longest).drop("norm").join(by_name, "right_norm").select(*columns)
+    sieved, by_key = _candidates(given, key, names, threshold, longest)
     found = stage(sieved)
-    hits = _similar(found, by_key, threshold).join(entries.withColumnRenamed("norm", "right_norm"), "right_norm").select(
-        F.col("left_norm").alias("norm"), "cui", F.col("name").alias("detected_name"), "type_ids", "similarity"
-    )
-    return found.select(key, "start_at", "end_at", "norm").join(hits, "norm").select(
-        key, "start_at", "end_at", "cui", "detected_name", "type_ids", "similarity"
-    )
+    hits = _similar(found, by_key, threshold).join(by_name, "right_norm").withColumnRenamed("left_norm", "norm").drop("right_norm")
+    return found.select(key, "start_at", "end_at", "norm").join(hits, "norm").select(*columns)
 
 
 #: For each text its mentions: start, end, concept, name, semantic types.

@@ -12,20 +12,35 @@ from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _ODD = np.array([0x130, 0x3A3], np.uint32)  # letters whose lower case depends on more than themselves, or is longer
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FOLD = 0x9E37
 #: Numbers of a block of windows that are sorted at a time.
 _CELLS = 1 << 21
+#: Bytes of text whose words stand in arrays at a time; they take some fifty times as much.
+PIECE_BYTES = 1 << 19
+
+
+def pieces(batch: pa.RecordBatch, column: str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cuts of a batch whose texts hold about ``limit`` bytes, or one row each beyond that."""
+    ends = np.cumsum(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        end = max(int(np.searchsorted(ends, before + limit, "right")), start + 1)
+        yield batch.slice(start, end - start)
+        start = end
 
 
 @cache
 def _classes() -> tuple[np.ndarray, np.ndarray]:
     """Which code points are letters or digits, and their lower case."""
-    every = [chr(c) for c in range(0x110000)]
-    small = [c.lower() for c in every]
-    return np.array([c.isalnum() for c in every]), np.array([ord(s) if len(s) == 1 else i for i, s in enumerate(small)], np.uint32)
+    n = 0x110000
+    letters = np.fromiter((chr(c).isalnum() for c in range(n)), bool, n)
+    return letters, np.fromiter((ord(s) if len(s := chr(c).lower()) == 1 else c for c in range(n)), np.uint32, n)
 
 
 def _codes(text: str) -> np.ndarray:
@@ -51,8 +66,12 @@ class Words:
 
     def texts(self, first: np.ndarray, last: np.ndarray) -> list[str]:
         """The windows written out."""
-        whole = self.chars.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-        return [whole[a:b] for a, b in zip(self.first[first].tolist(), self.last[last].tolist())]
+        if not len(first):
+            return []
+        begin, end = self.first[first], self.last[last]
+        at = int(begin.min())
+        whole = self.chars[at : int(end.max())].astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
+        return [whole[a:b] for a, b in zip((begin - at).tolist(), (end - at).tolist())]
 
 
 def words_of(texts: list[str | None]) -> Words:

@@ -99,6 +99,42 @@ def test_similar_is_exact(spark, threshold, longest):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+@pytest.mark.parametrize("threshold", [0.9, 0.5])
+def test_near_matches_in_small_pieces(spark, concepts, monkeypatch, threshold):
+    """Texts cut into pieces, windows into runs, pairs into groups and names into blocks give the same rows."""
+    texts = texts_of(spark, "aspirins given for heart failures", None, "", "acute heart-failure \U0001F600 fièvres " * 40, "failure")
+    rows = lambda: sorted(map(str, K.match_similar(texts, concepts, threshold=threshold).collect()))
+    want = rows()
+    monkeypatch.setattr(K, "NAME_BLOCK", 2)
+    monkeypatch.setattr(K, "MET_BYTES", 40)
+    assert want and rows() == want
+
+
+@pytest.mark.parametrize("windows,pairs", [(16, 32), (1 << 14, 1 << 20)])
+def test_a_block_of_names_finds_all(monkeypatch, windows, pairs):
+    """Windows and pairs are gone through in runs; each window meets each name that reaches the threshold once."""
+    monkeypatch.setattr(K, "WINDOWS", windows)
+    monkeypatch.setattr(K, "PAIRS", pairs)
+    rng = random.Random(pairs)
+    word = lambda: "".join(rng.choice("abc\U0001F600") for _ in range(rng.randint(1, 9)))
+    names, text = sorted({word() for _ in range(150)}), " ".join(word() for _ in range(150)).replace("\U0001F600", "")
+    index, got = K._NameIndex(names, 0.5, K.GramOrder([])), []
+    for shown in K._shown([text, None], 2):
+        for which, name, similarity in index.near(shown):
+            got += zip(shown.written(which), (names[j] for j in name.tolist()), similarity.tolist())
+    said = text.split()
+    want = [(w, x) for w in said + [f"{a} {b}" for a, b in zip(said, said[1:])] for x in names if 2 * len(grams(w) & grams(x)) >= len(grams(w) | grams(x))]
+    assert want and sorted((w, x) for w, x, _ in got) == sorted(want)
+    assert all(s == pytest.approx(len(grams(w) & grams(x)) / len(grams(w) | grams(x))) for w, x, s in got)
+
+
+def test_pairs_that_fail_are_never_rows(spark):
+    """At a low threshold windows share first grams with many names; no join of theirs is left in the plan."""
+    names = spark.createDataFrame([(f"C{i}", f"abc{chr(97 + i % 26)}{i}") for i in range(200)], "cui string, name string").withColumn("type_ids", F.array(F.lit("T047")))
+    plan = K.match_similar(texts_of(spark, "abcd1 abce2 " * 50), names, threshold=0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode(ks" not in plan and "similarity" in plan
+
+
 def test_match_similar(spark, concepts):
     df = texts_of(spark, "aspirins given for heart failures")
     got = {(r.cui, r.start_at) for r in K.match_similar(df, concepts, threshold=0.8).collect()}

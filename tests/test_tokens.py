@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from notepairs.operators import tokens as T
@@ -73,3 +74,12 @@ def test_similarity_of_columns():
     want = [len(plain_grams(a) & plain_grams(b)) / len(plain_grams(a) | plain_grams(b)) for a, b in zip(lefts, rights)]
     assert T.jaccard(lefts, rights).tolist() == want
     assert T.jaccard([], []).tolist() == []
+
+
+def test_pieces_are_bounded_and_whole():
+    texts = ["ab", None, "", "é" * 7, "x" * 50, "y", *["zz"] * 30]
+    batch = pa.RecordBatch.from_pydict({"_text": pa.array(texts, pa.string())})
+    cuts = [p.column("_text").to_pylist() for p in T.pieces(batch, "_text", 16)]
+    assert [t for c in cuts for t in c] == texts
+    assert all(len(c) == 1 or sum(len((t or "").encode()) for t in c) <= 16 for c in cuts) and len(cuts) > 5
+    assert not list(T.pieces(batch.slice(0, 0), "_text"))
