@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from notepairs.functions.stemming import score_stem, stem, stem_table
 from notepairs.operators import scores
-from notepairs.operators.embedding import greedy_scores
+from notepairs.operators.embedding import SIDE_BLOCKS, greedy_scores, tiles
 from tests.restated import lcs
 
 WORDS = ["the", "running", "runs", "patient", "patients", "stable", "stably", "a1", "Ünder", "well."]
@@ -111,6 +111,21 @@ def test_greedy(spark, block):
         assert got[k] == pytest.approx(want[k])
 
 
+def test_tiles_grow_with_the_vectors(spark):
+    """A vector stands in a fixed number of tiles, however many its pair has."""
+    for n in (400, 1600):
+        rows = spark.range(n).select(
+            F.lit("a").alias("pair_id"), F.when(F.col("id") % 2 == 0, "reference").otherwise("candidate").alias("side"), F.col("id").alias("token"),
+            F.array(F.sin("id"), F.cos("id")).alias("vector"),
+        )
+        dealt = tiles(rows, block=2)
+        assert dealt.count() == SIDE_BLOCKS * n and dealt.groupBy("ref_block", "cand_block").count().count() == SIDE_BLOCKS**2
+        angles = np.arange(n)
+        cos = np.cos(angles[::2, None] - angles[None, 1::2])
+        got = greedy_scores(rows, block=2).first()
+        assert (got.p, got.r) == (pytest.approx(cos.max(axis=0).mean()), pytest.approx(cos.max(axis=1).mean()))
+
+
 def test_rescale_and_means(spark):
     df = spark.createDataFrame([("a", 1.0, None), ("b", 0.5, 0.25)], "pair_id string, p double, r double")
     got = df.select(scores.rescaled(F.col("p"), 0.5).alias("x")).collect()
