@@ -1,5 +1,8 @@
+from pyspark.sql import functions as F
+
 from notepairs.plans.corpus import build_corpus, quality_report
 from notepairs.plans.evaluation import evaluate
+from notepairs.session import tune
 from notepairs.sources.tables import NOTES
 from tests.test_pairs import ROWS
 
@@ -59,3 +62,12 @@ def test_rewriting_from_summaries_to_texts(spark, tmp_path):
     extra = mentions.union(mentions.limit(1).withColumn("pair_id", mentions["cui"]))
     with pytest.raises(ValueError, match="without a summary"):
         rewrite_summaries(pairs, extra, factory, str(tmp_path / "again"))
+
+
+def test_batches_are_bounded_in_bytes(spark):
+    """What a Python task holds at a time does not grow with the size of the rows."""
+    import pyarrow as pa
+
+    rows = tune(spark).range(0, 4000, 1, 1).select(F.repeat(F.lit("x"), 5000).alias("text"))
+    sizes = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert len(sizes) > 3 and max(r.n for r in sizes) < 5 << 20
