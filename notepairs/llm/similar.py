@@ -9,8 +9,10 @@ What is stored of a text is its first shingles (a fifth), its size and a signatu
 sets are made again for texts that are in a pair. First shingles that one set alone has are
 dropped by a bitmap of fixed size that says which were seen twice, before they move.
 
-Each node of a shingle is first paired with the smallest node there, which joins large groups
-by few pairs; then pairs whose nodes are still in different components are looked at, those
+Each node is first paired with one whose SimHash fingerprint, made of the five-word shingles,
+differs in at most two bits, found by the covering masks of ``simhash``, and with the smallest
+node of a shingle, which joins large groups by few pairs. What they link is decided by whole
+sets; similar sets may differ in more bits, so this alone would miss some. Then pairs whose nodes are still in different components are looked at, those
 of a crowded shingle in blocks of ``BLOCK`` nodes, so neither a task nor a row grows with it.
 Pairs whose signatures differ in more bits than similar sets can are left out: one shingle
 changes one bit, so the signatures differ in no more bits than the sets do in shingles. Every
@@ -36,7 +38,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from notepairs.llm.common import by_bytes, record_batches, rows_of
-from notepairs.llm.simhash import SEED, components, grouped, one_of_each, spans
+from notepairs.llm.simhash import BITS, SEED, components, grouped, one_of_each, spans
+from notepairs.llm.simhash import links as near_links
 from notepairs.session import clear, stage
 
 SHINGLE = 5
@@ -53,11 +56,12 @@ BLOCK = 512
 #: Texts of a block that must hold a shingle for it to count as frequent there.
 _OFTEN = 4
 _PIECE = 1 << 20
+_BATCH = 1 << 15
 _HEADS = pa.schema([
-    ("doc_id", pa.int64()), ("row_key", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("first", pa.list_(pa.int64())), ("sig", pa.binary()),
+    ("doc_id", pa.int64()), ("row_key", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("first", pa.list_(pa.int64())), ("sig", pa.binary()), ("mark", pa.int64()),
 ])
 _KEYS = pa.schema([("key", pa.int64()), ("fp", pa.int64()), ("n", pa.int32()), ("at", pa.int32())])
-_HEAD_TYPES = "doc_id long, row_key long, fp long, n int, first array<long>, sig binary"
+_HEAD_TYPES = "doc_id long, row_key long, fp long, n int, first array<long>, sig binary, mark long"
 
 
 def shingles(text: str, size: int = SHINGLE) -> np.ndarray:
@@ -72,6 +76,14 @@ def _name(shingle_set: np.ndarray) -> int:
     return int(np.array(xxhash.xxh64_intdigest(shingle_set.tobytes(), SEED), np.uint64).astype(np.int64))
 
 
+def mark(shingle_set: np.ndarray) -> int:
+    """SimHash fingerprint of a set of shingles, as a signed number: the bits set in over half of them."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(shingle_set), _BATCH):
+        counts += np.unpackbits(shingle_set[at : at + _BATCH].view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int32)
+    return int(np.packbits(counts * 2 > len(shingle_set)).view(np.int64)[0])
+
+
 def signature(shingle_set: np.ndarray) -> bytes:
     """Every shingle flips one of at least twice as many bits, a power of two."""
     bits = max(SIGNATURE, 1 << (2 * len(shingle_set) - 1).bit_length())
@@ -119,6 +131,7 @@ def _headed(batches: Iterator[pa.RecordBatch], last: np.ndarray, rank: np.ndarra
         yield record_batches({
             "doc_id": part.column("doc_id"), "row_key": part.column("row_key"), "fp": [_name(s) for s in sets], "n": [len(s) for s in sets],
             "first": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first) if first else np.zeros(0, np.int64))), "sig": [signature(s) for s in sets],
+            "mark": [mark(s) for s in sets],
         }, _HEADS)
 
 
@@ -291,12 +304,24 @@ def _apart_pairs(met: DataFrame, roots: DataFrame, nodes: DataFrame) -> DataFram
     return stage(pairs.distinct())
 
 
+def marked_pairs(nodes: DataFrame) -> DataFrame:
+    """For every node but the smallest of a mark one pair ``a, b`` with a node of a mark within two bits."""
+    marks = stage(nodes.groupBy("mark").agg(F.min("fp").alias("one")))
+    equal = nodes.join(marks, "mark").where("fp > one").select(F.col("fp").alias("a"), F.col("one").alias("b"))
+    near = near_links(marks.select(F.col("mark").alias("fp"))).groupBy("a").agg(F.min("b").alias("b"))
+    of = lambda c: marks.select(F.col("mark").alias(c), F.col("one").alias(f"one_{c}"))
+    both = near.join(of("a"), "a").join(of("b"), "b")
+    pairs = stage(equal.unionByName(both.select(F.greatest("one_a", "one_b").alias("a"), F.least("one_a", "one_b").alias("b"))))
+    clear(marks)
+    return pairs
+
+
 def links(rows: DataFrame, heads: DataFrame) -> DataFrame:
     """Edges ``a > b`` that have the same components as all pairs of similar sets of ``heads``, made of ``rows``."""
     twice = heads.sparkSession.sparkContext.broadcast(seen_twice(heads))
     keyed = stage(heads.select("fp", "n", "first").mapInArrow(lambda b: _keyed(b, twice), "key long, fp long, n int, at int"))
     twice.destroy()
-    nodes = stage(heads.groupBy("fp").agg(F.first("n").alias("n"), F.first("sig").alias("sig")))
+    nodes = stage(heads.groupBy("fp").agg(F.first("n").alias("n"), F.first("sig").alias("sig"), F.first("mark").alias("mark")))
     least = keyed.groupBy("key").agg(F.min(F.struct("fp", "n", "at")).alias("one"), F.max("fp").alias("other")).where("one.fp < other")
     shared = least.select("key", F.col("one.fp").alias("b"), F.col("one.n").alias("n_b"), F.col("one.at").alias("at_b"))
     met = stage(keyed.join(shared, "key"))
@@ -304,9 +329,11 @@ def links(rows: DataFrame, heads: DataFrame) -> DataFrame:
     star = met.where((F.col("fp") > F.col("b")) & _fits()).groupBy(F.col("fp").alias("a"), "b").agg(F.count("*").alias("both"))
     # A node is first compared with the one that it shares most first shingles with.
     best = star.groupBy("a").agg(F.max_by("b", F.struct("both", "b")).alias("b"))
-    joined = _similar_pairs(best, rows, heads, nodes)
+    marked = marked_pairs(nodes)
+    joined = _similar_pairs(best.unionByName(marked).distinct(), rows, heads, nodes)
     labels = stage(components(joined))
-    clear(joined)
+    for table in (joined, marked):
+        clear(table)
     apart = _apart_pairs(met.drop("b", "n_b", "at_b"), labels, nodes)
     more = _similar_pairs(apart, rows, heads, nodes)
     for table in (met, nodes, apart):

@@ -56,6 +56,17 @@ def test_groups_of_edited_copies(spark, monkeypatch, frequent):
     assert groups(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
 
 
+def test_fingerprints_offer_pairs_first(spark):
+    """Sets whose fingerprints are equal or differ in two bits are paired, others are not."""
+    sets = [similar.shingles(" ".join(f"w{i}" for i in range(k, k + 40))) for k in (0, 1000)]
+    for s in sets:
+        bits = [sum(int(h) >> i & 1 for h in s.view(np.uint64)) * 2 > len(s) for i in range(64)]
+        assert similar.mark(s).to_bytes(8, "little", signed=True) == np.packbits(np.array(bits).reshape(8, 8)[:, ::-1]).tobytes()
+    rows = [(10, 5), (7, 5), (3, 5 ^ 0b11 << 40), (4, 5 ^ 0b111 << 20), (1, -1)]
+    got = similar.marked_pairs(spark.createDataFrame(rows, "fp long, mark long")).collect()
+    assert sorted((r.a, r.b) for r in got) == [(7, 3), (10, 7)]
+
+
 def test_odd_rows(odd_docs, no_docs):
     got = similar.similar_groups(odd_docs)
     assert got.count() == odd_docs.count() and similar.similar_groups(no_docs).count() == 0
