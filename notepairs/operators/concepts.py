@@ -14,11 +14,12 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from notepairs import constants as C
 from notepairs.functions.text import settle
-from notepairs.operators.tokens import PIECE_BYTES, GramOrder, Words, gram_sets, jaccard, pieces, slice_hashes, strings, text_hashes, words_of
+from notepairs.operators.tokens import PIECE_BYTES, GramOrder, Words, gram_numbers, gram_sets, jaccard, pieces, slice_hashes, strings, text_hashes, words_of
 from notepairs.session import spread, stage
 
 SIEVE_BITS = 1 << 28  # 32 MB, whatever the number of names
 GRAM_SIEVE_BITS = 1 << 26  # 8 MB
+KNOWN_GRAM_BITS = 1 << 20
 # Thresholds from here on are served by whole parts of gram sets.
 PART_THRESHOLD = 0.8
 _GRAM_STEP, _SIZE_STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -268,23 +269,84 @@ class _Parts:
         fits = range(max(int(np.ceil(t * size - 1e-9)), 1), int(np.floor(size / t + 1e-9)) + 1)
         return 1 + max(n + size - 2 * int(np.ceil(t * (n + size) / (1 + t) - 1e-9)) for n in fits)
 
-    def keys(self, table: np.ndarray, n: np.ndarray, size: int | np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        sizes = np.broadcast_to(np.asarray(size, np.int64), len(n))
-        for one in np.unique(sizes).tolist():
-            rows = np.flatnonzero(sizes == one)
+    def part(self, mixed: np.ndarray, parts: int) -> np.ndarray:
+        """Which of ``parts`` parts grams belong to, by their hashes."""
+        return (mixed >> np.uint64(40)) % np.uint64(parts)
+
+    def key(self, sums: np.ndarray, size: int, i: int) -> np.ndarray:
+        """Keys of part ``i`` of sets that meet sets of ``size`` grams."""
+        return _mixed(sums + np.uint64(size << 8) + np.uint64(i << 40))
+
+    def keys(self, table: np.ndarray, n: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Keys of sets that meet sets of their own size."""
+        for one in np.unique(n).tolist():
+            rows = np.flatnonzero(n == one)
             grams = table[rows]
             mixed = np.where(grams == _NONE, np.uint64(0), _mixed(grams))
             p = self.parts(one)
-            part = (mixed >> np.uint64(40)) % np.uint64(p)
+            part = self.part(mixed, p)
             out = np.empty((len(n), p), np.uint64)
             for i in range(p):
-                sums = (mixed * (part == i)).sum(axis=1, dtype=np.uint64)
-                out[rows, i] = _mixed(sums + np.uint64(one << 8) + np.uint64(i << 40))
+                out[rows, i] = self.key((mixed * (part == i)).sum(axis=1, dtype=np.uint64), one, i)
             used = np.zeros((len(n), p), bool)
             used[rows] = True
             yield out, used
 
 
+class _PartSums:
+    """Hash sums over the parts of the gram sets of slices that may overlap, without a table of the sets.
+
+    A slice's sum is the difference of two running sums over all grams, less what the slice
+    holds again; ``n`` are the sizes of the sets.
+    """
+
+    def __init__(self, chars: np.ndarray, first: np.ndarray, last: np.ndarray):
+        grams = gram_numbers(chars)
+        # A slice of fewer than three code points is its own only gram, which stands behind the others.
+        short = np.flatnonzero(last - first < 3)
+        bits = 21 * (3 - (last - first)[short].astype(np.int64))
+        self.begin, self.end = first.astype(np.int64), last.astype(np.int64) - 2
+        self.begin[short] = len(grams) + np.arange(len(short))
+        self.end[short] = self.begin[short] + 1
+        grams = np.concatenate([grams, (grams[first[short]] >> bits) << bits])
+        self.mixed = _mixed(grams)
+        by = np.argsort(grams, kind="stable")
+        again = np.flatnonzero(grams[by[1:]] == grams[by[:-1]])
+        before = np.full(len(grams), -1, np.int64)
+        before[by[again + 1]] = by[again]
+        places = np.flatnonzero(before >= np.arange(len(grams)) - int((self.end - self.begin).max(initial=0)))
+        start = np.searchsorted(places, self.begin)
+        count = np.searchsorted(places, self.end) - start
+        row = np.repeat(np.arange(len(first)), count)
+        place = places[np.arange(len(row)) + np.repeat(start - (np.cumsum(count) - count), count)]
+        inside = before[place] >= self.begin[row]
+        self.place = place[inside]
+        self.stop = np.cumsum(np.bincount(row[inside], minlength=len(first)))
+        self.n = self.end - self.begin - np.diff(self.stop, prepend=0)
+
+    def lacking(self, known: np.ndarray) -> np.ndarray:
+        """How many grams of each slice's set are not in the bitmap ``known``."""
+        new = ~_set(known, _bits(self.mixed, KNOWN_GRAM_BITS))
+        once, twice = (np.concatenate([[0], np.cumsum(x)]) for x in (new, new[self.place]))
+        return once[self.end] - once[self.begin] - np.diff(twice[self.stop], prepend=0)
+
+    def of(self, scheme: _Parts, parts: int, rows: np.ndarray) -> np.ndarray:
+        """Sums of every part of the sets of the slices ``rows``."""
+        begin, end, stop = self.begin[rows], self.end[rows], self.stop[rows]
+        start = np.where(rows > 0, self.stop[rows - 1], 0)
+        # Only what these slices cover is summed.
+        n = len(self.mixed)
+        covered = np.cumsum(np.bincount(begin, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n] > 0
+        number = np.concatenate([[0], np.cumsum(covered)])
+        mixed, again = self.mixed[covered], self.mixed[self.place]
+        part, part_again, out = scheme.part(mixed, parts), scheme.part(again, parts), np.empty((parts, len(rows)), np.uint64)
+        running = lambda values: np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
+        for i in range(parts):
+            sums, twice = running(mixed * (part == i)), running(again * (part_again == i))
+            out[i] = sums[number[end]] - sums[number[begin]] - (twice[stop] - twice[start])
+        return out
+
+
 def name_keys(names: DataFrame, scheme: _Parts) -> DataFrame:
     """Names under each of their keys: (k, size, right_norm), ``size`` being that of their gram set."""
 
@@ -292,7 +354,7 @@ def name_keys(names: DataFrame, scheme: _Parts) -> DataFrame:
         for batch in batches:
             chars, first, last = strings(batch.column("norm").to_pylist())
             for which, n, table in gram_sets(chars, first, last):
-                for keys, used in scheme.keys(table, n, n):
+                for keys, used in scheme.keys(table, n):
                     row, at = np.nonzero(used)
                     yield pa.RecordBatch.from_arrays([
                         pa.array(keys[row, at].view(np.int64)), pa.array(n[row].astype(np.int32)), batch.column("norm").take(pa.array(which[row])),
@@ -301,21 +363,33 @@ def name_keys(names: DataFrame, scheme: _Parts) -> DataFrame:
     return names.select("norm").mapInArrow(run, "k long, size int, right_norm string")
 
 
-def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, scheme: _Parts, sizes: np.ndarray, bits: np.ndarray) -> tuple[np.ndarray, pa.Array]:
+def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, scheme: _Parts, sizes: np.ndarray, bits: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, pa.Array]:
     """Slices that share a key with some name, as far as the bitmap tells: their numbers, and lists of these keys.
 
-    ``sizes`` are those of the names' gram sets, in order.
+    ``sizes`` are those of the names' gram sets, in order, and ``known`` is a bitmap of the
+    names' grams: a slice with too many others is like no name.
     """
     slices, shared, t = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], scheme.threshold
-    for which, n, table in gram_sets(chars, first, last):
-        least, most = np.maximum(np.ceil(t * n - 1e-9), 1), np.floor(n / t + 1e-9)
-        for size in sizes[(sizes >= least.min()) & (sizes <= most.max())].tolist():
-            fits = np.flatnonzero((least <= size) & (size <= most))
-            if len(fits):
-                for keys, used in scheme.keys(table[fits], n[fits], size):
-                    row, at = np.nonzero(used & _set(bits, _bits(keys, GRAM_SIEVE_BITS)))
-                    slices.append(which[fits[row]])
-                    shared.append(keys[row, at].view(np.int64))
+    sets = _PartSums(chars, first, last)
+    by = np.flatnonzero(sets.lacking(known) <= (1 - t) * sets.n + 1e-9)
+    by = by[np.argsort(sets.n[by], kind="stable")]
+    n = sets.n[by]
+    # Slices whose sets may reach the threshold with a set of each size stand next to each other.
+    begin, end = np.searchsorted(np.floor(n / t + 1e-9), sizes), np.searchsorted(np.maximum(np.ceil(t * n - 1e-9), 1), sizes, "right")
+    parts = np.array([scheme.parts(size) for size in sizes.tolist()], np.int64)
+    for p in np.unique(parts[begin < end]).tolist():
+        met = np.flatnonzero((parts == p) & (begin < end))
+        at = int(begin[met].min())
+        rows = np.sort(by[at : int(end[met].max())])
+        sums, place = sets.of(scheme, p, rows), np.zeros(len(sets.n), np.int64)
+        place[rows] = np.arange(len(rows))
+        for j in met.tolist():
+            fits = by[begin[j] : end[j]]
+            for i in range(p):
+                keys = scheme.key(sums[i, place[fits]], int(sizes[j]), i)
+                hit = _set(bits, _bits(keys, GRAM_SIEVE_BITS))
+                slices.append(fits[hit])
+                shared.append(keys[hit].view(np.int64))
     slices = np.concatenate(slices)
     by = np.argsort(slices, kind="stable")
     names, starts = np.unique(slices[by], return_index=True)
@@ -326,8 +400,9 @@ def _met(chars: np.ndarray, first: np.ndarray, last: np.ndarray, scheme: _Parts,
 def _candidates(texts: DataFrame, key: str, names: DataFrame, threshold: float, longest: int | None) -> tuple[DataFrame, DataFrame]:
     """Windows of ``texts`` that share a key with a name, and the names by key.
 
-    Windows are (key, start_at, end_at, norm, ks), with the list of keys they share; with
-    ``longest`` null, each whole text is a window as it is.
+    Windows are (key, start_at, end_at, norm, ks), with the list of keys they share, which is
+    null where an equal window nearby has it; with ``longest`` null, each whole text is a
+    window as it is.
     """
     scheme = _Parts(threshold)
     by_key = stage(name_keys(names, scheme))
@@ -336,15 +411,26 @@ def _candidates(texts: DataFrame, key: str, names: DataFrame, threshold: float,
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(_bits(batch.column("k").to_numpy(), GRAM_SIEVE_BITS))], names=["b"])
 
-    bits = names.sparkSession.sparkContext.broadcast(bitmap(by_key.select("k").mapInArrow(places, "b long"), GRAM_SIEVE_BITS))
+    def gram_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, table in gram_sets(*strings(batch.column("norm").to_pylist())):
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(_bits(_mixed(table[table != _NONE]), KNOWN_GRAM_BITS)))], names=["b"])
+
+    share = names.sparkSession.sparkContext.broadcast
+    bits = share(bitmap(by_key.select("k").mapInArrow(places, "b long"), GRAM_SIEVE_BITS))
+    known = share(bitmap(names.select("norm").mapInArrow(gram_places, "b long"), KNOWN_GRAM_BITS))
     # Few: sizes of names, in grams.
     sizes = np.array(sorted(r["size"] for r in by_key.select("size").distinct().collect()), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _parts_of(batches):
             for shown in _shown(part.column("_text").to_pylist(), longest):
-                hit, keys = _met(shown.chars, shown.first, shown.last, scheme, sizes, bits.value)
-                yield shown.rows(part, key, hit, keys)
+                hit, keys = _met(shown.chars, shown.first, shown.last, scheme, sizes, bits.value, known.value)
+                found = shown.rows(part, key, hit, keys)
+                equal = found.column("norm").dictionary_encode().indices.to_numpy()
+                again = np.ones(len(hit), bool)
+                again[np.unique(equal, return_index=True)[1]] = False
+                yield found.set_column(found.num_columns - 1, "ks", keys.take(pa.array(np.arange(len(hit)), mask=again)))
 
     columns = "start_at int, end_at int, norm string, ks array<long>"
     return texts.select(key, "_text").mapInArrow(run, _typed(texts, columns, key)), by_key
@@ -382,11 +468,13 @@ def _shown(texts: list[str | None], longest: int | None) -> Iterator[_Shown]:
             yield _Shown(None, texts, which, which, chars, begin[which], end[which])
         return
     words = words_of(texts)
-    for size in range(1, longest + 1):
-        first, last = words.windows(size)
-        for at in range(0, len(first), WINDOWS):
-            a, b = first[at : at + WINDOWS], last[at : at + WINDOWS]
-            yield _Shown(words, texts, a, b, words.chars, words.first[a], words.last[b])
+    # Windows of all lengths that begin in one stretch of words, so that they share its grams.
+    for at in range(0, len(words.row), step := max(1, WINDOWS // longest)):
+        a = np.arange(at, min(at + step, len(words.row)))
+        first = np.concatenate([a[: max(len(words.row) - size + 1 - at, 0)] for size in range(1, longest + 1)])
+        last = first + np.repeat(np.arange(longest), [max(min(len(a), len(words.row) - size - at), 0) for size in range(longest)])
+        one = words.row[first] == words.row[last]
+        yield _Shown(words, texts, first[one], last[one], words.chars, words.first[first[one]], words.last[last[one]])
 
 
 def _similarity(left: Column, right: Column) -> Column:
@@ -401,7 +489,7 @@ def _similarity(left: Column, right: Column) -> Column:
 
 def _similar(sieved: DataFrame, by_key: DataFrame, threshold: float) -> DataFrame:
     """Pairs of distinct ``norm`` and name with their similarity, from what ``_candidates`` gives."""
-    one = sieved.groupBy("norm").agg(F.first("ks").alias("ks")).select(F.col("norm").alias("left_norm"), F.explode("ks").alias("k"))
+    one = sieved.where("ks IS NOT NULL").groupBy("norm").agg(F.first("ks").alias("ks")).select(F.col("norm").alias("left_norm"), F.explode("ks").alias("k"))
     met = one.join(by_key.select("k", "right_norm"), "k").select("left_norm", "right_norm").distinct()
     scored = met.withColumn("similarity", _similarity(F.col("left_norm"), F.col("right_norm")))
     return settle(scored, "similarity").filter(F.col("similarity") >= threshold - 1e-12)
@@ -550,7 +638,8 @@ def match_similar(
     """Mentions whose words nearly equal a concept name, with their similarity.
 
     Windows are made once and stored when they have passed the sieve; distinct ones are
-    compared, and occurrences join the few that match. Below ``PART_THRESHOLD`` they are
+    compared, and occurrences join the few that match, which are stored so that the planner
+    knows how few they are. Below ``PART_THRESHOLD`` they are
     compared where they are made.
     """
     gated = of_types(concepts, types) if types else concepts
@@ -562,7 +651,7 @@ def match_similar(
         return _near_names(given, key, names, threshold, longest).drop("norm").join(by_name, "right_norm").select(*columns)
     sieved, by_key = _candidates(given, key, names, threshold, longest)
     found = stage(sieved)
-    hits = _similar(found, by_key, threshold).join(by_name, "right_norm").withColumnRenamed("left_norm", "norm").drop("right_norm")
+    hits = stage(_similar(found, by_key, threshold).join(by_name, "right_norm").withColumnRenamed("left_norm", "norm").drop("right_norm"))
     return found.select(key, "start_at", "end_at", "norm").join(hits, "norm").select(*columns)
 
 

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from notepairs.functions.stemming import stem_tokens
@@ -39,11 +41,11 @@ def _grams(tokens: Column, n: int) -> Column:
     return F.when(F.size(tokens) >= n, runs).otherwise(F.array().cast("array<string>"))
 
 
-def with_score_tokens(evals: DataFrame, *, stemmed: bool = True) -> DataFrame:
-    """Token arrays of both texts in ``ref`` and ``cand``."""
+def with_score_tokens(evals: DataFrame, *extra: str, stemmed: bool = True) -> DataFrame:
+    """Token arrays of both texts in ``ref`` and ``cand``, and further columns as they are."""
     wrap = stem_tokens if stemmed else (lambda c: c)
     return evals.select(
-        "pair_id", wrap(score_tokens(F.col("reference"))).alias("ref"),
+        "pair_id", *extra, wrap(score_tokens(F.col("reference"))).alias("ref"),
         wrap(score_tokens(F.col("candidate"))).alias("cand"),
     )
 
@@ -100,12 +102,50 @@ def lcs_length(a: Column, b: Column) -> Column:
     return run(a, b)
 
 
-def _gram_overlaps(tokens: DataFrame, sizes: tuple[int, ...], extra: tuple[str, ...] = ()) -> DataFrame:
-    """Per pair and gram size: clipped overlap and both totals.
+def _clipped(sides: list[tuple[np.ndarray, np.ndarray]], n: int) -> list[np.ndarray]:
+    """Grams that both sides of each of ``n`` rows hold, as often as both do, and the totals of both."""
+    most = 1 + max((int(grams.max()) for _, grams in sides if len(grams)), default=0)
+    (a, x), (b, y) = (np.unique(rows * most + grams, return_counts=True) for rows, grams in sides)
+    both, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    shared = np.bincount(both // most, weights=np.minimum(x[i], y[j]), minlength=n).astype(np.int64)
+    return [shared, *(np.bincount(rows, minlength=n) for rows, _ in sides)]
 
-    Everything is keyed by the pair, so after a join on the pair no further shuffle is
-    needed; otherwise only counts per gram move.
+
+def _own(sizes: tuple[int, ...]) -> list[str]:
+    return [*(f"{x}{n}" for n in sizes for x in ("both", "ref", "cand")), "lcs"]
+
+
+def _row_overlaps(ref: Column, cand: Column, sizes: tuple[int, ...]) -> Column:
+    """Struct of clipped overlap and both totals of one row per gram size, and its longest common subsequence.
+
+    Tokens and grams of a whole batch are numbers, which are sorted and counted together.
     """
+    names = _own(sizes)
+
+    @F.arrow_udf(", ".join(f"{x} {'int' if x == 'lcs' else 'long'}" for x in names))
+    def run(left: pa.Array, right: pa.Array) -> pa.Array:
+        lengths = [x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False) for x in (left, right)]
+        rows = [np.repeat(np.arange(len(n)), n) for n in lengths]
+        flat = pa.concat_arrays([left.flatten(), right.flatten()])
+        tokens = np.split(flat.dictionary_encode().indices.to_numpy().astype(np.int64), [len(rows[0])])
+        grams, out = tokens, []
+        for n in range(1, max(sizes) + 1):
+            if n > 1:
+                # Runs that pass the end of their row are left out where grams are counted.
+                longer = [g[: max(len(t) - n + 1, 0)] * (len(flat) + 1) + t[n - 1 :] for g, t in zip(grams, tokens)]
+                grams = np.split(np.unique(np.concatenate(longer), return_inverse=True)[1], [len(longer[0])])
+            if n in sizes:
+                inside = [r[: len(g)] == r[n - 1 :] for g, r in zip(grams, rows)]
+                out += _clipped([(r[: len(g)][i], g[i]) for g, r, i in zip(grams, rows, inside)], len(left))
+        a, b = ([t[end - k : end].tolist() for k, end in zip(n, np.cumsum(n))] for t, n in zip(tokens, lengths))
+        out.append(np.array([longest_common(x, y) for x, y in zip(a, b)], np.int32))
+        return pa.StructArray.from_arrays([pa.array(x) for x in out], names=names)
+
+    return run(ref, cand)
+
+
+def _gram_rows(tokens: DataFrame, sizes: tuple[int, ...], extra: tuple[str, ...] = (), only: Column | None = None) -> DataFrame:
+    """Every gram of both sides as a row (pair_id, n, g, r, c), and one row without a gram; where ``only`` is false, that one alone."""
     def entry(n: int, r: int, c: int) -> Callable[[Column], Column]:
         return lambda gram: F.struct(
             F.lit(n).alias("n"), gram.alias("g"), F.lit(r).alias("r"), F.lit(c).alias("c")
@@ -116,9 +156,18 @@ def _gram_overlaps(tokens: DataFrame, sizes: tuple[int, ...], extra: tuple[str,
     for n in sizes:
         entries.append(F.transform(_grams(F.col("ref"), n), entry(n, 1, 0)))
         entries.append(F.transform(_grams(F.col("cand"), n), entry(n, 0, 1)))
-    rows = tokens.select("pair_id", *extra, F.explode(F.concat(*entries)).alias("e")).select(
+    every = F.concat(*entries)
+    return tokens.select("pair_id", *extra, F.explode(every if only is None else F.when(only, every).otherwise(entries[0])).alias("e")).select(
         "pair_id", *extra, "e.*"
     )
+
+
+def _gram_overlaps(rows: DataFrame, sizes: tuple[int, ...], extra: tuple[str, ...] = ()) -> DataFrame:
+    """Per pair and gram size: clipped overlap and both totals.
+
+    Everything is keyed by the pair, so after a join on the pair no further shuffle is
+    needed; otherwise only counts per gram move.
+    """
     keep = [F.first(x).alias(x) for x in extra]
     counts = rows.groupBy("pair_id", "n", "g").agg(F.sum("r").alias("r"), F.sum("c").alias("c"), *keep)
     of = lambda n, x: F.coalesce(F.sum(F.when(F.col("n") == n, x)), F.lit(0))
@@ -131,9 +180,23 @@ def _gram_overlaps(tokens: DataFrame, sizes: tuple[int, ...], extra: tuple[str,
     return counts.groupBy("pair_id").agg(*totals, *keep)
 
 
+def _counted_rows(evals: DataFrame, sizes: tuple[int, ...], *, stemmed: bool) -> DataFrame:
+    """``_gram_rows`` of the pairs in several rows, whose counts add up before they are clipped.
+
+    A pair in one row, the common case, is counted where it is: it is ``alone`` and gives one
+    row with its counts in ``own_*``, so the texts move once and its grams never.
+    """
+    alone = F.count("*").over(Window.partitionBy("pair_id")) == 1
+    known = evals.withColumn("alone", alone).filter("reference IS NOT NULL AND candidate IS NOT NULL")
+    tokens = with_score_tokens(known, "alone", stemmed=stemmed)
+    counted = tokens.withColumn("own", _row_overlaps(F.col("ref"), F.col("cand"), sizes))
+    own = _own(sizes)
+    return _gram_rows(counted, sizes, ("alone", "own"), ~F.col("alone")).select("*", *(F.col(f"own.{x}").alias(f"own_{x}") for x in own)).drop("own")
+
+
 def rouge_n(evals: DataFrame, n: int, *, stemmed: bool = True) -> DataFrame:
     """Overlap of token runs of length ``n``."""
-    found = _gram_overlaps(with_score_tokens(evals, stemmed=stemmed), (n,))
+    found = _gram_overlaps(_gram_rows(with_score_tokens(evals, stemmed=stemmed), (n,)), (n,))
     return found.select("pair_id", *prf(f"rouge{n}", F.col(f"both{n}"), F.col(f"ref{n}"), F.col(f"cand{n}")))
 
 
@@ -147,14 +210,13 @@ def rouge_l(evals: DataFrame, *, stemmed: bool = True) -> DataFrame:
 
 def rouge(evals: DataFrame, *, stemmed: bool = True) -> DataFrame:
     """All nine overlap scores in one pass over the texts."""
-    tokens = with_score_tokens(evals, stemmed=stemmed).withColumn(
-        "lcs", lcs_length(F.col("ref"), F.col("cand"))
-    )
-    found = _gram_overlaps(tokens, (1, 2), ("lcs",))
-    c = F.col
+    sizes = (1, 2)
+    own = _own(sizes)
+    found = _gram_overlaps(_counted_rows(evals, sizes, stemmed=stemmed), sizes, ("alone", *(f"own_{x}" for x in own)))
+    c = lambda x: F.when(F.col("alone"), F.col(f"own_{x}")).otherwise(F.col(x))
     return found.select(
         "pair_id", *prf("rouge1", c("both1"), c("ref1"), c("cand1")),
-        *prf("rouge2", c("both2"), c("ref2"), c("cand2")), *prf("rougeL", c("lcs"), c("ref1"), c("cand1")),
+        *prf("rouge2", c("both2"), c("ref2"), c("cand2")), *prf("rougeL", F.col("own_lcs"), c("ref1"), c("cand1")),
     )
 
 

@@ -1,12 +1,13 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from notepairs.functions import answers as A
 from notepairs.operators import cloze
 from notepairs.operators import concepts as K
-from notepairs.operators.tokens import text_hashes
+from notepairs.operators.tokens import gram_sets, text_hashes
 
 NAMES = [("C1", "heart failure"), ("C2", "failure"), ("C3", "acute heart failure"), ("C4", "Fièvre"), ("C5", "aspirin"), ("C6", "heart")]
 
@@ -99,6 +100,48 @@ def test_similar_is_exact(spark, threshold, longest):
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+@pytest.mark.parametrize("longest", [1, 3, None])
+def test_sums_of_overlapping_sets(longest):
+    """Running sums give the sizes, part sums and unknown grams of every window's set, repeats and short words included."""
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choice("ab\U0001F600é") for _ in range(rng.randint(1, 9))) for _ in range(rng.randint(0, 40))) for _ in range(30)] + ["", "a", "ab ab ab ab", "aaaaaaaaaaaaaaa"]
+    scheme, seen = K._Parts(0.8), 0
+    for shown in K._shown(texts, longest):
+        sums = K._PartSums(shown.chars, shown.first, shown.last)
+        known = np.zeros(K.KNOWN_GRAM_BITS // 64, np.int64)
+        some = K._bits(sums.mixed[::3], K.KNOWN_GRAM_BITS)
+        np.bitwise_or.at(known, some >> 6, np.int64(1) << (some & 63))
+        for which, n, table in gram_sets(shown.chars, shown.first, shown.last):
+            mixed = np.where(table == K._NONE, np.uint64(0), K._mixed(table))
+            assert (sums.n[which] == n).all()
+            new = ~K._set(known, K._bits(mixed, K.KNOWN_GRAM_BITS)) & (table != K._NONE)
+            assert (sums.lacking(known)[which] == new.sum(axis=1)).all()
+            for p in (1, 2, 5):
+                want = [(mixed * (scheme.part(mixed, p) == i)).sum(axis=1, dtype=np.uint64) for i in range(p)]
+                assert (sums.of(scheme, p, which) == np.array(want)).all()
+            seen += len(which)
+    assert seen >= len(texts)
+
+
+def test_all_windows_of_a_stretch(monkeypatch):
+    """Windows of all lengths, cut into stretches of words, are those of each length."""
+    texts = ["a b c d e f g", None, "h", "i j k l m n o p q", ""]
+    said = [t.split() if t else [] for t in texts]
+    want = sorted(" ".join(w[i : i + n]) for w in said for n in range(1, 5) for i in range(len(w) - n + 1))
+    for most in (1, 9, 1 << 14):
+        monkeypatch.setattr(K, "WINDOWS", most)
+        assert sorted(x for shown in K._shown(texts, 4) for x in shown.written(np.arange(len(shown.first)))) == want
+
+
+def test_keys_stand_once_for_equal_windows(spark, concepts):
+    """Windows that are equal nearby carry their keys once, and those with too many foreign grams none."""
+    names = concepts.select(K.normal_name(F.col("name")).alias("norm"))
+    texts = texts_of(spark, "heart failure aspirin " * 200).select("pair_id", F.col("text").alias("_text")).coalesce(1)
+    found, _ = K._candidates(texts, "pair_id", names, 0.9, 5)
+    rows = found.collect()
+    assert len(rows) >= 800 and sum(r.ks is not None for r in rows) == len({r.norm for r in rows}) < 10
+
+
 @pytest.mark.parametrize("threshold", [0.9, 0.5])
 def test_near_matches_in_small_pieces(spark, concepts, monkeypatch, threshold):
     """Texts cut into pieces, windows into runs, pairs into groups and names into blocks give the same rows."""

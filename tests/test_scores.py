@@ -60,6 +60,31 @@ def test_sides_swap(evals):
     assert one == {r.pair_id: (r.rougeL_recall, r.rougeL_precision) for r in scores.rouge_l(swapped.repartition(3)).collect()}
 
 
+def test_grams_of_a_pair_in_one_row_are_no_rows(spark, evals, texts):
+    assert scores._counted_rows(evals, (1, 2), stemmed=False).count() == len(texts)
+
+
+@pytest.mark.parametrize("n", [1, 2])
+def test_pairs_in_several_rows(spark, n):
+    """Counts of a pair's rows add up before they are clipped; null is an id like others."""
+    from collections import Counter
+
+    rows = [("a", "x y x", "x x z"), ("a", "x y x", "x x z"), ("b", "x y z w", "p q"), ("b", "p q", "x y z w"), (None, "x y", "x"), (None, "x", "x y"), ("c", "x y x y x", "y x y"), ("d", "", "x")]
+    got = {r.pair_id: r for r in scores.rouge(spark.createDataFrame(rows, "pair_id string, reference string, candidate string"), stemmed=False).collect()}
+    grams = lambda text: Counter(tuple(text.split()[i : i + n]) for i in range(len(text.split()) - n + 1))
+    assert set(got) == {key for key, _, _ in rows}
+    for key, row in got.items():
+        a, b = (sum((grams(r[side]) for r in rows if r[0] == key), Counter()) for side in (1, 2))
+        both = sum((a & b).values())
+        assert row[f"rouge{n}_precision"] == pytest.approx(both / max(sum(b.values()), 1)) and row[f"rouge{n}_recall"] == pytest.approx(both / max(sum(a.values()), 1))
+
+
+def test_null_texts(spark):
+    df = spark.createDataFrame([("a", None, "x"), ("b", "x y", "x y"), ("c", "x", None)], "pair_id string, reference string, candidate string")
+    assert {r.pair_id: r.rouge1_f1 for r in scores.rouge(df, stemmed=False).collect()} == {"b": 1.0}
+    assert {r.pair_id: r.rouge2_f1 for r in scores.rouge_n(df, 2, stemmed=False).collect()} == {"a": 0.0, "b": 1.0, "c": 0.0}
+
+
 def test_no_shuffle_after_the_join(spark, evals):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
