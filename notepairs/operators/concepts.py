@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,15 +28,19 @@ SIEVE_CHUNKS = 256  # a bitmap is put together in as many pieces
 # How many gram counts a task holds at most. They only order the grams: with more frequent
 # grams than this the result is the same, but more windows pass the sieve.
 FREQUENT_GRAMS = 1 << 14
-# Windows that are compared or written out at a time, and pairs of windows and names.
+# Windows that are compared or written out at a time, and pairs of windows and names, few enough to stay in a core's cache.
 WINDOWS = 1 << 14
-PAIRS = 1 << 20
+PAIRS = 1 << 16
 # Names, and code points of names, that a task holds at a time below PART_THRESHOLD.
 NAME_BLOCK, NAME_CHARS = 1 << 15, 1 << 20
 # Bytes of text that meet a block of names at a time there, and into how many tasks for each core they are dealt.
 MET_BYTES, MET_TASKS = 1 << 17, 4
-# Bits of a signature of a gram set.
-SIGNATURE = 256
+# Bytes of text at most for which a block of names is put in order, where there are several.
+HELD_BYTES = 1 << 22
+# Words of 64 bits of a signature of a gram set.
+SIGNATURE = 2
+# Sizes of gram sets up to here are a class each; beyond, so many classes share an octave.
+SIZES, OCTAVE = 16, 8
 
 
 def concept_table(names: DataFrame, types: DataFrame) -> DataFrame:
@@ -448,6 +453,14 @@ class _Shown:
         first, last = (x[which] for x in self.of)
         return [self.texts[i] for i in first.tolist()] if self.words is None else self.words.texts(first, last)
 
+    def offsets(self, batch: pa.RecordBatch, key: str, which: np.ndarray) -> list[pa.Array]:
+        """Keys and offsets of these windows."""
+        first, last = (x[which] for x in self.of)
+        if self.words is None:
+            return [batch.column(key).take(pa.array(first)), *[pa.nulls(len(which), pa.int32())] * 2]
+        ends = (self.words.start[first], self.words.end[last])
+        return [batch.column(key).take(pa.array(self.words.row[first])), *(pa.array(x.astype(np.int32)) for x in ends)]
+
     def rows(self, batch: pa.RecordBatch, key: str, which: np.ndarray, *more: pa.Array) -> pa.RecordBatch:
         """These windows as rows with further columns."""
         first, last = (x[which] for x in self.of)
@@ -496,87 +509,156 @@ def _similar(sieved: DataFrame, by_key: DataFrame, threshold: float) -> DataFram
 
 
 def _signatures(table: np.ndarray) -> np.ndarray:
-    """Every gram of a set flips one bit, so signatures differ in no more bits than the sets do in grams."""
-    out = np.zeros((len(table), SIGNATURE // 64), np.uint64)
-    for at in range(0, len(table), WINDOWS):
-        part = table[at : at + WINDOWS]
-        row, cell = np.nonzero(part != _NONE)
-        bit = (_mixed(part[row, cell]) >> np.uint64(40)) % np.uint64(SIGNATURE)
-        flips = np.bincount(row * SIGNATURE + bit.astype(np.int64), minlength=len(part) * SIGNATURE) & 1
-        out[at : at + WINDOWS] = np.packbits(flips.astype(np.uint8).reshape(-1, SIGNATURE), axis=1).view(np.uint64)
+    """Every gram of a set flips one bit of each word, so words differ in no more bits than the sets do in grams."""
+    out = np.empty((SIGNATURE, len(table)), np.uint64)
+    step = max(1, PAIRS // table.shape[1])
+    for at in range(0, len(table), step):
+        part = table[at : at + step]
+        mixed, blank = _mixed(part), part == _NONE
+        for i in range(SIGNATURE):
+            bit = np.uint64(1) << (mixed >> np.uint64(30 + 8 * i) & np.uint64(63))
+            bit[blank] = 0
+            out[i, at : at + step] = np.bitwise_xor.reduce(bit, axis=1)
     return out
 
 
+def _size_class(n: np.ndarray) -> np.ndarray:
+    """Classes of sizes of gram sets, in their order."""
+    beyond = SIZES + np.floor(OCTAVE * np.log2(np.maximum(n, 1) / SIZES) + 1e-9).astype(np.int64)
+    return np.where(n <= SIZES, n, beyond)
+
+
+class _Ranks:
+    """Numbers of the grams of some names in an order of all grams, from zero; other grams stand before them."""
+
+    def __init__(self, grams: np.ndarray, order: GramOrder):
+        self.grams = np.unique(grams)
+        self.rank = np.empty(len(self.grams), np.int64)
+        self.rank[np.lexsort((self.grams, order.packed(self.grams)))] = np.arange(len(self.grams))
+
+    def packed(self, grams: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        return np.where(self.grams[at] == grams, self.rank[at], -1 - grams)
+
+
+@dataclass
+class _Sized:
+    """What windows of one class of sizes may meet: for each gram the names that have it among their first ones, by size."""
+
+    width: int  # first grams of a window
+    most: np.ndarray  # size of a name at most that a window may meet by its gram at each place
+    start: np.ndarray  # where the names of each gram begin
+    places: np.ndarray  # gram and size of a name as one number
+    name: np.ndarray
+    apart: np.ndarray  # bits in which words of signatures may differ
+    word: np.ndarray  # first words of the names' signatures
+
+
 class _NameIndex:
-    """A block of names by the first grams of their sets, rare ones first, and the size of the set.
+    """A block of names by the sizes of the sets that they may resemble and the first grams of theirs, rare ones first.
 
-    Two sets that reach the threshold share one of their first ``n - ceil(t * n) + 1`` grams,
-    and from the first one they share on, both have as many left as they must have in common.
+    Sets of ``n`` and ``m`` grams reach the threshold with ``common`` grams, which follow from
+    ``n + m``. From the first gram on that both have, both have as many left, so it is one of
+    the first ``n - common + 1`` of the one and ``m - common + 1`` of the other. For each
+    class of ``n`` a name stands under those of its grams that can be such a one.
     """
 
     def __init__(self, norms: list[str], threshold: float, order: GramOrder):
-        self.norms, self.threshold, self.order = norms, threshold, order
-        self.n, self.signatures = np.zeros(len(norms), np.int64), np.zeros((SIGNATURE // 64, len(norms)), np.uint64)
-        found = []
-        for which, n, table in gram_sets(*strings(norms), order):
-            self.n[which], self.signatures[:, which] = n, _signatures(table).T
-            row, at = self._prefix(n, table)
+        self.norms, self.threshold = norms, threshold
+        slices = strings(norms)
+        self.ranks = _Ranks(np.concatenate([table[table != _NONE] for _, _, table in gram_sets(*slices)]), order)
+        self.n, self.signatures, found = np.zeros(len(norms), np.int64), np.zeros((SIGNATURE, len(norms)), np.uint64), []
+        for which, n, table in gram_sets(*slices, self.ranks):
+            self.n[which], self.signatures[:, which] = n, _signatures(table)
+            row, at = np.nonzero(table != _NONE)
             found.append((table[row, at], which[row], at))
-        grams, name, at = (np.concatenate(x) for x in zip(*found))
-        self.step = int(self.n.max()) + 1
-        self.grams, number = np.unique(grams, return_inverse=True)
-        places = number * self.step + self.n[name]
-        by = np.argsort(places, kind="stable")
-        self.places, self.name, self.at = places[by], name[by], at[by]
-
-    def _prefix(self, n: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        shown = n - np.ceil(self.threshold * n - 1e-9).astype(np.int64) + 1
-        return np.nonzero((np.arange(table.shape[1]) < shown[:, None]) & (table != _NONE))
+        gram, name, at = (np.concatenate(x) for x in zip(*found))
+        by = np.argsort(name, kind="stable")
+        self.sets, self.first = gram[by], np.cumsum(self.n) - self.n
+        self._by_size(gram, name, at)
+
+    def _by_size(self, gram: np.ndarray, name: np.ndarray, at: np.ndarray) -> None:
+        t, m = self.threshold, self.n[name]
+        self.step, self.sized = int(self.n.max()) + 1, {}
+        # Sizes of windows that may meet a name by its gram at some place.
+        low, high = np.maximum(np.ceil(t * m - 1e-9), 1), np.floor((m - at * (1 + t)) / t + 1e-6)
+        by = np.flatnonzero(low <= high)
+        by = by[np.argsort(gram[by] * self.step + m[by], kind="stable")]
+        gram, name, m, begin, end = gram[by], name[by], m[by], _size_class(low[by]), _size_class(high[by])
+        sizes = np.arange(1, int(high.max()) + 1)
+        classes = _size_class(sizes)
+        for one in np.unique(classes).tolist():
+            here = np.flatnonzero((begin <= one) & (one <= end))
+            if not len(here):
+                continue
+            n = int(sizes[classes == one][-1])
+            width = n - int(np.ceil(t * n - 1e-9)) + 1
+            places = gram[here] * self.step + m[here]
+            self.sized[one] = _Sized(
+                width, np.clip(np.floor((n - np.arange(width) * (1 + t)) / t + 1e-6), 0, self.step - 1).astype(np.int64),
+                np.searchsorted(places, np.arange(len(self.ranks.grams)) * self.step), places, name[here].astype(np.int32),
+                np.minimum((n + m[here]) * (1 - t) / (1 + t) + 1e-6, 64).astype(np.uint8), self.signatures[0, name[here]],
+            )
+
+    def _likely(self, sized: _Sized, rows: np.ndarray, table: np.ndarray, signatures: np.ndarray) -> Iterator[np.ndarray]:
+        """Pairs of windows of one class of sizes and names that share a gram and whose signatures are near."""
+        head = table[rows, : sized.width]
+        known = np.flatnonzero(head.view(np.uint64) < np.uint64(len(self.ranks.grams)))
+        gram, (row, at) = head.ravel()[known], np.divmod(known, head.shape[1])
+        begin = sized.start[gram]
+        count = np.searchsorted(sized.places, gram * self.step + sized.most[at], "right") - begin
+        some = np.flatnonzero(count > 0)
+        row, begin, count = rows[row[some]], begin[some], count[some]
+        ends, start, word = np.cumsum(count), 0, signatures[0, row]
+        while start < len(count):
+            before = int(ends[start - 1]) if start else 0
+            end = max(int(np.searchsorted(ends, before + PAIRS, "right")), start + 1)
+            k = count[start:end]
+            place = np.repeat(begin[start:end] - (ends[start:end] - k - before), k)
+            place += np.arange(len(place))
+            apart = np.bitwise_count(sized.word.take(place) ^ np.repeat(word[start:end], k))
+            near = np.flatnonzero(apart <= sized.apart.take(place))
+            w, place = row[start + np.searchsorted(ends[start:end], before + near, "right")], place[near]
+            name = sized.name[place].astype(np.int64)
+            for a, b in zip(signatures[1:], self.signatures[1:]):
+                near = np.bitwise_count(a[w] ^ b[name]) <= sized.apart[place]
+                w, name, place = w[near], name[near], place[near]
+            yield w * len(self.norms) + name
+            start = end
+
+    def _common(self, table: np.ndarray, name: np.ndarray) -> np.ndarray:
+        """How many grams of each row's set the set of a name has."""
+        at = np.arange(int(self.n[name].max()))
+        of = self.sets.take(self.first[name][:, None] + at, mode="clip")
+        of[at >= self.n[name][:, None]] = _NONE
+        both = np.concatenate([table, of], axis=1)
+        both.sort(axis=1)
+        return ((both[:, 1:] == both[:, :-1]) & (both[:, 1:] != _NONE)).sum(axis=1)
 
     def near(self, shown: _Shown) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Windows and names that reach the threshold, by their numbers, with their similarity."""
-        t = self.threshold
-        folded = bool((shown.chars > 0xFFFF).any())
-        for which, n, table in gram_sets(shown.chars, shown.first, shown.last, self.order):
-            row, at = self._prefix(n, table)
-            number = np.minimum(np.searchsorted(self.grams, grams := table[row, at]), len(self.grams) - 1)
-            known = np.flatnonzero(self.grams[number] == grams)
-            row, at, number = row[known], at[known], number[known] * self.step
-            least, most = np.ceil(t * n - 1e-9).astype(np.int64), np.floor(n / t + 1e-9).astype(np.int64)
-            begin = np.searchsorted(self.places, number + np.minimum(least[row], self.step))
-            count = np.maximum(np.searchsorted(self.places, number + np.minimum(most[row], self.step - 1), "right") - begin, 0)
-            signatures, ends, met, start = _signatures(table).T.copy(), np.cumsum(count), [np.zeros(0, np.int64)], 0
-            while start < len(count):
-                before = int(ends[start - 1]) if start else 0
-                end = max(int(np.searchsorted(ends, before + PAIRS, "right")), start + 1)
-                k = count[start:end]
-                each = np.repeat(np.arange(start, end), k)
-                place = np.arange(len(each)) + np.repeat(begin[start:end] - (ends[start:end] - k - before), k)
-                w, name = row[each], self.name[place]
-                both = n[w] + self.n[name]
-                common = np.ceil(t * both / (1 + t) - 1e-9).astype(np.int64)
-                if not folded:  # else a place may stand for several grams
-                    fits = np.flatnonzero(np.minimum(n[w] - at[each], self.n[name] - self.at[place]) >= common)
-                    w, name, both, common = w[fits], name[fits], both[fits], common[fits]
-                apart = np.zeros(len(w), np.int64)
-                for a, b in zip(signatures, self.signatures):
-                    apart += np.bitwise_count(a[w] ^ b[name])
-                likely = apart <= both - 2 * common
-                met.append(np.unique(w[likely] * len(self.norms) + name[likely]))
-                start = end
+        for which, n, table in gram_sets(shown.chars, shown.first, shown.last, self.ranks):
+            signatures, classes, met = _signatures(table), _size_class(n), [np.zeros(0, np.int64)]
+            by = np.argsort(classes, kind="stable")
+            for rows in np.split(by, np.flatnonzero(np.diff(classes[by])) + 1):
+                if (sized := self.sized.get(int(classes[rows[0]]))) is not None:
+                    met += self._likely(sized, rows, table, signatures)
             pairs = np.unique(np.concatenate(met))
-            for i in range(0, len(pairs), PAIRS // 16):
-                w, name = np.divmod(pairs[i : i + PAIRS // 16], len(self.norms))
-                similarity = jaccard(shown.written(which[w]), [self.norms[j] for j in name.tolist()])
-                reached = np.flatnonzero(similarity >= t - 1e-12)
+            # Names have at most so many grams as windows have, over the threshold.
+            step = max(1, 16 * PAIRS // int(table.shape[1] * (1 + 1 / self.threshold) + 1))
+            for i in range(0, len(pairs), step):
+                w, name = np.divmod(pairs[i : i + step], len(self.norms))
+                common = self._common(table[w], name)
+                similarity = common / (n[w] + self.n[name] - common)
+                reached = np.flatnonzero(similarity >= self.threshold - 1e-12)
                 yield which[w[reached]], name[reached], similarity[reached]
 
 
-def _packed(texts: DataFrame, key: str) -> DataFrame:
-    """``texts`` in rows of many, dealt to tasks anew: lists of their keys and texts."""
+def _packed(texts: DataFrame, key: str, limit: int) -> DataFrame:
+    """``texts`` in rows of many, of about ``limit`` bytes, dealt to tasks anew: lists of their keys and texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts_of(batches, MET_BYTES):
+        for part in _parts_of(batches, limit):
             ends = pa.array([0, part.num_rows], pa.int32())
             yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, part.column(c)) for c in (key, "_text")], names=["keys", "texts"])
 
@@ -584,33 +666,68 @@ def _packed(texts: DataFrame, key: str) -> DataFrame:
     return texts.select(key, "_text").mapInArrow(run, StructType(fields)).repartition(MET_TASKS * texts.sparkSession.sparkContext.defaultParallelism)
 
 
-def _near_names(texts: DataFrame, key: str, names: DataFrame, threshold: float, longest: int | None) -> DataFrame:
-    """Windows (as of ``_candidates``) with the names that they nearly equal: (key, start_at, end_at, norm, right_norm, similarity).
+class _Entries:
+    """Rows of a block of names: the different names, and the rows of each."""
+
+    def __init__(self, rows: pa.StructArray):
+        self.norm, *self.columns = rows.flatten()
+        coded = self.norm.dictionary_encode()
+        self.norms, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self.by = np.argsort(codes, kind="stable")
+        self.count = np.bincount(codes)
+        self.first = np.cumsum(self.count) - self.count
+
+    def of(self, name: np.ndarray) -> tuple[np.ndarray, list[pa.Array]]:
+        """The rows of these names: for each row which of ``name`` it belongs to, and the rows' columns."""
+        k = self.count[name]
+        each = np.repeat(np.arange(len(name)), k)
+        at = pa.array(self.by[np.arange(len(each)) + np.repeat(self.first[name] - (np.cumsum(k) - k), k)])
+        return each, [c.take(at) for c in self.columns]
+
+
+def _near_names(texts: DataFrame, key: str, entries: DataFrame, threshold: float, longest: int | None) -> DataFrame:
+    """Windows (as of ``_candidates``) with the ``entries`` whose ``norm`` they nearly equal: (key, start_at, end_at, similarity, the entry's other columns).
 
     For low thresholds, where nearly every window shares a first gram with many names: names
     are cut into blocks, every piece of text meets every block, and pairs are made, sieved
-    and compared where they meet, so no pair that fails is ever a row.
+    and compared where they meet, so no pair that fails is ever a row, and those that reach
+    the threshold are not moved again to find their entries.
     """
-    size = names.agg(F.count("*").alias("n"), F.sum(F.length("norm")).alias("chars")).first()
+    entries = entries.where("norm IS NOT NULL")
+    size = entries.agg(F.count("*").alias("n"), F.sum(F.length("norm")).alias("chars")).first()
     blocks = 1 + max(size["n"] // NAME_BLOCK, (size["chars"] or 0) // NAME_CHARS)
-    dealt = stage(names.groupBy(F.pmod(F.xxhash64("norm"), F.lit(blocks)).alias("block")).agg(F.collect_list("norm").alias("norms")))
-    order = gram_order(names)
-    packed = _packed(texts, key)
+    others = [c for c in entries.columns if c != "norm"]
+    block = F.pmod(F.xxhash64("norm"), F.lit(blocks)).alias("block")
+    dealt = stage(entries.groupBy(block).agg(F.collect_list(F.struct("norm", *others)).alias("entries")))
+    order = gram_order(entries.select("norm").distinct())
+    held_bytes = MET_BYTES
+    if blocks > 1:
+        # Each row of texts meets one block after the other: longer rows, as far as that leaves some for every task.
+        total = texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+        held_bytes = max(MET_BYTES, min(HELD_BYTES, total // (MET_TASKS * texts.sparkSession.sparkContext.defaultParallelism)))
+    packed = _packed(texts, key, held_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, index = None, None
+        held, given, index = None, None, None
         for batch in batches:
             for i, block in enumerate(batch.column("block").to_pylist()):
                 if block != held:
-                    held, index = block, _NameIndex(batch.column("norms")[i].as_py(), threshold, order)
-                part = pa.RecordBatch.from_arrays([batch.column("keys")[i].values], names=[key])
-                for shown in _shown(batch.column("texts")[i].as_py(), longest):
-                    for which, name, similarity in index.near(shown):
-                        yield shown.rows(part, key, which, pa.array([index.norms[j] for j in name.tolist()], pa.string()), pa.array(similarity))
+                    held, given = block, _Entries(batch.column("entries")[i].values)
+                    index = _NameIndex(given.norms, threshold, order)
+                rows = pa.RecordBatch.from_arrays([batch.column(c)[i].values for c in ("keys", "texts")], names=[key, "_text"])
+                for part in pieces(rows, "_text", MET_BYTES):
+                    for shown in _shown(part.column("_text").to_pylist(), longest):
+                        for which, name, similarity in index.near(shown):
+                            each, columns = given.of(name)
+                            yield pa.RecordBatch.from_arrays(
+                                [*shown.offsets(part, key, which[each]), pa.array(similarity[each]), *columns],
+                                names=[key, "start_at", "end_at", "similarity", *(f"x{j}" for j in range(len(columns)))],
+                            )
 
     # Texts that meet several blocks are read once.
     met = (stage(packed) if blocks > 1 else packed).crossJoin(dealt)
-    return met.mapInArrow(run, _typed(texts, "start_at int, end_at int, norm string, right_norm string, similarity double", key))
+    columns = [*_typed(texts, "start_at int, end_at int, similarity double", key).fields, *(entries.schema[c] for c in others)]
+    return met.mapInArrow(run, StructType(columns))
 
 
 def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
@@ -626,7 +743,8 @@ def similar_names(left: DataFrame, right: DataFrame, threshold: float) -> DataFr
     texts = left.select("norm").distinct().select(F.col("norm").alias("name"), F.col("norm").alias("_text"))
     names = right.select("norm").distinct()
     if threshold < PART_THRESHOLD:
-        return _near_names(texts, "name", names, threshold, None).select(F.col("norm").alias("left_norm"), "right_norm", "similarity")
+        found = _near_names(texts, "name", names.withColumn("right_norm", F.col("norm")), threshold, None)
+        return found.select(F.col("name").alias("left_norm"), "right_norm", "similarity")
     sieved, by_key = _candidates(texts, "name", names, threshold, None)
     return _similar(sieved, by_key, threshold)
 
@@ -644,11 +762,11 @@ def match_similar(
     """
     gated = of_types(concepts, types) if types else concepts
     entries = stage(gated.withColumn("norm", normal_name(F.col("name"))))
-    names, by_name = entries.select("norm").distinct(), entries.withColumnRenamed("norm", "right_norm")
     given = spread(texts.select(key, F.col(text).alias("_text")))
     columns = [key, "start_at", "end_at", "cui", F.col("name").alias("detected_name"), "type_ids", "similarity"]
     if threshold < PART_THRESHOLD:
-        return _near_names(given, key, names, threshold, longest).drop("norm").join(by_name, "right_norm").select(*columns)
+        return _near_names(given, key, entries.select("norm", "cui", "name", "type_ids"), threshold, longest).select(*columns)
+    names, by_name = entries.select("norm").distinct(), entries.withColumnRenamed("norm", "right_norm")
     sieved, by_key = _candidates(given, key, names, threshold, longest)
     found = stage(sieved)
     hits = stage(_similar(found, by_key, threshold).join(by_name, "right_norm").withColumnRenamed("left_norm", "norm").drop("right_norm"))

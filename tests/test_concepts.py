@@ -178,6 +178,66 @@ def test_pairs_that_fail_are_never_rows(spark):
     assert "Generate explode(ks" not in plan and "similarity" in plan
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.3])
+def test_few_pairs_are_compared(monkeypatch, threshold):
+    """Signatures are compared only where both sets' first grams, as many as their two sizes allow, have one in common."""
+    rng = random.Random(5)
+    syllables = ["tion", "en", "the", "er", "an", "wh", "ed", "ing", "es", "ou"]
+    word = lambda: "".join(rng.choices(syllables, k=rng.randint(1, 3)))
+    names, said = sorted({" ".join(word() for _ in range(rng.randint(1, 4))) for _ in range(300)}), [word() for _ in range(120)]
+    index = K._NameIndex(names, threshold, K.GramOrder([]))
+    compared, count = [], np.bitwise_count
+    monkeypatch.setattr(np, "bitwise_count", lambda x: compared.append(len(x)) or count(x))
+    shown = list(K._shown([" ".join(said)], 3))
+    hits = sum(len(which) for one in shown for which, _, _ in index.near(one))
+    held = {x: sorted(grams(x)) for x in names}
+    want = pairs = 0
+    for one in shown:
+        for w in one.written(np.arange(len(one.first))):
+            a = sorted(grams(w))
+            for b in held.values():
+                common = -int(-(threshold * (len(a) + len(b)) / (1 + threshold) - 1e-9) // 1)
+                want += len(set(a[: max(len(a) - common + 1, 0)]) & set(b[: max(len(b) - common + 1, 0)]))
+                pairs += len(set(a) & set(b)) * (1 + threshold) >= threshold * (len(a) + len(b)) - 1e-9
+    assert hits == pairs > 0
+    # The second words of signatures are compared where the first ones are near.
+    assert want <= sum(compared) < 2 * want
+
+
+def test_large_sets_of_any_size():
+    """Sizes beyond those that are a class each, up to hundreds of grams."""
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz\U0001F600"
+    word = lambda n: "".join(rng.choices(letters, k=n))
+    names = sorted({word(n) for n in range(1, 400, 3)})
+    texts = names + [x[: int(len(x) * rng.uniform(0.3, 1))] + word(rng.randint(0, len(x))) for x in names]
+    for threshold in (0.3, 0.5, 0.75):
+        index = K._NameIndex(names, threshold, K.GramOrder([x[:3] for x in names[:20]]))
+        got = {(int(w), int(j)): s for shown in K._shown(texts, None) for which, name, similarity in index.near(shown) for w, j, s in zip(which, name, similarity)}
+        sets, want = [grams(x) for x in names], {}
+        for i, a in enumerate(map(grams, texts)):
+            want |= {(i, j): s for j, b in enumerate(sets) if (s := len(a & b) / len(a | b)) >= threshold - 1e-12}
+        assert len(want) > len(names) and got == want
+
+
+@pytest.mark.parametrize("block", [2, 1 << 15])
+def test_every_entry_of_a_near_name(spark, monkeypatch, block):
+    """A name that stands for several concepts, in several spellings, repeated or null: one row for each of its entries."""
+    monkeypatch.setattr(K, "NAME_BLOCK", block)
+    rows = [("C1", "Heart failure", ["T1"]), ("C2", "heart-failure", ["T2", "T3"]), ("C2", "heart-failure", ["T2", "T3"]), (None, "heart", None), ("C4", None, ["T1"]), ("C5", "!?", ["T1"]), ("C6", "aspirin", [])]
+    table = spark.createDataFrame(rows, "cui string, name string, type_ids array<string>")
+    texts = texts_of(spark, "heart failures", None, "Aspirin")
+    got = sorted(str((r.pair_id, r.start_at, r.end_at, r.cui, r.detected_name, r.type_ids)) for r in K.match_similar(texts, table, threshold=0.6).collect())
+    want = [("0", 0, 5, None, "heart", None), ("0", 0, 14, "C1", "Heart failure", ["T1"]), *[("0", 0, 14, "C2", "heart-failure", ["T2", "T3"])] * 2, ("2", 0, 7, "C6", "aspirin", [])]
+    assert got == sorted(map(str, want))
+
+
+def test_matches_are_not_joined_again(spark, concepts):
+    """At a low threshold texts meet names once; their matches bring the entries along instead of being moved to them."""
+    plan = K.match_similar(texts_of(spark, "heart failures"), concepts, threshold=0.5)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Join Cross" in plan
+
+
 def test_match_similar(spark, concepts):
     df = texts_of(spark, "aspirins given for heart failures")
     got = {(r.cui, r.start_at) for r in K.match_similar(df, concepts, threshold=0.8).collect()}
